@@ -1,0 +1,98 @@
+"""Wide-table build on flat tables with one hot city and one hot bucket.
+
+    python -m bench.scale --copies 40 --sf 0.1
+
+Every event is repeated ``copies`` times. A third of all rows goes to one city and a third to
+one half hour. The tables are written by the library's own writer to the shared folder, then
+the wide table is built from them with both plans and the results are compared.
+"""
+
+from __future__ import annotations
+
+import argparse
+import json
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import fixtures as X
+from checks.compare import TESTDATA
+from citypulse import schemas as S
+from citypulse.functions.scalars import round_half_even
+from citypulse.operators.parsing import stamp
+from citypulse.plans.gold import gold_wide, gold_wide_join
+from citypulse.session import fresh_path
+from citypulse.sources.tables import read_table, write_by_city
+
+HOT_CITY, HOT_TIME = "Hamburg", "2024-01-10T08:"
+
+
+def session(cpus: int) -> SparkSession:
+    spark = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .config("spark.driver.memory", "16g")
+        .config("spark.sql.shuffle.partitions", str(4 * cpus))
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def skewed(df: DataFrame, copies: int) -> DataFrame:
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    draw: Column = F.pmod(F.xxhash64("event_id", "copy"), F.lit(3))
+    minute = F.lpad((F.col("event_id") % 30).cast("string"), 2, "0")
+    return (
+        df.drop("ts")
+        .withColumn("copy", copy)
+        .withColumn("draw", draw)
+        .withColumn("meta_city", F.when(F.col("draw") == 0, HOT_CITY).otherwise(F.col("meta_city")))
+        .withColumn(
+            "meta_scraped_at",
+            F.when(F.col("draw") == 1, F.concat(F.lit(HOT_TIME), minute, F.lit(":00"))).otherwise(
+                F.col("meta_scraped_at")
+            ),
+        )
+        .drop("event_id", "copy", "draw")
+    )
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser()
+    parser.add_argument("--sf", default="0.1")
+    parser.add_argument("--copies", type=int, default=40)
+    parser.add_argument("--cpus", type=int, default=8)
+    args = parser.parse_args()
+    spark = session(args.cpus)
+    out: dict[str, object] = {"copies": args.copies, "sf": float(args.sf)}
+    tables = []
+    schemas = (S.SILVER_TRAFFIC, S.SILVER_WEATHER, S.SILVER_TRANSIT)
+    for name, df, schema in zip(("traffic", "weather", "transit"), X.sources(spark, f"{TESTDATA}/sf{args.sf}"), schemas):
+        path = fresh_path(spark, f"scale-{name}")
+        start = time.perf_counter()
+        write_by_city(stamp(skewed(df.repartition(args.cpus), args.copies)), path)
+        table = read_table(spark, path, schema)
+        out[f"{name}_rows"] = table.count()
+        out[f"{name}_write_sec"] = round(time.perf_counter() - start, 2)
+        out[f"{name}_files"] = len(table.inputFiles())
+        tables.append(table)
+    for build in (gold_wide, gold_wide_join, gold_wide, gold_wide_join):
+        start = time.perf_counter()
+        build(*tables).write.format("noop").mode("overwrite").save()
+        out[f"{build.__name__}_sec"] = round(time.perf_counter() - start, 2)
+    keys = ("meta_city", "time_bucket")
+    close = [
+        [c if c in keys else round_half_even(F.col(c).cast("double"), 6).alias(c) for c in df.columns]
+        for df in (gold_wide(*tables), gold_wide_join(*tables))
+    ]
+    left, right = gold_wide(*tables).select(*close[0]), gold_wide_join(*tables).select(*close[1])
+    out["rows_that_differ"] = left.exceptAll(right).count() + right.exceptAll(left).count()
+    print(json.dumps(out))
+
+
+if __name__ == "__main__":
+    main()

@@ -206,8 +206,7 @@ def oracle_sql() -> dict[str, str]:
     )
     cycle = "time_bucket(INTERVAL '10 minutes', ts) AS cycle"
     cycle_parts = " UNION ALL ".join(
-        f"SELECT '{s}' AS source, {cycle}, meta_city, "
-        f"{'event_id' if s != 'transit' else 'event_id'} AS doc FROM {s}"
+        f"SELECT '{s}' AS source, {cycle}, meta_city, event_id AS doc FROM {s}"
         for s in ("traffic", "weather", "transit")
     )
     per_bucket = "time_bucket AS time, meta_city"
@@ -235,7 +234,8 @@ def oracle_sql() -> dict[str, str]:
                    round_even(ratio * 100, 0) / 100 AS average_congestion_ratio,
                    {STATUS.format(r='ratio')} AS status_label, CAST(sample_count AS INTEGER) AS sample_count,
                    first_cell, first_speed FROM idx""",
-        "normalise_flat": traffic_rows,
+        "normalise_flat": f"""{traffic_rows} WHERE current_speed IS NOT NULL
+            AND NOT (current_speed = 0 AND free_flow_speed = 0 AND confidence = 0)""",
         "payload_traffic": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, grid_id, lat, lon, current_speed,
             free_flow_speed, congestion_ratio, confidence FROM traffic WHERE confidence IS NOT NULL""",
         "payload_weather": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, grid_id, lat, lon,

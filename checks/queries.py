@@ -164,9 +164,10 @@ def nest_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalise_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat rows, half of them with the short cell id."""
+    """Flat rows, half of them with the short cell id, zeros for unanswered probes."""
     short = F.when(F.col("event_id") % 2 == 0, F.expr("substr(grid_id, 6)")).otherwise(F.col("grid_id"))
-    flat = X.traffic(spark, sf_dir).withColumn("grid_id", short)
+    unanswered = {"current_speed": 0, "free_flow_speed": 0, "congestion_ratio": 1.0, "confidence": 0.0}
+    flat = X.traffic(spark, sf_dir).withColumn("grid_id", short).fillna(unanswered)
     return payloads.normalise_flat(flat).select(*TRAFFIC_COLS)
 
 

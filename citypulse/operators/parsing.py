@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
@@ -18,11 +20,21 @@ def parse_values(raw: DataFrame, schema: str) -> DataFrame:
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
 
 
+def explode_present(df: DataFrame, keep: Sequence[str], array: Column, name: str) -> DataFrame:
+    """One row per array element, none for a null or empty array.
+
+    Same rows as ``explode``. That one makes the optimizer filter on the array's size below the
+    projection that parses it, and the JSON text would be parsed twice; the position of an outer
+    explode can only be filtered on afterwards.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(array).alias("_pos", name))
+    return exploded.filter("_pos IS NOT NULL").drop("_pos")
+
+
 def explode_samples(documents: DataFrame) -> DataFrame:
     """One row per sample; a document with a null or empty array gives none."""
-    return documents.select("meta_city", "meta_scraped_at", F.explode("samples").alias("sample")).select(
-        "meta_city", "meta_scraped_at", "sample.*"
-    )
+    meta = ("meta_city", "meta_scraped_at")
+    return explode_present(documents, meta, F.col("samples"), "sample").select(*meta, "sample.*")
 
 
 def stamp(rows: DataFrame) -> DataFrame:

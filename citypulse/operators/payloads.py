@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.functions.scalars import congestion_ratio, normalise_grid_id, whole_number
+from citypulse.operators.parsing import explode_present
 
 PROBE_KEYS = ("meta_city", "meta_scraped_at", "grid_id", "lat", "lon")
 STOP_KEYS = ("meta_city", "meta_scraped_at")
@@ -23,6 +24,7 @@ WEATHER_PAYLOAD = (
     "weather ARRAY<STRUCT<main: STRING, description: STRING>>, "
     "wind STRUCT<speed: DOUBLE>, rain MAP<STRING, DOUBLE>, visibility INT"
 )
+NON_EMPTY_OBJECT = r'^\s*\{\s*"'
 DEPARTURE_PAYLOAD = (
     "line STRUCT<name: STRING>, direction STRING, plannedWhen STRING, delay INT, platform STRING, tripId STRING"
 )
@@ -33,19 +35,16 @@ def traffic_samples(responses: DataFrame, keep: Sequence[str] = PROBE_KEYS) -> D
 
     A missing speed or confidence counts as 0.
     """
+    segment = F.from_json("payload", TRAFFIC_PAYLOAD)["flowSegmentData"]
     flow = F.col("flow")
     current = F.coalesce(flow["currentSpeed"], F.lit(0.0))
     free = F.coalesce(flow["freeFlowSpeed"], F.lit(0.0))
-    return (
-        responses.select(*keep, F.from_json("payload", TRAFFIC_PAYLOAD)["flowSegmentData"].alias("flow"))
-        .filter(flow.isNotNull())
-        .select(
-            *keep,
-            whole_number(current).alias("current_speed"),
-            whole_number(free).alias("free_flow_speed"),
-            congestion_ratio(current, free).alias("congestion_ratio"),
-            F.coalesce(flow["confidence"], F.lit(0.0)).alias("confidence"),
-        )
+    return explode_present(responses, keep, F.array_compact(F.array(segment)), "flow").select(
+        *keep,
+        whole_number(current).alias("current_speed"),
+        whole_number(free).alias("free_flow_speed"),
+        congestion_ratio(current, free).alias("congestion_ratio"),
+        F.coalesce(flow["confidence"], F.lit(0.0)).alias("confidence"),
     )
 
 
@@ -58,7 +57,7 @@ def weather_samples(responses: DataFrame, keep: Sequence[str] = PROBE_KEYS) -> D
     first = F.get(w["weather"], F.lit(0))
     rain = F.when(F.map_contains_key(w["rain"], "1h"), w["rain"]["1h"]).otherwise(F.lit(0.0))
     return (
-        responses.filter(F.size(F.json_object_keys("payload")) > 0)
+        responses.filter(F.col("payload").rlike(NON_EMPTY_OBJECT))
         .select(*keep, F.from_json("payload", WEATHER_PAYLOAD).alias("w"))
         .select(
             *keep,
@@ -82,17 +81,19 @@ def departures(responses: DataFrame, keep: Sequence[str] = STOP_KEYS) -> DataFra
     entries = F.when(F.ltrim(payload).startswith("["), F.from_json(payload, "array<string>")).otherwise(
         F.from_json(payload, "departures ARRAY<STRING>")["departures"]
     )
-    has_delay = F.array_contains(F.json_object_keys("entry"), "delay")
     dep = F.col("dep")
+    # Only for a null delay is it worth a second look whether the departure names one.
+    names_delay = F.array_contains(F.json_object_keys("entry"), "delay")
+    delay = F.when(dep["delay"].isNull() & ~names_delay, F.lit(0)).otherwise(dep["delay"])
     return (
-        responses.select(*keep, F.explode(entries).alias("entry"))
-        .select(*keep, has_delay.alias("has_delay"), F.from_json("entry", DEPARTURE_PAYLOAD).alias("dep"))
+        explode_present(responses, keep, entries, "entry")
+        .select(*keep, "entry", F.from_json("entry", DEPARTURE_PAYLOAD).alias("dep"))
         .select(
             *keep,
             dep["line"]["name"].alias("line"),
             dep["direction"].alias("direction"),
             dep["plannedWhen"].alias("planned_time"),
-            F.when(F.col("has_delay"), dep["delay"]).otherwise(F.lit(0)).alias("delay"),
+            delay.alias("delay"),
             dep["platform"].alias("platform"),
             dep["tripId"].alias("raw_id"),
         )
@@ -100,5 +101,13 @@ def departures(responses: DataFrame, keep: Sequence[str] = STOP_KEYS) -> DataFra
 
 
 def normalise_flat(records: DataFrame) -> DataFrame:
-    """Flat one-record-per-cell input -> the row shape of exploded documents."""
-    return records.withColumn("grid_id", normalise_grid_id(F.col("grid_id")))
+    """Flat one-record-per-cell input -> the row shape of exploded documents.
+
+    Cell ids get their prefix. Flat traffic input has a record of zeros for a probe that
+    failed; documents have no sample for it, so it is left out.
+    """
+    rows = records.withColumn("grid_id", normalise_grid_id(F.col("grid_id")))
+    if "confidence" not in rows.columns:
+        return rows
+    failed = (F.col("current_speed") == 0) & (F.col("free_flow_speed") == 0) & (F.col("confidence") == 0)
+    return rows.filter(~F.coalesce(failed, F.lit(False)))

@@ -21,33 +21,34 @@ from citypulse.operators.features import (
     weather_pivot,
 )
 
-# Names of the two measures of a slot, by the source the slot belongs to.
-_MEASURES = {"traffic": ("congestion", "speed"), "weather": ("rain", "temp")}
-_TRANSIT_MEASURES = ("avg_delay", "stress_index")
+# Measures of a narrow row. Traffic fills the first pair, weather the second; a transit mode,
+# which is no grid cell, has the first pair to itself.
+MEASURES = ("m1", "m2", "m3", "m4")
+_GRID_NAMES = dict(zip(MEASURES, ("congestion", "speed", "rain", "temp")))
+_MODE_NAMES = dict(zip(MEASURES, ("avg_delay", "stress_index")))
 _MODES = ("rail", "bus")
 
 
-def slots(cells: list[str]) -> dict[str, tuple[str, str]]:
-    """Slot -> names of its two output columns. A slot is one cell of a source, or one mode."""
-    grid = {
-        f"{source}/{cell}": (f"{cell}_{first}", f"{cell}_{second}")
-        for source, (first, second) in _MEASURES.items()
-        for cell in cells
-    }
-    return grid | {mode: tuple(f"{mode}_{m}" for m in _TRANSIT_MEASURES) for mode in _MODES}
+def features(cells: list[str]) -> list[tuple[str, str, str]]:
+    """(slot, measure, output column) of every feature, in the order of the wide table."""
+    pairs = (MEASURES[:2], MEASURES[2:])
+    grid = [(cell, m, f"{cell}_{_GRID_NAMES[m]}") for pair in pairs for cell in cells for m in pair]
+    return grid + [(mode, m, f"{mode}_{name}") for mode in _MODES for m, name in _MODE_NAMES.items()]
 
 
 def measurements(
     traffic: DataFrame, weather: DataFrame, transit: DataFrame, threshold: int = S.STRESS_SECONDS
 ) -> DataFrame:
-    """The three sources as one narrow table: city, time, slot and the slot's two measures.
+    """The three sources as one narrow table: city, time, slot and the slot's measures.
 
-    Every feature is the mean of a measure over a slot's rows; the stressed share is the mean
-    of a 0/1 flag. Rows that belong to no slot (a null line, a foreign cell) stay, since they
-    still make their city and bucket appear. Works on streams as on tables.
+    A slot is a grid cell or a transit mode. Every feature is the mean of a measure over the
+    rows of a slot; the stressed share is the mean of a 0/1 flag. Rows that belong to no slot (a
+    null line, a foreign cell) stay, since they still make their city and bucket appear. Works
+    on streams as on tables.
     """
+    unused = F.lit(None)
 
-    def part(df: DataFrame, slot: Column, first: Column, second: Column) -> DataFrame:
+    def part(df: DataFrame, slot: Column, *measures: Column) -> DataFrame:
         return (
             with_ts(df)
             .filter("meta_city IS NOT NULL")
@@ -55,19 +56,17 @@ def measurements(
                 "meta_city",
                 "ts",
                 slot.alias("slot"),
-                first.cast("double").alias("m1"),
-                second.cast("double").alias("m2"),
+                *[value.cast("double").alias(m) for m, value in zip(MEASURES, measures)],
             )
         )
 
-    def cell(source: str) -> Column:
-        return F.concat(F.lit(f"{source}/"), F.col("grid_id"))
-
+    delay = F.col("delay")
+    cell = F.col("grid_id")
     return (
-        part(traffic, cell("traffic"), F.col("congestion_ratio"), F.col("current_speed"))
-        .unionByName(part(weather, cell("weather"), F.col("rain_1h_mm"), F.col("temp")))
+        part(traffic, cell, F.col("congestion_ratio"), F.col("current_speed"), unused, unused)
+        .unionByName(part(weather, cell, unused, unused, F.col("rain_1h_mm"), F.col("temp")))
         .unionByName(
-            part(transit, transit_mode(F.col("line")), F.col("delay"), stressed(F.col("delay"), threshold))
+            part(transit, transit_mode(F.col("line")), delay, stressed(delay, threshold), unused, unused)
         )
     )
 
@@ -75,17 +74,16 @@ def measurements(
 def widen(narrow: DataFrame, cells: list[str] | None = None) -> DataFrame:
     """Bucketed measurements -> wide rows.
 
-    The pivot first averages per (city, bucket, slot), two running sums per input row and
-    combined before the shuffle, and only then spreads those few rows over the columns. No
-    shuffle carries raw rows, so neither a busy city nor a busy bucket makes a heavy task.
+    First the means per (city, bucket, slot): a few running sums per input row, combined before
+    the shuffle. Only these few rows are then spread over the columns, where each column has
+    one value to pick. No shuffle carries raw rows, so neither a busy city nor a busy bucket
+    makes a heavy task, and a report that needs few columns computes only those.
     """
-    cells = cells or S.grid_ids()
-    named = slots(cells)
-    wide = narrow.groupBy(*KEYS).pivot("slot", list(named)).agg(F.avg("m1").alias("m1"), F.avg("m2").alias("m2"))
+    means = narrow.groupBy(*KEYS, "slot").agg(*[F.avg(m).alias(m) for m in MEASURES])
     columns = [
-        F.col(f"`{slot}_{m}`").alias(name) for slot, names in named.items() for m, name in zip(("m1", "m2"), names)
+        F.max(F.when(F.col("slot") == slot, F.col(m))).alias(name) for slot, m, name in features(cells or S.grid_ids())
     ]
-    return with_calendar(wide.select(*KEYS, *columns))
+    return with_calendar(means.groupBy(*KEYS).agg(*columns))
 
 
 def gold_wide(
@@ -112,8 +110,8 @@ def gold_wide_join(
     traffic, weather, transit = (
         with_bucket(df, width).filter("meta_city IS NOT NULL") for df in (traffic, weather, transit)
     )
-    features = [traffic_pivot(traffic, cells), weather_pivot(weather, cells), transit_stats(transit, threshold)]
-    wide = master_keys(*features)
-    for feature in features:
-        wide = wide.join(feature, list(KEYS), "left")
+    parts = [traffic_pivot(traffic, cells), weather_pivot(weather, cells), transit_stats(transit, threshold)]
+    wide = master_keys(*parts)
+    for part in parts:
+        wide = wide.join(part, list(KEYS), "left")
     return with_calendar(wide)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from citypulse import schemas as S
 from citypulse.functions.buckets import with_calendar, with_ts
-from citypulse.plans.gold import measurements, slots
+from citypulse.plans.gold import features, measurements
 
 
 # Names under which a session runs in UTC.
@@ -46,11 +46,7 @@ def gold_stream(
     else:
         narrow = measurements(traffic, weather, transit).withWatermark("ts", delay)
     cells = cells or S.grid_ids()
-    means = [
-        F.avg(F.when(F.col("slot") == slot, F.col(m))).alias(name)
-        for slot, names in slots(cells).items()
-        for m, name in zip(("m1", "m2"), names)
-    ]
+    means = [F.avg(F.when(F.col("slot") == slot, F.col(m))).alias(name) for slot, m, name in features(cells)]
     wide = (
         narrow.groupBy("meta_city", F.window("ts", width).alias("bucket"))
         .agg(*means)
