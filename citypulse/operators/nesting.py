@@ -29,6 +29,9 @@ def _nest(
     back; they say into how many documents a scrape is split. The rows are then shuffled by
     scrape *and* part, which keeps every collected array, and every task, bounded. Exploding
     the documents gives the same rows however they were split.
+
+    Rows are numbered as they are read, before any shuffle: over a stored table a task that is
+    run again after an executor was lost numbers them alike, exact copies included.
     """
     fields = [c for c in samples.columns if c not in keys]
     totals = (
@@ -37,9 +40,10 @@ def _nest(
         .withColumn("_parts", F.ceil(F.col("_n") / F.lit(max_samples)))
     )
     same_scrape = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    spread = F.when(F.col("_parts") > 1, F.pmod(F.monotonically_increasing_id(), F.col("_parts"))).otherwise(F.lit(0))
+    spread = F.when(F.col("_parts") > 1, F.pmod("_row", "_parts")).otherwise(F.lit(0))
     parted = (
-        samples.join(totals, same_scrape)
+        samples.withColumn("_row", F.monotonically_increasing_id())
+        .join(totals, same_scrape)
         .select(*keys, *fields, *whole_scrape, spread.alias("part"))
         .repartition(*keys, "part")
     )

@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from tests.conftest import plan_of, rows
+
+from checks import fixtures as X
+from checks.compare import TESTDATA
+from checks.queries import comparable
+from citypulse import schemas as S
+from citypulse.operators.parsing import stamp
+from citypulse.plans import incremental as inc
+from citypulse.plans.gold import gold_wide, gold_wide_join
+from citypulse.sources.tables import read_table, write_by_city
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+
+
+def traffic(spark, *rows_):
+    return spark.createDataFrame(
+        list(rows_), "meta_city STRING, meta_scraped_at STRING, grid_id STRING, congestion_ratio DOUBLE, current_speed INT"
+    )
+
+
+def weather(spark, *rows_):
+    return spark.createDataFrame(
+        list(rows_), "meta_city STRING, meta_scraped_at STRING, grid_id STRING, rain_1h_mm DOUBLE, temp DOUBLE"
+    )
+
+
+def transit(spark, *rows_):
+    return spark.createDataFrame(list(rows_), "meta_city STRING, meta_scraped_at STRING, line STRING, delay INT")
+
+
+def small(spark, *times):
+    return (
+        traffic(spark, *[("A", t, "grid_0_0", 0.5, 30) for t in times]),
+        weather(spark, *[("A", t, "grid_0_0", 0.0, 9.5) for t in times]),
+        transit(spark, *[("A", t, "S1", 60) for t in times]),
+    )
+
+
+def at(text):
+    return datetime.fromisoformat(text)
+
+
+def buckets(df):
+    return [str(r[0]) for r in df.select("time_bucket").orderBy("time_bucket").collect()]
+
+
+def test_schema_is_fixed_even_without_rows(spark):
+    empty = traffic(spark), weather(spark), transit(spark)
+    for build in (gold_wide, gold_wide_join):
+        df = build(*empty)
+        assert df.columns == S.wide_columns() and len(df.columns) == 44
+        assert df.count() == 0
+
+
+def test_odd_rows_keep_their_bucket_and_fill_nothing(spark):
+    sources = (
+        traffic(spark, ("A", "2024-01-01T00:01:00", None, 0.5, 30), ("B", "2024-01-01T00:01:00", "grid_9_9", 0.5, 30)),
+        weather(spark, ("C", "2024-01-01T00:01:00", "grid_0_0", None, 4.0)),
+        transit(spark, ("D", "2024-01-01T00:01:00", None, 900), (None, "2024-01-01T00:01:00", "S1", 60), ("E", "x", "S1", 1)),
+    )
+    wide, joined = gold_wide(*sources), gold_wide_join(*sources)
+    assert rows(wide.select(*S.wide_columns())) == rows(joined.select(*S.wide_columns()))
+    assert sorted(r.meta_city for r in wide.collect()) == ["A", "B", "C", "D"]
+    assert wide.filter("grid_0_0_temp = 4.0 AND grid_0_0_rain IS NULL").count() == 1
+    assert wide.filter("rail_avg_delay IS NOT NULL").count() == 0
+
+
+def test_one_pass_form_equals_join_form(spark):
+    sources = X.sources(spark, SF_DIR)
+    left, right = (comparable(b(*sources).select(*S.wide_columns())) for b in (gold_wide, gold_wide_join))
+    assert left.exceptAll(right).count() == 0 and right.exceptAll(left).count() == 0
+
+
+def test_grid_size_and_width_are_parameters(spark):
+    cells = S.grid_ids(2)
+    df = gold_wide(*small(spark, "2024-01-01T00:05:00", "2024-01-01T00:25:00"), width="10 minutes", cells=cells)
+    assert df.columns == S.wide_columns(cells)
+    assert buckets(df) == ["2024-01-01 00:00:00", "2024-01-01 00:20:00"]
+
+
+def test_raw_rows_are_not_shuffled(spark):
+    """Only partial aggregates cross an exchange, and there is no join."""
+    plan = plan_of(gold_wide(*X.sources(spark, SF_DIR)))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+    for line_no, line in enumerate(lines := plan.splitlines()):
+        if "Exchange hashpartitioning" in line:
+            assert "partial_" in lines[line_no + 1]
+
+
+def test_report_computes_only_the_columns_it_needs(spark):
+    plan = plan_of(gold_wide(*X.sources(spark, SF_DIR)).select("meta_city", "grid_0_0_congestion"))
+    assert "avg(m1" in plan
+    for other in ("avg(m2", "avg(m3", "avg(m4", "= grid_0_1)"):
+        assert other not in plan
+
+
+# --- incremental runs -------------------------------------------------------
+def test_newest_bucket_stays_open(spark):
+    bounds, df = inc.closed_buckets(*small(spark, "2024-01-01T00:05:00", "2024-01-01T00:45:00", "2024-01-01T01:00:00"))
+    assert bounds == inc.Bounds(None, at("2024-01-01T01:00:00"))
+    assert buckets(df) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00"]
+
+
+def test_flush_and_hold_back(spark):
+    sources = small(spark, "2024-01-01T00:05:00", "2024-01-01T00:45:00", "2024-01-01T01:00:00")
+    assert len(buckets(inc.closed_buckets(*sources, flush=True)[1])) == 3
+    assert buckets(inc.closed_buckets(*sources, hold_back="30 minutes")[1]) == ["2024-01-01 00:00:00"]
+    assert inc.closed_buckets(*sources, hold_back="2 hours")[1] is None
+
+
+def test_newest_bucket_is_taken_over_all_sources(spark):
+    t, w, _ = small(spark, "2024-01-01T00:05:00")
+    bounds, df = inc.closed_buckets(t, w, transit(spark, ("B", "2024-01-01T02:10:00", "S1", 1)))
+    assert bounds.ceiling == at("2024-01-01T02:00:00")
+    assert buckets(df) == ["2024-01-01 00:00:00"]
+
+
+@pytest.mark.parametrize("times", [(), ("x",), ("2024-01-01T00:05:00", "2024-01-01T00:29:59")])
+def test_nothing_to_write(spark, fresh, times):
+    """No rows, no readable time, only the open bucket."""
+    path = fresh("gold")
+    assert inc.append_increment(spark, *small(spark, *times), gold_path=path).ceiling is None
+    assert read_table(spark, path, S.wide_schema()) is None
+
+
+def test_runs_append_each_bucket_once_and_drop_late_rows(spark, fresh):
+    path = fresh("gold")
+    first = ["2024-01-01T00:05:00", "2024-01-01T00:35:00", "2024-01-01T01:05:00"]
+    late = ["2024-01-01T00:10:00"]
+    more = ["2024-01-01T01:10:00", "2024-01-01T02:05:00"]
+    inc.append_increment(spark, *small(spark, *first), gold_path=path)
+    bounds = inc.append_increment(spark, *small(spark, *first, *late, *more), gold_path=path)
+    assert bounds == inc.Bounds(at("2024-01-01T00:30:00"), at("2024-01-01T02:00:00"))
+    again = inc.append_increment(spark, *small(spark, *first, *late, *more), gold_path=path)
+    assert again.ceiling is None
+    gold = read_table(spark, path, S.wide_schema())
+    assert buckets(gold) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00", "2024-01-01 01:00:00"]
+
+
+def test_floor_reaches_the_scan(spark, fresh):
+    path = fresh("silver")
+    write_by_city(stamp(X.transit(spark, SF_DIR).drop("ts", "event_id")), path)
+    table = read_table(spark, path, S.SILVER_TRANSIT)
+    plan = plan_of(inc.rows_after(table, at("2024-01-20T10:00:00")))
+    assert "GreaterThanOrEqual(scraped_date,2024-01-20)" in plan
+    by_date = fresh("silver-by-date")
+    write_by_city(table, by_date, partition_by=("meta_city", "scraped_date"))
+    plan = plan_of(inc.rows_after(read_table(spark, by_date, S.SILVER_TRANSIT), at("2024-01-20T10:00:00")))
+    assert "PartitionFilters: [isnotnull(scraped_date" in plan
+
+
+def test_city_filter_prunes_folders(spark, fresh):
+    path = fresh("silver")
+    write_by_city(stamp(X.transit(spark, SF_DIR).drop("ts", "event_id")), path)
+    plan = plan_of(read_table(spark, path, S.SILVER_TRANSIT).filter("meta_city = 'Hamburg'"))
+    assert "PartitionFilters: [isnotnull(meta_city" in plan
+
+
+def test_null_and_numeric_cities_survive_the_partition_folders(spark, fresh):
+    path = fresh("silver")
+    df = transit(spark, ("1", "2024-01-01T00:00:00", "S1", 1), (None, "2024-01-01T00:00:00", "S1", 2))
+    write_by_city(stamp(df), path)
+    got = read_table(spark, path, S.SILVER_TRANSIT)
+    assert dict(got.dtypes)["meta_city"] == "string"
+    assert rows(got.select("meta_city", "delay")) == sorted([("1", 1), (None, 2)], key=repr)
+
+
+def test_hot_city_is_written_by_several_tasks(spark, fresh):
+    path = fresh("hot")
+    df = spark.range(400_000, numPartitions=32).select(
+        F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("meta_city"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_by_city(df, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(path).inputFiles()
+    assert sum("meta_city=hot" in f for f in files) > 4
+    assert spark.read.parquet(path).count() == 400_000
+
+
+def test_missing_table_is_told_from_a_broken_one(spark, fresh):
+    assert read_table(spark, fresh("none"), S.wide_schema()) is None
+    with pytest.raises(Exception):
+        read_table(spark, "nosuchscheme://x/y", S.wide_schema())

@@ -1,0 +1,142 @@
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from pyspark.sql import functions as F
+from tests.conftest import rows
+
+from citypulse import schemas as S
+from citypulse.sources import kafka
+from citypulse.sources.landing import read_landing, read_lines, route, topic_of, write_landing
+from citypulse.streaming.bronze import routed_lines, write_topic_files
+
+GOOD = '{"meta_city": "A", "n": 1.50, "t": "ü"}'
+
+
+def landing(fresh, files: dict[str, str]) -> str:
+    root = Path(fresh("landing"))
+    for name, text in files.items():
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+    return str(root)
+
+
+FILES = {
+    "TomTom/2024/01/02/030405_TomTom_data.jsonl": f"{GOOD}\n\n5\n[1]\nnull\nnot json\n{{}}\n",
+    "OWM/2024/01/02/030405_OWM_data.jsonl": GOOD,
+    "DB/2024/01/02/030405_DB_data.jsonl": f"{GOOD}\n",
+    "DB/2024/01/02/readme.txt": "ignored",
+    "Other/2024/01/02/x.jsonl": "ignored too",
+}
+
+
+def test_lines_are_routed_by_folder(spark, fresh):
+    got = route(read_lines(spark, landing(fresh, FILES))).groupBy("topic", "dead_letter").count()
+    assert rows(got) == [
+        ("raw-db", False, 1), ("raw-traffic", False, 2), ("raw-traffic", True, 4), ("raw-weather", False, 1),
+    ]
+
+
+def test_good_lines_keep_their_text_and_get_provenance(spark, fresh):
+    root = landing(fresh, {"TomTom/a.jsonl": f"  {GOOD}  \n{{ }}"})
+    values = [r.value for r in route(read_lines(spark, root)).collect()]
+    assert values[0].startswith('{"meta_city": "A", "n": 1.50, "t": "ü","_source_file":')
+    for value in values:
+        record = json.loads(value)
+        assert record["_source_file"].endswith("TomTom/a.jsonl")
+        assert "T" in record["_ingested_at"]
+    assert set(json.loads(values[1])) == {"_source_file", "_ingested_at"}
+
+
+def test_bad_lines_are_kept_whole(spark, fresh):
+    bad = ["not json", "5", "[1]", "null", '{"a":1', 'say "hi"', '{"a":1} tail']
+    root = landing(fresh, {"DB/a.jsonl": "\n".join(bad)})
+    records = [json.loads(r.value) for r in route(read_lines(spark, root)).collect()]
+    assert [r["raw"] for r in records] == bad
+    assert all(set(r) == {"raw", "_source_file"} for r in records)
+
+
+def test_routes_are_a_parameter_and_use_the_last_folder(spark):
+    df = spark.createDataFrame([("s3://b/DB/in/OWM/2024/x.jsonl",), ("file:/bikes/x.jsonl",), ("/none/x",)], "p STRING")
+    assert [r[0] for r in df.select(topic_of(F.col("p"))).collect()] == ["raw-weather", None, None]
+    got = df.select(topic_of(F.col("p"), {"bikes": "raw-bikes"})).collect()
+    assert [r[0] for r in got] == [None, "raw-bikes", None]
+
+
+def test_each_file_is_routed_once(spark, fresh):
+    root = landing(fresh, FILES)
+    out, checkpoint = fresh("topics"), fresh("checkpoint")
+
+    def drain() -> int:
+        write_topic_files(routed_lines(spark, root), out, checkpoint).awaitTermination()
+        return spark.read.parquet(out).count()
+
+    assert drain() == 8
+    assert drain() == 8
+    Path(root, "DB/2024/01/03").mkdir(parents=True)
+    Path(root, "DB/2024/01/03/000000_DB_data.jsonl").write_text(GOOD)
+    assert drain() == 9
+
+
+def test_landing_writer_uses_date_folders(spark, fresh):
+    records = spark.createDataFrame(
+        [("1", "2024-01-02T03:04:05", "S1", 5), ("A", "2024-01-03T00:00:00", None, None), ("A", "bad", "x", 1)],
+        "meta_city STRING, meta_scraped_at STRING, line STRING, delay INT",
+    )
+    path = fresh("json")
+    write_landing(records, path)
+    assert {str(p.relative_to(path)) for p in Path(path).glob("year=2024/*/*")} == {
+        "year=2024/month=01/day=02", "year=2024/month=01/day=03"
+    }
+    back = read_landing(spark, path, "meta_city STRING, meta_scraped_at STRING, line STRING, delay INT")
+    assert rows(back) == rows(records)
+
+
+class Recorder:
+    """Takes the calls of a stream reader or writer and remembers the options."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            if name == "option":
+                self.seen[args[0]] = args[1]
+            else:
+                self.seen[name] = args[0] if args else kwargs
+            return self
+
+        return call
+
+
+def test_kafka_source_options():
+    reader = Recorder()
+
+    class Session:
+        readStream = reader
+
+    kafka.read_topic(Session(), "broker:9092", "raw-traffic", failOnDataLoss="false")
+    assert reader.seen["format"] == "kafka"
+    assert reader.seen["subscribe"] == "raw-traffic"
+    assert reader.seen["startingOffsets"] == "earliest"
+    assert reader.seen["maxOffsetsPerTrigger"] == S.MAX_OFFSETS == 10_000
+    assert reader.seen["options"] == {"failOnDataLoss": "false"}
+
+
+def test_kafka_sink_options():
+    writer = Recorder()
+
+    class Messages:
+        writeStream = writer
+
+        def select(self, *columns):
+            assert columns == ("topic", "value")
+            return self
+
+    kafka.write_topics(Messages(), "broker:9092", "/checkpoint")
+    assert writer.seen["format"] == "kafka"
+    assert writer.seen["kafka.acks"] == "all"
+    assert writer.seen["checkpointLocation"] == "/checkpoint"
+    assert writer.seen["trigger"] == {"availableNow": True}

@@ -1,0 +1,42 @@
+"""Every registered query against its SQL, and what no plan may contain."""
+
+from __future__ import annotations
+
+import pytest
+from tests.conftest import plan_of
+
+import __spark_entry__ as contract
+from checks.compare import TESTDATA, database, difference
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return database(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert len(contract.queries()) == 53
+
+
+def test_entry_gives_the_wide_table(spark):
+    df = contract.entry(spark)
+    assert len(df.columns) == 44
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_equals_sql(spark, con, name):
+    assert difference(spark, con, name, SF_DIR) is None
+
+
+BATCH = [n for n in sorted(contract.queries()) if "stream" not in n and not n.startswith(("bronze", "silver", "landing"))]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_plan_stays_in_the_jvm_without_cross_joins(spark, name):
+    plan = plan_of(contract.queries()[name](spark, SF_DIR))
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert forbidden not in plan
