@@ -1,6 +1,6 @@
 """Wide-table build on flat tables with one hot city and one hot bucket.
 
-    python -m bench.scale --copies 40 --sf 0.1
+    python -m benchmarks.scale --copies 40 --sf 0.1
 
 Every event is repeated ``copies`` times. A third of all rows goes to one city and a third to
 one half hour. The tables are written by the library's own writer to the shared folder, then

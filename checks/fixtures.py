@@ -7,7 +7,7 @@ came back empty (null readings). ``oracles`` states the same records in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
@@ -19,100 +19,88 @@ CUT = "2024-01-15"
 AS_OF = "2024-01-31 00:00:00"
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    """Value at an index, null past the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def scraped_at(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+def _pick(values: tuple[str, ...], index: str) -> str:
+    """SQL: value at an index, null past the end."""
+    quoted = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({quoted}), CAST({index} AS INT))"
 
 
 def _scrapes(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    return events(spark, sf_dir).filter(F.col("event_type").isin(*types)).select(
+    return events(spark, sf_dir).filter(F.col("event_type").isin(*types)).selectExpr(
         "event_id",
         "user_id",
         "value",
         "ts",
-        _pick(CITIES, F.col("user_id") % 5).alias("meta_city"),
-        scraped_at(F.col("ts")).alias("meta_scraped_at"),
+        f"{_pick(CITIES, 'user_id % 5')} AS meta_city",
+        f'date_format(ts, "{ISO}") AS meta_scraped_at',
     )
 
 
 def _probes(scrapes: DataFrame) -> DataFrame:
-    """Nine probes per scrape; ``k`` numbers a probe, ``answered`` says it has readings."""
-    n = F.col("n")
-    k = F.col("event_id") + n
-    return (
-        scrapes.select("*", F.posexplode(F.array(*[F.lit(c) for c in S.grid_ids()])).alias("n", "grid_id"))
-        .withColumn("lat", F.lit(48.0) + n * 0.25)
-        .withColumn("lon", F.lit(8.0) + n * 0.5)
-        .withColumn("k", k)
-        .withColumn("answered", k % 23 != 0)
+    """Nine probes per scrape; ``k`` numbers a probe, ``answered`` says it has readings.
+
+    ``cur`` and ``free`` are the speeds a traffic probe answers with.
+    """
+    cells = ", ".join(f"'{c}'" for c in S.grid_ids())
+    return scrapes.selectExpr("*", f"posexplode(array({cells})) AS (n, grid_id)").selectExpr(
+        "*",
+        "CAST(48.0 + n * 0.25 AS DOUBLE) AS lat",
+        "CAST(8.0 + n * 0.5 AS DOUBLE) AS lon",
+        "event_id + n AS k",
+        "(event_id + n) % 23 <> 0 AS answered",
+        "CAST(floor(value) AS INT) + n AS cur",
+        "IF((event_id + n) % 17 = 0, 0, CAST(20 + user_id % 100 AS INT)) AS free",
     )
 
 
-def _speeds(probes: DataFrame) -> DataFrame:
-    free = F.when(F.col("k") % 17 == 0, 0).otherwise((20 + F.col("user_id") % 100).cast("int"))
-    return probes.withColumn("cur", F.floor("value").cast("int") + F.col("n")).withColumn("free", free)
+PROBE = ("event_id", "meta_city", "meta_scraped_at", "grid_id", "lat", "lon")
+STOP = ("event_id", "meta_city", "meta_scraped_at")
 
 
 def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat traffic rows."""
-    got = F.col("answered")
-    return _speeds(_probes(_scrapes(spark, sf_dir, "view", "click"))).select(
-        "event_id",
-        "meta_city",
-        "meta_scraped_at",
+    ratio = congestion_ratio(F.col("cur"), F.col("free"))
+    return _probes(_scrapes(spark, sf_dir, "view", "click")).select(
+        *PROBE,
         "ts",
-        "grid_id",
-        "lat",
-        "lon",
-        F.when(got, F.col("cur")).alias("current_speed"),
-        F.when(got, F.col("free")).alias("free_flow_speed"),
-        F.when(got, congestion_ratio(F.col("cur"), F.col("free"))).alias("congestion_ratio"),
-        F.when(got, (F.col("k") % 10).cast("double") / 10).alias("confidence"),
+        F.expr("IF(answered, cur, NULL) AS current_speed"),
+        F.expr("IF(answered, free, NULL) AS free_flow_speed"),
+        F.when(F.col("answered"), ratio).alias("congestion_ratio"),
+        F.expr("IF(answered, CAST(k % 10 AS DOUBLE) / 10, NULL) AS confidence"),
     )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat weather rows."""
-    got = F.col("answered")
-    k = F.col("k")
-    wet = k % 4 == 0
-    return _probes(_scrapes(spark, sf_dir, "signup")).select(
-        "event_id",
-        "meta_city",
-        "meta_scraped_at",
+    return _probes(_scrapes(spark, sf_dir, "signup")).selectExpr(
+        *PROBE,
         "ts",
-        "grid_id",
-        "lat",
-        "lon",
-        F.when(got, F.col("value") / 10 + F.col("n")).alias("temp"),
-        F.when(got, (40 + k % 60).cast("int")).alias("humidity"),
-        F.when(got, (k % 30).cast("double") / 2).alias("wind_speed"),
-        F.when(got, F.when(wet, F.col("value") / 100).otherwise(0.0)).alias("rain_1h_mm"),
-        F.when(got, F.when(wet, "Rain").otherwise("Clear")).alias("weather_main"),
-        F.when(got, F.when(wet, "light rain").otherwise("clear sky")).alias("description"),
+        "IF(answered, value / 10 + n, NULL) AS temp",
+        "IF(answered, CAST(40 + k % 60 AS INT), NULL) AS humidity",
+        "IF(answered, CAST(k % 30 AS DOUBLE) / 2, NULL) AS wind_speed",
+        "IF(answered, IF(k % 4 = 0, value / 100, 0D), NULL) AS rain_1h_mm",
+        "IF(answered, IF(k % 4 = 0, 'Rain', 'Clear'), NULL) AS weather_main",
+        "IF(answered, IF(k % 4 = 0, 'light rain', 'clear sky'), NULL) AS description",
     )
 
 
 def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat departures. Lines and delays are null at times, and one "bus" is in lower case."""
-    e = F.col("event_id")
-    return _scrapes(spark, sf_dir, "purchase", "error").select(
-        "event_id",
-        "meta_city",
-        "meta_scraped_at",
+    return _scrapes(spark, sf_dir, "purchase", "error").selectExpr(
+        *STOP,
         "ts",
-        _pick(LINES, e % 6).alias("line"),
-        F.when(e % 13 != 0, F.floor(F.col("value") * 5).cast("int")).alias("delay"),
-        F.concat(F.lit("to "), _pick(CITIES, e % 5)).alias("direction"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("planned_time"),
+        f"{_pick(LINES, 'event_id % 6')} AS line",
+        "IF(event_id % 13 <> 0, CAST(floor(value * 5) AS INT), NULL) AS delay",
+        f"concat('to ', {_pick(CITIES, 'event_id % 5')}) AS direction",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS planned_time",
     )
 
 
@@ -121,41 +109,28 @@ def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 # --- API responses ----------------------------------------------------------
-PROBE = ("event_id", "meta_city", "meta_scraped_at", "grid_id", "lat", "lon")
-STOP = ("event_id", "meta_city", "meta_scraped_at")
-
-
 def traffic_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses to traffic probes; an unanswered one has an error object instead."""
-    flow = F.struct(
-        F.struct(
-            F.col("cur").alias("currentSpeed"),
-            F.col("free").alias("freeFlowSpeed"),
-            ((F.col("k") % 10).cast("double") / 10).alias("confidence"),
-        ).alias("flowSegmentData")
+    flow = """to_json(named_struct('flowSegmentData', named_struct(
+        'currentSpeed', cur, 'freeFlowSpeed', free, 'confidence', CAST(k % 10 AS DOUBLE) / 10)))"""
+    error = """'{"error":"Point too far from road"}'"""
+    return _probes(_scrapes(spark, sf_dir, "view", "click")).selectExpr(
+        *PROBE, f"IF(answered, {flow}, {error}) AS payload"
     )
-    payload = F.when(F.col("answered"), F.to_json(flow)).otherwise('{"error":"Point too far from road"}')
-    return _speeds(_probes(_scrapes(spark, sf_dir, "view", "click"))).select(*PROBE, payload.alias("payload"))
 
 
 def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses to weather probes: without a rain entry when dry, absent when unanswered."""
-    k = F.col("k")
-    wet = k % 4 == 0
-    body = F.struct(
-        F.struct((F.col("value") / 10 + F.col("n")).alias("temp"), (40 + k % 60).alias("humidity")).alias("main"),
-        F.array(
-            F.struct(
-                F.when(wet, "Rain").otherwise("Clear").alias("main"),
-                F.when(wet, "light rain").otherwise("clear sky").alias("description"),
-            )
-        ).alias("weather"),
-        F.struct(((k % 30).cast("double") / 2).alias("speed")).alias("wind"),
-        F.when(wet, F.struct((F.col("value") / 100).alias("1h"))).alias("rain"),
-        (1000 + k % 9000).alias("visibility"),
+    body = """to_json(named_struct(
+        'main', named_struct('temp', value / 10 + n, 'humidity', 40 + k % 60),
+        'weather', array(named_struct(
+            'main', IF(k % 4 = 0, 'Rain', 'Clear'), 'description', IF(k % 4 = 0, 'light rain', 'clear sky'))),
+        'wind', named_struct('speed', CAST(k % 30 AS DOUBLE) / 2),
+        'rain', IF(k % 4 = 0, named_struct('1h', value / 100), NULL),
+        'visibility', 1000 + k % 9000))"""
+    return _probes(_scrapes(spark, sf_dir, "signup")).selectExpr(
+        *PROBE, f"IF(answered, {body}, NULL) AS payload"
     )
-    payload = F.when(F.col("answered"), F.to_json(body))
-    return _probes(_scrapes(spark, sf_dir, "signup")).select(*PROBE, payload.alias("payload"))
 
 
 def departure_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

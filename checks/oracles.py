@@ -19,8 +19,8 @@ GRID = "(VALUES " + ", ".join(f"('{c}', {n})" for n, c in enumerate(CELLS)) + ")
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 
 
-def r6(expr: str) -> str:
-    return f"round_even(({expr}) * 1e6, 0) / 1e6"
+def r9(expr: str) -> str:
+    return f"round_even(({expr}) * 1e9, 0) / 1e9"
 
 
 def ratio(cur: str, free: str) -> str:
@@ -124,7 +124,7 @@ gold{suffix} AS (
 GOLD = FIXTURE + gold_ctes()
 WIDE_OUT = ", ".join(
     ["meta_city", "time_bucket"]
-    + [f"{r6(c)} AS {c}" for c in GRID_TRAFFIC + GRID_WEATHER + TRANSIT]
+    + [f"{r9(c)} AS {c}" for c in GRID_TRAFFIC + GRID_WEATHER + TRANSIT]
     + ["hour_of_day", "day_of_week"]
 )
 # Before the cut only traffic and weather had arrived; the first run holds its newest bucket back.
@@ -139,7 +139,7 @@ T_COLS = "meta_city, meta_scraped_at, grid_id, lat, lon, current_speed, free_flo
 W_COLS = (
     "meta_city, meta_scraped_at, grid_id, lat, lon, {temp} AS temp, humidity, wind_speed, {rain} AS rain_1h_mm, "
     "weather_main, description"
-).format(temp=r6("temp"), rain=r6("rain_1h_mm"))
+).format(temp=r9("temp"), rain=r9("rain_1h_mm"))
 D_COLS = "meta_city, meta_scraped_at, line, delay, direction, planned_time"
 
 
@@ -189,8 +189,8 @@ WITH box AS (
   FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0
 )
 SELECT event_id, 'grid_' || i || '_' || j AS grid_id,
-       {r6('lat0 + j * ((lat1 - lat0) / 3) + (lat1 - lat0) / 3 / 2')} AS lat,
-       {r6('lon0 + i * ((lon1 - lon0) / 3) + (lon1 - lon0) / 3 / 2')} AS lon
+       {r9('lat0 + j * ((lat1 - lat0) / 3) + (lat1 - lat0) / 3 / 2')} AS lat,
+       {r9('lon0 + i * ((lon1 - lon0) / 3) + (lon1 - lon0) / 3 / 2')} AS lon
 FROM box CROSS JOIN range(3) a(i) CROSS JOIN range(3) b(j)"""
 
 
@@ -226,7 +226,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(sum(coalesce(current_speed, 0)) AS INTEGER) AS speed_sum
             FROM traffic GROUP BY event_id, meta_city, meta_scraped_at""",
         "parse_weather": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, CAST(count(*) AS INTEGER) AS sample_count,
-            {r6('max(temp)')} AS max_temp FROM weather GROUP BY event_id, meta_city, meta_scraped_at""",
+            {r9('max(temp)')} AS max_temp FROM weather GROUP BY event_id, meta_city, meta_scraped_at""",
         "parse_transit": departures,
         "explode_samples": traffic_rows,
         "nest_samples": f"""{FIXTURE}, idx AS ({INDEX})
@@ -239,11 +239,11 @@ def oracle_sql() -> dict[str, str]:
         "payload_traffic": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, grid_id, lat, lon, current_speed,
             free_flow_speed, congestion_ratio, confidence FROM traffic WHERE confidence IS NOT NULL""",
         "payload_weather": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, grid_id, lat, lon,
-            {r6('value / 10 + n')} AS temp, CAST(40 + k % 60 AS INTEGER) AS humidity,
+            {r9('value / 10 + n')} AS temp, CAST(40 + k % 60 AS INTEGER) AS humidity,
             CASE WHEN k % 4 = 0 THEN 'Rain' ELSE 'Clear' END AS weather_main,
             CASE WHEN k % 4 = 0 THEN 'light rain' ELSE 'clear sky' END AS description,
             CAST(k % 30 AS DOUBLE) / 2 AS wind_speed,
-            {r6("CASE WHEN k % 4 = 0 THEN value / 100 ELSE CAST(0 AS DOUBLE) END")} AS rain_1h_mm,
+            {r9("CASE WHEN k % 4 = 0 THEN value / 100 ELSE CAST(0 AS DOUBLE) END")} AS rain_1h_mm,
             CAST(1000 + k % 9000 AS INTEGER) AS visibility
             FROM probe WHERE event_type = 'signup' AND answered""",
         "payload_transit": f"""{FIXTURE}
@@ -273,11 +273,11 @@ def oracle_sql() -> dict[str, str]:
         "transit_mode_split": f"""{FIXTURE} SELECT event_id, line,
             CASE WHEN {ROAD} THEN 'bus' WHEN NOT {ROAD} THEN 'rail' END AS mode FROM transit""",
         "transit_stats": f"{GOLD} SELECT meta_city, time_bucket, "
-        + ", ".join(f"{r6(c)} AS {c}" for c in TRANSIT) + " FROM d",
+        + ", ".join(f"{r9(c)} AS {c}" for c in TRANSIT) + " FROM d",
         "traffic_pivot": f"{GOLD} SELECT meta_city, time_bucket, "
-        + ", ".join(f"{r6(c)} AS {c}" for c in GRID_TRAFFIC) + " FROM t",
+        + ", ".join(f"{r9(c)} AS {c}" for c in GRID_TRAFFIC) + " FROM t",
         "weather_pivot": f"{GOLD} SELECT meta_city, time_bucket, "
-        + ", ".join(f"{r6(c)} AS {c}" for c in GRID_WEATHER) + " FROM w",
+        + ", ".join(f"{r9(c)} AS {c}" for c in GRID_WEATHER) + " FROM w",
         "master_keys": f"{GOLD} SELECT meta_city, time_bucket FROM spine",
         "gold_wide_join": gold_all,
         "gold_wide": gold_all,
@@ -298,41 +298,41 @@ def oracle_sql() -> dict[str, str]:
                    count(DISTINCT doc) AS records_collected, count(*) AS total_samples
             FROM part GROUP BY 1, 2""",
         "q_congestion_by_hour": f"""{GOLD} SELECT CAST(hour_of_day AS VARCHAR) AS hour,
-            {r6(f"avg({_sum_cells('congestion', CELLS, '0')}) / 9")} AS avg_congestion
+            {r9(f"avg({_sum_cells('congestion', CELLS, '0')}) / 9")} AS avg_congestion
             FROM gold GROUP BY hour_of_day ORDER BY hour_of_day""",
-        "q_temp_over_time": f"""{GOLD} SELECT {per_bucket}, {r6(_sum_cells('temp', DIAGONAL) + ' / 3')} AS avg_temp
+        "q_temp_over_time": f"""{GOLD} SELECT {per_bucket}, {r9(_sum_cells('temp', DIAGONAL) + ' / 3')} AS avg_temp
             FROM gold WHERE {SPAN} ORDER BY 1, 2""",
         "q_speed_over_time": f"""{GOLD} SELECT {per_bucket},
-            {r6(_sum_cells('speed', DIAGONAL) + ' / 3')} AS avg_speed_kmh FROM gold WHERE {SPAN} ORDER BY 1, 2""",
+            {r9(_sum_cells('speed', DIAGONAL) + ' / 3')} AS avg_speed_kmh FROM gold WHERE {SPAN} ORDER BY 1, 2""",
         "q_congestion_over_time": f"""{GOLD} SELECT {per_bucket},
-            {r6(_sum_cells('congestion', CELLS) + ' / 9')} AS avg_congestion FROM gold WHERE {SPAN} ORDER BY 1, 2""",
-        "q_congestion_avg": f"""{GOLD} SELECT {per_bucket}, {r6('avg(grid_0_0_congestion)')} AS avg_congestion
+            {r9(_sum_cells('congestion', CELLS) + ' / 9')} AS avg_congestion FROM gold WHERE {SPAN} ORDER BY 1, 2""",
+        "q_congestion_avg": f"""{GOLD} SELECT {per_bucket}, {r9('avg(grid_0_0_congestion)')} AS avg_congestion
             FROM gold WHERE {_since('7 days')} AND grid_0_0_congestion IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2""",
-        "q_rail_stress": f"""{GOLD} SELECT {per_bucket}, {r6('rail_stress_index * 100')} AS stress_percentage
+        "q_rail_stress": f"""{GOLD} SELECT {per_bucket}, {r9('rail_stress_index * 100')} AS stress_percentage
             FROM gold WHERE {_since('24 hours')} AND rail_stress_index IS NOT NULL ORDER BY 1, 2""",
-        "q_weather_vs_traffic": f"""{GOLD} SELECT {per_bucket}, {r6('avg(grid_0_0_rain)')} AS rainfall_mm,
-            {r6('avg(grid_0_0_congestion)')} AS congestion_ratio FROM gold WHERE {_since('7 days')}
+        "q_weather_vs_traffic": f"""{GOLD} SELECT {per_bucket}, {r9('avg(grid_0_0_rain)')} AS rainfall_mm,
+            {r9('avg(grid_0_0_congestion)')} AS congestion_ratio FROM gold WHERE {_since('7 days')}
             AND grid_0_0_rain IS NOT NULL AND grid_0_0_congestion IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2""",
-        "q_bus_vs_rail": f"""{GOLD} SELECT {per_bucket}, {r6('bus_avg_delay / 60.0')} AS bus_delay_minutes,
-            {r6('rail_avg_delay / 60.0')} AS rail_delay_minutes FROM gold WHERE {_since('24 hours')}
+        "q_bus_vs_rail": f"""{GOLD} SELECT {per_bucket}, {r9('bus_avg_delay / 60.0')} AS bus_delay_minutes,
+            {r9('rail_avg_delay / 60.0')} AS rail_delay_minutes FROM gold WHERE {_since('24 hours')}
             AND bus_avg_delay IS NOT NULL AND rail_avg_delay IS NOT NULL ORDER BY 1, 2""",
-        "q_hourly_patterns": f"""{GOLD} SELECT hour_of_day, meta_city, {r6('avg(grid_0_0_congestion)')} AS avg_congestion,
-            {r6('avg(rail_stress_index)')} AS avg_rail_stress FROM gold WHERE {_since('30 days')}
+        "q_hourly_patterns": f"""{GOLD} SELECT hour_of_day, meta_city, {r9('avg(grid_0_0_congestion)')} AS avg_congestion,
+            {r9('avg(rail_stress_index)')} AS avg_rail_stress FROM gold WHERE {_since('30 days')}
             GROUP BY 1, 2 ORDER BY 1, 2""",
         "q_first_rows": f"{gold_all} ORDER BY time_bucket, meta_city LIMIT 5",
         "q_row_count": f"{GOLD} SELECT count(*) AS rows FROM gold",
-        "q_city_rows": f"""{GOLD} SELECT meta_city, time_bucket, {r6('grid_0_0_speed')} AS grid_0_0_speed,
-            {r6('rail_stress_index')} AS rail_stress_index FROM gold WHERE meta_city = 'Hamburg' ORDER BY 2""",
-        "q_heatmap": f"""{GOLD} SELECT hour_of_day, day_of_week, {r6(f"avg({_known('congestion')})")} AS avg_congestion
+        "q_city_rows": f"""{GOLD} SELECT meta_city, time_bucket, {r9('grid_0_0_speed')} AS grid_0_0_speed,
+            {r9('rail_stress_index')} AS rail_stress_index FROM gold WHERE meta_city = 'Hamburg' ORDER BY 2""",
+        "q_heatmap": f"""{GOLD} SELECT hour_of_day, day_of_week, {r9(f"avg({_known('congestion')})")} AS avg_congestion
             FROM gold GROUP BY 1, 2 ORDER BY 1, 2""",
         "q_city_comparison": f"{GOLD} SELECT meta_city, count(*) AS buckets, "
-        + ", ".join(f"{r6(f'avg({_known(m)})')} AS avg_{m}" for m in ("congestion", "speed", "rain", "temp"))
-        + ", " + ", ".join(f"{r6(f'avg({c})')} AS mean_{c}" for c in TRANSIT)
+        + ", ".join(f"{r9(f'avg({_known(m)})')} AS avg_{m}" for m in ("congestion", "speed", "rain", "temp"))
+        + ", " + ", ".join(f"{r9(f'avg({c})')} AS mean_{c}" for c in TRANSIT)
         + " FROM gold GROUP BY 1 ORDER BY 1",
-        "q_peak_hours": f"""{GOLD} SELECT hour_of_day, {r6('x')} AS avg_congestion FROM (
+        "q_peak_hours": f"""{GOLD} SELECT hour_of_day, {r9('x')} AS avg_congestion FROM (
             SELECT hour_of_day, avg({_known('congestion')}) AS x FROM gold GROUP BY 1)
             ORDER BY x, hour_of_day LIMIT 3""",
         "q_delay_trend": f"""{GOLD} SELECT CAST(time_bucket AS DATE) AS day,
-            {r6('avg(bus_avg_delay) / 60.0')} AS bus_delay_minutes,
-            {r6('avg(rail_avg_delay) / 60.0')} AS rail_delay_minutes FROM gold GROUP BY 1 ORDER BY 1""",
+            {r9('avg(bus_avg_delay) / 60.0')} AS bus_delay_minutes,
+            {r9('avg(rail_avg_delay) / 60.0')} AS rail_delay_minutes FROM gold GROUP BY 1 ORDER BY 1""",
     }

@@ -5,11 +5,11 @@ All inputs carry ``meta_city`` and ``time_bucket``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
-from citypulse.functions.scalars import is_road, transit_mode
+from citypulse.functions.scalars import transit_mode
 
 KEYS = ("meta_city", "time_bucket")
 
@@ -37,24 +37,22 @@ def with_mode(transit: DataFrame) -> DataFrame:
     return transit.withColumn("mode", transit_mode(F.col("line")))
 
 
-def stressed(delay: Column, threshold: int = S.STRESS_SECONDS) -> Column:
-    """1 for a departure later than the threshold, 0 for any other, a null delay included."""
-    return F.when(delay > threshold, 1).otherwise(0)
+def stressed(delay: str = "delay", threshold: int = S.STRESS_SECONDS) -> str:
+    """SQL: 1 for a departure later than the threshold, 0 for any other, a null delay included."""
+    return f"IF({delay} > {threshold}, 1, 0)"
 
 
 def transit_stats(transit: DataFrame, threshold: int = S.STRESS_SECONDS) -> DataFrame:
     """Mean delay and stressed share of rail and road, null where a mode had no departures."""
-    road = is_road(F.col("line"))
-    late = F.col("delay") > threshold
-
-    def stats(mode: Column, name: str) -> list[Column]:
-        share = F.try_divide(F.sum(F.when(mode & late, 1).otherwise(0)), F.count(F.when(mode, 1)))
-        return [
-            F.avg(F.when(mode, F.col("delay"))).alias(f"{name}_avg_delay"),
-            share.alias(f"{name}_stress_index"),
+    aggregates = []
+    for mode in ("rail", "bus"):
+        late = f"sum({stressed('delay', threshold)}) FILTER (WHERE mode = '{mode}')"
+        departures = f"count(*) FILTER (WHERE mode = '{mode}')"
+        aggregates += [
+            F.expr(f"avg(delay) FILTER (WHERE mode = '{mode}') AS {mode}_avg_delay"),
+            F.expr(f"try_divide({late}, {departures}) AS {mode}_stress_index"),
         ]
-
-    return transit.groupBy(*KEYS).agg(*stats(~road, "rail"), *stats(road, "bus"))
+    return with_mode(transit).groupBy(*KEYS).agg(*aggregates)
 
 
 def master_keys(*sources: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ their period in ``as_of``, by default now.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,20 +30,20 @@ def _between(gold: DataFrame, start: str | datetime, end: str | datetime) -> Dat
     return gold.filter(F.col("time_bucket").between(_at(start), _at(end)))
 
 
-def _sum(columns: list[Column]) -> Column:
-    return reduce(add, columns)
+def _total(cells: list[str] | tuple[str, ...], metric: str, default: str | None = None) -> str:
+    terms = [f"{c}_{metric}" if default is None else f"coalesce({c}_{metric}, {default})" for c in cells]
+    return "(" + " + ".join(terms) + ")"
 
 
 def strict_mean(cells: list[str] | tuple[str, ...], metric: str) -> Column:
     """Mean over cells of one row, null as soon as one cell is."""
-    return _sum([F.col(f"{c}_{metric}") for c in cells]) / F.lit(len(cells))
+    return F.expr(f"{_total(cells, metric)} / {len(cells)}")
 
 
 def known_mean(cells: list[str], metric: str) -> Column:
     """Mean over the cells of one row that have a value."""
-    values = [F.col(f"{c}_{metric}") for c in cells]
-    present = _sum([v.isNotNull().cast("int") for v in values])
-    return F.try_divide(_sum([F.coalesce(v, F.lit(0.0)) for v in values]), present)
+    present = " + ".join(f"IF({c}_{metric} IS NULL, 0, 1)" for c in cells)
+    return F.expr(f"try_divide({_total(cells, metric, '0')}, {present})")
 
 
 def _minutes(seconds: str) -> Column:
@@ -56,7 +54,7 @@ def _minutes(seconds: str) -> Column:
 def congestion_by_hour(gold: DataFrame, cells: list[str] | None = None) -> DataFrame:
     """Congestion throughout the day; a cell without a value counts as 0."""
     cells = cells or S.grid_ids()
-    total = _sum([F.coalesce(F.col(f"{c}_congestion"), F.lit(0.0)) for c in cells])
+    total = F.expr(_total(cells, "congestion", default="0"))
     return (
         gold.groupBy("hour_of_day")
         .agg((F.avg(total) / F.lit(len(cells))).alias("avg_congestion"))

@@ -46,28 +46,17 @@ def measurements(
     null line, a foreign cell) stay, since they still make their city and bucket appear. Works
     on streams as on tables.
     """
-    unused = F.lit(None)
-
-    def part(df: DataFrame, slot: Column, *measures: Column) -> DataFrame:
-        return (
-            with_ts(df)
-            .filter("meta_city IS NOT NULL")
-            .select(
-                "meta_city",
-                "ts",
-                slot.alias("slot"),
-                *[value.cast("double").alias(m) for m, value in zip(MEASURES, measures)],
-            )
-        )
-
-    delay = F.col("delay")
-    cell = F.col("grid_id")
+
+    def part(df: DataFrame, slot: Column | str, *measures: str) -> DataFrame:
+        values = [F.expr(f"CAST({value} AS DOUBLE) AS {m}") for m, value in zip(MEASURES, measures)]
+        slot = F.col(slot) if isinstance(slot, str) else slot
+        return with_ts(df).filter("meta_city IS NOT NULL").select("meta_city", "ts", slot.alias("slot"), *values)
+
+    mode = transit_mode(F.col("line"))
     return (
-        part(traffic, cell, F.col("congestion_ratio"), F.col("current_speed"), unused, unused)
-        .unionByName(part(weather, cell, unused, unused, F.col("rain_1h_mm"), F.col("temp")))
-        .unionByName(
-            part(transit, transit_mode(F.col("line")), delay, stressed(delay, threshold), unused, unused)
-        )
+        part(traffic, "grid_id", "congestion_ratio", "current_speed", "NULL", "NULL")
+        .unionByName(part(weather, "grid_id", "NULL", "NULL", "rain_1h_mm", "temp"))
+        .unionByName(part(transit, mode, "delay", stressed("delay", threshold), "NULL", "NULL"))
     )
 
 
@@ -81,7 +70,7 @@ def widen(narrow: DataFrame, cells: list[str] | None = None) -> DataFrame:
     """
     means = narrow.groupBy(*KEYS, "slot").agg(*[F.avg(m).alias(m) for m in MEASURES])
     columns = [
-        F.max(F.when(F.col("slot") == slot, F.col(m))).alias(name) for slot, m, name in features(cells or S.grid_ids())
+        F.expr(f"max({m}) FILTER (WHERE slot = '{slot}') AS {name}") for slot, m, name in features(cells or S.grid_ids())
     ]
     return with_calendar(means.groupBy(*KEYS).agg(*columns))
 

@@ -46,7 +46,7 @@ def gold_stream(
     else:
         narrow = measurements(traffic, weather, transit).withWatermark("ts", delay)
     cells = cells or S.grid_ids()
-    means = [F.avg(F.when(F.col("slot") == slot, F.col(m))).alias(name) for slot, m, name in features(cells)]
+    means = [F.expr(f"avg({m}) FILTER (WHERE slot = '{slot}') AS {name}") for slot, m, name in features(cells)]
     wide = (
         narrow.groupBy("meta_city", F.window("ts", width).alias("bucket"))
         .agg(*means)
