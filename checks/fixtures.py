@@ -138,46 +138,40 @@ def departure_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every other response is a bare array instead of an object.
     """
-    delay = F.when(F.col("delay").isNull(), '"delay":null').otherwise(F.concat(F.lit('"delay":'), F.col("delay")))
-    line = F.when(F.col("line").isNull(), "null").otherwise(F.concat(F.lit('{"name":"'), F.col("line"), F.lit('"}')))
-    first = F.concat(
-        F.lit('{"line":'), line, F.lit(',"direction":"'), F.col("direction"),
-        F.lit('","plannedWhen":"'), F.col("planned_time"), F.lit('",'), delay,
-        F.lit(',"platform":"'), F.col("event_id") % 12, F.lit('","tripId":"t'), F.col("event_id"), F.lit('"}'),
+    first = """concat('{"line":', IF(line IS NULL, 'null', concat('{"name":"', line, '"}')),
+        ',"direction":"', direction, '","plannedWhen":"', planned_time, '","delay":', coalesce(delay, 'null'),
+        ',"platform":"', event_id % 12, '","tripId":"t', event_id, '"}')"""
+    second = """concat('{"direction":"depot","tripId":"u', event_id, '"}')"""
+    array = f"concat('[', {first}, ',', {second}, ']')"
+    return (
+        transit(spark, sf_dir)
+        .withColumn("delay", F.col("delay").cast("string"))
+        .selectExpr(*STOP, "event_id AS id", f"{array} AS entries")
+        .selectExpr(*STOP, "IF(id % 2 = 0, concat('{\"departures\":', entries, '}'), entries) AS payload")
     )
-    second = F.concat(F.lit('{"direction":"depot","tripId":"u'), F.col("event_id"), F.lit('"}'))
-    array = F.concat(F.lit("["), first, F.lit(","), second, F.lit("]"))
-    payload = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"departures":'), array, F.lit("}"))).otherwise(array)
-    return transit(spark, sf_dir).select(*STOP, payload.alias("payload"))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text line per event: objects, arrays, scalars, ``null``, cut-off objects, plain text."""
-    props = F.col("props")
-    line = (
-        F.when(F.col("event_type") == "view", props)
-        .when(F.col("event_type") == "click", F.concat(F.lit("["), props, F.lit("]")))
-        .when(F.col("event_type") == "signup", F.col("event_id").cast("string"))
-        .when(F.col("event_type") == "purchase", F.expr("left(props, length(props) - 1)"))
-        .when(F.col("user_id") % 2 == 0, F.lit("null"))
-        .otherwise(F.concat(F.lit("not json "), F.col("event_id")))
+    return events(spark, sf_dir).selectExpr(
+        "event_id",
+        """CASE event_type
+             WHEN 'view' THEN props
+             WHEN 'click' THEN concat('[', props, ']')
+             WHEN 'signup' THEN CAST(event_id AS STRING)
+             WHEN 'purchase' THEN left(props, length(props) - 1)
+             ELSE IF(user_id % 2 = 0, 'null', concat('not json ', event_id)) END AS value""",
     )
-    return events(spark, sf_dir).select("event_id", line.alias("value"))
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounding box per event, some malformed."""
-    e = F.col("event_id")
-    west, south = F.col("user_id") % 170, F.col("user_id") % 80
-    text = F.concat_ws(
-        ",",
-        F.concat(west, F.lit("."), F.lpad((e % 1000).cast("string"), 3, "0")),
-        F.concat(south, F.lit(".5")),
-        F.concat(west + 1, F.lit(".25")),
-        F.when(e % 7 != 0, F.concat(south + 2, F.lit("."), F.lpad((e % 100).cast("string"), 2, "0"))),
+    return events(spark, sf_dir).selectExpr("event_id", "user_id % 170 AS west", "user_id % 80 AS south").selectExpr(
+        "event_id",
+        """CASE WHEN event_id % 11 = 0 THEN 'a,b,c,d' ELSE concat_ws(',',
+             concat(west, '.', lpad(event_id % 1000, 3, '0')), concat(south, '.5'), concat(west + 1, '.25'),
+             IF(event_id % 7 = 0, NULL, concat(south + 2, '.', lpad(event_id % 100, 2, '0')))) END AS bbox""",
     )
-    bbox = F.when(e % 11 == 0, F.lit("a,b,c,d")).otherwise(text)
-    return events(spark, sf_dir).select("event_id", bbox.alias("bbox"))
 
 
 # --- files ------------------------------------------------------------------

@@ -179,19 +179,28 @@ RAW_LINE = """CASE event_type
   WHEN 'purchase' THEN left(props, length(props) - 1)
   ELSE CASE WHEN user_id % 2 = 0 THEN 'null' ELSE 'not json ' || CAST(event_id AS VARCHAR) END END"""
 
-_WEST, _SOUTH = "user_id % 170", "user_id % 80"
+# The box text of every event, taken apart again; malformed ones give no points.
 GRID_POINTS = f"""
-WITH box AS (
-  SELECT event_id,
-    CAST(CAST({_WEST} AS VARCHAR) || '.' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') AS DOUBLE) AS lon0,
-    CAST({_SOUTH} AS DOUBLE) + 0.5 AS lat0, CAST({_WEST} AS DOUBLE) + 1.25 AS lon1,
-    CAST(CAST({_SOUTH} + 2 AS VARCHAR) || '.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS lat1
-  FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0
+WITH part AS (
+  SELECT event_id, user_id % 170 AS west, user_id % 80 AS south FROM events
+),
+box AS (
+  SELECT event_id, string_split(CASE
+    WHEN event_id % 11 = 0 THEN 'a,b,c,d'
+    ELSE concat_ws(',', west || '.' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0'), south || '.5', (west + 1) || '.25',
+      CASE WHEN event_id % 7 = 0 THEN NULL ELSE (south + 2) || '.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') END)
+    END, ',') AS c
+  FROM part
+),
+corner AS (
+  SELECT event_id, TRY_CAST(c[1] AS DOUBLE) AS lon0, TRY_CAST(c[2] AS DOUBLE) AS lat0,
+         TRY_CAST(c[3] AS DOUBLE) AS lon1, TRY_CAST(c[4] AS DOUBLE) AS lat1 FROM box
 )
 SELECT event_id, 'grid_' || i || '_' || j AS grid_id,
        {r9('lat0 + j * ((lat1 - lat0) / 3) + (lat1 - lat0) / 3 / 2')} AS lat,
        {r9('lon0 + i * ((lon1 - lon0) / 3) + (lon1 - lon0) / 3 / 2')} AS lon
-FROM box CROSS JOIN range(3) a(i) CROSS JOIN range(3) b(j)"""
+FROM corner CROSS JOIN range(3) a(i) CROSS JOIN range(3) b(j)
+WHERE lon0 IS NOT NULL AND lat0 IS NOT NULL AND lon1 IS NOT NULL AND lat1 IS NOT NULL"""
 
 
 def oracle_sql() -> dict[str, str]:
