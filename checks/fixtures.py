@@ -104,6 +104,44 @@ def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, sf_dir: str, types: tuple[str, ...], sample: dict[str, str]) -> DataFrame:
+    """One nested document per scrape, with the nine probes ``n`` as its samples."""
+    cells = ", ".join(f"'{c}'" for c in S.grid_ids())
+    fields = {"grid_id": f"get(array({cells}), n)", "lat": "48D + n * 0.25D", "lon": "8D + n * 0.5D"}
+    fields |= {name: f"IF((event_id + n) % 23 <> 0, {value}, NULL)" for name, value in sample.items()}
+    struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return _scrapes(spark, sf_dir, *types).selectExpr(
+        "meta_city", "meta_scraped_at", f"transform(sequence(0, 8), n -> named_struct({struct})) AS samples"
+    )
+
+
+def traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``traffic`` as the collector nests them."""
+    cur = "(CAST(floor(value) AS INT) + n)"
+    free = "IF((event_id + n) % 17 = 0, 0, CAST(20 + user_id % 100 AS INT))"
+    sample = {
+        "current_speed": cur,
+        "free_flow_speed": free,
+        "congestion_ratio": f"IF({free} > 0, rint(try_divide(CAST({cur} AS DOUBLE), {free}) * 100) / 100, 1D)",
+        "confidence": "CAST((event_id + n) % 10 AS DOUBLE) / 10",
+    }
+    return _documents(spark, sf_dir, ("view", "click"), sample)
+
+
+def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``weather`` as the collector nests them."""
+    wet = "(event_id + n) % 4 = 0"
+    sample = {
+        "temp": "value / 10 + n",
+        "humidity": "CAST(40 + (event_id + n) % 60 AS INT)",
+        "wind_speed": "CAST((event_id + n) % 30 AS DOUBLE) / 2",
+        "rain_1h_mm": f"IF({wet}, value / 100, 0D)",
+        "weather_main": f"IF({wet}, 'Rain', 'Clear')",
+        "description": f"IF({wet}, 'light rain', 'clear sky')",
+    }
+    return _documents(spark, sf_dir, ("signup",), sample)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return traffic(spark, sf_dir), weather(spark, sf_dir), transit(spark, sf_dir)
 

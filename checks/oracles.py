@@ -210,7 +210,8 @@ def oracle_sql() -> dict[str, str]:
     traffic_rows = f"{FIXTURE} SELECT {T_COLS} FROM traffic"
     late_floor = f"(SELECT {bucket('edge')} FROM arrived)"
     bounds = " UNION ALL ".join(
-        f"SELECT '{s}' AS source, count(*) AS rows, CAST(0 AS BIGINT) AS rows_without_time, max(ts) AS newest FROM {s}"
+        f"SELECT '{s}' AS source, count(*) AS rows, CAST(0 AS BIGINT) AS rows_without_time, max(ts) AS newest, "
+        f"{bucket('max(ts)')} AS newest_bucket FROM {s}"
         for s in ("traffic", "weather", "transit")
     )
     cycle = "time_bucket(INTERVAL '10 minutes', ts) AS cycle"

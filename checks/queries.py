@@ -21,7 +21,7 @@ from citypulse.operators.features import (
     weather_pivot,
     with_mode,
 )
-from citypulse.operators.nesting import nest_traffic, nest_weather, to_lines
+from citypulse.operators.nesting import nest_traffic, to_lines
 from citypulse.operators.parsing import explode_samples, parse_values, stamp
 from citypulse.operators.spatial import grid_points
 from citypulse.plans import analytics
@@ -63,14 +63,6 @@ def rounded(query: Query) -> Query:
 
 
 # --- landing files and topics -----------------------------------------------
-def traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_traffic(X.traffic(spark, sf_dir).select("event_id", *TRAFFIC_COLS), SCRAPE)
-
-
-def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nest_weather(X.weather(spark, sf_dir).select("event_id", *WEATHER_COLS), SCRAPE)
-
-
 def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.transit(spark, sf_dir).select(*TRANSIT_COLS)
 
@@ -78,8 +70,8 @@ def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landing(spark: SparkSession, sf_dir: str) -> str:
     """Landing folders of the three sources, with some bad lines among the departures."""
     root = fresh_path(spark, "landing")
-    write_landing(traffic_documents(spark, sf_dir), f"{root}/TomTom")
-    write_landing(weather_documents(spark, sf_dir), f"{root}/OWM")
+    write_landing(X.traffic_documents(spark, sf_dir), f"{root}/TomTom")
+    write_landing(X.weather_documents(spark, sf_dir), f"{root}/OWM")
     write_landing(departure_records(spark, sf_dir), f"{root}/DB")
     return root
 
@@ -135,13 +127,13 @@ def landing_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- parsing and payloads ---------------------------------------------------
 def parse_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_values(to_lines(traffic_documents(spark, sf_dir)), S.TRAFFIC_DOCUMENT)
+    parsed = parse_values(to_lines(X.traffic_documents(spark, sf_dir)), S.TRAFFIC_DOCUMENT)
     speeds = F.aggregate("samples", F.lit(0), lambda acc, s: acc + F.coalesce(s["current_speed"], F.lit(0)))
     return parsed.select(*META, F.size("samples").alias("sample_count"), speeds.alias("speed_sum"))
 
 
 def parse_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_values(to_lines(weather_documents(spark, sf_dir)), S.WEATHER_DOCUMENT)
+    parsed = parse_values(to_lines(X.weather_documents(spark, sf_dir)), S.WEATHER_DOCUMENT)
     warmest = F.array_max(F.transform("samples", lambda s: s["temp"]))
     return parsed.select(*META, F.size("samples").alias("sample_count"), warmest.alias("max_temp"))
 
@@ -151,11 +143,12 @@ def parse_transit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explode_samples(parse_values(to_lines(traffic_documents(spark, sf_dir)), S.TRAFFIC_DOCUMENT))
+    return explode_samples(parse_values(to_lines(X.traffic_documents(spark, sf_dir)), S.TRAFFIC_DOCUMENT))
 
 
 def nest_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic_documents(spark, sf_dir).select(
+    documents = nest_traffic(X.traffic(spark, sf_dir).select("event_id", *TRAFFIC_COLS), SCRAPE)
+    return documents.select(
         *META, "meta_type", "grid_size", "average_congestion_ratio", "status_label",
         F.size("samples").alias("sample_count"),
         F.get("samples", F.lit(0))["grid_id"].alias("first_cell"),
@@ -212,11 +205,11 @@ def _silver_stream(
 
 
 def silver_traffic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_stream(spark, to_lines(traffic_documents(spark, sf_dir)), silver.TRAFFIC, TRAFFIC_COLS)
+    return _silver_stream(spark, to_lines(X.traffic_documents(spark, sf_dir)), silver.TRAFFIC, TRAFFIC_COLS)
 
 
 def silver_weather_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_stream(spark, to_lines(weather_documents(spark, sf_dir)), silver.WEATHER, WEATHER_COLS)
+    return _silver_stream(spark, to_lines(X.weather_documents(spark, sf_dir)), silver.WEATHER, WEATHER_COLS)
 
 
 def silver_transit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +280,7 @@ def city_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cycle_summary(
-        traffic_documents(spark, sf_dir), weather_documents(spark, sf_dir), departure_records(spark, sf_dir)
+        X.traffic_documents(spark, sf_dir), X.weather_documents(spark, sf_dir), departure_records(spark, sf_dir)
     )
 
 

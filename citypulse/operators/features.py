@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
+from citypulse.functions.buckets import bucket_start
 from citypulse.functions.scalars import transit_mode
 
 KEYS = ("meta_city", "time_bucket")
@@ -63,14 +64,17 @@ def master_keys(*sources: DataFrame) -> DataFrame:
     return keys.distinct()
 
 
-def bucket_bounds(traffic: DataFrame, weather: DataFrame, transit: DataFrame) -> DataFrame:
-    """Per source: rows, rows without a readable time, and the newest scrape time.
+def bucket_bounds(
+    traffic: DataFrame, weather: DataFrame, transit: DataFrame, width: str = S.BUCKET_WIDTH
+) -> DataFrame:
+    """Per source: rows, rows without a readable time, newest scrape time and newest bucket.
 
-    One pass over one column of each source. Inputs need ``ts`` only.
+    One pass over one column of each source; the newest time is bucketed, not every row.
+    Inputs need ``ts`` only. A source without any readable time has no newest bucket.
     """
     named = {"traffic": traffic, "weather": weather, "transit": transit}
     parts = [df.select(F.lit(name).alias("source"), "ts") for name, df in named.items()]
-    return (
+    bounds = (
         parts[0]
         .unionByName(parts[1])
         .unionByName(parts[2])
@@ -81,3 +85,7 @@ def bucket_bounds(traffic: DataFrame, weather: DataFrame, transit: DataFrame) ->
             F.max("ts").alias("newest"),
         )
     )
+    # Bucketing drops rows without a time, so those get a stand-in first.
+    some_time = F.coalesce("newest", F.lit("1970-01-01").cast("timestamp_ntz"))
+    bucket = F.when(F.col("newest").isNotNull(), bucket_start(some_time, width))
+    return bounds.withColumn("newest_bucket", bucket)

@@ -17,13 +17,16 @@ def read_lines(
     glob: str = "*.jsonl",
     streaming: bool = False,
     max_files: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """Non-blank lines of all matching files below ``root``, with the file they come from.
 
-    As a stream, the checkpoint of the query remembers which files are done.
+    As a stream, the checkpoint of the query remembers which files are done. For a landing zone
+    that keeps growing pass ``maxFileAge``, or ``cleanSource`` to have finished files moved away,
+    so that listing and bookkeeping stay bounded.
     """
     reader = spark.readStream if streaming else spark.read
-    reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").options(**options)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.format("text").load(root)

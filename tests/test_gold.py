@@ -10,6 +10,8 @@ from checks import fixtures as X
 from checks.compare import TESTDATA
 from checks.queries import comparable
 from citypulse import schemas as S
+from citypulse.functions.buckets import with_ts
+from citypulse.operators.features import bucket_bounds
 from citypulse.operators.parsing import stamp
 from citypulse.plans import incremental as inc
 from citypulse.plans.gold import gold_wide, gold_wide_join
@@ -114,6 +116,14 @@ def test_flush_and_hold_back(spark):
     assert inc.closed_buckets(*sources, hold_back="2 hours")[1] is None
 
 
+def test_bounds_count_rows_without_a_time(spark):
+    t, w, d = (with_ts(df) for df in small(spark, "2024-01-01T00:05:00", "x", "2024-01-01T00:45:00"))
+    got = {r.source: r for r in bucket_bounds(t, w, d.filter("ts IS NULL")).collect()}
+    assert (got["traffic"].rows, got["traffic"].rows_without_time) == (3, 1)
+    assert got["traffic"].newest_bucket == at("2024-01-01T00:30:00")
+    assert (got["transit"].rows, got["transit"].newest_bucket) == (1, None)
+
+
 def test_newest_bucket_is_taken_over_all_sources(spark):
     t, w, _ = small(spark, "2024-01-01T00:05:00")
     bounds, df = inc.closed_buckets(t, w, transit(spark, ("B", "2024-01-01T02:10:00", "S1", 1)))
