@@ -21,13 +21,20 @@ def _at(time: str | datetime) -> Column:
     return F.lit(time).cast("timestamp_ntz")
 
 
+def _now() -> Column:
+    return F.current_timestamp().cast("timestamp_ntz")
+
+
 def _within(gold: DataFrame, period: str, as_of: str | datetime | None) -> DataFrame:
-    end = F.current_timestamp().cast("timestamp_ntz") if as_of is None else _at(as_of)
+    end = _now() if as_of is None else _at(as_of)
     return gold.filter(F.col("time_bucket") >= end - F.expr(f"INTERVAL {period}"))
 
 
-def _between(gold: DataFrame, start: str | datetime, end: str | datetime) -> DataFrame:
-    return gold.filter(F.col("time_bucket").between(_at(start), _at(end)))
+def _between(gold: DataFrame, start: str | datetime | None, end: str | datetime | None) -> DataFrame:
+    """Rows of a time range, ends included; by default the last 12 hours."""
+    last = _now() if end is None else _at(end)
+    first = last - F.expr("INTERVAL 12 hours") if start is None else _at(start)
+    return gold.filter(F.col("time_bucket").between(first, last))
 
 
 def _total(cells: list[str] | tuple[str, ...], metric: str, default: str | None = None) -> str:
@@ -71,16 +78,19 @@ def _over_time(gold: DataFrame, start, end, value: Column, name: str) -> DataFra
     )
 
 
-def temp_over_time(gold: DataFrame, start: str | datetime, end: str | datetime) -> DataFrame:
+def temp_over_time(gold: DataFrame, start: str | datetime | None = None, end: str | datetime | None = None) -> DataFrame:
     return _over_time(gold, start, end, strict_mean(DIAGONAL, "temp"), "avg_temp")
 
 
-def speed_over_time(gold: DataFrame, start: str | datetime, end: str | datetime) -> DataFrame:
+def speed_over_time(gold: DataFrame, start: str | datetime | None = None, end: str | datetime | None = None) -> DataFrame:
     return _over_time(gold, start, end, strict_mean(DIAGONAL, "speed"), "avg_speed_kmh")
 
 
 def congestion_over_time(
-    gold: DataFrame, start: str | datetime, end: str | datetime, cells: list[str] | None = None
+    gold: DataFrame,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
+    cells: list[str] | None = None,
 ) -> DataFrame:
     return _over_time(gold, start, end, strict_mean(cells or S.grid_ids(), "congestion"), "avg_congestion")
 

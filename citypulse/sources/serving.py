@@ -32,10 +32,15 @@ class JdbcTable:
         return f"(SELECT MAX({column}) AS max_ts FROM {self.table}) tmp"
 
     def watermark(self) -> datetime | None:
-        """Newest published bucket; the maximum is computed inside the database."""
+        """Newest published bucket; the maximum is computed inside the database.
+
+        Read as a zone-free timestamp, so that neither the session's nor the driver's zone
+        shifts it.
+        """
         if not self.exists:
             return None
-        return self.spark.read.jdbc(self.url, self.watermark_query(), properties=self.properties).first()[0]
+        properties = self.properties | {"preferTimestampNTZ": "true"}
+        return self.spark.read.jdbc(self.url, self.watermark_query(), properties=properties).first()[0]
 
     def append(self, rows: DataFrame) -> None:
         """Append day by day, oldest first, each day in one transaction.

@@ -18,9 +18,11 @@ def write_by_city(
     The rebalance keeps the number of files near (data size / advisory partition size) instead
     of (tasks x cities), and splits a city that holds much of the data over several tasks. With
     many days of history per run, ``partition_by=("meta_city", "scraped_date")`` lets incremental
-    reads skip whole folders.
+    reads skip whole folders. ``mode="overwrite"`` replaces the whole folder, whatever the session
+    says about dynamic partitions.
     """
-    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.hint("rebalance", *partition_by).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:

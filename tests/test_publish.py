@@ -40,6 +40,26 @@ def test_jdbc_watermark_is_computed_in_the_database(spark):
     assert JdbcTable(spark, "jdbc:none:", "features", exists=False).watermark() is None
 
 
+def test_jdbc_watermark_is_read_without_a_zone():
+    seen = {}
+
+    class Reader:
+        def jdbc(self, url, table, properties):
+            seen.update(url=url, table=table, properties=properties)
+            return self
+
+        def first(self):
+            return (at("2024-01-01T00:30:00"),)
+
+    class Session:
+        read = Reader()
+
+    target = JdbcTable(Session(), "jdbc:x:", "features", {"user": "u"})
+    assert target.watermark() == at("2024-01-01T00:30:00")
+    assert seen["properties"] == {"user": "u", "preferTimestampNTZ": "true"}
+    assert target.properties == {"user": "u"}
+
+
 def test_jdbc_append_writes_days_in_order_in_one_partition_each(spark, monkeypatch):
     """The writer is replaced: no database is started for a test."""
     written: list[tuple[int, list[str]]] = []
@@ -93,6 +113,9 @@ def test_relative_reports_default_to_now(spark):
     gold = gold_wide(*small(spark, "2020-01-01T00:00:00", datetime.now().isoformat()))
     assert analytics.congestion_avg(gold).count() == 1
     assert analytics.rail_stress(gold, as_of="2020-01-01 12:00:00").count() == 2
+    assert analytics.congestion_over_time(gold).count() == 1
+    assert analytics.temp_over_time(gold, end="2020-01-01 12:00:00").count() == 1
+    assert analytics.speed_over_time(gold, "2019-12-31", "2020-01-02").count() == 1
 
 
 def test_strict_and_known_means(spark):
