@@ -1,9 +1,109 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others need what SQL lacks: the hash of SimHash fingerprints, positions of matches, alignment,
+retrieval with a fitted index, a fitted model, Newton steps, a tokeniser. Tests hold them against
+brute force, held-out rows or an exact round trip.
+"""
 
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op1_preference"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+talks AS (SELECT conv_id, max(pos) FILTER (WHERE role = 'assistant') AS at FROM turns GROUP BY conv_id),
+answers AS (
+  SELECT xor(t.conv_id, 1) AS conv_id, u.role, u.text
+  FROM talks t JOIN turns u ON u.conv_id = t.conv_id AND u.pos = t.at),
+rejected AS (
+  SELECT u.* FROM turns u JOIN talks t USING (conv_id) WHERE t.at IS NULL OR u.pos < t.at
+  UNION ALL
+  SELECT t.conv_id, a.role, a.text, t.at FROM talks t JOIN answers a USING (conv_id) WHERE t.at IS NOT NULL),
+apart AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id,
+         min(coalesce(c.pos, r.pos)) FILTER (
+           WHERE c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text) AS pos
+  FROM turns c FULL JOIN rejected r ON c.conv_id = r.conv_id AND c.pos = r.pos GROUP BY 1),
+common AS (
+  SELECT t.conv_id, CAST(coalesce(a.pos - 1, (SELECT count(*) FROM turns u WHERE u.conv_id = t.conv_id)) AS INTEGER) AS n
+  FROM talks t JOIN apart a USING (conv_id)),
+sides AS (SELECT 'c' AS side, * FROM turns UNION ALL SELECT 'r', * FROM rejected),
+parts AS (
+  SELECT s.side, s.conv_id, s.pos, s.role, s.pos <= m.n AS shared,
+         '<|im_start|>' || replace(s.role, '<|', '< |') || chr(10) AS head,
+         replace(s.text, '<|', '< |') || '<|im_end|>' AS body
+  FROM sides s JOIN common m USING (conv_id)),
+placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY side, conv_id, shared ORDER BY pos) AS upto
+  FROM parts),
+written AS (
+  SELECT side, conv_id, shared, string_agg(head || body || chr(10), '' ORDER BY pos) AS text,
+         coalesce(string_agg(CAST(upto - 1 - length(body) AS BIGINT) || ':' || CAST(upto - 1 AS BIGINT), ',' ORDER BY pos)
+                  FILTER (WHERE role = 'assistant'), '') AS mask
+  FROM placed GROUP BY 1, 2, 3)
+SELECT m.conv_id, coalesce(p.text, '') AS prompt, m.n AS prompt_turns,
+       coalesce(c.text, '') AS chosen_completion, coalesce(r.text, '') AS rejected_completion,
+       coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask,
+       coalesce(c.mask, '') <> '' AND coalesce(r.mask, '') <> '' AS usable
+FROM common m
+LEFT JOIN written p ON p.conv_id = m.conv_id AND p.side = 'c' AND p.shared
+LEFT JOIN written c ON c.conv_id = m.conv_id AND c.side = 'c' AND NOT c.shared
+LEFT JOIN written r ON r.conv_id = m.conv_id AND r.side = 'r' AND NOT r.shared
+"""
+
+ORACLES["op5_line_dedup"] = """
+WITH raw AS (
+  SELECT doc_id, len(string_split(text, chr(10))) AS total, unnest(string_split(text, chr(10))) AS raw,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+  FROM documents WHERE text IS NOT NULL),
+bare AS (
+  SELECT *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM raw),
+ended AS (
+  SELECT doc_id, line, bare, CAST(length(bare) AS BIGINT) AS chars,
+         CAST(sum(length(bare)) OVER (PARTITION BY doc_id ORDER BY line) AS BIGINT) AS upto,
+         coalesce(lead(line) OVER (PARTITION BY doc_id ORDER BY line), total) - 1 AS until
+  FROM bare WHERE bare <> ''),
+placed AS (SELECT *, upto - chars AS begun FROM ended),
+windows AS (
+  SELECT doc_id, min(line) OVER o AS first, max(until) OVER o AS last,
+         max(upto) OVER o - min(begun) OVER o AS size, list(bare) OVER o AS whole
+  FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY begun RANGE BETWEEN CURRENT ROW AND 199 FOLLOWING)
+  UNION
+  SELECT doc_id, min(line) OVER b, max(until) OVER b, max(upto) OVER b - min(begun) OVER b, list(bare) OVER b
+  FROM placed WINDOW b AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 199 PRECEDING AND CURRENT ROW)),
+seen AS (
+  SELECT doc_id, first, last, row_number() OVER (PARTITION BY whole ORDER BY doc_id, first) AS n
+  FROM windows WHERE size >= 200),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS line FROM seen WHERE n > 1),
+kept AS (
+  SELECT r.doc_id, string_agg(r.raw, chr(10) ORDER BY r.line) FILTER (WHERE g.line IS NULL) AS text,
+         CAST(count(g.line) AS INTEGER) AS removed_lines
+  FROM raw r LEFT JOIN gone g ON g.doc_id = r.doc_id AND g.line = r.line GROUP BY r.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(k.removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+ORACLES["op7_vafile"] = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scores)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -4,24 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import decontaminate, materialise, mixing, simhash, toxicity
+from citypulse.llm import (
+    decontaminate,
+    license_scan,
+    line_dedup,
+    materialise,
+    mixing,
+    pii,
+    preference,
+    simhash,
+    toxicity,
+    vafile,
+)
 from citypulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with its neighbour's last answer; masks as start:end,..."""
+    talks = preference.conversations(table(spark, sf_dir, "conversations"))
+    pairs = preference.formatted(preference.with_swapped_answers(talks))
+
+    def written(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(mask)
+
+    return pairs.select(
+        "conv_id", "prompt", "prompt_turns", "chosen_completion", "rejected_completion",
+        written("chosen_mask"), written("rejected_mask"), "usable",
+    )
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.deduplicated(docs).select("doc_id", "text", "removed_lines")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.index_of(table(spark, sf_dir, "benchmark"))
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), index)
 
 
+def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, toxicity.graded(table(spark, sf_dir, "labels")))
@@ -38,7 +80,19 @@ def op10_materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_simhash, op6_decontaminate, op8_toxicity, op9_mixing, op10_materialise)
+    f.__name__: f
+    for f in (
+        op1_preference,
+        op2_pii,
+        op3_licenses,
+        op4_simhash,
+        op5_line_dedup,
+        op6_decontaminate,
+        op7_vafile,
+        op8_toxicity,
+        op9_mixing,
+        op10_materialise,
+    )
 }
 
 

@@ -1,0 +1,107 @@
+"""Mixing against the contract's own words."""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from citypulse.llm import mixing as M
+
+from .conftest import DOCUMENTS, sentence
+
+
+def slow_targets(sizes: dict[str | None, int], share: float = 1.5) -> dict[str | None, float]:
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, fixed = {}, set()
+    while True:
+        left = share * sum(sizes.values()) - sum(2 * sizes[s] for s in fixed)
+        free = [s for s in order if s not in fixed]
+        total = sum(weight[s] for s in free)
+        target = {s: 2.0 * sizes[s] if s in fixed else left * weight[s] / total for s in order}
+        over = [s for s in free if target[s] > 2 * sizes[s]]
+        if not over:
+            return target
+        fixed.update(over)
+
+
+def words(text: str | None) -> int:
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def held(rows: list[tuple], got: list) -> None:
+    of = defaultdict(int)
+    for r in rows:
+        of[r[3]] += words(r[1])
+    target = slow_targets(dict(of))
+    source = {r[0]: r[3] for r in rows}
+    taken, most = defaultdict(int), defaultdict(int)
+    assert len(got) == len(rows)
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == of[s]
+        assert r.target == pytest.approx(target[s], rel=1e-9)
+        assert r.copies in (0, 1, 2)
+        taken[s] += r.copies * r.size
+        most[s] = max(most[s], r.size)
+    for s in of:
+        assert abs(taken[s] - target[s]) <= 2 * most[s] + 1
+
+
+def test_contract(spark):
+    rows = []
+    for i in range(900):
+        source = ("a", "B", None, "é", "zz", "b")[min(5, (i * i) % 11)]
+        rows.append((i, sentence(i, (i * 37) % 211), "en", source, 1))
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    got = M.mix(frame).collect()
+    held(rows, got)
+    again = M.mix(frame.repartition(7)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_rates_solve_the_dual(spark):
+    counts = [("a", z, 10) for z in range(1, 60)] + [("b", z, 3) for z in (5, 50, 500)]
+    frame = spark.createDataFrame(counts, "source string, size long, n long")
+    total = {s: sum(z * n for t, z, n in counts if t == s) for s in "ab"}
+    goals = {"a": 0.3 * total["a"], "b": 1.7 * total["b"]}
+    wanted = spark.createDataFrame([(s, total[s], goals[s]) for s in "ab"], "source string, source_size long, target double")
+    import math
+
+    for r in M.multipliers(frame, wanted).collect():
+        now = sum(
+            n * z * min(2.0, math.exp(min(r.multiplier * z / r.mean, 1.0))) for t, z, n in counts if t == r.source
+        )
+        assert now == pytest.approx(goals[r.source], rel=1e-8)
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10}, {"a": 1, "b": 1000}, {"a": 0, "b": 5, None: 7}, {"a": 3, "b": 3, "c": 900, "d": 2}])
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in M.targets(frame).collect()}
+    assert got == pytest.approx(slow_targets(sizes), rel=1e-12)
+
+
+def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
+    rows = [r for r in odd_rows if r[0] is not None]
+    got = [r for r in M.mix(odd_docs).collect()]
+    assert len(got) == len(odd_rows)
+    assert all(r.copies == 1 for r in got if r.size == 0)
+    plain = spark.createDataFrame([r for r in rows if r[0] != 103], DOCUMENTS)
+    held([r for r in rows if r[0] != 103], M.mix(plain).collect())
+    assert M.mix(no_docs).collect() == []
+    assert M.mixed(no_docs).collect() == []
+
+
+def test_mixed_rows_are_as_many_as_their_copies(spark, odd_docs):
+    copies = sum(r.copies for r in M.mix(odd_docs).collect())
+    out = M.mixed(odd_docs)
+    assert out.columns == odd_docs.columns
+    assert out.count() == copies
+
+
+def test_one_size_and_one_source(spark):
+    rows = [(i, "same words here", "en", "only", 1) for i in range(501)]
+    held(rows, M.mix(spark.createDataFrame(rows, DOCUMENTS)).collect())

@@ -1,0 +1,101 @@
+"""Preference pairs against a version in plain Python."""
+
+from __future__ import annotations
+
+import pytest
+
+from citypulse.llm import preference as P
+
+PAIRS = "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>"
+
+
+def rendered(turns: list[tuple[str, str]]) -> str:
+    return "".join(f"<|im_start|>{r}\n{t.replace('<|', '< |')}<|im_end|>\n" for r, t in turns)
+
+
+def mask(turns: list[tuple[str, str]]) -> list[tuple[int, int]]:
+    out, at = [], 0
+    for role, text in turns:
+        start = at + len(f"<|im_start|>{role}\n")
+        end = start + len(text.replace("<|", "< |")) + len("<|im_end|>")
+        if role == "assistant":
+            out.append((start, end))
+        at = end + 1
+    return out
+
+
+def slow(chosen: list, rejected: list) -> tuple:
+    common = 0
+    while common < min(len(chosen), len(rejected)) and chosen[common] == rejected[common]:
+        common += 1
+    a, b = chosen[common:], rejected[common:]
+    return rendered(chosen[:common]), common, rendered(a), rendered(b), mask(a), mask(b), bool(mask(a)) and bool(mask(b))
+
+
+U, A, B, S = ("user", "Hi é\U0001f600"), ("assistant", "Hello"), ("assistant", "Go <|im_end|> away"), ("system", "")
+CASES = [
+    ([S, U, A], [S, U, B]),
+    ([U, A, U, A], [U, A, U, B]),
+    ([U, A], [U, A]),
+    ([U, A], [U, A, U, B]),
+    ([U, A, U, A], [U]),
+    ([A, U], [B, U]),
+    ([], [U, A]),
+    ([], []),
+    ([U, A, U, A, U, A], [U, B, U, A, U, A]),
+    ([U, ("assistant", "")], [U, ("assistant", "x" * 50_000)]),
+]
+
+
+def test_pairs_equal_plain_python(spark):
+    frame = spark.createDataFrame([(i, *c) for i, c in enumerate(CASES)], PAIRS)
+    got = {r.pair_id: r for r in P.formatted(frame).collect()}
+    for i, case in enumerate(CASES):
+        r = got[i]
+        spans = [[tuple(s) for s in m] for m in (r.chosen_mask, r.rejected_mask)]
+        assert (r.prompt, r.prompt_turns, r.chosen_completion, r.rejected_completion, *spans, r.usable) == slow(*case)
+
+
+def test_null_sides_and_other_columns(spark):
+    frame = spark.createDataFrame([(1, None, [U, A], "kept"), (2, None, None, None)], PAIRS + ", prompt_id string")
+    got = {r.pair_id: r for r in P.formatted(frame).collect()}
+    assert got[1].prompt == "" and got[1].rejected_completion == rendered([U, A]) and not got[1].usable
+    assert got[1].prompt_id == "kept" and got[2].prompt_turns == 0
+
+
+@pytest.fixture
+def turns(spark):
+    rows = [
+        (2, 1, "assistant", "two"), (2, 0, "user", "ask"), (3, 0, "user", "other"), (3, 1, "assistant", "three"),
+        (3, 2, "user", "thanks"), (4, 0, "user", "alone"), (4, 1, "assistant", "four"), (6, 0, "user", "no answer"),
+        (7, 0, "user", "q"), (7, 1, "assistant", "seven"), (8, 0, None, None), (8, None, "system", "first"),
+        (8, 0, None, None), (None, 0, "user", "nobody's"),
+    ]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_conversations(turns):
+    got = {r.conv_id: [tuple(t) for t in r.turns] for r in P.conversations(turns).collect()}
+    assert got[2] == [("user", "ask"), ("assistant", "two")]
+    assert got[8] == [("system", "first"), ("user", ""), ("user", "")]
+    assert set(got) == {2, 3, 4, 6, 7, 8}
+
+
+def test_swapped_answers(turns):
+    got = {r.conv_id: r for r in P.with_swapped_answers(P.conversations(turns)).collect()}
+    side = {k: [tuple(t) for t in r.rejected] for k, r in got.items()}
+    assert side[2] == [("user", "ask"), ("assistant", "three")]
+    assert side[3] == [("user", "other"), ("assistant", "two")]
+    assert side[4] == [("user", "alone")]
+    assert side[6] == [("user", "no answer")]
+    assert side[7] == [("user", "q")]
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert P.formatted(P.with_swapped_answers(P.conversations(none))).collect() == []
+
+
+def test_no_python_in_the_plan(turns):
+    plan = P.formatted(P.with_swapped_answers(P.conversations(turns)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,151 @@
+"""The registered queries against their SQL, and the pipeline against a slow version of itself."""
+
+from __future__ import annotations
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from citypulse.llm import decontaminate, materialise, toxicity
+from citypulse.llm.oracles import ORACLES
+from citypulse.llm.queries import QUERIES
+
+from .conftest import DOCUMENTS, sentence
+from .test_mixing import held
+from .test_simhash import slow_components, slow_fingerprint
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    found = con.execute(ORACLES[name])
+    columns = [d[0] for d in found.description]
+    got = QUERIES[name](spark, SF_DIR)
+    assert sorted(got.columns) == sorted(columns)
+    rows = sorted(repr(tuple(r)) for r in got.select(*columns).collect())
+    assert rows == sorted(repr(r) for r in found.fetchall()) and rows
+
+
+def test_every_operator_has_one_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.fixture
+def corpus(spark, tmp_path):
+    """Documents, labels and benchmark as tables in a folder, with a case for every stage."""
+    items = [(i, f"{sentence(700 + i, 20)} item{i}. {sentence(800 + i, 8)} done{i}.") for i in range(5)]
+    rows = [(i, sentence(i, 60 + i % 90), "en", f"s{i % 4}", 1) for i in range(300)]
+    rows += [(300 + i, sentence(i, 60 + i % 90), "en", "s9", 1) for i in range(10)]  # exact copies
+    rows += [(320 + i, f"{sentence(2_000 + i, 50)}\n{items[i][1]}", "en", "s1", 1) for i in range(5)]
+    rows += [(340 + i, sentence(3_000 + i, 40) + " vile" * (1 + i % 3), "en", "s2", 1) for i in range(60)]
+    rows += [(500, None, None, None, None), (501, "", "en", "s1", 0), (502, sentence(9_000, 8_000), "en", "s3", 1)]
+    labels = [(r[0], 1, int(340 <= r[0] < 400)) for r in rows if r[0] % 2 == 0 and r[0] < 500]
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path), rows, items
+
+
+def test_pipeline_stage_by_stage(spark, corpus):
+    sf_dir, rows, items = corpus
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_duplicates", "decontamination", "mixing", "token_shards"]
+
+    calm = stages["toxicity"](spark, docs, sf_dir)
+    assert calm.columns == columns
+    left = {r.doc_id: tuple(r) for r in calm.collect()}
+    assert set(left) == {r[0] for r in rows if not 340 <= r[0] < 400}
+
+    single = stages["near_duplicates"](spark, calm, sf_dir)
+    assert single.columns == columns
+    groups = slow_components({k: slow_fingerprint(v[1]) for k, v in left.items()})
+    left = {k: v for k, v in left.items() if groups[k] == k}
+    assert {r.doc_id for r in single.collect()} == set(left)
+    assert not set(range(300, 310)) & set(left)
+
+    clean = stages["decontamination"](spark, single, sf_dir)
+    assert clean.columns == columns
+    left = {k: v for k, v in left.items() if not 320 <= k < 325}
+    assert {r.doc_id for r in clean.collect()} == set(left)
+
+    mixed = stages["mixing"](spark, clean, sf_dir)
+    assert mixed.columns == columns
+    copies: dict[int, int] = dict.fromkeys(left, 0)
+    for r in mixed.collect():
+        assert tuple(r) == left[r.doc_id]
+        copies[r.doc_id] += 1
+
+    class Row(tuple):
+        doc_id, size, copies = (property(lambda r, i=i: r[i]) for i in range(3))
+        source_size, target = (property(lambda r, i=i: facts[source[r[0]]][i]) for i in range(2))
+
+    from .test_mixing import slow_targets, words
+
+    source = {k: v[3] for k, v in left.items()}
+    total: dict = {}
+    for k, v in left.items():
+        total[v[3]] = total.get(v[3], 0) + words(v[1])
+    facts = {s: (total[s], t) for s, t in slow_targets(total).items()}
+    held(list(left.values()), [Row((k, words(left[k][1]), c)) for k, c in copies.items()])
+
+    shards = stages["token_shards"](spark, mixed, sf_dir).orderBy("shard").collect()
+    data = np.frombuffer(b"".join(r.payload for r in shards), dtype="<u2")
+    n = len(data) // materialise.LENGTH
+    stream = data.reshape(n, -1)[materialise.permuted(np.arange(n), n)].reshape(-1)
+    ends = np.flatnonzero(stream == materialise.END)[: sum(copies.values())]
+    texts = sorted(tuple(p[:-1].tolist()) for p in np.split(stream, ends + 1)[: len(ends)])
+    assert texts == sorted(
+        tuple(materialise.tokens(left[k][1])[:-1].tolist()) for k, c in copies.items() for _ in range(c)
+    )
+
+
+def test_run_is_the_stages_in_a_row(spark, corpus):
+    sf_dir, _, _ = corpus
+    got = corpus_pipeline.run(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    assert sorted(r.sha256 for r in got.collect()) == sorted(r.sha256 for r in docs.collect())
+
+
+def test_pipeline_over_an_empty_table(spark, corpus, no_docs):
+    sf_dir, _, _ = corpus
+    docs = no_docs
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.collect() == [], name
+
+
+def test_toxic_words_in_the_given_tables(spark):
+    """Held-out labels: documents outside the sample that the model was fitted on."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    grades = toxicity.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    fitted = grades.where("doc_id % 2 = 0")
+    model = toxicity.fit(docs, fitted)
+    scored = toxicity.severity(docs, model).join(grades.withColumnRenamed("grade", "truth"), "doc_id")
+    rows = scored.where("doc_id % 2 = 1").select("grade", "truth").collect()
+    found = sum(r.grade > 0 and r.truth > 0 for r in rows)
+    assert found / max(1, sum(r.grade > 0 for r in rows)) > 0.9
+    assert found / sum(r.truth > 0 for r in rows) > 0.75  # about a sixth of the labels hold no sign of it
+
+
+def test_leaks_in_the_given_tables(spark):
+    """Every document that holds all of an item's words in a row is found."""
+    sf_dir = SF_DIR
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    index = decontaminate.index_of(items)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, index).collect()}
+    plain = [(r.item_id, " ".join((r.text or "").split())) for r in items.collect()]
+    want = {
+        (r.doc_id, i) for r in docs.collect() for i, text in plain if text and text in " ".join((r.text or "").split())
+    }
+    assert want and want <= got
