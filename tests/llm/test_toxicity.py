@@ -29,9 +29,8 @@ def made(first: int, count: int) -> tuple[list[tuple], list[int]]:
 @pytest.fixture(scope="module")
 def model(spark):
     rows, grades = made(0, 1_000)
-    labels = [(r[0], int(g != 2), int(g > 0)) for r, g in zip(rows, grades)]
-    docs = spark.createDataFrame(rows, DOCUMENTS)
-    return X.fit(docs, X.graded(spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    labels = [(r[0], g) for r, g in zip(rows, grades)]
+    return X.fit(spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame(labels, "doc_id long, grade int"))
 
 
 def test_held_out_accuracy(spark, model):
@@ -59,7 +58,9 @@ def test_descent_reaches_a_stationary_point():
     score = dense @ np.array([2.0, -1.0, 0, 0, 1.0, 0]) + dice.logistic(size=n)
     y = (score > 0).astype(int) + (score > 1.5)
     row, column = np.nonzero(dense)
-    w, t = X._descend(row, column, width, y, l1=0, l2=1e-3, rounds=3_000)
+    mean = X._Loss(row, column, width, y, l2=1e-3)
+    w, t = X._refined(mean, mean.start())
+    assert X._picked(mean, np.zeros(width), rounds=2_000)[0] == pytest.approx(w, abs=1e-3)
 
     def loss(w, t):
         s = dense @ w
@@ -79,9 +80,27 @@ def test_descent_reaches_a_stationary_point():
 
 
 def test_grades_of_labels(spark):
-    rows = [(1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 0, 0), (5, None, 1), (6, 1, None), (None, 1, 1), (7, 1, 0), (7, 0, 1)]
-    got = X.graded(spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).collect()
-    assert {r.doc_id: r.grade for r in got} == {1: 0, 2: 1, 3: 2, 4: 0, 5: 1, 7: 2}
+    rows = [(1, 0), (2, 1), (6, None), (None, 1), (7, 0), (7, 1)]
+    got = X.graded(spark.createDataFrame(rows, "doc_id long, toxic int")).collect()
+    assert {r.doc_id: r.grade for r in got} == {1: 0, 2: 1, 7: 1}
+
+
+def test_toxic_or_not_becomes_three_grades():
+    dice = np.random.default_rng(2)
+    found, y = [], []
+    for i in range(2_000):
+        toxic = i % 5 == 0
+        signs = dice.choice(12, size=1 + i % 8, replace=False) if toxic else []
+        found.append(np.unique(np.concatenate((100 + dice.choice(3_000, 30), signs)).astype(np.int32)))
+        y.append(int(toxic))
+    model = X._fitted(found, np.array(y))
+    assert len(model.thresholds) == 2 and model.thresholds[0] < model.thresholds[1]
+    score = [sum(model.weights.get(int(b), 0) for b in f) for f in found]
+    grade = [sum(p >= 0.5 for p in model.chances(s)) for s in score]
+    assert np.mean([(g > 0) == (t > 0) for g, t in zip(grade, y)]) > 0.99
+    many = [g for g, f in zip(grade, found) if (f < 12).sum() >= 6]
+    assert np.mean(np.array(many) == 2) > 0.9
+    assert len(X._fitted(found, np.array(y), None).thresholds) == 1
 
 
 def test_odd_rows(spark, model, odd_docs, odd_rows, no_docs):
