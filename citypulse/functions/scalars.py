@@ -61,10 +61,26 @@ def transit_mode(line: Column) -> Column:
     return F.when(is_road(line), "bus").when(~is_road(line), "rail")
 
 
+JSON_SPACE = " \t\r\n"
+
+
+def trim_json(text: Column) -> Column:
+    """Text without the white space that JSON allows around a value."""
+    return F.btrim(text, F.lit(JSON_SPACE))
+
+
 def is_json_object(text: Column) -> Column:
-    """True for text that is one JSON object: not for bad text, scalars, arrays or null."""
-    fields = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
-    return fields.isNotNull() & F.rtrim(text).endswith("}")
+    """True for text that is one JSON object and nothing else.
+
+    The JSON reader stops after the first value, so text that goes on behind it passes for good.
+    Put between the brackets of an array, such text gives another number of elements or none;
+    put into an object, a second field or none. False for other text, null for null.
+    """
+    keys = F.json_object_keys(text)
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
+    inside = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    good = keys.isNotNull() & (F.size(alone) == 1) & inside.eqNullSafe(F.array(F.lit("v")))
+    return F.when(text.isNotNull(), F.coalesce(good, F.lit(False)))
 
 
 def whole_number(value: Column) -> Column:

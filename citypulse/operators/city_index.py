@@ -14,12 +14,18 @@ from citypulse.functions.scalars import naive_timestamp, round_half_even, traffi
 SCRAPE_KEYS = ("meta_city", "meta_scraped_at")
 
 
-def trusted_ratio(min_confidence: float = S.MIN_CONFIDENCE) -> Column:
-    """Aggregate: sum of current over sum of free-flow speed of the trusted samples, else 1.0."""
+def trusted_sums(min_confidence: float = S.MIN_CONFIDENCE) -> dict[str, Column]:
+    """Aggregates: current and free-flow speed summed over the trusted samples."""
     trusted = F.col("confidence") > min_confidence
-    current = F.sum(F.when(trusted, F.col("current_speed")))
-    free = F.sum(F.when(trusted, F.col("free_flow_speed")))
-    return F.when(free > 0, F.try_divide(current, free)).otherwise(F.lit(1.0))
+    return {
+        "_current": F.sum(F.when(trusted, F.col("current_speed"))),
+        "_free": F.sum(F.when(trusted, F.col("free_flow_speed"))),
+    }
+
+
+def index_of_sums() -> Column:
+    """Sum of current over sum of free-flow speed, else 1.0."""
+    return F.when(F.col("_free") > 0, F.try_divide(F.col("_current"), F.col("_free"))).otherwise(F.lit(1.0))
 
 
 def city_congestion_index(
@@ -28,7 +34,8 @@ def city_congestion_index(
     """Rounded index and status band of every scrape; the band looks at the unrounded index."""
     return (
         samples.groupBy(*keys)
-        .agg(trusted_ratio(min_confidence).alias("ratio"))
+        .agg(*[c.alias(k) for k, c in trusted_sums(min_confidence).items()])
+        .withColumn("ratio", index_of_sums())
         .select(
             *keys,
             round_half_even(F.col("ratio"), 2).alias("average_congestion_ratio"),
@@ -42,17 +49,24 @@ def cycle_summary(
     weather_documents: DataFrame,
     departure_rows: DataFrame,
     width: str = S.CYCLE_WIDTH,
+    keys: Sequence[str] = SCRAPE_KEYS,
 ) -> DataFrame:
-    """Cities, samples and records each source delivered per collection cycle."""
+    """Cities, samples and records each source delivered per collection cycle.
+
+    A record is a scrape (``keys``), however many documents it was split into, or a departure.
+    """
 
-    def part(df: DataFrame, source: str, samples: Column) -> DataFrame:
+    def part(df: DataFrame, source: str) -> DataFrame:
         cycle = bucket_start(naive_timestamp(F.col("meta_scraped_at")), width)
-        return df.select(F.lit(source).alias("source"), cycle.alias("cycle"), "meta_city", samples.alias("n"))
+        return df.withColumns({"source": F.lit(source), "cycle": cycle})
 
-    documents = part(traffic_documents, "traffic", F.size("samples")).unionByName(
-        part(weather_documents, "weather", F.size("samples"))
-    )
-    records = part(departure_rows, "transit", F.lit(1))
+    def scrapes(df: DataFrame, source: str) -> DataFrame:
+        same = list(dict.fromkeys(("source", "cycle", "meta_city", *keys)))
+        whole = part(df, source).groupBy(*same).agg(F.sum(F.size("samples")).alias("n"))
+        return whole.select("source", "cycle", "meta_city", "n")
+
+    records = part(departure_rows, "transit").select("source", "cycle", "meta_city", F.lit(1).cast("long").alias("n"))
+    documents = scrapes(traffic_documents, "traffic").unionByName(scrapes(weather_documents, "weather"))
     return (
         documents.unionByName(records)
         .groupBy("source", "cycle", "meta_city")

@@ -14,10 +14,15 @@ from citypulse.functions.scalars import is_json_object, naive_timestamp
 def parse_values(raw: DataFrame, schema: str) -> DataFrame:
     """Decode the ``value`` column (bytes or text) with a declared schema.
 
-    Permissive: unknown fields are ignored, a field of the wrong type is null, text that is
-    no JSON object gives a row of nulls.
+    Permissive: unknown fields are ignored, a field of the wrong type is null, text that is not
+    one whole JSON object gives a row of nulls.
     """
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    # the reader stops behind the first value; between brackets, text that goes on is an error or
+    # a second element
+    between = F.concat(F.lit("["), F.col("value").cast("string"), F.lit("]"))
+    read = raw.select(F.from_json(between, f"ARRAY<STRUCT<{schema}>>").alias("read"))
+    alone = F.when(F.size("read") == 1, F.get("read", F.lit(0)))
+    return read.select(alone.alias("data")).select("data.*")
 
 
 def explode_present(df: DataFrame, keep: Sequence[str], array: Column, name: str) -> DataFrame:
@@ -58,20 +63,32 @@ def flatten_transit(raw: DataFrame) -> DataFrame:
     return stamp(parse_values(raw, S.DEPARTURE_RECORD))
 
 
-def unusable_values(raw: DataFrame) -> DataFrame:
-    """Values that yield no city, with the reason: not a JSON object, or no city in it.
+# Why a value is not used.
+FAULTS = ("no_city", "no_time", "ahead")
 
-    The complement of the rows ``with_city`` keeps.
+
+def value_fault(city: Column, scraped_at: Column, tolerance: str) -> Column:
+    """One of ``FAULTS``, or null for a value that can be used.
+
+    ``ahead`` is a time later than now by more than ``tolerance`` (such as "1 day").
+    """
+    ts = naive_timestamp(scraped_at)
+    limit = F.current_timestamp().cast("timestamp_ntz") + F.expr(f"INTERVAL {tolerance}")
+    return F.when(city.isNull(), "no_city").when(ts.isNull(), "no_time").when(ts > limit, "ahead")
+
+
+def unusable_values(raw: DataFrame, tolerance: str) -> DataFrame:
+    """Values with a fault, and the reason: one of ``FAULTS``, or malformed for no whole JSON object.
+
+    The complement of the values that the tables take.
     """
     value = F.col("value").cast("string")
-    city = F.from_json(value, "meta_city STRING")["meta_city"]
+    read = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"ARRAY<STRUCT<{S.META}>>")
+    meta = F.when(F.size(read) == 1, F.get(read, F.lit(0)))
+    fault = value_fault(meta["meta_city"], meta["meta_scraped_at"], tolerance)
+    broken = ~F.coalesce(is_json_object(value), F.lit(False))
     return (
-        raw.select(value.alias("value"), city.alias("city"))
-        .filter("city IS NULL")
-        .select("value", F.when(is_json_object(F.col("value")), "no_city").otherwise("malformed").alias("reason"))
+        raw.select(value.alias("value"), fault.alias("fault"))
+        .filter("fault IS NOT NULL")
+        .select("value", F.when(broken, "malformed").otherwise(F.col("fault")).alias("reason"))
     )
-
-
-def with_city(rows: DataFrame) -> DataFrame:
-    """Rows the city-partitioned tables can hold."""
-    return rows.filter("meta_city IS NOT NULL")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.functions.scalars import congestion_ratio, normalise_grid_id, whole_number
+from citypulse.functions.scalars import congestion_ratio, is_json_object, normalise_grid_id, whole_number
 from citypulse.operators.parsing import explode_present
 
 PROBE_KEYS = ("meta_city", "meta_scraped_at", "grid_id", "lat", "lon")
@@ -49,15 +49,17 @@ def traffic_samples(responses: DataFrame, keep: Sequence[str] = PROBE_KEYS) -> D
 
 
 def weather_samples(responses: DataFrame, keep: Sequence[str] = PROBE_KEYS) -> DataFrame:
-    """Weather readings of each probe; an absent or empty response gives no row.
+    """Weather readings of each probe; an absent, empty or broken response gives no row.
 
-    Rain is 0 where the response has no one-hour entry, and null where that entry is null.
+    Broken is text that is not one whole JSON object. An object without readings, such as an error
+    message, is a response all the same and gives a row of nulls. Rain is 0 where the response has
+    no one-hour entry, and null where that entry is null.
     """
     w = F.col("w")
     first = F.get(w["weather"], F.lit(0))
     rain = F.when(F.map_contains_key(w["rain"], "1h"), w["rain"]["1h"]).otherwise(F.lit(0.0))
     return (
-        responses.filter(F.col("payload").rlike(NON_EMPTY_OBJECT))
+        responses.filter(F.col("payload").rlike(NON_EMPTY_OBJECT) & is_json_object(F.col("payload")))
         .select(*keep, F.from_json("payload", WEATHER_PAYLOAD).alias("w"))
         .select(
             *keep,

@@ -11,8 +11,9 @@ CITY_BBOXES = {
     "Munich": "11.360,48.060,11.722,48.248",
     "Cologne": "6.772,50.830,7.162,51.085",
 }
-# Landing folder -> topic.
+# Landing folder -> topic, and source -> landing folder.
 FOLDER_TOPICS = {"TomTom": "raw-traffic", "OWM": "raw-weather", "DB": "raw-db"}
+SOURCE_FOLDERS = {"traffic": "TomTom", "weather": "OWM", "transit": "DB"}
 # Cells per side of a city's sampling grid.
 GRID_SIZE = 3
 # Document types written by the collectors.
@@ -31,7 +32,7 @@ HEAVY_BELOW = 0.85
 BUCKET_WIDTH = "30 minutes"
 CYCLE_WIDTH = "10 minutes"
 # Kafka records read per source and micro-batch.
-MAX_OFFSETS = 10_000
+MAX_OFFSETS = 2_000_000
 # ----------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="citypulse-")
 
@@ -24,3 +25,19 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/citypulse-{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _folder(spark, path)
+    return store.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job has made for itself."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)

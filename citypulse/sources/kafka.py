@@ -13,19 +13,19 @@ def read_topic(
     servers: str,
     topic: str,
     starting: str = "earliest",
-    max_offsets: int = S.MAX_OFFSETS,
+    max_offsets: int | None = S.MAX_OFFSETS,
     **options: str,
 ) -> DataFrame:
-    """Stream of a topic; ``max_offsets`` bounds what one micro-batch reads."""
-    return (
+    """Stream of a topic; ``max_offsets`` bounds what one micro-batch reads, None does not."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .options(**options)
-        .load()
     )
+    if max_offsets is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.options(**options).load()
 
 
 def write_topics(messages: DataFrame, servers: str, checkpoint: str, **options: str) -> StreamingQuery:

@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
-from citypulse.functions.scalars import is_json_object
+from citypulse.functions.scalars import JSON_SPACE, is_json_object, trim_json
+
+# The collectors' files, and those that ``write_landing`` leaves.
+LANDING_FILES = "*.{jsonl,json}"
+# The file stream ignores files this much older than the newest one. Longer than any landing zone.
+EVERY_FILE = "36500d"
 
 DATE_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 
@@ -14,18 +19,19 @@ DATE_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 def read_lines(
     spark: SparkSession,
     root: str,
-    glob: str = "*.jsonl",
+    glob: str = LANDING_FILES,
     streaming: bool = False,
     max_files: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Non-blank lines of all matching files below ``root``, with the file they come from.
 
-    As a stream, the checkpoint of the query remembers which files are done. For a landing zone
-    that keeps growing pass ``maxFileAge``, or ``cleanSource`` to have finished files moved away,
-    so that listing and bookkeeping stay bounded.
+    As a stream, the checkpoint of the query remembers which files are done. Every file is
+    taken once, however old it is: restored and copied files carry old times. For a landing zone
+    that keeps growing pass ``cleanSource`` to have finished files moved away, so that listing and
+    bookkeeping stay bounded; ``maxFileAge`` would bound them too, but drops late files unseen.
     """
-    reader = spark.readStream if streaming else spark.read
+    reader = spark.readStream.option("maxFileAge", EVERY_FILE) if streaming else spark.read
     reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").options(**options)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -45,7 +51,7 @@ def topic_of(path: Column, routes: dict[str, str] | None = None) -> Column:
 
 def _close_with(body: Column, extra: Column) -> Column:
     """Append the fields of one JSON object text to another, ``body`` being trimmed."""
-    head = F.rtrim(F.expr("left(_body, length(_body) - 1)"))
+    head = F.rtrim(F.expr("left(_body, length(_body) - 1)"), F.lit(JSON_SPACE))
     comma = F.when(head.endswith("{"), "").otherwise(",")
     return F.concat(head, comma, F.substr(extra, F.lit(2)))
 
@@ -69,7 +75,7 @@ def route(lines: DataFrame, routes: dict[str, str] | None = None) -> DataFrame:
     return (
         lines.withColumn("topic", topic_of(source, routes))
         .filter("topic IS NOT NULL")
-        .withColumn("_body", F.trim("value"))
+        .withColumn("_body", trim_json(F.col("value")))
         .withColumn("dead_letter", ~good)
         .select(
             "topic",

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from citypulse.sources.landing import read_lines, route
+from citypulse.sources.landing import LANDING_FILES, read_lines, route
 
 
 def routed_lines(
-    spark: SparkSession, root: str, glob: str = "*.jsonl", max_files: int | None = None
+    spark: SparkSession, root: str, glob: str = LANDING_FILES, max_files: int | None = None, **options: str
 ) -> DataFrame:
     """Stream of ``topic``, ``value``, ``dead_letter`` over the landing files."""
-    return route(read_lines(spark, root, glob, streaming=True, max_files=max_files))
+    return route(read_lines(spark, root, glob, streaming=True, max_files=max_files, **options))
 
 
 def write_topic_files(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -121,8 +121,11 @@ def test_kafka_source_options():
     assert reader.seen["format"] == "kafka"
     assert reader.seen["subscribe"] == "raw-traffic"
     assert reader.seen["startingOffsets"] == "earliest"
-    assert reader.seen["maxOffsetsPerTrigger"] == S.MAX_OFFSETS == 10_000
+    assert reader.seen["maxOffsetsPerTrigger"] == S.MAX_OFFSETS
     assert reader.seen["options"] == {"failOnDataLoss": "false"}
+    reader.seen.clear()
+    kafka.read_topic(Session(), "broker:9092", "raw-traffic", max_offsets=None)
+    assert "maxOffsetsPerTrigger" not in reader.seen
 
 
 def test_kafka_sink_options():

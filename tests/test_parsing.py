@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
-from tests.conftest import optimized_of, rows
+from tests.conftest import optimized_of, plan_of, rows
 
 from citypulse import schemas as S
 from citypulse.operators import parsing
-from citypulse.operators.nesting import nest_traffic, to_lines
+from citypulse.operators.city_index import cycle_summary
+from citypulse.operators.nesting import nest_traffic, to_lines, untimed
 from citypulse.operators.payloads import departures, normalise_flat, traffic_samples, weather_samples
 from citypulse.operators.spatial import grid_points
 
@@ -52,7 +54,7 @@ def test_flat_rows_keep_nulls_and_stamps(spark):
     raw = values(spark, '{"meta_city":"A","meta_scraped_at":"x","line":null,"delay":null}', "oops")
     got = parsing.flatten_transit(raw)
     assert got.filter("meta_city IS NULL").count() == 1
-    row = parsing.with_city(got).first()
+    row = got.filter("meta_city IS NOT NULL").first()
     assert (row.line, row.delay, row.ts, row.scraped_date) == (None, None, None, None)
     assert row.ingestion_time is not None
 
@@ -60,22 +62,23 @@ def test_flat_rows_keep_nulls_and_stamps(spark):
 def test_unusable_values_are_the_complement(spark):
     texts = [
         "not json", "5", "[1]", "null", '{"raw":"x","_source_file":"f"}', '{"meta_city":null}', DOC % "[]",
-        '{"meta_city":"1"}',
+        '{"meta_city":"1"}', "", DOC % "[]" + DOC % "[]", DOC % "[]" + "," + DOC % "[]", DOC % "[]" + " x}",
+        DOC % "[]" + ",", DOC % "[]" + ",}", DOC % "[]" + "\t", "[" + DOC % "[]" + "]",
     ]
     raw = values(spark, *texts)
-    got = {r.value: r.reason for r in parsing.unusable_values(raw).collect()}
-    assert got == {
-        "not json": "malformed", "5": "malformed", "[1]": "malformed", "null": "malformed",
-        '{"raw":"x","_source_file":"f"}': "no_city", '{"meta_city":null}': "no_city",
-    }
-    kept = parsing.with_city(parsing.parse_values(raw, S.DEPARTURE_RECORD)).count()
-    assert kept + len(got) == len(texts)
+    got = {r.value: r.reason for r in parsing.unusable_values(raw, "1 day").collect()}
+    good = [DOC % "[]", DOC % "[]" + "\t"]
+    reasons = {'{"raw":"x","_source_file":"f"}': "no_city", '{"meta_city":null}': "no_city", '{"meta_city":"1"}': "no_time"}
+    assert got == {t: reasons.get(t, "malformed") for t in texts if t not in good}
+    parsed = parsing.parse_values(raw, S.DEPARTURE_RECORD)
+    fault = parsing.value_fault(F.col("meta_city"), F.col("meta_scraped_at"), "1 day")
+    assert parsed.filter(fault.isNull()).count() == len(good)
 
 
 def responses(spark, *payloads):
     df = spark.createDataFrame([(p,) for p in payloads], "payload STRING")
     return df.select(
-        F.lit("A").alias("meta_city"), F.lit("t").alias("meta_scraped_at"), F.lit("grid_0_0").alias("grid_id"),
+        F.lit("A").alias("meta_city"), F.lit("2024-01-01T00:00:00").alias("meta_scraped_at"), F.lit("grid_0_0").alias("grid_id"),
         F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), "payload",
     )
 
@@ -121,6 +124,26 @@ def test_flat_input_drops_failed_probes(spark):
     assert [r[0] for r in rows(normalise_flat(flat).select("grid_id"))] == ["grid_0_1", "grid_0_2", "grid_1_0"]
 
 
+def test_samples_without_a_time_are_told_apart(spark):
+    rows_in = samples(spark, 5).withColumn("meta_scraped_at", F.when(F.col("lat") > 2, "x").otherwise(F.col("meta_scraped_at")))
+    assert untimed(rows_in).count() == 2
+    assert nest_traffic(rows_in).select(F.explode("samples")).count() == 3
+
+
+def test_no_join_before_rows_are_split(spark):
+    plan = plan_of(nest_traffic(samples(spark, 5), parts=4))
+    assert plan.count("Join") == 1 and "_part" in plan.split("Join", 1)[1].split("\n")[0]
+    assert "Join" not in plan_of(nest_traffic(samples(spark, 5)))
+
+
+def test_cycles_count_scrapes_and_not_documents(spark):
+    rows_in = samples(spark, 40).unionByName(samples(spark, 9, "B"))
+    departures = spark.createDataFrame([("A", "2024-01-01T00:00:00")], "meta_city STRING, meta_scraped_at STRING")
+    whole, split = (cycle_summary(nest_traffic(rows_in, parts=p), nest_traffic(rows_in), departures) for p in (1, 6))
+    assert rows(whole) == rows(split)
+    assert {r.source: r.records_collected for r in split.collect()} == {"traffic": 2, "weather": 2, "transit": 1}
+
+
 def test_grid_points_of_the_cities(spark):
     boxes = spark.createDataFrame(list(S.CITY_BBOXES.items()), "city STRING, bbox STRING")
     points = grid_points(boxes)
@@ -137,20 +160,23 @@ def test_bad_boxes_give_no_points(spark):
 
 def samples(spark, n, city="A"):
     return spark.range(n).select(
-        F.lit(city).alias("meta_city"), F.lit("t").alias("meta_scraped_at"),
+        F.lit(city).alias("meta_city"), F.lit("2024-01-01T00:00:00").alias("meta_scraped_at"),
         F.concat(F.lit("grid_"), F.col("id") % 9).alias("grid_id"), F.col("id").cast("double").alias("lat"),
         F.lit(60).alias("current_speed"), F.lit(100).alias("free_flow_speed"), F.lit(0.9).alias("confidence"),
     )
 
 
-def test_crowded_scrape_becomes_several_bounded_documents(spark):
+@pytest.mark.parametrize("parts", [1, 20])
+def test_a_scrape_becomes_as_many_documents_as_asked_for(spark, parts):
     rows_in = samples(spark, 1000).unionByName(samples(spark, 9, "B")).repartition(4)
-    docs = nest_traffic(rows_in, max_samples=50)
-    sizes = docs.select("meta_city", F.size("samples").alias("n")).collect()
+    docs = nest_traffic(rows_in, parts=parts)
+    sizes = docs.select("meta_city", "part", "part_count", F.size("samples").alias("n")).collect()
     assert sum(r.n for r in sizes if r.meta_city == "A") == 1000
-    assert max(r.n for r in sizes) <= 100 and sum(r.meta_city == "A" for r in sizes) == 20
-    assert [r.n for r in sizes if r.meta_city == "B"] == [9]
+    assert sum(r.meta_city == "A" for r in sizes) == parts and sum(r.n for r in sizes if r.meta_city == "B") == 9
+    assert {r.part_count for r in sizes} == {parts}
     assert {r[0] for r in docs.select("average_congestion_ratio").collect()} == {0.6}
+    again = nest_traffic(rows_in.repartition(7), parts=parts)
+    assert again.exceptAll(docs).count() == 0
     back = parsing.flatten_traffic(to_lines(docs)).select("meta_city", "grid_id", "lat")
     assert back.exceptAll(rows_in.select("meta_city", "grid_id", "lat")).count() == 0
     assert back.count() == 1009
