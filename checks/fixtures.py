@@ -142,23 +142,30 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir, ("signup",), sample)
 
 
+def with_strays(traffic_rows: DataFrame) -> DataFrame:
+    """The rows, and some of them again under ids that are no cells: names of modes, a foreign cell."""
+    stray = "CASE event_id % 3 WHEN 0 THEN 'bus' WHEN 1 THEN 'rail' ELSE 'grid_9_9' END"
+    strays = traffic_rows.filter("event_id % 5 = 0 AND grid_id = 'grid_0_0'").withColumn("grid_id", F.expr(stray))
+    return traffic_rows.unionByName(strays)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return traffic(spark, sf_dir), weather(spark, sf_dir), transit(spark, sf_dir)
 
 
 # --- API responses ----------------------------------------------------------
 def traffic_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses to traffic probes; an unanswered one has an error object instead."""
+    """Responses to traffic probes; an unanswered one has an error object instead, or was cut off."""
     flow = """to_json(named_struct('flowSegmentData', named_struct(
         'currentSpeed', cur, 'freeFlowSpeed', free, 'confidence', CAST(k % 10 AS DOUBLE) / 10)))"""
-    error = """'{"error":"Point too far from road"}'"""
+    error = f"""IF(k % 2 = 0, '{{"error":"Point too far from road"}}', left({flow}, length({flow}) - 2))"""
     return _probes(_scrapes(spark, sf_dir, "view", "click")).selectExpr(
         *PROBE, f"IF(answered, {flow}, {error}) AS payload"
     )
 
 
 def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses to weather probes: without a rain entry when dry, absent when unanswered."""
+    """Responses to weather probes: without a rain entry when dry, absent or broken when unanswered."""
     body = """to_json(named_struct(
         'main', named_struct('temp', value / 10 + n, 'humidity', 40 + k % 60),
         'weather', array(named_struct(
@@ -167,14 +174,16 @@ def weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         'rain', IF(k % 4 = 0, named_struct('1h', value / 100), NULL),
         'visibility', 1000 + k % 9000))"""
     return _probes(_scrapes(spark, sf_dir, "signup")).selectExpr(
-        *PROBE, f"IF(answered, {body}, NULL) AS payload"
+        *PROBE,
+        f"""CASE WHEN answered THEN {body} WHEN k % 3 = 0 THEN NULL
+              WHEN k % 3 = 1 THEN left({body}, length({body}) - 3) ELSE '{{"cod":500,"message":"x"' END AS payload""",
     )
 
 
 def departure_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with two departures: one as in ``transit``, one without a delay and a line.
 
-    Every other response is a bare array instead of an object.
+    Every other response is a bare array instead of an object. Some were cut off.
     """
     first = """concat('{"line":', IF(line IS NULL, 'null', concat('{"name":"', line, '"}')),
         ',"direction":"', direction, '","plannedWhen":"', planned_time, '","delay":', coalesce(delay, 'null'),
@@ -185,23 +194,36 @@ def departure_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         transit(spark, sf_dir)
         .withColumn("delay", F.col("delay").cast("string"))
         .selectExpr(*STOP, "event_id AS id", f"{array} AS entries")
-        .selectExpr(*STOP, "IF(id % 2 = 0, concat('{\"departures\":', entries, '}'), entries) AS payload")
+        .selectExpr(*STOP, "id", "IF(id % 2 = 0, concat('{\"departures\":', entries, '}'), entries) AS whole")
+        .selectExpr(*STOP, "IF(id % 29 = 0, left(whole, length(whole) - 3), whole) AS payload")
     )
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text line per event: objects, arrays, scalars, ``null``, cut-off objects, plain text."""
+    """One text line per event: objects, some with a tab behind; arrays, scalars, ``null``, cut-off
+    objects, plain text; two objects, text or a comma behind an object.
+    """
     return events(spark, sf_dir).selectExpr(
         "event_id",
         """CASE event_type
-             WHEN 'view' THEN props
-             WHEN 'click' THEN concat('[', props, ']')
+             WHEN 'view' THEN IF(event_id % 4 = 0, concat(props, chr(9)), props)
+             WHEN 'click' THEN CASE event_id % 5
+               WHEN 0 THEN concat(props, props) WHEN 1 THEN concat(props, ' x}') WHEN 2 THEN concat(props, ',}')
+               WHEN 3 THEN concat(props, ',') ELSE concat('[', props, ']') END
              WHEN 'signup' THEN CAST(event_id AS STRING)
              WHEN 'purchase' THEN left(props, length(props) - 1)
              ELSE IF(user_id % 2 = 0, 'null', concat('not json ', event_id)) END AS value""",
     )
 
 
+def faulty_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures as JSON values: some without a time, far ahead, without a city, or with text behind."""
+    at = """CASE event_id % 10 WHEN 0 THEN 'x' WHEN 1 THEN NULL WHEN 2 THEN '2999-01-01T00:00:00' ELSE meta_scraped_at END"""
+    record = f"""to_json(named_struct('meta_city', IF(event_id % 10 = 3, NULL, meta_city), 'meta_scraped_at', {at},
+        'line', line, 'delay', delay))"""
+    return transit(spark, sf_dir).selectExpr(f"IF(event_id % 10 = 4, concat({record}, {record}), {record}) AS value")
+
+
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounding box per event, some malformed."""
     return events(spark, sf_dir).selectExpr("event_id", "user_id % 170 AS west", "user_id % 80 AS south").selectExpr(
@@ -213,6 +235,17 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- files ------------------------------------------------------------------
+def make_old(spark: SparkSession, path: str, days: int = 400) -> None:
+    """Set the times of all files of a folder back, as those of restored files are."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = store.listFiles(folder, True)
+    while files.hasNext():
+        file = files.next()
+        store.setTimes(file.getPath(), file.getModificationTime() - days * 86_400_000, -1)
+
+
 def write_topic(lines: DataFrame, path: str, files: int = 4) -> str:
     """Stand-in for a topic: text files with one value per line, several micro-batches' worth."""
     lines.select("value").repartition(files).write.text(path)

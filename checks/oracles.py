@@ -169,13 +169,16 @@ INDEX = """
          CASE WHEN sum(CASE WHEN confidence > 0.5 THEN free_flow_speed END) > 0
               THEN CAST(sum(CASE WHEN confidence > 0.5 THEN current_speed END) AS DOUBLE)
                    / sum(CASE WHEN confidence > 0.5 THEN free_flow_speed END)
-              ELSE 1.0 END AS ratio,
-         min(grid_id) AS first_cell, min(CASE WHEN grid_id = 'grid_0_0' THEN current_speed END) AS first_speed
+              ELSE 1.0 END AS ratio
   FROM traffic GROUP BY 1, 2, 3"""
 STATUS = "CASE WHEN {r} < 0.7 THEN 'congested' WHEN {r} < 0.85 THEN 'heavy_traffic' ELSE 'flowing' END"
 
 RAW_LINE = """CASE event_type
-  WHEN 'view' THEN props WHEN 'click' THEN '[' || props || ']' WHEN 'signup' THEN CAST(event_id AS VARCHAR)
+  WHEN 'view' THEN props
+  WHEN 'click' THEN CASE event_id % 5
+    WHEN 0 THEN props || props WHEN 1 THEN props || ' x}' WHEN 2 THEN props || ',}' WHEN 3 THEN props || ','
+    ELSE '[' || props || ']' END
+  WHEN 'signup' THEN CAST(event_id AS VARCHAR)
   WHEN 'purchase' THEN left(props, length(props) - 1)
   ELSE CASE WHEN user_id % 2 = 0 THEN 'null' ELSE 'not json ' || CAST(event_id AS VARCHAR) END END"""
 
@@ -240,10 +243,13 @@ def oracle_sql() -> dict[str, str]:
         "parse_transit": departures,
         "explode_samples": traffic_rows,
         "nest_samples": f"""{FIXTURE}, idx AS ({INDEX})
-            SELECT meta_city, meta_scraped_at, 'tomtom_grid_flow' AS meta_type, '3x3' AS grid_size,
+            SELECT t.event_id, t.meta_city, t.meta_scraped_at, 'tomtom_grid_flow' AS meta_type, '3x3' AS grid_size,
                    round_even(ratio * 100, 0) / 100 AS average_congestion_ratio,
-                   {STATUS.format(r='ratio')} AS status_label, CAST(sample_count AS INTEGER) AS sample_count,
-                   first_cell, first_speed FROM idx""",
+                   {STATUS.format(r='ratio')} AS status_label, 0 AS part, 1 AS part_count,
+                   CAST(sample_count AS INTEGER) AS sample_count, grid_id, lat, lon, current_speed, free_flow_speed,
+                   congestion_ratio, confidence FROM traffic t JOIN idx USING (event_id)""",
+        "nest_weather": f"""{FIXTURE} SELECT event_id, 'owm_grid_weather' AS meta_type, '3x3' AS grid_size,
+            3 AS part_count, {W_COLS} FROM weather""",
         "normalise_flat": f"""{traffic_rows} WHERE current_speed IS NOT NULL
             AND NOT (current_speed = 0 AND free_flow_speed = 0 AND confidence = 0)""",
         "payload_traffic": f"""{FIXTURE} SELECT meta_city, meta_scraped_at, grid_id, lat, lon, current_speed,
@@ -259,9 +265,10 @@ def oracle_sql() -> dict[str, str]:
         "payload_transit": f"""{FIXTURE}
             SELECT meta_city, meta_scraped_at, line, direction, planned_time, delay,
                    CAST(event_id % 12 AS VARCHAR) AS platform, 't' || CAST(event_id AS VARCHAR) AS raw_id FROM transit
+            WHERE event_id % 29 <> 0
             UNION ALL
             SELECT meta_city, meta_scraped_at, NULL, 'depot', NULL, 0, NULL, 'u' || CAST(event_id AS VARCHAR)
-            FROM transit""",
+            FROM transit WHERE event_id % 29 <> 0""",
         "congestion_ratio": f"""SELECT event_id,
             {ratio('CAST(FLOOR(value) AS INT)', '(event_id % 120)')} AS congestion_ratio,
             CASE WHEN event_id % 120 = 0 THEN 'flowing' ELSE
@@ -274,6 +281,9 @@ def oracle_sql() -> dict[str, str]:
         "silver_partition_roundtrip": f"""{FIXTURE} SELECT CAST(length(meta_city) AS VARCHAR) AS meta_city,
             meta_scraped_at, line, delay, direction, planned_time FROM transit""",
         "silver_replay_idempotent": departures,
+        "silver_quarantine": f"""{FIXTURE} SELECT CASE event_id % 10 WHEN 0 THEN 'no_time' WHEN 1 THEN 'no_time'
+            WHEN 2 THEN 'ahead' WHEN 3 THEN 'no_city' WHEN 4 THEN 'malformed' ELSE 'none' END AS reason,
+            count(*) AS values FROM transit GROUP BY 1""",
         "bucket_30min": f"""{FIXTURE} SELECT event_id, meta_city, grid_id, ts, {bucket('ts')} AS time_bucket
             FROM traffic""",
         "bucket_bounds": f"{FIXTURE} {bounds}",
@@ -323,6 +333,9 @@ def oracle_sql() -> dict[str, str]:
         "q_weather_vs_traffic": f"""{GOLD} SELECT {per_bucket}, {r9('avg(grid_0_0_rain)')} AS rainfall_mm,
             {r9('avg(grid_0_0_congestion)')} AS congestion_ratio FROM gold WHERE {_since('7 days')}
             AND grid_0_0_rain IS NOT NULL AND grid_0_0_congestion IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2""",
+        "q_rain_correlation": f"""{GOLD} SELECT meta_city, count(*) AS buckets,
+            {r9('covar_pop(grid_0_0_rain, grid_0_0_congestion) / nullif(stddev_pop(grid_0_0_rain) * stddev_pop(grid_0_0_congestion), 0)')} AS correlation FROM gold WHERE {_since('30 days')}
+            AND grid_0_0_rain IS NOT NULL AND grid_0_0_congestion IS NOT NULL GROUP BY 1 ORDER BY 1""",
         "q_bus_vs_rail": f"""{GOLD} SELECT {per_bucket}, {r9('bus_avg_delay / 60.0')} AS bus_delay_minutes,
             {r9('rail_avg_delay / 60.0')} AS rail_delay_minutes FROM gold WHERE {_since('24 hours')}
             AND bus_avg_delay IS NOT NULL AND rail_avg_delay IS NOT NULL ORDER BY 1, 2""",

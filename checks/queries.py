@@ -21,12 +21,12 @@ from citypulse.operators.features import (
     weather_pivot,
     with_mode,
 )
-from citypulse.operators.nesting import nest_traffic, to_lines
+from citypulse.operators.nesting import nest_traffic, nest_weather, to_lines
 from citypulse.operators.parsing import explode_samples, parse_values, stamp
 from citypulse.operators.spatial import grid_points
 from citypulse.plans import analytics
 from citypulse.plans.gold import gold_wide, gold_wide_join
-from citypulse.plans.incremental import append_increment, closed_buckets
+from citypulse.plans.incremental import append_increment, closed_buckets, read_gold
 from citypulse.plans.publish import publish
 from citypulse.session import fresh_path
 from citypulse.sources.landing import read_landing, read_lines, route, write_landing
@@ -45,7 +45,6 @@ WEATHER_COLS = (
     *META, "grid_id", "lat", "lon", "temp", "humidity", "wind_speed", "rain_1h_mm", "weather_main", "description",
 )
 TRANSIT_COLS = (*META, "line", "delay", "direction", "planned_time")
-SPARK_JSON = "*.{json,jsonl}"
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -67,21 +66,28 @@ def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.transit(spark, sf_dir).select(*TRANSIT_COLS)
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing folders of the three sources, with some bad lines among the departures."""
-    root = fresh_path(spark, "landing")
-    write_landing(X.traffic_documents(spark, sf_dir), f"{root}/TomTom")
-    write_landing(X.weather_documents(spark, sf_dir), f"{root}/OWM")
-    write_landing(departure_records(spark, sf_dir), f"{root}/DB")
-    return root
+def bronze_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing -> topics as a stream, drained three times.
 
+    Some departures arrive after the first drain, half of them in files with an old time. The last
+    drain finds every file done.
+    """
+    root, out, checkpoint = (fresh_path(spark, label) for label in ("landing", "topics", "checkpoint"))
+    records = X.transit(spark, sf_dir)
 
-def bronze_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing -> topics as a stream; the second drain finds every file already done."""
-    root, out, checkpoint = _landing(spark, sf_dir), fresh_path(spark, "topics"), fresh_path(spark, "checkpoint")
-    for _ in range(2):
-        messages = bronze.routed_lines(spark, root, SPARK_JSON, max_files=64)
+    def drain() -> None:
+        messages = bronze.routed_lines(spark, root, max_files=64)
         bronze.write_topic_files(messages, out, checkpoint).awaitTermination()
+
+    write_landing(X.traffic_documents(spark, sf_dir), f"{root}/TomTom")
+    write_landing(X.weather_documents(spark, sf_dir), f"{root}/OWM")
+    write_landing(records.filter("event_id % 2 = 0").select(*TRANSIT_COLS), f"{root}/DB")
+    drain()
+    write_landing(records.filter("event_id % 4 = 1").select(*TRANSIT_COLS), f"{root}/DB/restored")
+    X.make_old(spark, f"{root}/DB/restored")
+    write_landing(records.filter("event_id % 4 = 3").select(*TRANSIT_COLS), f"{root}/DB")
+    drain()
+    drain()
     topics = spark.read.schema("value STRING, dead_letter BOOLEAN, topic STRING").parquet(out)
     fields = F.from_json("value", f"{S.META}, line STRING, samples ARRAY<STRUCT<grid_id: STRING>>")
     return topics.select("topic", fields.alias("f")).select(
@@ -147,15 +153,22 @@ def explode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nest_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sample of every document, beside what its document says."""
     documents = nest_traffic(X.traffic(spark, sf_dir).select("event_id", *TRAFFIC_COLS), SCRAPE)
-    return documents.select(
-        *META, "meta_type", "grid_size", "average_congestion_ratio", "status_label",
-        F.size("samples").alias("sample_count"),
-        F.get("samples", F.lit(0))["grid_id"].alias("first_cell"),
-        F.get("samples", F.lit(0))["current_speed"].alias("first_speed"),
+    each = documents.withColumn("sample_count", F.size("samples")).withColumn("s", F.explode("samples"))
+    return each.select(
+        *SCRAPE, "meta_type", "grid_size", "average_congestion_ratio", "status_label", "part", "part_count",
+        "sample_count", *[F.col(f"s.{c}") for c in TRAFFIC_COLS[2:]],
     )
 
 
+def weather_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sample of every document; a scrape is split into three."""
+    documents = nest_weather(X.weather(spark, sf_dir).select("event_id", *WEATHER_COLS), SCRAPE, parts=3)
+    each = documents.withColumn("s", F.explode("samples"))
+    return each.select(*SCRAPE, "meta_type", "grid_size", "part_count", *[F.col(f"s.{c}") for c in WEATHER_COLS[2:]])
+
+
 def normalise_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat rows, half of them with the short cell id, zeros for unanswered probes."""
     short = F.when(F.col("event_id") % 2 == 0, F.expr("substr(grid_id, 6)")).otherwise(F.col("grid_id"))
@@ -197,10 +210,10 @@ def _silver_stream(
 ) -> DataFrame:
     """Values -> flat table, in several micro-batches, the second run finding nothing new."""
     topic = X.write_topic(lines, fresh_path(spark, "topic"))
-    table, checkpoint = fresh_path(spark, "silver"), fresh_path(spark, "checkpoint")
+    table, checkpoint, quarantine = (fresh_path(spark, label) for label in ("silver", "checkpoint", "quarantine"))
     for _ in range(2):
         stream = spark.readStream.option("maxFilesPerTrigger", 2).text(topic)
-        silver.drain_all([(stream, silver.batch_writer(source, table), checkpoint)])
+        silver.drain_all([(stream, silver.BatchWriter(source, table, quarantine), checkpoint)])
     return silver.read_silver(spark, table, source).select(*columns)
 
 
@@ -225,15 +238,32 @@ def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same micro-batch written twice leaves its rows once."""
-    lines = to_lines(departure_records(spark, sf_dir))
-    path = fresh_path(spark, "replay")
-    write = silver.batch_writer(silver.TRANSIT, path)
-    write(lines, 0)
-    write(lines, 0)
+    """The same micro-batch written twice leaves its rows once; another checkpoint's batches add to them.
+
+    Half of the departures come in a batch that is replayed, the others from two streams with a
+    checkpoint each, both of which begin with batch 0.
+    """
+    records = X.transit(spark, sf_dir)
+    path, quarantine = fresh_path(spark, "replay"), fresh_path(spark, "quarantine")
+    write = silver.BatchWriter(silver.TRANSIT, path, quarantine, adopt=True)
+    for _ in range(2):
+        write(to_lines(records.filter("event_id % 2 = 0").select(*TRANSIT_COLS)), 0)
+    for rest in (1, 3):
+        part = records.filter(f"event_id % 4 = {rest}").select(*TRANSIT_COLS)
+        topic = X.write_topic(to_lines(part), fresh_path(spark, "topic"), files=1)
+        silver.drain_all([(spark.readStream.text(topic), write, fresh_path(spark, "checkpoint"))])
     return silver.read_silver(spark, path, silver.TRANSIT).select(*TRANSIT_COLS)
 
 
+def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures without a time, with a time far ahead, without a city, and broken: by reason, and the good ones."""
+    path, quarantine = fresh_path(spark, "silver"), fresh_path(spark, "quarantine")
+    silver.BatchWriter(silver.TRANSIT, path, quarantine)(X.faulty_departures(spark, sf_dir), 0)
+    bad = read_table(spark, quarantine, "value STRING, reason STRING").select("reason")
+    good = silver.read_silver(spark, path, silver.TRANSIT).select(F.lit("none").alias("reason"))
+    return bad.unionByName(good).groupBy("reason").agg(F.count("*").alias("values"))
+
+
 # --- buckets and features ---------------------------------------------------
 def _bucketed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [with_bucket(df) for df in X.sources(spark, sf_dir)]
@@ -279,18 +309,24 @@ def city_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycle_summary(
-        X.traffic_documents(spark, sf_dir), X.weather_documents(spark, sf_dir), departure_records(spark, sf_dir)
-    )
+    """Traffic scrapes are split over four documents, weather scrapes are whole."""
+    traffic = nest_traffic(X.traffic(spark, sf_dir).select("event_id", *TRAFFIC_COLS), SCRAPE, parts=4)
+    weather = nest_weather(X.weather(spark, sf_dir).select("event_id", *WEATHER_COLS), SCRAPE)
+    return cycle_summary(traffic, weather, departure_records(spark, sf_dir), keys=SCRAPE)
 
 
 # --- wide table -------------------------------------------------------------
+def _with_strays(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    traffic, weather, transit = X.sources(spark, sf_dir)
+    return [X.with_strays(traffic), weather, transit]
+
+
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_wide(*X.sources(spark, sf_dir))
+    return gold_wide(*_with_strays(spark, sf_dir))
 
 
 def wide_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_wide_join(*X.sources(spark, sf_dir))
+    return gold_wide_join(*_with_strays(spark, sf_dir))
 
 
 def gold_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +344,7 @@ def gold_incremental_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_increment(spark, *[_before_cut(df) for df in all_rows], gold_path=path)
     append_increment(spark, *all_rows, gold_path=path)
     append_increment(spark, *all_rows, gold_path=path)
-    return read_table(spark, path, S.wide_schema())
+    return read_gold(spark, path).select(*S.wide_columns())
 
 
 def gold_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,13 +354,13 @@ def gold_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_time = [_before_cut(traffic), _before_cut(weather), transit.filter(F.lit(False))]
     append_increment(spark, *on_time, gold_path=path)
     append_increment(spark, traffic, weather, transit, gold_path=path)
-    return read_table(spark, path, S.wide_schema())
+    return read_gold(spark, path).select(*S.wide_columns())
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide table from three streams of flat rows."""
     streams = []
-    for name, df in zip(("traffic", "weather", "transit"), X.sources(spark, sf_dir)):
+    for name, df in zip(("traffic", "weather", "transit"), _with_strays(spark, sf_dir)):
         path = fresh_path(spark, f"flat-{name}")
         df.write.parquet(path)
         streams.append(spark.readStream.schema(df.schema).parquet(path))
@@ -336,14 +372,15 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish what closed before the cut, then the rest, then nothing."""
-    target = ParquetServing(spark, fresh_path(spark, "serving"))
+    """Publish the stored table of what closed before the cut, then the rest, then nothing."""
+    target, path = ParquetServing(spark, fresh_path(spark, "serving")), fresh_path(spark, "gold")
     all_rows = X.sources(spark, sf_dir)
-    publish(closed_buckets(*[_before_cut(df) for df in all_rows])[1], target)
-    complete = closed_buckets(*all_rows)[1]
-    publish(complete, target)
-    publish(complete, target)
-    return read_table(spark, target.path, S.wide_schema())
+    append_increment(spark, *[_before_cut(df) for df in all_rows], gold_path=path)
+    publish(read_gold(spark, path), target)
+    append_increment(spark, *all_rows, gold_path=path)
+    publish(read_gold(spark, path), target)
+    publish(read_gold(spark, path), target)
+    return target.read().select(*S.wide_columns())
 
 
 # --- reports ----------------------------------------------------------------
@@ -351,6 +388,17 @@ def report(function: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf_dir: function(wide(spark, sf_dir), *args, **kwargs)
 
 
+def stored_report(function: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    """A report over the wide table as it is stored, by date; every bucket is closed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = fresh_path(spark, "gold")
+        append_increment(spark, *_with_strays(spark, sf_dir), gold_path=path, flush=True)
+        return function(read_gold(spark, path), *args, **kwargs)
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "bronze_route": bronze_route,
     "bronze_provenance": bronze_provenance,
@@ -361,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "parse_transit": parse_transit,
     "explode_samples": explode_documents,
     "nest_samples": nest_samples,
+    "nest_weather": weather_nested,
     "normalise_flat": normalise_flat,
     "payload_traffic": payload_traffic,
     "payload_weather": payload_weather,
@@ -372,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "silver_transit_stream": silver_transit_stream,
     "silver_partition_roundtrip": silver_partition_roundtrip,
     "silver_replay_idempotent": silver_replay_idempotent,
+    "silver_quarantine": silver_quarantine,
     "bucket_30min": bucket_30min,
     "bucket_bounds": bounds,
     "calendar_features": calendar_features,
@@ -390,14 +440,15 @@ QUERIES: dict[str, Query] = {
     "city_congestion_index": city_index,
     "cycle_summary": cycles,
     "q_congestion_by_hour": report(analytics.congestion_by_hour),
-    "q_temp_over_time": report(analytics.temp_over_time, "2024-01-01", X.AS_OF),
-    "q_speed_over_time": report(analytics.speed_over_time, "2024-01-01", X.AS_OF),
-    "q_congestion_over_time": report(analytics.congestion_over_time, "2024-01-01", X.AS_OF),
-    "q_congestion_avg": report(analytics.congestion_avg, X.AS_OF),
-    "q_rail_stress": report(analytics.rail_stress, X.AS_OF),
-    "q_weather_vs_traffic": report(analytics.weather_vs_traffic, X.AS_OF),
-    "q_bus_vs_rail": report(analytics.bus_vs_rail, X.AS_OF),
-    "q_hourly_patterns": report(analytics.hourly_patterns, X.AS_OF),
+    "q_temp_over_time": stored_report(analytics.temp_over_time, "2024-01-01", X.AS_OF),
+    "q_speed_over_time": stored_report(analytics.speed_over_time, "2024-01-01", X.AS_OF),
+    "q_congestion_over_time": stored_report(analytics.congestion_over_time, "2024-01-01", X.AS_OF),
+    "q_congestion_avg": stored_report(analytics.congestion_avg, X.AS_OF),
+    "q_rail_stress": stored_report(analytics.rail_stress, X.AS_OF),
+    "q_weather_vs_traffic": stored_report(analytics.weather_vs_traffic, X.AS_OF),
+    "q_rain_correlation": stored_report(analytics.rain_congestion_correlation, X.AS_OF, "30 days"),
+    "q_bus_vs_rail": stored_report(analytics.bus_vs_rail, X.AS_OF),
+    "q_hourly_patterns": stored_report(analytics.hourly_patterns, X.AS_OF),
     "q_first_rows": report(analytics.first_rows),
     "q_row_count": report(analytics.row_count),
     "q_city_rows": report(analytics.city_rows, "Hamburg"),

@@ -3,7 +3,7 @@
     spark-submit ... citypulse/jobs.py route   --landing URI --servers HOST:PORT --lake URI
     spark-submit ... citypulse/jobs.py silver  --servers HOST:PORT --lake URI
     spark-submit ... citypulse/jobs.py gold    --lake URI
-    spark-submit ... citypulse/jobs.py publish --lake URI --url JDBC_URL --table NAME [--first]
+    spark-submit ... citypulse/jobs.py publish --lake URI --url JDBC_URL --table NAME
 
 Every job processes what is there, then ends; run again, it goes on where it stopped. Database
 credentials are read from the file named by ``--properties`` (``key=value`` lines), never from
@@ -18,34 +18,36 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from citypulse import schemas as S
-from citypulse.plans.incremental import Bounds, append_increment
+from citypulse.plans.incremental import Bounds, append_increment, read_gold
 from citypulse.plans.publish import publish
 from citypulse.sources import kafka
+from citypulse.sources.landing import LANDING_FILES
 from citypulse.sources.serving import JdbcTable
-from citypulse.sources.tables import read_table
 from citypulse.streaming import bronze, silver
 
 SOURCES = {"traffic": silver.TRAFFIC, "weather": silver.WEATHER, "transit": silver.TRANSIT}
-TOPICS = dict(zip(SOURCES, S.FOLDER_TOPICS.values()))
+TOPICS = {name: S.FOLDER_TOPICS[S.SOURCE_FOLDERS[name]] for name in SOURCES}
 
 
-def route_job(spark: SparkSession, landing: str, servers: str, lake: str) -> None:
+def route_job(spark: SparkSession, landing: str, servers: str, lake: str, glob: str = LANDING_FILES) -> None:
     """Landing files -> Kafka topics."""
-    kafka.write_topics(bronze.routed_lines(spark, landing), servers, f"{lake}/checkpoints/route").awaitTermination()
-
-
-def silver_job(spark: SparkSession, streams: dict[str, DataFrame], lake: str) -> None:
-    """Topics -> flat tables, all sources side by side; bad values go to quarantine."""
-    silver.drain_all(
-        [
-            (
-                stream,
-                silver.batch_writer(SOURCES[name], f"{lake}/silver/{name}", f"{lake}/quarantine/{name}"),
-                f"{lake}/checkpoints/{name}",
-            )
-            for name, stream in streams.items()
-        ]
-    )
+    lines = bronze.routed_lines(spark, landing, glob)
+    kafka.write_topics(lines, servers, f"{lake}/checkpoints/route").awaitTermination()
+
+
+def silver_job(
+    spark: SparkSession, streams: dict[str, DataFrame], lake: str, adopt: bool = False
+) -> dict[str, dict[str, int]]:
+    """Topics -> flat tables, all sources side by side; bad values go to quarantine.
+
+    Returns how many values did, by source and reason.
+    """
+    writers = {
+        name: silver.BatchWriter(SOURCES[name], f"{lake}/silver/{name}", f"{lake}/quarantine/{name}", adopt=adopt)
+        for name in streams
+    }
+    silver.drain_all([(stream, writers[name], f"{lake}/checkpoints/{name}") for name, stream in streams.items()])
+    return {name: dict(writer.quarantined) for name, writer in writers.items()}
 
 
 def gold_job(spark: SparkSession, lake: str, **options) -> Bounds:
@@ -56,7 +58,7 @@ def gold_job(spark: SparkSession, lake: str, **options) -> Bounds:
 
 def publish_job(spark: SparkSession, lake: str, target) -> bool:
     """Wide rows -> serving table. False if there is nothing new."""
-    gold = read_table(spark, f"{lake}/gold", S.wide_schema())
+    gold = read_gold(spark, f"{lake}/gold")
     return gold is not None and publish(gold, target)
 
 
@@ -71,30 +73,31 @@ def main() -> None:
     parser.add_argument("--lake", required=True)
     parser.add_argument("--landing")
     parser.add_argument("--servers")
-    parser.add_argument("--max-offsets", type=int, default=S.MAX_OFFSETS)
+    parser.add_argument("--glob", default=LANDING_FILES)
+    parser.add_argument("--max-offsets", type=int, default=S.MAX_OFFSETS, help="0: no bound")
+    parser.add_argument("--adopt", action="store_true", help="a new checkpoint takes the flat tables over")
     parser.add_argument("--hold-back")
     parser.add_argument("--flush", action="store_true")
     parser.add_argument("--url")
     parser.add_argument("--table")
     parser.add_argument("--properties")
-    parser.add_argument("--first", action="store_true", help="the serving table does not exist yet")
     args = parser.parse_args()
     spark = (
         SparkSession.builder.appName(f"citypulse-{args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     if args.job == "route":
-        route_job(spark, args.landing, args.servers, args.lake)
+        route_job(spark, args.landing, args.servers, args.lake, args.glob)
     elif args.job == "silver":
         streams = {
-            name: kafka.read_topic(spark, args.servers, topic, max_offsets=args.max_offsets)
+            name: kafka.read_topic(spark, args.servers, topic, max_offsets=args.max_offsets or None)
             for name, topic in TOPICS.items()
         }
-        silver_job(spark, streams, args.lake)
+        print("quarantined:", silver_job(spark, streams, args.lake, args.adopt))
     elif args.job == "gold":
         bounds = gold_job(spark, args.lake, hold_back=args.hold_back, flush=args.flush)
         print(f"buckets after {bounds.floor} and before {bounds.ceiling}" if bounds.ceiling else "nothing closed")
     else:
-        target = JdbcTable(spark, args.url, args.table, _properties(args.properties), exists=not args.first)
+        target = JdbcTable(spark, args.url, args.table, _properties(args.properties))
         print("published" if publish_job(spark, args.lake, target) else "up to date")
     spark.stop()
 

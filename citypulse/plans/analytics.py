@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
+from citypulse.sources.tables import on_dates
 
 DIAGONAL = ("grid_0_0", "grid_1_1", "grid_2_2")
 CELL = "grid_0_0"
@@ -27,14 +28,15 @@ def _now() -> Column:
 
 def _within(gold: DataFrame, period: str, as_of: str | datetime | None) -> DataFrame:
     end = _now() if as_of is None else _at(as_of)
-    return gold.filter(F.col("time_bucket") >= end - F.expr(f"INTERVAL {period}"))
+    first = end - F.expr(f"INTERVAL {period}")
+    return on_dates(gold, first).filter(F.col("time_bucket") >= first)
 
 
 def _between(gold: DataFrame, start: str | datetime | None, end: str | datetime | None) -> DataFrame:
     """Rows of a time range, ends included; by default the last 12 hours."""
     last = _now() if end is None else _at(end)
     first = last - F.expr("INTERVAL 12 hours") if start is None else _at(start)
-    return gold.filter(F.col("time_bucket").between(first, last))
+    return on_dates(gold, first, last).filter(F.col("time_bucket").between(first, last))
 
 
 def _total(cells: list[str] | tuple[str, ...], metric: str, default: str | None = None) -> str:
@@ -133,6 +135,23 @@ def weather_vs_traffic(gold: DataFrame, as_of=None, period: str = "7 days", cell
     )
 
 
+def rain_congestion_correlation(
+    gold: DataFrame, as_of=None, period: str = "7 days", cell: str = CELL
+) -> DataFrame:
+    """Correlation of rain and congestion of one cell, for every city.
+
+    Over the buckets where both are known; null where fewer than two are, or one of both is constant.
+    """
+    rain, congestion = f"{cell}_rain", f"{cell}_congestion"
+    both = _within(gold, period, as_of).filter(F.col(rain).isNotNull() & F.col(congestion).isNotNull())
+    spread = F.stddev_pop(rain) * F.stddev_pop(congestion)
+    return (
+        both.groupBy("meta_city")
+        .agg(F.count("*").alias("buckets"), F.try_divide(F.covar_pop(rain, congestion), spread).alias("correlation"))
+        .orderBy("meta_city")
+    )
+
+
 def bus_vs_rail(gold: DataFrame, as_of=None, period: str = "24 hours") -> DataFrame:
     """Mean delays in minutes, where both modes ran."""
     return (
@@ -169,12 +188,14 @@ def row_count(gold: DataFrame) -> DataFrame:
     return gold.agg(F.count("*").alias("rows"))
 
 
-def city_rows(gold: DataFrame, city: str) -> DataFrame:
-    return (
+def city_rows(gold: DataFrame, city: str, n: int | None = None) -> DataFrame:
+    """Rows of one city in the order of time, the first ``n`` of them if given."""
+    ordered = (
         gold.filter(F.col("meta_city") == city)
         .select("meta_city", "time_bucket", f"{CELL}_speed", "rail_stress_index")
         .orderBy("time_bucket")
     )
+    return ordered if n is None else ordered.limit(n)
 
 
 # --- recommended views ------------------------------------------------------

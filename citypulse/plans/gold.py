@@ -27,13 +27,15 @@ MEASURES = ("m1", "m2", "m3", "m4")
 _GRID_NAMES = dict(zip(MEASURES, ("congestion", "speed", "rain", "temp")))
 _MODE_NAMES = dict(zip(MEASURES, ("avg_delay", "stress_index")))
 _MODES = ("rail", "bus")
+# What a slot's name begins with, so that a cell called "bus" is no mode.
+_CELL, _MODE = "cell:", "mode:"
 
 
 def features(cells: list[str]) -> list[tuple[str, str, str]]:
     """(slot, measure, output column) of every feature, in the order of the wide table."""
     pairs = (MEASURES[:2], MEASURES[2:])
-    grid = [(cell, m, f"{cell}_{_GRID_NAMES[m]}") for pair in pairs for cell in cells for m in pair]
-    return grid + [(mode, m, f"{mode}_{name}") for mode in _MODES for m, name in _MODE_NAMES.items()]
+    grid = [(_CELL + cell, m, f"{cell}_{_GRID_NAMES[m]}") for pair in pairs for cell in cells for m in pair]
+    return grid + [(_MODE + mode, m, f"{mode}_{name}") for mode in _MODES for m, name in _MODE_NAMES.items()]
 
 
 def measurements(
@@ -47,15 +49,15 @@ def measurements(
     on streams as on tables.
     """
 
-    def part(df: DataFrame, slot: Column | str, *measures: str) -> DataFrame:
+    def part(df: DataFrame, slot: Column, *measures: str) -> DataFrame:
         values = [F.expr(f"CAST({value} AS DOUBLE) AS {m}") for m, value in zip(MEASURES, measures)]
-        slot = F.col(slot) if isinstance(slot, str) else slot
         return with_ts(df).filter("meta_city IS NOT NULL").select("meta_city", "ts", slot.alias("slot"), *values)
 
-    mode = transit_mode(F.col("line"))
+    cell = F.concat(F.lit(_CELL), F.col("grid_id"))
+    mode = F.concat(F.lit(_MODE), transit_mode(F.col("line")))
     return (
-        part(traffic, "grid_id", "congestion_ratio", "current_speed", "NULL", "NULL")
-        .unionByName(part(weather, "grid_id", "NULL", "NULL", "rain_1h_mm", "temp"))
+        part(traffic, cell, "congestion_ratio", "current_speed", "NULL", "NULL")
+        .unionByName(part(weather, cell, "NULL", "NULL", "rain_1h_mm", "temp"))
         .unionByName(part(transit, mode, "delay", stressed("delay", threshold), "NULL", "NULL"))
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from citypulse import schemas as S
 from citypulse.functions.buckets import bucket_start, with_ts
 from citypulse.plans.gold import gold_wide
-from citypulse.sources.tables import append_table, read_table
+from citypulse.sources.tables import commit_run, newest_of, on_dates, read_runs, run_after, watermark_of, write_run
 
 
 @dataclass(frozen=True)
@@ -49,11 +49,6 @@ def rows_before(df: DataFrame, ceiling: datetime) -> DataFrame:
     return df.filter(F.col("ts") < F.lit(ceiling).cast("timestamp_ntz"))
 
 
-def newest_bucket(gold: DataFrame) -> datetime | None:
-    """High watermark of a wide table."""
-    return gold.agg(F.max("time_bucket")).first()[0]
-
-
 def run_bounds(
     sources: list[DataFrame],
     floor: datetime | None,
@@ -114,10 +109,25 @@ def append_increment(
     cells: list[str] | None = None,
     **options,
 ) -> Bounds:
-    """One scheduled run: read the watermark, build what closed since, append it."""
-    gold = read_table(spark, gold_path, S.wide_schema(cells))
-    floor = newest_bucket(gold) if gold is not None else None
+    """One scheduled run: read the watermark, build what closed since, write it, mark it complete.
+
+    The watermark comes from the markers of complete runs. A run that fails before its marker leaves
+    rows that no reader sees and that the next run replaces.
+    """
+    floor = watermark_of(spark, gold_path)
     bounds, increment = closed_buckets(traffic, weather, transit, floor, cells=cells, **options)
     if increment is not None:
-        append_table(increment, gold_path)
+        run = run_after(floor)
+        write_run(increment, gold_path, run)
+        written = spark.read.schema(f"{S.wide_schema(cells)}, bucket_date DATE, run STRING").parquet(gold_path)
+        # the closed rows lie between the bounds, so only their days are read
+        span = on_dates(written.filter(F.col("run") == run), F.lit(floor) if floor else None, F.lit(bounds.ceiling))
+        newest = newest_of(span)
+        if newest is not None:
+            commit_run(spark, gold_path, run, newest)
     return bounds
+
+
+def read_gold(spark: SparkSession, path: str, cells: list[str] | None = None) -> DataFrame | None:
+    """The wide table with its ``bucket_date``, or None before the first complete run."""
+    return read_runs(spark, path, S.wide_schema(cells))

@@ -1,23 +1,46 @@
-"""Serving tables the wide rows are published to."""
+"""Serving tables the wide rows are published to.
+
+Rows are appended under the name of a run. A marker says that a run is complete; the rows of other
+runs do not count, and the watermark is the newest bucket of the complete ones.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
-from citypulse.session import fresh_path
-from citypulse.sources.tables import append_table, read_table
+from citypulse.sources import tables
+
+# SQL states by which databases say that there is no such table.
+NO_SUCH_TABLE = {"42P01", "42S02", "42S04", "42X05"}
+
+
+def _says_missing(error: BaseException) -> bool:
+    """Whether some cause of the error is a database's answer that there is no such table."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None:
+        state = getattr(cause, "getSQLState", None)
+        if state is not None:
+            try:
+                if state() in NO_SUCH_TABLE:
+                    return True
+            except Exception:  # noqa: BLE001 - a Java object has an attribute for any name
+                pass
+        cause = cause.getCause()
+    return False
 
 
 @dataclass(frozen=True)
 class JdbcTable:
-    """A table of a database every executor can reach.
+    """A table of a database every executor can reach, and beside it a table of markers.
 
-    ``exists`` is for the first publication: without a table there is no watermark to ask for.
+    Readers take the rows of complete runs, as :meth:`visible_query` states it, best as a view.
     """
 
     spark: SparkSession
@@ -25,41 +48,55 @@ class JdbcTable:
     table: str
     properties: dict[str, str] = field(default_factory=dict)
     quote: str = '"'
-    exists: bool = True
 
-    def watermark_query(self) -> str:
-        column = f"{self.quote}time_bucket{self.quote}"
-        return f"(SELECT MAX({column}) AS max_ts FROM {self.table}) tmp"
+    @property
+    def markers(self) -> str:
+        return f"{self.table}_runs"
 
-    def watermark(self) -> datetime | None:
-        """Newest published bucket; the maximum is computed inside the database.
+    def watermark_query(self, column: str, table: str) -> str:
+        return f"(SELECT MAX({self.quote}{column}{self.quote}) AS max_ts FROM {table}) tmp"
+
+    def visible_query(self) -> str:
+        run = f"{self.quote}run{self.quote}"
+        return f"SELECT * FROM {self.table} WHERE {run} IN (SELECT {run} FROM {self.markers})"
+
+    def _newest(self, column: str, table: str) -> tuple[bool, datetime | None]:
+        """Whether the table exists, and the maximum, which the database computes.
 
         Read as a zone-free timestamp, so that neither the session's nor the driver's zone
         shifts it.
         """
-        if not self.exists:
-            return None
         properties = self.properties | {"preferTimestampNTZ": "true"}
-        return self.spark.read.jdbc(self.url, self.watermark_query(), properties=properties).first()[0]
-
-    def append(self, rows: DataFrame) -> None:
-        """Append day by day, oldest first, each day in one transaction.
-
-        A parallel append that fails can leave a newer bucket written and an older one not, and
-        the watermark would then skip the older one for good. Here all rows of a day go through
-        one partition, which Spark writes in one transaction, and a day starts only after the
-        one before it is committed; whatever fails, the watermark is right. A scheduled run
-        publishes one day or two. A day holds at most (cities x buckets per day) rows, and
-        their number does not depend on how many raw records went into them. The rows are
-        staged by day first, so that they are computed once.
+        try:
+            return True, self.spark.read.jdbc(self.url, self.watermark_query(column, table), properties=properties).first()[0]
+        except Py4JJavaError as e:
+            if _says_missing(e):
+                return False, None
+            raise
+
+    def watermark(self) -> datetime | None:
+        """Newest bucket of the complete runs; None if there is no table yet.
+
+        A serving table that is older than its markers has the watermark of its rows. Any error but
+        a missing table is raised: taken for a first publication it would repeat every row.
         """
-        staged = fresh_path(self.spark, "publish")
-        by_day = rows.withColumn("publish_day", F.to_date("time_bucket"))
-        by_day.hint("rebalance", "publish_day").write.partitionBy("publish_day").parquet(staged)
-        table = self.spark.read.schema(by_day.schema).parquet(staged)
-        for (day,) in table.select("publish_day").distinct().orderBy("publish_day").toLocalIterator():
-            one_day = table.filter(F.col("publish_day") == F.lit(day)).drop("publish_day")
-            one_day.repartition(1).write.jdbc(self.url, self.table, mode="append", properties=self.properties)
+        marked, newest = self._newest("newest", self.markers)
+        if marked and newest is not None:
+            return newest
+        return self._newest("time_bucket", self.table)[1]
+
+    def run_after(self, watermark: datetime | None) -> str:
+        """A name of its own for every attempt: rows of a failed one cannot be replaced here."""
+        return f"{tables.run_after(watermark)}-{uuid.uuid4().hex}"
+
+    def append(self, rows: DataFrame, run: str) -> None:
+        """Append in parallel; the number of connections is the number of staged files."""
+        named = rows.withColumn("run", F.lit(run))
+        named.write.jdbc(self.url, self.table, mode="append", properties=self.properties)
+
+    def commit(self, run: str, newest: datetime) -> None:
+        marker = self.spark.createDataFrame([(run, newest)], tables.RUNS).coalesce(1)
+        marker.write.jdbc(self.url, self.markers, mode="append", properties=self.properties)
 
 
 @dataclass(frozen=True)
@@ -71,8 +108,17 @@ class ParquetServing:
     cells: list[str] | None = None
 
     def watermark(self) -> datetime | None:
-        table = read_table(self.spark, self.path, S.wide_schema(self.cells))
-        return None if table is None else table.agg(F.max("time_bucket")).first()[0]
+        return tables.watermark_of(self.spark, self.path)
+
+    def run_after(self, watermark: datetime | None) -> str:
+        return tables.run_after(watermark)
+
+    def append(self, rows: DataFrame, run: str) -> None:
+        tables.write_run(rows, self.path, run)
+
+    def commit(self, run: str, newest: datetime) -> None:
+        tables.commit_run(self.spark, self.path, run, newest)
 
-    def append(self, rows: DataFrame) -> None:
-        append_table(rows, self.path)
+    def read(self) -> DataFrame | None:
+        """The rows of complete runs, or None before the first."""
+        return tables.read_runs(self.spark, self.path, S.wide_schema(self.cells))

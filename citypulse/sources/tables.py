@@ -3,31 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from citypulse.session import exists
 
 CITY = ("meta_city",)
+RUNS = "run STRING, newest TIMESTAMP_NTZ"
 
 
 def write_by_city(
-    df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = CITY
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    partition_by: Sequence[str] = CITY,
+    spread_by: Sequence[str] | None = None,
+    replace: str = "static",
 ) -> None:
-    """Write a flat table partitioned by city.
+    """Write a flat table partitioned by city, or by what ``partition_by`` names.
 
-    The rebalance keeps the number of files near (data size / advisory partition size) instead
-    of (tasks x cities), and splits a city that holds much of the data over several tasks. With
-    many days of history per run, ``partition_by=("meta_city", "scraped_date")`` lets incremental
-    reads skip whole folders. ``mode="overwrite"`` replaces the whole folder, whatever the session
-    says about dynamic partitions.
+    The rebalance (by ``spread_by``, else by the partition columns) keeps the number of files near
+    (data size / advisory partition size) instead of (tasks x cities), and splits a city that holds
+    much of the data over several tasks. With ``mode="overwrite"``, ``replace`` says what goes: the
+    whole folder ("static") or the partitions that the rows belong to ("dynamic"), whatever the
+    session says.
     """
-    writer = df.hint("rebalance", *partition_by).write.mode(mode).option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(path)
-
-
-def append_table(df: DataFrame, path: str) -> None:
-    """Append to an unpartitioned table."""
-    df.write.mode("append").parquet(path)
+    writer = df.hint("rebalance", *(spread_by or partition_by)).write.mode(mode)
+    writer.option("partitionOverwriteMode", replace).partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -37,9 +41,61 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     string) and the files of an empty or partial run cannot change the columns. Any other
     problem with the path is raised.
     """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
+
+
+# --- tables of runs: rows by date, and a marker for every run that is complete ----
+def run_after(watermark: datetime | None) -> str:
+    """Name of the run that goes on from a watermark."""
+    return "first" if watermark is None else f"after-{watermark:%Y%m%dT%H%M%S}"
+
+
+def write_run(rows: DataFrame, path: str, run: str) -> None:
+    """Write the rows of a run below ``bucket_date=D/run=R``.
+
+    A run that failed has left no marker, so the next one has the same name, covers at least the
+    same dates, and replaces what was left.
+    """
+    dated = rows.withColumns({"bucket_date": F.to_date("time_bucket"), "run": F.lit(run)})
+    write_by_city(
+        dated, path, mode="overwrite", partition_by=("bucket_date", "run"), spread_by=("bucket_date",), replace="dynamic"
+    )
+
+
+def newest_of(table: DataFrame) -> datetime | None:
+    """The newest bucket of a table."""
+    return table.agg(F.max("time_bucket")).first()[0]
+
+
+def commit_run(spark: SparkSession, path: str, run: str, newest: datetime) -> None:
+    """Mark a run as complete: from now on its rows count."""
+    marker = spark.createDataFrame([(run, newest)], RUNS)
+    marker.coalesce(1).write.mode("append").parquet(f"{path}-runs")
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_table(spark, f"{path}-runs", RUNS)
+
+
+def watermark_of(spark: SparkSession, path: str) -> datetime | None:
+    """Newest bucket of the complete runs, from their markers; None before the first."""
+    runs = committed(spark, path)
+    return None if runs is None else runs.agg(F.max("newest")).first()[0]
+
+
+def read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The rows of complete runs with their ``bucket_date``, by which conditions prune folders."""
+    runs = committed(spark, path)
+    table = read_table(spark, path, f"{schema}, bucket_date DATE, run STRING")
+    if runs is None or table is None:
+        return None
+    return table.join(runs.select("run").distinct(), "run", "left_semi").drop("run")
+
+
+def on_dates(df: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """Rows of a span of times, where the table says by date which folders those are in."""
+    if "bucket_date" not in df.columns:
+        return df
+    if first is not None:
+        df = df.filter(F.col("bucket_date") >= F.to_date(first))
+    return df if last is None else df.filter(F.col("bucket_date") <= F.to_date(last))

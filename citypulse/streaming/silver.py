@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -12,13 +13,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from citypulse import schemas as S
 from citypulse.operators.parsing import (
+    FAULTS,
     explode_samples,
     parse_values,
     stamp,
     unusable_values,
-    with_city,
+    value_fault,
 )
-from citypulse.sources.tables import CITY, read_table, write_by_city
+from citypulse.sources.tables import read_table, write_by_city
 
 
 @dataclass(frozen=True)
@@ -35,32 +37,66 @@ WEATHER = Source(S.WEATHER_DOCUMENT, True, S.SILVER_WEATHER)
 TRANSIT = Source(S.DEPARTURE_RECORD, False, S.SILVER_TRANSIT)
 
 
-def batch_writer(
-    source: Source,
-    path: str,
-    quarantine: str | None = None,
-    partition_by: Sequence[str] = CITY,
-) -> Callable[[DataFrame, int], None]:
+# Date first, so that a run reads the days it needs; the batch last, so that a replay finds its own.
+LAYOUT = ("scraped_date", "meta_city", "batch")
+# Times further ahead than this are taken for a wrong clock. One of them would close every open bucket.
+TOLERANCE = "1 day"
+
+
+def _claim(spark: SparkSession, path: str, owner: str, adopt: bool) -> None:
+    """Note which checkpoint writes a table, and refuse another one."""
+    note = f"{path}-owner"
+    known = read_table(spark, note, "owner STRING")
+    held = {r.owner for r in known.collect()} if known is not None else set()
+    if held and owner not in held and not adopt:
+        raise ValueError(
+            f"{path} is written from another checkpoint; a new one reads its topic from the start and would repeat "
+            "rows. Pass adopt=True if it is meant to go on with this table"
+        )
+    if owner not in held:
+        spark.createDataFrame([(owner,)], "owner STRING").coalesce(1).write.mode("append").parquet(note)
+
+
+class BatchWriter:
     """Function for ``foreachBatch`` that writes a micro-batch as flat rows.
 
-    Each batch owns the folder ``batch_id=N`` and overwrites it, so a batch that is replayed
-    after a failure leaves its rows once. Values without a city are counted while the batch is
-    written; only if there are any, they are written to ``quarantine`` with the reason.
+    Rows go to folders by date, city and batch. A batch is named after the stream's checkpoint and its
+    number there, and replaces its own folders: replayed after a failure it leaves its rows once,
+    and another checkpoint's batches are never touched. Such a one is refused anyway, unless
+    ``adopt`` says that it takes the table over.
+
+    Values without a city or a readable time, and those whose time is more than ``tolerance``
+    ahead, are counted while the batch is written; only if there are any, they are written to
+    ``quarantine`` with the reason. ``quarantined`` adds up the counts of this run by reason.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def __init__(
+        self, source: Source, path: str, quarantine: str, tolerance: str = TOLERANCE, adopt: bool = False
+    ) -> None:
+        self.source, self.path, self.quarantine = source, path, quarantine
+        self.tolerance, self.adopt = tolerance, adopt
+        self.quarantined: Counter[str] = Counter()
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        _claim(spark, self.path, owner, self.adopt)
+        key = f"{owner}-{batch_id}"
         seen = Observation()
-        parsed = parse_values(batch, source.document).observe(
-            seen, F.count_if(F.col("meta_city").isNull()).alias("unusable")
-        )
-        usable = with_city(parsed)
-        rows = stamp(explode_samples(usable) if source.nested else usable)
-        folder = f"batch_id={batch_id}"
-        write_by_city(rows, f"{path}/{folder}", mode="overwrite", partition_by=partition_by)
-        if quarantine and seen.get["unusable"]:
-            unusable_values(batch).write.mode("overwrite").parquet(f"{quarantine}/{folder}")
-
-    return write
+        fault = value_fault(F.col("meta_city"), F.col("meta_scraped_at"), self.tolerance)
+        parsed = parse_values(batch, self.source.document).withColumn("_fault", fault)
+        counted = parsed.observe(seen, *[F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS])
+        usable = counted.filter("_fault IS NULL").drop("_fault")
+        rows = stamp(explode_samples(usable) if self.source.nested else usable)
+        write_by_city(
+            rows.withColumn("batch", F.lit(key)), self.path, mode="overwrite", partition_by=LAYOUT,
+            spread_by=LAYOUT[:2], replace="dynamic",
+        )
+        faults = {f: seen.get[f] for f in FAULTS if seen.get[f]}
+        self.quarantined.update(faults)
+        if faults:
+            bad = unusable_values(batch, self.tolerance)
+            bad.write.mode("overwrite").parquet(f"{self.quarantine}/batch={key}")
 
 
 def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -82,7 +118,16 @@ def drain_all(jobs: Sequence[tuple[DataFrame, Callable[[DataFrame, int], None],
 
 def read_silver(spark: SparkSession, path: str, source: Source) -> DataFrame:
     """Rows of all batches. Empty, with its columns, before the first batch."""
-    table = read_table(spark, path, f"{source.table}, batch_id BIGINT")
+    table = read_table(spark, path, f"{source.table}, batch STRING")
     if table is None:
         return spark.createDataFrame([], source.table)
-    return table.drop("batch_id")
+    return table.drop("batch")
+
+
+def compact(spark: SparkSession, path: str, source: Source, target: str) -> None:
+    """Write the rows of all batches to a new table with few files a day.
+
+    For days that are over; the new table then takes the old one's place for readers.
+    """
+    rows = read_silver(spark, path, source).withColumn("batch", F.lit("compacted"))
+    write_by_city(rows, target, mode="overwrite", partition_by=LAYOUT, spread_by=LAYOUT[:2])

@@ -13,7 +13,9 @@ from citypulse import schemas as S
 from citypulse.functions.buckets import with_ts
 from citypulse.operators.features import bucket_bounds
 from citypulse.operators.parsing import stamp
+from citypulse.plans import analytics
 from citypulse.plans import incremental as inc
+from citypulse.plans.publish import unpublished
 from citypulse.plans.gold import gold_wide, gold_wide_join
 from citypulse.sources.tables import read_table, write_by_city
 
@@ -136,7 +138,36 @@ def test_nothing_to_write(spark, fresh, times):
     """No rows, no readable time, only the open bucket."""
     path = fresh("gold")
     assert inc.append_increment(spark, *small(spark, *times), gold_path=path).ceiling is None
-    assert read_table(spark, path, S.wide_schema()) is None
+    assert inc.read_gold(spark, path) is None
+
+
+def test_a_run_that_fails_before_its_marker_is_replaced(spark, fresh, monkeypatch):
+    path = fresh("gold")
+    times = ["2024-01-01T00:05:00", "2024-01-01T00:35:00", "2024-01-02T01:05:00"]
+    inc.append_increment(spark, *small(spark, *times[:2]), gold_path=path)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(inc, "commit_run", fail)
+        with pytest.raises(OSError):
+            inc.append_increment(spark, *small(spark, *times), gold_path=path)
+    assert buckets(inc.read_gold(spark, path)) == ["2024-01-01 00:00:00"]
+    inc.append_increment(spark, *small(spark, *times, "2024-01-03T00:00:00"), gold_path=path)
+    assert buckets(inc.read_gold(spark, path)) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00", "2024-01-02 01:00:00"]
+
+
+def test_dated_reports_and_publication_prune_folders(spark, fresh):
+    path = fresh("gold")
+    inc.append_increment(spark, *small(spark, "2024-01-01T00:05:00", "2024-01-05T00:35:00", "2024-01-09T00:00:00"), gold_path=path)
+    gold = inc.read_gold(spark, path)
+    for df in (
+        analytics.rail_stress(gold, "2024-01-06"),
+        analytics.temp_over_time(gold, "2024-01-04", "2024-01-06"),
+        unpublished(gold, at("2024-01-04T00:00:00")),
+    ):
+        assert "PartitionFilters: [isnotnull(bucket_date" in plan_of(df)
 
 
 def test_runs_append_each_bucket_once_and_drop_late_rows(spark, fresh):
@@ -149,7 +180,7 @@ def test_runs_append_each_bucket_once_and_drop_late_rows(spark, fresh):
     assert bounds == inc.Bounds(at("2024-01-01T00:30:00"), at("2024-01-01T02:00:00"))
     again = inc.append_increment(spark, *small(spark, *first, *late, *more), gold_path=path)
     assert again.ceiling is None
-    gold = read_table(spark, path, S.wide_schema())
+    gold = inc.read_gold(spark, path)
     assert buckets(gold) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00", "2024-01-01 01:00:00"]
 
 

@@ -5,7 +5,6 @@ from pathlib import Path
 from tests.test_gold import at, buckets
 
 from citypulse import jobs
-from citypulse import schemas as S
 from citypulse.sources.serving import ParquetServing
 from citypulse.sources.tables import read_table
 from citypulse.streaming import bronze
@@ -37,7 +36,8 @@ def run(spark, landing: str, lake: str, target) -> None:
         name: spark.readStream.schema("value STRING, dead_letter BOOLEAN").parquet(f"{topics}/topic={topic}")
         for name, topic in jobs.TOPICS.items()
     }
-    jobs.silver_job(spark, streams, lake)
+    dropped = jobs.silver_job(spark, streams, lake)
+    assert dropped["traffic"] == {} and set(dropped["transit"]) <= {"no_city"}
     jobs.gold_job(spark, lake)
     jobs.publish_job(spark, lake, target)
 
@@ -47,8 +47,7 @@ def test_landing_to_serving_in_two_runs(spark, fresh):
     target = ParquetServing(spark, fresh("serving"))
     collect(Path(landing), "000500", "2024-01-01T00:05:00", "2024-01-01T00:15:00", "2024-01-01T00:35:00")
     run(spark, landing, lake, target)
-    served = read_table(spark, target.path, S.wide_schema())
-    row = served.collect()
+    row = target.read().collect()
     assert [r.time_bucket for r in row] == [at("2024-01-01T00:00:00")]
     assert (row[0].grid_0_0_congestion, row[0].grid_0_0_speed, row[0].grid_0_0_rain, row[0].grid_0_0_temp) == (
         0.5, 30.0, 0.5, 4.5
@@ -57,7 +56,7 @@ def test_landing_to_serving_in_two_runs(spark, fresh):
     collect(Path(landing), "013500", "2024-01-01T00:45:00", "2024-01-01T01:35:00")
     run(spark, landing, lake, target)
     run(spark, landing, lake, target)
-    assert buckets(read_table(spark, target.path, S.wide_schema())) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00"]
+    assert buckets(target.read()) == ["2024-01-01 00:00:00", "2024-01-01 00:30:00"]
     quarantined = read_table(spark, f"{lake}/quarantine/transit", "value STRING, reason STRING")
     assert quarantined.count() == 2
 
@@ -68,6 +67,10 @@ def test_jobs_on_an_empty_lake(spark, fresh):
     assert jobs.publish_job(spark, lake, ParquetServing(spark, fresh("serving"))) is False
 
 
+def test_sources_meet_their_topics():
+    assert jobs.TOPICS == {"traffic": "raw-traffic", "weather": "raw-weather", "transit": "raw-db"}
+
+
 def test_credentials_come_from_a_file(tmp_path):
     path = tmp_path / "db.properties"
     path.write_text("user=u\npassword=a=b\n\n")
