@@ -7,9 +7,8 @@ its cycle until it lands below that number, permutes the sequences: the result i
 in the training order. A shard holds ``per_shard`` neighbouring slots, so the tokens of any slot
 are found by arithmetic, and reading goes on from any slot after a stop.
 
-Documents are tokenised once and stored. The table is bucketed by the task that wrote a row, so
-that the rows' places in the stream, found from their token counts, meet the stored tokens without
-shuffling them; the tokens are shuffled once, to their shard.
+Documents are tokenised once and stored. Their places in the stream are found from the token counts
+alone; the tokens are shuffled twice, to meet their places and to their shard.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow.fs
@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse.llm.common import map_rows, materialised
-from citypulse.session import fresh_path
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts are cut before merging; the second form differs at runs of white space alone.
@@ -42,6 +41,7 @@ ROUNDS = 6
 #: Into so many groups the rows are dealt by a hash, to number them without one task for all.
 GROUPS = 4096
 CHARS_AT_ONCE = 1 << 21
+ROWS_AT_ONCE = 500
 
 
 def encoders(ranks: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
@@ -111,8 +111,10 @@ def permuted(index: np.ndarray, n: int, key: int = KEY, inverse: bool = False) -
 
 
 def _tokenised(docs: DataFrame, ranks: str) -> DataFrame:
-    """part, row, doc_id, tie, n, tokens: stored in a table whose buckets follow the task that wrote them."""
-    spark = docs.sparkSession
+    """part, row, doc_id, tie, n, tokens: stored, so that every text is tokenised once.
+
+    ``part`` and ``row`` only tell the rows of this table apart.
+    """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         for row, (part, doc_id, tie, text) in enumerate(rows):
@@ -121,11 +123,7 @@ def _tokenised(docs: DataFrame, ranks: str) -> DataFrame:
 
     source = docs.select(F.spark_partition_id().alias("part"), "doc_id", F.xxhash64("text").alias("tie"), "text")
     found = map_rows(source, run, "part int, row int, doc_id long, tie long, n int, tokens binary")
-    name = f"tokens_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = found.write.format("parquet").option("compression", "zstd").option("path", fresh_path(spark, "tokens"))
-    writer.bucketBy(buckets, "part").saveAsTable(name)
-    return spark.table(name)
+    return materialised(found, "tokens")
 
 
 def _places(stored: DataFrame) -> DataFrame:
@@ -158,23 +156,29 @@ def shards(
     token ids in two bytes, low byte first. An empty table gives no shards. The same rows, key and
     lengths give the same shards, however the table is split into files and tasks.
     """
-    spark = docs.sparkSession
     stored = _tokenised(docs, ranks)
     places = materialised(_places(stored), "token-places")
     total = stored.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
     n = -(-total // length)
     n_shards = -(-n // per_shard)
-    tasks = max(1, min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = max(1, min(n_shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def cut(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for offset, found in rows:
-            size = len(found) // 2
-            first, last = offset // length, (offset + size - 1) // length
-            slots = permuted(np.arange(first, last + 1), n, key).tolist()
-            for sequence, slot in zip(range(first, last + 1), slots):
-                start, end = max(offset, sequence * length), min(offset + size, (sequence + 1) * length)
-                piece = found[2 * (start - offset) : 2 * (end - offset)]
-                yield slot // per_shard, slot % per_shard * length + start - sequence * length, piece
+        rows = iter(rows)
+        while group := list(islice(rows, ROWS_AT_ONCE)):
+            begin = np.array([offset for offset, _ in group])
+            end = begin + np.array([len(found) // 2 for _, found in group])
+            first, last = begin // length, (end - 1) // length
+            # one entry for each piece: its row, its sequence, and the part of the stream that it holds
+            row = np.repeat(np.arange(len(group)), last - first + 1)
+            sequence = first[row] + np.arange(len(row)) - np.searchsorted(row, row)
+            start = np.maximum(begin[row], sequence * length)
+            stop = np.minimum(end[row], (sequence + 1) * length)
+            slot = permuted(sequence, n, key)
+            at = slot % per_shard * length + start - sequence * length
+            inside = (2 * (start - begin[row]), 2 * (stop - begin[row]))
+            for r, shard, place, i, j in zip(*(a.tolist() for a in (row, slot // per_shard, at, *inside))):
+                yield shard, place, group[r][1][i:j]
 
     def fill(rows: Iterable[tuple]) -> Iterator[tuple]:
         current, payload = None, bytearray()
