@@ -129,6 +129,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     """doc_id, tie, size, source_size, target, copies (0, 1 or 2): one row for each row of ``docs``.
 
     Null and empty texts have size 0 and one copy; a null source is a source of its own, the last.
+    Tables that grow with the documents are merged by sorting: their files are small for their rows,
+    and Spark would take them for small enough to broadcast.
     Rows that agree in doc_id and text are interchangeable. Reruns give the same rows.
     """
     sized = materialised(sizes(docs).withColumn("salt", salted("doc_id", SALTS)), "mixing-sizes")
@@ -163,7 +165,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     reached = F.floor(F.col("before") + F.col("part") * F.sum("n").over(up_to) + 0.5)
     extras = (
         cells.withColumnRenamed("source", "of").withColumnRenamed("size", "z")
-        .join(rated, _same(F.col("of"), F.col("source")) & (F.col("z") == F.col("size")))
+        .join(rated.hint("merge"), _same(F.col("of"), F.col("source")) & (F.col("z") == F.col("size")))
         .select("of", "salt", "n", *of)
         .withColumn("reached", reached)
         .withColumn("extra", F.col("reached") - F.coalesce(F.lag("reached").over(down), F.floor(F.col("before") + 0.5)))
@@ -173,7 +175,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     turn = Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
     return (
         sized.withColumn("turn", F.row_number().over(turn))
-        .join(extras, _same(F.col("source"), F.col("of")) & (F.col("size") == F.col("z")) & (F.col("salt") == F.col("cell")))
+        .join(
+            extras.hint("merge"),
+            _same(F.col("source"), F.col("of")) & (F.col("size") == F.col("z")) & (F.col("salt") == F.col("cell")),
+        )
         .select(
             "doc_id", "tie", "size", "source_size", "target",
             (F.col("whole") + (F.col("turn") <= F.col("extra")).cast("int")).alias("copies"),
@@ -192,4 +197,4 @@ def mixed(docs: DataFrame) -> DataFrame:
         {same[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), same[1]: F.xxhash64("text")}
     ).withColumn("row turn", F.row_number().over(turn))
     each = F.explode(F.array_repeat(F.lit(1), F.element_at("row copies", F.col("row turn"))))
-    return rows.join(copies, same).select(*docs.columns, each.alias("row copy")).drop("row copy")
+    return rows.join(copies.hint("merge"), same).select(*docs.columns, each.alias("row copy")).drop("row copy")

@@ -67,7 +67,8 @@ def op7_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, toxicity.graded(table(spark, sf_dir, "labels")))
-    return toxicity.severity(docs.select("doc_id", "text"), model).select("doc_id", "expected_severity", "grade")
+    scored = toxicity.severity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", "expected_severity", "grade", (F.col("grade") > 0).alias("toxic"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
