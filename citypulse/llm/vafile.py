@@ -166,9 +166,10 @@ def top_k(embeddings: DataFrame, queries: DataFrame | None = None, k: int = K) -
                 for s, vec_id in sorted(near)[:k]:
                     yield query_id, vec_id, -s
 
-    # every block meets every chunk: blocks go to all groups, a chunk to one of them
+    # every block meets every chunk: blocks go to all groups, a chunk to one of them. Blocks grow with
+    # the table, so they are merged, which can spill, and not broadcast
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    spread = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).hint("merge")
     dealt = chunks.withColumn("to", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int"))
     pairs = dealt.select("to", "ids", "cells", "exact").join(
         spread.select("to", F.col("ids").alias("query_ids"), F.col("exact").alias("query_exact")), "to"
