@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citypulse.session import fresh_path
+from citypulse.session import fresh_path, remove
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 ROWS_PER_BATCH = 2_000
@@ -26,11 +26,29 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     It cuts the lineage and keeps what is read more than once from being computed more than once;
     a lost executor loses none of it.
     """
-    path = fresh_path(df.sparkSession, label)
+    return _written(df, fresh_path(df.sparkSession, label))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """The state of a loop, as a table in the shared folder that each round replaces by a new one."""
+
+    def __init__(self, first: DataFrame, label: str) -> None:
+        self.path, self.count = fresh_path(first.sparkSession, label), 0
+        self.state = _written(first, f"{self.path}/0")
+
+    def replace(self, state: DataFrame) -> DataFrame:
+        old = f"{self.path}/{self.count}"
+        self.count += 1
+        self.state = _written(state, f"{self.path}/{self.count}")
+        remove(state.sparkSession, old)
+        return self.state
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str | T.StructType,
     binary: tuple[str, ...] = (),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citypulse.llm.common import map_rows, materialised, salted, word_blocks
+from citypulse.llm.common import Rounds, map_rows, materialised, salted, word_blocks
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -74,7 +74,7 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
         (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"), F.min("size").alias("least")
     )
     start = goals.join(spread, _same(goals.source, spread.source)).drop(spread.source)
-    state = materialised(
+    rounds = Rounds(
         start.where(F.col("target") < LIMIT * F.col("source_size") * (1 - 1e-12)).select(
             "source", "target", "mean",
             (F.col("mean") / F.col("least") * F.least(F.log(F.col("target") / F.col("source_size")), F.lit(0.0))).alias("low"),
@@ -84,10 +84,10 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
         "mixing-multipliers",
     )
     for _ in range(STEPS):
-        if not state.where("not done").take(1):
+        if not rounds.state.where("not done").take(1):
             break
-        state = materialised(_step(counts, state), "mixing-multipliers")
-    return state.select("source", "multiplier", "mean")
+        rounds.replace(_step(counts, rounds.state))
+    return rounds.state.select("source", "multiplier", "mean")
 
 
 def _rate(multiplier: Column, size: Column, mean: Column) -> Column:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.llm.common import is_empty, map_rows, materialised, word_blocks
+from citypulse.llm.common import Rounds, is_empty, map_rows, materialised, word_blocks
 
 BITS = 64
 SHINGLE = 3
@@ -154,8 +154,8 @@ def components(edges: DataFrame) -> DataFrame:
     knows (large star, small star); the number of rounds grows with the logarithm of the longest
     chain. Each round is written to the shared folder; the driver sees two sums a round.
     """
-    edges = materialised(edges.select("a", "b"), "simhash-links")
-    before = None
+    rounds = Rounds(edges.select("a", "b"), "simhash-links")
+    edges, before = rounds.state, None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -169,7 +169,7 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.explode(F.array(F.struct(F.col("m").alias("a"), "b"), F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e"))
             .select("e.a", "e.b").where("a < b").distinct()
         )
-        edges = materialised(small, "simhash-links")
+        edges = rounds.replace(small)
         now = edges.agg(
             F.count("*").alias("n"),
             F.bit_xor(F.xxhash64("a", "b")).alias("x"),
