@@ -4,12 +4,15 @@ Every document gets a rate of copies, min(2, exp(l * size / mean size)), with on
 each source: of all rates up to the limit that bring the source's words to its target, those
 nearest to one copy each in relative entropy. Safeguarded Newton steps on the dual find the
 multipliers. A rate depends on source and size alone, so the steps run on counts of documents by
-source and size. Rates are then rounded along increasing size, so that a source's words end within
-about one document's size of the target.
+source and size. Rates are then rounded from the largest size to the smallest, each size taking on
+what was left over before.
 """
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +128,22 @@ def _step(counts: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def _rounded(sizes: pd.DataFrame) -> pd.DataFrame:
+    """How many documents of each size of a source get one copy more than the whole part of their rate.
+
+    From the largest size down; what rounding leaves over, in words, goes on to the next smaller size, so
+    that a source ends within half a small document of its target. There is a row for each size.
+    """
+    sizes = sizes.sort_values("size", ascending=False)
+    more, left = [], 0.0
+    for size, n, whole, part in zip(sizes["size"], sizes["n"], sizes["whole"], sizes["part"]):
+        wanted = n * part + (left / size if size else 0.0)
+        more.append(0 if whole >= LIMIT or not size else int(min(n, max(0, math.floor(wanted + 0.5)))))
+        left = (wanted - more[-1]) * size
+    out = sizes.assign(more=more).rename(columns={"size": "z", "n": "total"})
+    return out[["source", "z", "source_size", "target", "total", "whole", "more"]]
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """doc_id, tie, size, source_size, target, copies (0, 1 or 2): one row for each row of ``docs``.
 
@@ -151,26 +170,24 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
         .withColumn("whole", F.floor("rate").cast("int"))
         .withColumn("part", F.col("rate") - F.col("whole"))
     )
-    earlier = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    rated = materialised(
-        rated.select(
-            "source", "size", "source_size", "target", "whole", "part",
-            F.coalesce(F.sum(F.col("n") * F.col("part")).over(earlier), F.lit(0.0)).alias("before"),
-        ),
+    rounded = materialised(
+        rated.select("source", "size", "source_size", "target", "n", "whole", "part")
+        .groupBy("source")
+        .applyInPandas(_rounded, "source string, z long, source_size long, target double, total long, whole int, more long"),
         "mixing-rates",
-    )
-    of = ["size", "source_size", "target", "whole", "part", "before"]
-    up_to = Window.partitionBy("of", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy("of", "size").orderBy("salt")
-    reached = F.floor(F.col("before") + F.col("part") * F.sum("n").over(up_to) + 0.5)
+    )
+    # the further copies of a size are spread over its salts in proportion
+    turns = Window.partitionBy("of", "z").orderBy("salt")
+    upto = F.sum("n").over(turns.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = F.expr("CAST(more AS DECIMAL(18,0)) * CAST(upto AS DECIMAL(18,0)) div total")
     extras = (
-        cells.withColumnRenamed("source", "of").withColumnRenamed("size", "z")
-        .join(rated.hint("merge"), _same(F.col("of"), F.col("source")) & (F.col("z") == F.col("size")))
-        .select("of", "salt", "n", *of)
+        cells.withColumnRenamed("source", "of")
+        .join(rounded.hint("merge"), _same(F.col("of"), F.col("source")) & (F.col("z") == F.col("size")))
+        .withColumn("upto", upto)
         .withColumn("reached", reached)
-        .withColumn("extra", F.col("reached") - F.coalesce(F.lag("reached").over(down), F.floor(F.col("before") + 0.5)))
-        .select("of", F.col("size").alias("z"), F.col("salt").alias("cell"), "source_size", "target", "whole", "extra")
-    )
+        .withColumn("extra", F.col("reached") - F.coalesce(F.lag("reached").over(turns), F.lit(0)))
+        .select("of", "z", F.col("salt").alias("cell"), "source_size", "target", "whole", "extra")
+    )
     extras = materialised(extras, "mixing-extras")
     turn = Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
     return (

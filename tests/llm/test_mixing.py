@@ -47,7 +47,7 @@ def held(rows: list[tuple], got: list) -> None:
         taken[s] += r.copies * r.size
         most[s] = max(most[s], r.size)
     for s in of:
-        assert abs(taken[s] - target[s]) <= 2 * most[s] + 1
+        assert abs(taken[s] - target[s]) <= most[s] / 2 + 1
 
 
 def test_contract(spark):
