@@ -44,6 +44,8 @@ def test_json_object_test(spark):
     cases = {
         "not json": False, "5": False, "[1]": False, "null": False, "{}": True, '{"raw":"x"}': True,
         '{"a":1} trailing': False, '{"a":1': False, ' {"a":1} ': True, "{'a':1}": False, '{"a":{"b":[1,2]}}': True,
+        '{"a":1}{"b":2}': False, '{"a":1} x}': False, '{"a":1},}': False, '{"a":1},': False, '{"a":1},{"b":2}': False,
+        '{"a":1}],[{"b":2}': False, '{"a":1}, "w": {"b":2}': False, '{"a":1}\t': True, "": False,
     }
     df = spark.createDataFrame([(k,) for k in cases], "v STRING")
     got = {r[0]: r[1] for r in df.select("v", F.coalesce(sc.is_json_object(F.col("v")), F.lit(False))).collect()}
