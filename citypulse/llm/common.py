@@ -87,6 +87,36 @@ def map_rows(
     return df.mapInArrow(run, out)
 
 
+def judged(
+    df: DataFrame, column: str, make: Callable[[], Callable[[bytes | None], object]], added: T.StructType | None = None
+) -> DataFrame:
+    """The rows of ``df``, judged by the text in ``column``; other columns pass as they are.
+
+    ``make`` gives, once a task, a function from a text's UTF-8 bytes (or null). With ``added`` it
+    returns the values of further columns, which replace others of their names; without, whether the
+    row stays.
+    """
+    kept = [c for c in df.columns if added is None or c not in added.names]
+    rows = df.select(*kept, F.col(column).cast("binary").alias("text to judge"))
+    arrow = None if added is None else pa.schema([pa.field(f.name, _arrow(f.dataType)) for f in added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_PER_BATCH):
+                part = batch.slice(start, ROWS_PER_BATCH)
+                found = [judge(text) for text in part.column(part.num_columns - 1).to_pylist()]
+                columns, names = part.columns[:-1], part.schema.names[:-1]
+                if arrow is None:
+                    yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(found, type=pa.bool_()))
+                else:
+                    more = _batch(found, arrow)
+                    yield pa.RecordBatch.from_arrays([*columns, *more.columns], [*names, *more.schema.names])
+
+    schema = T.StructType([*df.select(*kept).schema.fields, *(added.fields if added else [])])
+    return rows.mapInArrow(run, schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays(

@@ -20,9 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from citypulse.llm.common import map_rows, word_blocks
+from citypulse.llm.common import judged, map_rows, word_blocks
 
 SHINGLE = 5
 OVERLAP = 0.8
@@ -262,12 +261,8 @@ def contaminated(docs: DataFrame, index: Index) -> DataFrame:
 def clean(docs: DataFrame, index: Index) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all columns; nothing is shuffled."""
 
-    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def make():
         known = _Terms(index.vocabulary)
-        for *row, text in rows:
-            if not leaks(index, text, known):
-                yield tuple(row)
+        return lambda text: not leaks(index, text, known)
 
-    return map_rows(
-        docs.select(*docs.columns, F.col("text").alias("text to check")), run, docs.schema, binary=("text to check",)
-    )
+    return judged(docs, "text", make)

@@ -99,16 +99,16 @@ def deduplicated(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     found = materialised(windows(docs, least_chars), "lines-windows")
     gone = repeated(found).distinct().groupBy("doc_id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     gone = gone.select(
-        F.col("doc_id").alias("of"), F.col("tie").alias("of tie"),
-        F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))).alias("gone"),
+        F.col("doc_id").alias("row of"), F.col("tie").alias("row of tie"),
+        F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))).alias("row gone"),
     )
     tied = docs.withColumn("row tie", F.xxhash64("text"))
-    joined = tied.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row tie") == F.col("of tie")), "left")
+    joined = tied.join(gone, F.col("doc_id").eqNullSafe(F.col("row of")) & (F.col("row tie") == F.col("row of tie")), "left")
     lines = _lines(F.col("text"))
-    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("row gone"))
+    text = F.when(F.col("row gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
     )
     kept = [c for c in docs.columns if c != "removed_lines"]
-    written = joined.withColumn("removed_lines", F.coalesce(F.size("gone"), F.lit(0))).withColumn("new text", text)
-    return written.select(*(F.col("new text").alias("text") if c == "text" else F.col(c) for c in kept), "removed_lines")
+    written = joined.withColumn("removed_lines", F.coalesce(F.size("row gone"), F.lit(0))).withColumn("row text", text)
+    return written.select(*(F.col("row text").alias("text") if c == "text" else F.col(c) for c in kept), "removed_lines")

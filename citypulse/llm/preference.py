@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 #: The marks around a turn. A turn's own text cannot contain them: "<|" in it becomes "< |".
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SCORED = "assistant"
+FORMATTED = (
+    "prompt", "prompt_turns", "chosen_completion", "rejected_completion", "chosen_mask", "rejected_mask", "usable",
+)
 
 
 def conversations(turns: DataFrame) -> DataFrame:
@@ -84,7 +87,8 @@ def formatted(pairs: DataFrame) -> DataFrame:
     ``chosen`` and ``rejected`` are arrays of (role, text); null counts as an empty conversation.
     Adds prompt, prompt_turns, chosen_completion, rejected_completion, chosen_mask, rejected_mask, and
     usable: whether both completions have something to score and differ. Where one conversation goes
-    on from the whole of the other, the shorter one's completion is empty; equal ones have two.
+    on from the whole of the other, the shorter one's completion is empty; equal ones have two. Columns
+    of these names in ``pairs`` are replaced.
     """
     nothing = F.array().cast("array<struct<role:string,text:string>>")
     sides = pairs.withColumns({c: F.coalesce(c, nothing) for c in ("chosen", "rejected")})
@@ -106,10 +110,8 @@ def formatted(pairs: DataFrame) -> DataFrame:
         }
     )
     usable = (F.size("chosen_mask") > 0) & (F.size("rejected_mask") > 0)
-    kept = [c for c in pairs.columns if c not in ("chosen", "rejected")]
-    return written.withColumn("usable", usable).select(
-        *kept, "prompt", "prompt_turns", "chosen_completion", "rejected_completion", "chosen_mask", "rejected_mask", "usable"
-    )
+    kept = [c for c in pairs.columns if c not in ("chosen", "rejected", *FORMATTED)]
+    return written.withColumn("usable", usable).select(*kept, *FORMATTED)
 
 
 def _last_answer(turns: Column) -> Column:

@@ -16,8 +16,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from citypulse.llm.common import map_rows, word_blocks
+from citypulse.llm.common import judged, map_rows, word_blocks
 
 BINS = 1 << 20
 #: Labelled documents that the fit uses at most: those with the smallest hash of their doc_id.
@@ -236,21 +237,36 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
     the number of thresholds that are reached with a chance of one half or more. A null or empty
     text has the score 0. Columns of these names in ``docs`` are replaced.
     """
-    weights = dict(sorted(model.weights.items()))
+    added = T.StructType().add("expected_severity", T.DoubleType()).add("grade", T.IntegerType())
 
-    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        known = _Bins()
-        for *row, text in rows:
-            score = sum(weights[b] for b in sorted(bins(text, known)) if b in weights)
-            chances = model.chances(score)
-            yield *row, float(round(sum(chances), 6)), sum(p >= 0.5 for p in chances)
+    def make():
+        chances = _chances(model)
+
+        def judge(text: bytes | None) -> tuple[float, int]:
+            found = chances(text)
+            return float(round(sum(found), 6)), sum(p >= 0.5 for p in found)
+
+        return judge
+
+    return judged(docs, "text", make, added)
 
-    kept = [c for c in docs.columns if c not in ("expected_severity", "grade")]
-    schema = docs.select(kept).schema.add("expected_severity", "double").add("grade", "integer")
-    return map_rows(docs.select(*kept, F.col("text").alias("text to score")), run, schema, binary=("text to score",))
+
+def _chances(model: Model):
+    """Function from a text to its chances of each grade; words are looked up once a task."""
+    known, weights = _Bins(), model.weights
+
+    def chances(text: bytes | None) -> list[float]:
+        return model.chances(sum(weights[b] for b in sorted(bins(text, known)) if b in weights))
+
+    return chances
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` of grade 0, with all columns."""
+    """The rows of ``docs`` of grade 0, with all columns; nothing is shuffled."""
     model = fit(docs, graded(labels))
-    return severity(docs, model).where("grade = 0").drop("grade", "expected_severity")
+
+    def make():
+        chances = _chances(model)
+        return lambda text: max(chances(text), default=0.0) < 0.5
+
+    return judged(docs, "text", make)

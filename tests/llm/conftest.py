@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+from decimal import Decimal
+
 import pytest
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -43,9 +46,14 @@ def odd_rows():
 
 @pytest.fixture
 def odd_docs(spark, odd_rows):
-    """The rows with further columns whose names operators use inside."""
-    rows = [(*r, i, "x", 0.5) for i, r in enumerate(odd_rows)]
-    return spark.createDataFrame(rows, DOCUMENTS + ", size long, fp string, score double").repartition(3)
+    """The rows with further columns, of many types, whose names operators use inside."""
+    more = (
+        "size long, fp string, score double, grade int, tie array<long>, copies map<string,int>, gone date, salt boolean, "
+        "of timestamp, line struct<a:int>, target decimal(9,2), component_id binary"
+    )
+    rest = ("x", 0.5, 7, [1, 2], {"k": 1}, date(2024, 1, 2), True, datetime(2024, 1, 2, 3), (4,), Decimal("1.25"), b"y")
+    rows = [(*r, i, *rest) for i, r in enumerate(odd_rows)]
+    return spark.createDataFrame(rows, f"{DOCUMENTS}, {more}").repartition(3)
 
 
 @pytest.fixture

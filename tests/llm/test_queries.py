@@ -123,6 +123,18 @@ def test_pipeline_over_an_empty_table(spark, corpus, no_docs):
         assert docs.collect() == [], name
 
 
+def test_pipeline_over_odd_rows(spark, corpus, odd_docs, odd_rows):
+    """Further columns of any type stay, with their values, until the last stage."""
+    sf_dir, _, _ = corpus
+    docs = odd_docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.schema == odd_docs.schema, name
+        got = docs.collect()
+        assert got and all(r.grade == 7 and r["copies"] == {"k": 1} and odd_rows[r.size][1] == r.text for r in got), name
+    assert dict(corpus_pipeline.STAGES)["token_shards"](spark, docs, sf_dir).count() == 1
+
+
 def test_toxic_words_in_the_given_tables(spark):
     """Held-out labels: documents outside the sample that the model was fitted on."""
     sf_dir = "/root/testdata/sf0.1"
