@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
 from tests.test_gold import at, buckets, small
 
 from citypulse import schemas as S
@@ -221,3 +222,18 @@ def test_strict_and_known_means(spark):
     assert gold.select(analytics.known_mean(S.grid_ids(), "congestion")).first()[0] == 0.5
     by_hour = analytics.congestion_by_hour(gold).first()
     assert by_hour.hour == "0" and by_hour.avg_congestion == pytest.approx(0.5 / 9)
+
+
+def test_city_rows_can_be_limited(spark):
+    gold = gold_wide(*small(spark, *TIMES))
+    assert analytics.city_rows(gold, "A").count() == 3
+    assert [r.time_bucket for r in analytics.city_rows(gold, "A", 1).collect()] == [at("2024-01-01T00:00:00")]
+
+
+def test_correlation_of_constant_values_is_null(spark):
+    gold = gold_wide(*small(spark, *TIMES))
+    got = analytics.rain_congestion_correlation(gold, as_of="2024-01-03 00:00:00")
+    assert [(r.buckets, r.correlation) for r in got.collect()] == [(3, None)]
+    rising = gold.withColumn("grid_0_0_rain", F.unix_timestamp(F.col("time_bucket").cast("timestamp")).cast("double"))
+    moved = rising.withColumn("grid_0_0_congestion", F.col("grid_0_0_rain") * -2)
+    assert analytics.rain_congestion_correlation(moved, as_of="2024-01-03 00:00:00").first().correlation == pytest.approx(-1)
