@@ -66,10 +66,7 @@ def map_rows(
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(start, ROWS_PER_BATCH)
-                columns = [
-                    c.cast(pa.large_binary() if pa.types.is_large_string(c.type) else pa.binary()) if n in binary else c
-                    for n, c in zip(part.schema.names, part.columns)
-                ]
+                columns = [_bytes(c) if n in binary else c for n, c in zip(part.schema.names, part.columns)]
                 yield from zip(*(c.to_pylist() for c in columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +89,11 @@ def judged(
 ) -> DataFrame:
     """The rows of ``df``, judged by the text in ``column``; other columns pass as they are.
 
-    ``make`` gives, once a task, a function from a text's UTF-8 bytes (or null). With ``added`` it
+    ``column`` is one of the columns that stay. ``make`` gives, once a task, a function from a text's UTF-8 bytes (or null). With ``added`` it
     returns the values of further columns, which replace others of their names; without, whether the
     row stays.
     """
     kept = [c for c in df.columns if added is None or c not in added.names]
-    rows = df.select(*kept, F.col(column).cast("binary").alias("text to judge"))
     arrow = None if added is None else pa.schema([pa.field(f.name, _arrow(f.dataType)) for f in added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,16 +101,21 @@ def judged(
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(start, ROWS_PER_BATCH)
-                found = [judge(text) for text in part.column(part.num_columns - 1).to_pylist()]
-                columns, names = part.columns[:-1], part.schema.names[:-1]
+                found = [judge(text) for text in _bytes(part.column(part.schema.get_field_index(column))).to_pylist()]
                 if arrow is None:
-                    yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(found, type=pa.bool_()))
+                    yield part.filter(pa.array(found, type=pa.bool_()))
                 else:
                     more = _batch(found, arrow)
-                    yield pa.RecordBatch.from_arrays([*columns, *more.columns], [*names, *more.schema.names])
+                    names = [*part.schema.names, *more.schema.names]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *more.columns], names)
 
     schema = T.StructType([*df.select(*kept).schema.fields, *(added.fields if added else [])])
-    return rows.mapInArrow(run, schema)
+    return df.select(*kept).mapInArrow(run, schema)
+
+
+def _bytes(texts: pa.Array) -> pa.Array:
+    """The UTF-8 bytes of strings, without a copy."""
+    return texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -27,7 +27,7 @@ SHINGLE = 5
 OVERLAP = 0.8
 K1, B = 1.2, 0.75
 ITEMS_A_BLOCK = 8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 #: The index goes to every task, so its size is checked: words of all items together.
 MOST_ITEM_WORDS = 5_000_000
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -24,7 +24,7 @@ GRAM = 3
 WINDOW = 4
 BAND = 8
 COVERAGE = 0.8
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 #: The index goes to every task, so its size is checked: words of all templates together.
 MOST_TEMPLATE_WORDS = 2_000_000
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
