@@ -1,27 +1,29 @@
 """Licence texts and notices in documents: fingerprints pick candidates, alignment decides.
 
-The templates' word trigrams are winnowed: of every ``WINDOW`` neighbouring ones that with the
-smallest hash goes into an inverted index. All trigrams of a document are looked up there. Hits of a
-template that lie near one diagonal are a candidate, whose words are aligned with the template's
-in a band around that diagonal; the share of the template's words that match is its coverage.
+A template of n words may lack a fifth of them. Its fingerprints are its longest words, one more than
+may be lacking, so every alignment that reaches the coverage holds one of them, whatever else was
+changed or put between. (Runs of words hold no such promise: every fifth word changed, or a word put
+between any two, breaks them.) An inverted index leads from a fingerprint in a document to the
+template and the diagonal. The longest common subsequence around it bounds what alignment can reach;
+where that is enough, the words are aligned with the template's in every band that holds the
+diagonal. The share of the template's words that match is its coverage.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect, insort
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from statistics import median_low
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 
 from citypulse.llm.common import map_rows, word_blocks
 
-GRAM = 3
-WINDOW = 4
+LEAST_WORDS = 3
 BAND = 8
 COVERAGE = 0.8
 CACHED_WORDS = 250_000
@@ -89,12 +91,12 @@ TEMPLATES = {
 
 @dataclass(frozen=True)
 class Index:
-    """names and words by template; vocabulary: word -> number; keys (ascending) with their postings."""
+    """names, words and least matches by template; vocabulary: word -> number; postings: number of a fingerprint -> (template, place)."""
 
     names: tuple[str, ...]
     words: tuple[tuple[int, ...], ...]
+    needed: tuple[int, ...]
     vocabulary: dict[bytes, int]
-    keys: np.ndarray
     postings: dict[int, list[tuple[int, int]]]
 
 
@@ -102,33 +104,24 @@ def _bare(word: bytes) -> bytes:
     return word.lower().strip(MARKS)
 
 
-def build_index(templates: dict[str, str]) -> Index:
-    """Templates of fewer words than a trigram cannot be found and are refused."""
+def build_index(templates: dict[str, str], coverage: float = COVERAGE) -> Index:
+    """Templates of fewer than ``LEAST_WORDS`` words say too little and are refused."""
     vocabulary: dict[bytes, int] = {}
-    names, rows = [], []
-    for name, text in sorted(templates.items()):
+    names, rows, needed = [], [], []
+    postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for template, (name, text) in enumerate(sorted(templates.items())):
         bare = [w for w in map(_bare, text.encode().split()) if w]
-        if len(bare) < GRAM:
-            raise ValueError(f"{name}: a template needs {GRAM} words or more")
+        if len(bare) < LEAST_WORDS:
+            raise ValueError(f"{name}: a template needs {LEAST_WORDS} words or more")
         names.append(name)
         rows.append(tuple(vocabulary.setdefault(w, len(vocabulary)) for w in bare))
+        needed.append(max(1, math.ceil(coverage * len(bare) - 1e-9)))
+        longest = sorted(range(len(bare)), key=lambda i: (-len(bare[i]), i))
+        for place in sorted(longest[: len(bare) - needed[-1] + 1]):
+            postings[rows[-1][place]].append((template, place))
     if sum(map(len, rows)) > MOST_TEMPLATE_WORDS:
         raise ValueError(f"the templates hold more than {MOST_TEMPLATE_WORDS} words; pass them in parts")
-    postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for template, row in enumerate(rows):
-        keys = [_key(row[i : i + GRAM], len(vocabulary)) for i in range(len(row) - GRAM + 1)]
-        hashes = [(xxhash.xxh64_intdigest(k.to_bytes(8, "little")), -i) for i, k in enumerate(keys)]
-        chosen = {-min(hashes[i : i + WINDOW])[1] for i in range(max(1, len(keys) - WINDOW + 1))}
-        for place in sorted(chosen):
-            postings[keys[place]].append((template, place))
-    return Index(tuple(names), tuple(rows), vocabulary, np.array(sorted(postings), dtype=np.int64), dict(postings))
-
-
-def _key(gram: tuple[int, ...], width: int) -> int:
-    key = 0
-    for word in gram:
-        key = key * width + word
-    return key
+    return Index(tuple(names), tuple(rows), tuple(needed), vocabulary, dict(postings))
 
 
 class _Words(dict):
@@ -137,6 +130,7 @@ class _Words(dict):
     def __init__(self, vocabulary: dict[bytes, int]):
         super().__init__()
         self.vocabulary, self.room = vocabulary, CACHED_WORDS
+        self.places: dict[int, dict[int, int]] = {}
 
     def __missing__(self, word: bytes) -> int:
         plain = word.strip(MARKS)
@@ -147,37 +141,64 @@ class _Words(dict):
         return number
 
 
-def candidates(index: Index, numbers: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(template, hits): hits (place in the text, place in the template) near one diagonal, in order."""
-    if len(numbers) < GRAM or not len(index.keys):
-        return
-    width = len(index.vocabulary)
-    known = numbers >= 0
-    whole = known[: len(numbers) - GRAM + 1].copy()
-    keys = np.zeros(len(whole), dtype=np.int64)
-    for i in range(GRAM):
-        part = slice(i, len(numbers) - GRAM + 1 + i)
-        whole &= known[part]
-        keys = keys * width + numbers[part]
-    places = np.flatnonzero(whole)
-    found = index.keys[np.minimum(np.searchsorted(index.keys, keys[places]), len(index.keys) - 1)] == keys[places]
-    open_runs: dict[int, list[list[tuple[int, int]]]] = defaultdict(list)
-    for place in places[found].tolist():
-        for template, at in index.postings[int(keys[place])]:
-            runs = open_runs[template]
-            reach = len(index.words[template]) + BAND
-            for run in [r for r in runs if place - r[-1][0] > reach]:
-                runs.remove(run)
-                yield template, run
-            for run in runs:
-                if abs((place - at) - (run[0][0] - run[0][1])) <= BAND and at > run[-1][1]:
-                    run.append((place, at))
+def _most(template: tuple[int, ...], places: dict[int, int], text: list[int]) -> int:
+    """The length of the longest common subsequence; ``places`` has a bit for each place of a word in the template."""
+    whole = free = (1 << len(template)) - 1
+    for word in text:
+        if here := places.get(word):
+            met = free & here
+            free = (free + met | free - met) & whole
+    return len(template) - free.bit_count()
+
+
+def alignments(index: Index, numbers: np.ndarray, words: _Words) -> Iterator[tuple[int, int, int, int]]:
+    """(template, matched words, first, last place in the text) of every alignment with enough matches.
+
+    A fingerprint on the diagonal d is tried in the bands around d - BAND ... d + BAND, which are all
+    that hold d. Around an exact copy they all give that copy.
+    """
+    prints = np.zeros(len(index.vocabulary) + 1, dtype=bool)  # the last one is for words in no template
+    prints[list(index.postings)] = True
+    tried: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for at in np.flatnonzero(prints[numbers]).tolist():
+        for template, place in index.postings[int(numbers[at])]:
+            row, needed, middle = index.words[template], index.needed[template], at - place
+            near = numbers[max(0, middle - 2 * BAND) : max(0, middle + len(row) + 2 * BAND)].tolist()
+            if template not in words.places:
+                words.places[template] = defaultdict(int)
+                for i, word in enumerate(row):
+                    words.places[template][word] |= 1 << i
+            most = _most(row, words.places[template], near)
+            if most < needed:
+                continue
+            if middle >= 0 and tuple(numbers[middle : middle + len(row)].tolist()) == row:
+                yield template, len(row), middle, middle + len(row) - 1
+                continue
+            # where any two alignments in reach overlap, one with the most matches makes others needless
+            alone = 2 * needed > len(row) + 4 * BAND
+            for shift in sorted(range(middle - BAND, middle + BAND + 1), key=lambda s: abs(s - middle)):
+                if (template, shift) not in tried:
+                    base = max(0, shift - BAND)
+                    text = numbers[base : max(0, shift + len(row) + BAND + 1)].tolist()
+                    matched, first, last = aligned(row, text, shift - base)
+                    tried[template, shift] = matched, base + first, base + last
+                    if matched >= needed:
+                        yield template, matched, base + first, base + last
+                if alone and tried[template, shift][0] == most:
                     break
-            else:
-                runs.append([(place, at)])
-    for template, runs in open_runs.items():
-        for run in runs:
-            yield template, run
+
+
+def _apart(found: Iterable[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Of alignments of one template that overlap the one with the most matches stays, then the tightest, then the first."""
+    taken: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    kept = []
+    for template, matched, first, last in sorted(set(found), key=lambda f: (-f[1], f[3] - f[2], f[2], f[0])):
+        spans = taken[template]
+        i = bisect(spans, (first, last))
+        if (i == 0 or spans[i - 1][1] < first) and (i == len(spans) or spans[i][0] > last):
+            insort(spans, (first, last))
+            kept.append((template, matched, first, last))
+    return kept
 
 
 def aligned(template: tuple[int, ...], text: list[int], shift: int) -> tuple[int, int, int]:
@@ -205,29 +226,23 @@ def aligned(template: tuple[int, ...], text: list[int], shift: int) -> tuple[int
     return matched, -first, -last
 
 
-def licences(index: Index, text: bytes, words: _Words, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int]]:
+def licences(index: Index, text: bytes, words: _Words) -> list[tuple[str, float, int, int, int]]:
     """(template, coverage, matched words, start, end) of a whole text; code points, end exclusive."""
     blocks = [np.fromiter(map(words.__getitem__, block), dtype=np.int64, count=len(block)) for block in word_blocks(text.lower())]
     if not blocks:
         return []
     every = np.concatenate(blocks)
     kept = np.flatnonzero(every > -2)
-    numbers = every[kept]
-    found: dict[tuple[int, int, int], int] = {}
-    for template, run in candidates(index, numbers):
-        size = len(index.words[template])
-        shift = median_low([place - at for place, at in run])
-        base = max(0, shift - BAND)
-        near = numbers[base : shift + size + BAND + 1].tolist()
-        matched, first, last = aligned(index.words[template], near, shift - base)
-        if matched >= coverage * size - 1e-9:
-            found[template, int(kept[base + first]), int(kept[base + last])] = matched
+    found = [
+        (template, matched, int(kept[first]), int(kept[last]))
+        for template, matched, first, last in _apart(alignments(index, every[kept], words))
+    ]
     if not found:
         return []
-    wanted = {place for _, *ends in found for place in ends}
+    wanted = {place for _, _, *ends in found for place in ends}
     spots = {i: m.span() for i, m in enumerate(WORD.finditer(text)) if i in wanted}
     out = []
-    for (template, first, last), matched in found.items():
+    for template, matched, first, last in found:
         before = text[: spots[first][0]].decode()
         inside = text[spots[first][0] : spots[last][1]].decode()
         share = round(matched / len(index.words[template]), 6)
@@ -245,14 +260,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
 
     The span goes from the first to the last matched word, marks at their ends included. Of templates
     that overlap in the text one gives way to another of higher coverage and no fewer matched words;
-    so a whole notice within a whole licence is reported beside it. Null and empty texts have none.
+    so a whole notice within a whole licence is reported beside it. A short notice in which one word
+    stands for another counts too, as far as the coverage allows. Null and empty texts have none.
     """
-    index = build_index(TEMPLATES if templates is None else templates)
+    index = build_index(TEMPLATES if templates is None else templates, coverage)
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         words = _Words(index.vocabulary)
         for doc_id, text in rows:
-            for found in licences(index, text or b"", words, coverage):
+            for found in licences(index, text or b"", words):
                 yield doc_id, *found
 
     schema = "doc_id long, template string, coverage double, matched_words int, start long, end long"

@@ -83,3 +83,67 @@ def test_short_and_oversized_templates_are_refused(monkeypatch):
     monkeypatch.setattr(L, "MOST_TEMPLATE_WORDS", 3)
     with pytest.raises(ValueError, match="in parts"):
         L.build_index({"a": "four words are here"})
+
+
+SHORT = sorted(n for n, t in L.TEMPLATES.items() if len(t.split()) <= 12)
+
+
+def everywhere(text: str) -> set[str]:
+    """The templates that alignment finds when it is tried at every place, without fingerprints."""
+    words = L._Words(INDEX.vocabulary)
+    numbers = [words[w] for w in text.lower().encode().split()]
+    return {
+        name
+        for name, row in zip(INDEX.names, INDEX.words)
+        if name in SHORT
+        and any(
+            L.aligned(row, numbers[max(0, s - L.BAND) :], s - max(0, s - L.BAND))[0] >= L.COVERAGE * len(row) - 1e-9
+            for s in range(-L.BAND - len(row), len(numbers) + L.BAND)
+        )
+    }
+
+
+def variants(words: list[str]):
+    for i in range(len(words)):
+        once = [words[:i] + ["xx"] + words[i + 1 :], words[:i] + words[i + 1 :], words[:i] + ["xx"] + words[i:]]
+        yield from once
+        for j in range(i + 1, len(words)):
+            yield once[0][:j] + ["yy"] + words[j + 1 :]
+            yield once[0][:j] + ["yy"] + words[j:]
+            yield words[:i] + words[i + 1 : j] + words[j + 1 :]
+
+
+@pytest.mark.parametrize("name", SHORT)
+def test_short_notices_with_changed_words_are_found_as_by_alignment_at_every_place(name):
+    for words in variants(L.TEMPLATES[name].split()):
+        text = " ".join(["before", "it", *words, "and", "after"])
+        wanted, got = everywhere(text), {f[0] for f in found(text)}
+        assert got <= wanted, text
+        # a better one may take the place of one that it overlaps
+        assert (name in wanted) == (name in got) or got, text
+        assert bool(got) == bool(wanted), text
+
+
+@pytest.mark.parametrize(
+    "text, name, share",
+    [
+        ("Distributed under the MIT License.", "mit-notice", 0.8),
+        ("Released under the BSD License.", "mit-notice", 0.8),
+        ("Released by us under our MIT own License.", "mit-notice", 0.8),
+        ("Licensed under Apache License, Version 2.0", "apache-2.0-notice", 0.857143),
+        ("Licensed with CC BY 4.0.", "cc-by-4.0-notice", 0.8),
+    ],
+)
+def test_short_notices_with_changed_words(text, name, share):
+    assert [(f[0], f[1]) for f in found(f"So: {text} End")] == [(name, share)]
+
+
+def test_long_templates_with_every_fifth_word_changed():
+    for name in ("mit", "gpl-notice", "isc", "unlicense"):
+        words = ["xx" if i % 5 == 4 else w for i, w in enumerate(L.TEMPLATES[name].split())]
+        assert name in [f[0] for f in found(sentence(1, 50) + " " + " ".join(words) + " " + sentence(2, 50))]
+
+
+def test_an_edited_notice_beside_a_whole_one():
+    text = "Distributed under the MIT License. Released under the MIT License. Released under our MIT License."
+    assert [f[1] for f in found(text)] == [0.8, 1.0, 0.8]
