@@ -30,7 +30,11 @@ HOST = re.compile(r"(?:[^/?#@]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost)(
 #: Between a cue and its value.
 BETWEEN = re.compile(r"(?:[\x20_-]?(?:no|nr|number|id)\b\.?)?[\x20\"']{0,2}[:=#]?[\x20\"']{0,2}", re.ASCII | re.IGNORECASE)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
-VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,127}", re.ASCII)
+VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,}", re.ASCII)
+#: A secret's value goes on to white space or a quote, or to the quote that it began with; a backslash takes a sign along.
+SECRET = {"": re.compile(r"[^\s\"']*"), '"': re.compile(r'(?:\\\S|[^\s"])*'), "'": re.compile(r"(?:\\\S|[^\s'])*")}
+LEAST_SECRET = 6
+DIGIT = re.compile(r"[0-9]")
 ACCOUNT_CUES = ("iban", "account", "acct", "passport", "customer", "member")
 SECRET_CUES = ("token", "password", "passwd", "secret", "api_key", "apikey")
 
@@ -107,14 +111,54 @@ def _url(text: str, mark: int, after: int) -> tuple[int, int] | None:
     return (start, mark + 3 + len(rest)) if HOST.match(rest) else None
 
 
-def _account(text: str, start: int, end: int, kind: str) -> tuple[int, int] | None:
-    """The value that a cue at start:end announces. The cue must be a word of its own."""
-    if start and (text[start - 1].isalnum() or text[start - 1] == "_") or text[end : end + 1].isalnum():
+class _Values:
+    """Ends of secret values, and the digits in them: each part of a text is read once for each kind of quote."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.read = dict.fromkeys(SECRET, (0, 0))
+        self.digit = -1
+
+    def end(self, at: int, quote: str) -> int:
+        start, end = self.read[quote]
+        if not start <= at < end:
+            end = SECRET[quote].match(self.text, at).end()
+            self.read[quote] = at, end
+        return end
+
+    def has_digit(self, at: int, end: int) -> bool:
+        if self.digit < at:
+            found = DIGIT.search(self.text, at)
+            self.digit = found.start() if found else len(self.text)
+        return self.digit < end
+
+
+def _secret(text: str, start: int, at: int, values: _Values) -> tuple[int, int] | None:
+    """The value at ``at``, what is between it and its cue beginning at ``start``.
+
+    Marks that end a sentence or close a bracket are left out behind a value without quotes. Without
+    a quote, colon or the like before it a value begins with a letter or digit.
+    """
+    quote = text[at - 1] if text[at - 1] in "\"'" else ""
+    end = values.end(at, quote)
+    if not values.has_digit(at, end) or not (set(text[start:at]) & set("\"':=#") or text[at].isalnum()):
+        return None
+    if not quote or text[end : end + 1] != quote:
+        while end > at and text[end - 1] in ".,;:)]}>":
+            end -= 1
+    return (at, end) if end - at >= LEAST_SECRET else None
+
+
+def _announced(text: str, start: int, end: int, kind: str, values: _Values) -> tuple[int, int] | None:
+    """The value that a cue at start:end announces. The cue must be a word, or part of one behind ``_`` or ``-``."""
+    if start and text[start - 1].isalnum() or text[end : end + 1].isalnum():
         return None
     at = BETWEEN.match(text, end).end()
     if at == end:
         return None
-    if kind == "account" and (iban := IBAN.match(text, at)):
+    if kind == "secret":
+        return _secret(text, end, at, values)
+    if iban := IBAN.match(text, at):
         while (size := len(iban[0])) and not iban_holds(iban[0].replace(" ", "")):
             # words in capitals may follow
             shorter = iban[0].rfind(" ")
@@ -133,6 +177,7 @@ def spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str
     """(start, end, kind) of a whole text, by start, then in the order of ``KINDS``. In code points."""
     found: list[tuple[int, int, str]] = []
     after = dict.fromkeys(KINDS, 0)
+    values = _Values(text)
 
     def keep(kind: str, span: tuple[int, int] | None) -> None:
         if span:
@@ -158,7 +203,7 @@ def spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[int, int, str
             if at >= after["url"]:
                 keep("url", _url(text, at, after["url"]))
         elif at >= after[anchor]:
-            keep(anchor, _account(text, at, last + 1, anchor))
+            keep(anchor, _announced(text, at, last + 1, anchor, values))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -89,3 +89,39 @@ def test_every_row_comes_back(spark, odd_docs, odd_rows, no_docs):
             want = pii.written(slow(texts[r.doc_id] or ""))
             assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert pii.personal_data(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("size", [6, 127, 128, 129, 300, 1_000, 100_000])
+@pytest.mark.parametrize("cue, kind", [("token = ", "secret"), ("account: ", "account"), ('"db_password": "', "secret")])
+def test_values_of_any_size_are_covered_whole(size, cue, kind):
+    value = "a1" * (size // 2) + "b" * (size % 2)
+    text = f"x {cue}{value}" + ('"' if cue.endswith('"') else "") + " y"
+    assert [(k, text[a:b]) for a, b, k in pii.spans(text, ANCHORS)] == [(kind, value)]
+    assert value[-6:] not in pii.masked(text, pii.spans(text, ANCHORS))
+
+
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVP-mB92K27uhbUJU1p1r_wW1gFWFOEjXk"
+
+
+@pytest.mark.parametrize("value", [JWT, "aGVsbG8/d29ybGQ+MTIzNDU2Nzg5MA==", "/9j+4AAQ/SkZ=", "p4ss!w0rd$%&x", "pässwörd12€"])
+@pytest.mark.parametrize("cue", ["token", "access_token", "client_secret", "db_password", "AUTH_TOKEN", "x-api_key", "Secret"])
+@pytest.mark.parametrize("form", ["{}={}", "{}: {}", '"{}": "{}"', "{} = '{}'", "see ({}={}).", "{}={},\nnext"])
+def test_secrets_of_any_marks_behind_cues_of_any_prefix(value, cue, form):
+    text = "a " + form.format(cue, value) + " b"
+    assert [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"] == [value]
+
+
+def test_a_quoted_value_ends_at_its_own_quote():
+    text = """password = "it's(1,2);" and secret='a\\'b"123,' token "abc123", token=abc123"x"""
+    got = [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"]
+    assert got == ["it's(1,2);", "a\\'b\"123,", "abc123", "abc123"]
+
+
+@pytest.mark.parametrize("text", ["_token", "mytoken: 123456", "token (see 12345678)", "token: nothing here", "token=1.", "tokens=123456"])
+def test_no_secret(text):
+    assert pii.spans(text, ANCHORS) == []
+
+
+@pytest.mark.parametrize("part", ["token=", 'token="', "token='x", "account-no.", "secret: ", "my_account=a"])
+def test_many_cues_without_values_are_read_once(part):
+    assert pii.spans(part * 40_000, ANCHORS) == []
