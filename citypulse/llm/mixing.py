@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citypulse.llm.common import Rounds, map_rows, materialised, salted, word_blocks
+from citypulse.llm.common import Rounds, is_empty, map_rows, materialised, salted, word_blocks
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -24,6 +24,10 @@ LIMIT = 2.0
 SALTS = 64
 STEPS = 60
 CLOSE = 1e-9
+#: Rows that agree in doc_id and text are numbered in one task up to this many, then by partition.
+CROWD = 10_000
+#: So many rows at a time are made from the number of rows that agree.
+BLOCK = 1_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -144,16 +148,16 @@ def _rounded(sizes: pd.DataFrame) -> pd.DataFrame:
     return out[["source", "z", "source_size", "target", "total", "whole", "more"]]
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """doc_id, tie, size, source_size, target, copies (0, 1 or 2): one row for each row of ``docs``.
+def _decided(docs: DataFrame, weights: tuple[float, ...], share: float) -> DataFrame:
+    """doc_id, tie, size, source_size, target, whole, rows, more: a row for those that agree in doc_id, text and source.
 
-    Null and empty texts have size 0 and one copy; a null source is a source of its own, the last.
-    Tables that grow with the documents are merged by sorting: their files are small for their rows,
-    and Spark would take them for small enough to broadcast.
-    Rows that agree in doc_id and text are interchangeable. Reruns give the same rows.
+    ``rows`` is how many they are; ``more`` of them get one copy more than ``whole``. Tables that grow
+    with the documents are merged by sorting: their files are small for their rows, and Spark would
+    take them for small enough to broadcast.
     """
-    sized = materialised(sizes(docs).withColumn("salt", salted("doc_id", SALTS)), "mixing-sizes")
-    cells = materialised(sized.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "mixing-cells")
+    alike = sizes(docs).groupBy("doc_id", "source", "size", "tie").agg(F.count("*").alias("rows"))
+    sized = materialised(alike.withColumn("salt", salted("doc_id", SALTS)), "mixing-sizes")
+    cells = materialised(sized.groupBy("source", "size", "salt").agg(F.sum("rows").alias("n")), "mixing-cells")
     counts = materialised(cells.groupBy("source", "size").agg(F.sum("n").alias("n")), "mixing-counts")
     totals = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     goals = materialised(targets(totals, weights, share), "mixing-targets")
@@ -190,28 +194,76 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     )
     extras = materialised(extras, "mixing-extras")
     turn = Window.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
+    before = F.coalesce(F.sum("rows").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
-        sized.withColumn("turn", F.row_number().over(turn))
+        sized.withColumn("before", before)
         .join(
             extras.hint("merge"),
             _same(F.col("source"), F.col("of")) & (F.col("size") == F.col("z")) & (F.col("salt") == F.col("cell")),
         )
         .select(
-            "doc_id", "tie", "size", "source_size", "target",
-            (F.col("whole") + (F.col("turn") <= F.col("extra")).cast("int")).alias("copies"),
+            "doc_id", "tie", "size", "source_size", "target", "whole", "rows",
+            F.least("rows", F.greatest(F.col("extra") - F.col("before"), F.lit(0))).alias("more"),
         )
     )
 
 
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """doc_id, tie, size, source_size, target, copies (0, 1 or 2): one row for each row of ``docs``.
+
+    Null and empty texts have size 0 and one copy; a null source is a source of its own, the last.
+    Rows that agree in doc_id and text are interchangeable. Reruns give the same rows.
+    """
+    found = _decided(docs, weights, share)
+    blocks = found.withColumn("block", F.explode(F.expr(f"sequence(0L, rows - 1, {BLOCK}L)")))
+    turns = F.sequence(F.col("block") + 1, F.least("rows", F.col("block") + BLOCK))
+    return blocks.withColumn("turn", F.explode(turns)).select(
+        "doc_id", "tie", "size", "source_size", "target",
+        (F.col("whole") + (F.col("turn") <= F.col("more")).cast("int")).alias("copies"),
+    )
+
+
 def mixed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies, with all columns."""
+    """The rows of ``docs``, each as often as its copies, with all columns.
+
+    Rows that agree in doc_id and text are numbered; the first have no copy, the next one, the last
+    two. Crowds of them are stored with the partition they came in and numbered by partition.
+    """
     same = ["row key", "row tie"]
-    copies = mix(docs).groupBy(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(same[0]), F.col("tie").alias(same[1])
-    ).agg(F.sort_array(F.collect_list("copies")).alias("row copies"))
-    turn = Window.partitionBy(*same).orderBy(F.lit(0))
+    usual, once_more = F.col("rows") - F.col("more"), F.col("more")
+    bounds = materialised(
+        _decided(docs, WEIGHTS, SHARE)
+        .groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(same[0]), F.col("tie").alias(same[1]))
+        .agg(
+            F.sum(F.when(F.col("whole") == 0, usual).otherwise(0)).alias("row none"),
+            F.sum(F.when(F.col("whole") == 0, usual + once_more).when(F.col("whole") == 1, usual).otherwise(0)).alias("row once"),
+            F.sum("rows").alias("row number"),
+        ),
+        "mixing-bounds",
+    )
     rows = docs.withColumns(
         {same[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), same[1]: F.xxhash64("text")}
-    ).withColumn("row turn", F.row_number().over(turn))
-    each = F.explode(F.array_repeat(F.lit(1), F.element_at("row copies", F.col("row turn"))))
-    return rows.join(copies.hint("merge"), same).select(*docs.columns, each.alias("row copy")).drop("row copy")
+    )
+    crowds = bounds.where(F.col("row number") > CROWD).select(*same)
+    if is_empty(crowds):
+        return _copied(rows, bounds, same, docs.columns)
+    # broadcast: one row for every CROWD rows at most
+    few = rows.join(F.broadcast(crowds), same, "left_anti")
+    many = rows.join(F.broadcast(crowds), same, "left_semi").withColumn("row part", F.spark_partition_id())
+    many = materialised(many, "mixing-crowds")
+    parts = many.groupBy(*same, "row part").agg(F.count("*").alias("row held"))
+    earlier = Window.partitionBy(*same).orderBy("row part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("row held").over(earlier), F.lit(0))
+    parts = parts.withColumn("row start", start).join(bounds, same).withColumns(
+        {n: F.col(n) - F.col("row start") for n in ("row none", "row once")}
+    )
+    return _copied(few, bounds, same, docs.columns).unionByName(_copied(many, parts, [*same, "row part"], docs.columns))
+
+
+def _copied(rows: DataFrame, bounds: DataFrame, same: list[str], columns: list[str]) -> DataFrame:
+    """The rows as often as their number among those that agree in ``same`` says."""
+    turn = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
+    copies = F.when(F.col("row turn") <= F.col("row none"), 0).when(F.col("row turn") <= F.col("row once"), 1).otherwise(2)
+    each = F.explode(F.array_repeat(F.lit(1), copies))
+    bounds = bounds.select(*same, "row none", "row once").hint("merge")
+    return rows.withColumn("row turn", turn).join(bounds, same).select(*columns, each.alias("row copy")).drop("row copy")

@@ -105,3 +105,33 @@ def test_mixed_rows_are_as_many_as_their_copies(spark, odd_docs):
 def test_one_size_and_one_source(spark):
     rows = [(i, "same words here", "en", "only", 1) for i in range(501)]
     held(rows, M.mix(spark.createDataFrame(rows, DOCUMENTS)).collect())
+
+
+def test_crowds_of_equal_rows_are_numbered_in_parts(spark, monkeypatch):
+    """1,200 rows without doc_id and text, 900 that agree with a text, among others."""
+    rows = [(None, None, "en", "a", 1)] * 1_200 + [(7, sentence(7, 30), "en", "a", 1)] * 900
+    rows += [(100 + i, sentence(i, 10 + i % 40), "en", "ab"[i % 2], 1) for i in range(300)]
+    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(6).localCheckpoint()
+    wanted = defaultdict(int)
+    for r in M.mix(frame).collect():
+        wanted[r.doc_id] += r.copies
+    assert 900 < wanted[7] < 1_800 or 0 < wanted[7] < 900  # some of the crowd have another number of copies
+    numbered = []
+    copied = M._copied
+    monkeypatch.setattr(M, "_copied", lambda rows, bounds, same, columns: numbered.append((rows, same)) or copied(rows, bounds, same, columns))
+    monkeypatch.setattr(M, "CROWD", 20)
+    out = M.mixed(frame)
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.doc_id] += 1
+    assert {k: v for k, v in wanted.items() if v} == got
+    assert len(numbered) == 2
+    for some, same in numbered:
+        assert some.groupBy(*same).count().agg({"count": "max"}).first()[0] <= 400
+
+
+def test_copies_are_not_gathered_in_arrays(spark):
+    rows = [(i % 5, "equal words", "en", "a", 1) for i in range(50)]
+    plan = M.mixed(spark.createDataFrame(rows, DOCUMENTS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    assert M.mix(spark.createDataFrame(rows, DOCUMENTS)).count() == 50
