@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from citypulse.llm.common import judged, map_rows, word_blocks
 
@@ -28,9 +30,12 @@ OVERLAP = 0.8
 K1, B = 1.2, 0.75
 ITEMS_A_BLOCK = 8
 CACHED_WORDS = 250_000
-#: The index goes to every task, so its size is checked: words of all items together.
+#: The index goes to every task, so its size is checked: words of all items together. Postings and
+#: block maxima are at most as many.
 MOST_ITEM_WORDS = 5_000_000
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A sign that is neither white space nor one of ``MARKS``.
+A_WORD = r"[^\x09-\x0D\x20-/:-@\[-`{-~]"
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -47,16 +52,24 @@ class Item:
 
 @dataclass
 class Index:
-    """vocabulary: word -> term; postings: of each term the items and impacts; tops: by term and
-    block of ``ITEMS_A_BLOCK`` neighbouring items the largest impact; bound: by term the largest."""
+    """vocabulary: word -> term; postings: of each term the items and impacts; bound: by term the
+    largest impact. Of the blocks of ``ITEMS_A_BLOCK`` neighbouring items a term has some: those numbered
+    top_blocks[top_starts[term] : top_starts[term + 1]], ascending, with their largest impacts in tops."""
 
     items: list[Item]
     vocabulary: dict[bytes, int]
     postings: list[tuple[list[int], list[float]]]
+    top_starts: np.ndarray
+    top_blocks: np.ndarray
     tops: np.ndarray
     bound: np.ndarray
     tile: int
 
+    def top(self, term: int, block: int) -> float:
+        start, end = self.top_starts[term], self.top_starts[term + 1]
+        at = start + int(np.searchsorted(self.top_blocks[start:end], block))
+        return float(self.tops[at]) if at < end and self.top_blocks[at] == block else 0.0
+
 
 def bare(word: bytes) -> bytes:
     return word.lower().strip(MARKS)
@@ -95,15 +108,25 @@ def build_index(items: Iterable[tuple[int, str, str]]) -> Index:
         for t, value in impact.items():
             rows[t].append((place, value / need))
     postings = [([p for p, _ in row], [v for _, v in row]) for row in rows]
-    tops = np.zeros((len(vocabulary), -(-n // ITEMS_A_BLOCK)), dtype=np.float32)
+    top_starts, top_blocks, tops = np.zeros(len(rows) + 1, dtype=np.int64), array("i"), array("f")
     for t, row in enumerate(rows):
-        for place, value in row:
-            block = place // ITEMS_A_BLOCK
-            tops[t, block] = max(tops[t, block], np.nextafter(np.float32(value), np.float32(np.inf)))
-    bound = tops.max(axis=1, initial=0)
-    return Index(kept, vocabulary, postings, tops, bound, max((len(i.words) for i in kept), default=1))
-
-
+        for place, value in row:  # in the order of places
+            above = np.nextafter(np.float32(value), np.float32(np.inf))
+            if len(tops) > top_starts[t] and top_blocks[-1] == place // ITEMS_A_BLOCK:
+                tops[-1] = max(tops[-1], above)
+            else:
+                top_blocks.append(place // ITEMS_A_BLOCK)
+                tops.append(above)
+        top_starts[t + 1] = len(tops)
+    maxima = np.array(tops, dtype=np.float32)
+    # a term of the vocabulary is in an item, so it has a block
+    bound = np.maximum.reduceat(maxima, top_starts[:-1]) if rows else maxima
+    longest = max((len(i.words) for i in kept), default=1)
+    return Index(kept, vocabulary, postings, top_starts, np.array(top_blocks, dtype=np.int32), maxima, bound, longest)
+
+
+#: Block maxima that are added up at a time.
+AT_A_TIME = 2_000_000
 #: The threshold, less what sums of rounded numbers may be short of it.
 ENOUGH = 1 - 1e-5
 
@@ -137,7 +160,7 @@ def retrieve(index: Index, terms: list[int]) -> list[tuple[int, float]]:
         while pivot + 1 < len(order) and current(order[pivot + 1]) == item:
             pivot += 1
         block = item // ITEMS_A_BLOCK
-        if sum(float(index.tops[terms[k], block]) for k in order[: pivot + 1]) < ENOUGH:
+        if sum(index.top(terms[k], block) for k in order[: pivot + 1]) < ENOUGH:
             # nothing up to the block's end, or to the next list's item, can reach the threshold
             onward = (block + 1) * ITEMS_A_BLOCK
             if pivot + 1 < len(order):
@@ -207,17 +230,30 @@ def _promising(index: Index, passage: np.ndarray, term: np.ndarray) -> Iterator[
     ends = np.append(starts[1:], len(passage))
     reach = np.add.reduceat(index.bound[term], starts)
     hopeful = np.flatnonzero(reach >= ENOUGH)
-    step = max(1, 2_000_000 // max(1, index.tops.shape[1] * 2 * index.tile))
-    for first in range(0, len(hopeful), step):
-        some = hopeful[first : first + step]
+    held = np.diff(index.top_starts)
+    blocks = -(-len(index.items) // ITEMS_A_BLOCK)
+    entries = np.cumsum(np.add.reduceat(held[term], starts)[hopeful])
+    first = 0
+    while first < len(hopeful):
+        before = entries[first - 1] if first else 0
+        step = min(np.searchsorted(entries, before + AT_A_TIME) - first, AT_A_TIME // blocks)
+        some = hopeful[first : first + max(1, int(step))]
+        first += len(some)
         length = ends[some] - starts[some]
-        offset = np.concatenate(([0], np.cumsum(length)[:-1]))
-        rows = np.repeat(starts[some] - offset, length) + np.arange(length.sum())
-        sums = np.add.reduceat(index.tops[term[rows]], offset, axis=0)
+        terms = term[_ranges(starts[some], length)]
+        at = _ranges(index.top_starts[terms], held[terms])
+        cell = np.repeat(np.repeat(np.arange(len(some)), length), held[terms]) * blocks + index.top_blocks[at]
+        sums = np.bincount(cell, weights=index.tops[at], minlength=len(some) * blocks).reshape(-1, blocks)
         for k in some[sums.max(axis=1) >= ENOUGH].tolist():
             yield int(passage[starts[k]]), int(starts[k]), int(ends[k])
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length."""
+    offset = np.cumsum(lengths) - lengths
+    return np.repeat(starts - offset, lengths) + np.arange(lengths.sum())
+
+
 def _overlaps(item: Item, near: list[int]) -> tuple[float, float, float]:
     """The shares of the shingles of the item, its question and its answer that a passage holds.
 
@@ -236,8 +272,15 @@ def _overlaps(item: Item, near: list[int]) -> tuple[float, float, float]:
 
 
 def index_of(benchmark: DataFrame) -> Index:
-    """The index of a benchmark table (item_id, text). Its size is checked in :func:`build_index`."""
-    rows = benchmark.select("item_id", "text").limit(MOST_ITEM_WORDS + 1).collect()
+    """The index of a benchmark table (item_id, text). Its size is checked in :func:`build_index`.
+
+    Rows without a word are left out before rows are counted. What is left has a word each, so more
+    rows than words are allowed are an error.
+    """
+    items = benchmark.select("item_id", "text").where(F.col("text").rlike(A_WORD))
+    rows = items.limit(MOST_ITEM_WORDS + 1).collect()
+    if len(rows) > MOST_ITEM_WORDS:
+        raise ValueError(f"the benchmark has more than {MOST_ITEM_WORDS} items; pass it in parts")
     return build_index((r.item_id, *question_and_answer(r.text)) for r in rows)
 
 

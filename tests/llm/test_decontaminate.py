@@ -96,3 +96,28 @@ def test_rows(spark, odd_docs, odd_rows, no_docs):
 def test_index_of_a_table(spark):
     items = spark.createDataFrame([(1, "A question here? Yes."), (2, None), (None, "x y z")], "item_id long, text string")
     assert [(i.item_id, i.question, len(i.words)) for i in D.index_of(items).items] == [(1, 3, 4), (None, 3, 3)]
+
+
+def test_rows_without_words_do_not_displace_items(spark, monkeypatch):
+    monkeypatch.setattr(D, "MOST_ITEM_WORDS", 8)
+    rows = [(i, (None, "", " \n", "?! .")[i % 4]) for i in range(40)] + [(50, "one two three."), (51, "é 7?")]
+    items = spark.createDataFrame(rows, "item_id long, text string").coalesce(1)
+    assert [i.item_id for i in D.index_of(items).items] == [50, 51]
+    many = spark.createDataFrame([(i, "\u00a0") for i in range(9)], "item_id long, text string")
+    with pytest.raises(ValueError, match="in parts"):
+        D.index_of(many)
+
+
+def test_block_maxima_are_at_most_as_many_as_the_words():
+    items = [(i, f"a{i} b{i} c{i} d{i} e{i} f{i} the", "") for i in range(2_000)]
+    index = D.build_index(items)
+    arrays = [v for v in vars(index).values() if hasattr(v, "nbytes")]
+    assert sum(a.nbytes for a in arrays) <= 32 * sum(len(i.words) for i in index.items)
+    assert leaks("x " + items[1234][1] + " y " + items[77][1], index) == [77, 1234]
+
+
+@pytest.mark.parametrize("at_a_time", [1, 7, 100])
+def test_passages_are_looked_at_a_few_at_a_time(monkeypatch, at_a_time):
+    text = " ".join(f"{sentence(n, 60)} {q} {a}" for n, (_, q, a) in enumerate(ITEMS[:9]))
+    monkeypatch.setattr(D, "AT_A_TIME", at_a_time)
+    assert leaks(text) == slow_leaks(text) == list(range(9))
