@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm import (
+    collocations,
     decontaminate,
     license_scan,
     line_dedup,
+    line_frequency,
     materialise,
     mixing,
+    periodic,
     pii,
     preference,
     simhash,
@@ -80,6 +83,19 @@ def op10_materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise.shards(table(spark, sf_dir, "documents"))
 
 
+def op11_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source is its host."""
+    return line_frequency.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), change=periodic.planted)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -93,6 +109,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_mixing,
         op10_materialise,
+        op11_line_frequency,
+        op12_collocations,
+        op13_periodic,
     )
 }
 
