@@ -1,23 +1,28 @@
 """Phrases that occur together more often than their parts would, counted with HAT-tries.
 
-Each task counts in a trie over word ids: at the root a node for each first word (of a language), below it a
-hash container of what follows. A container that grows too large bursts into one container for each
-second word. Every position gives one entry, the word and up to two that follow it in its piece, so the
-count of a shorter phrase is the sum over the entries that begin with it. When the trie holds too many
-entries, whole subtrees, those that repeat the least first, leave it as runs sorted by words.
-
-Runs are a table in the shared folder. They are merged by prefix: rows that begin with the same two words
-meet in one partition, and as every task has summed its own before, a word or pair that a third of all texts
-holds comes as a few rows from each task. Scores are exact integers.
+Each task counts in a trie over word ids, whose levels are the digits of a phrase's ids: few of them, as below
+are hash containers of whole phrases. A container that grows too large bursts into containers by the
+next digit. When the trie holds too many entries, whole subtrees, those that repeat the least first, leave
+it as runs sorted by words. Runs are a table in the shared folder. They are merged by prefix: rows that
+begin with the same two words meet in one partition, and as every task has summed its own before, a
+word or pair that a third of all texts holds comes as a few rows from each task.
+
+The trie grows by level. The first pass counts words and pairs; the second counts three words in a row, but
+only where both pairs in them may be frequent, as a phrase is never more frequent than its parts. The
+frequent pairs are known to the tasks by a table of bits of fixed size, whatever their number: a pair that is
+not among them may pass, and then costs an entry, a frequent one always does. Scores are exact integers.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,173 +34,301 @@ TOP = 2_000
 WITHIN = 50
 #: Entries of a container that bursts, of a trie that spills, and words that a trie knows at most.
 BURST = 1 << 12
-ENTRIES = 600_000
+ENTRIES = 800_000
 VOCABULARY = 200_000
-SALTS = 16
+#: Bits of the table of frequent pairs, 8 MB, whatever the input.
+BITS = 1 << 26
+#: Words that are counted in arrays before they go to the trie.
+BLOCK = 1 << 18
+#: Bits of a word id in a packed phrase: more than a vocabulary and the words of a block can be.
+WIDTH = 21
+MASK = (1 << WIDTH) - 1
+#: Shift and mask of the digits by which a phrase is found: two of its first word, two of its second.
+DIGITS = ((2 * WIDTH, 255), (2 * WIDTH + 8, 15), (WIDTH, 15), (WIDTH + 4, 15))
 ROWS = 1 << 15
+SALTS = 8
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-#: A-Z become a-z, separators line feeds.
-PLAIN = bytes.maketrans(bytes(range(65, 91)) + SEPARATORS, bytes(range(97, 123)) + b"\n" * len(SEPARATORS))
+#: A byte that no text has stands between pieces.
+END = b"\xff"
+#: A-Z become a-z, separators ends of pieces.
+PLAIN = bytes.maketrans(bytes(range(65, 91)) + SEPARATORS, bytes(range(97, 123)) + END * len(SEPARATORS))
+EDGE = re.compile(rb"[\x20\x09\xff]")
+#: Bytes of a text that are split into words at a time.
+CHUNK = 1 << 20
 RUN = pa.schema([("lang", pa.string()), ("first", pa.string()), ("second", pa.string()), ("third", pa.string()), ("n", pa.int64())])
+RUN_DDL = "lang string, first string, second string, third string, n long"
 UNKNOWN = "und"
 
 
 class Node:
-    """All entries that begin with one word of a language: how often it occurs, and what follows it.
+    """Phrases that agree in the digits of the levels above: in a container, or burst, in nodes by this level's digit."""
+
+    __slots__ = ("level", "held", "nodes", "entries", "n")
+
+    def __init__(self, level: int) -> None:
+        self.level, self.held, self.nodes, self.entries, self.n = level, {}, None, 0, 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
+        """Phrases, none twice. The number of those that are new."""
+        before = self.entries
+        self.n += int(counts.sum())
+        if self.nodes is None:
+            held, get = self.held, self.held.get
+            for key, n in zip(keys.tolist(), counts.tolist()):
+                held[key] = get(key, 0) + n
+            self.entries = len(held)
+            if self.entries > burst and self.level < len(DIGITS):
+                self.held, self.nodes = {}, {}
+                keys = np.fromiter(held, dtype=np.int64, count=len(held))
+                self._deal(keys, np.fromiter(held.values(), dtype=np.int64, count=len(held)), burst)
+        else:
+            self.entries += self._deal(keys, counts, burst)
+        return self.entries - before
+
+    def _deal(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
+        shift, most = DIGITS[self.level]
+        digits = keys >> shift & most
+        order = np.argsort(digits, kind="stable")
+        digits, keys, counts = digits[order], keys[order], counts[order]
+        starts = np.flatnonzero(np.diff(digits, prepend=-1))
+        new = 0
+        for digit, start, end in zip(digits[starts].tolist(), starts, [*starts[1:], len(keys)]):
+            node = self.nodes.get(digit)
+            if node is None:
+                node = self.nodes[digit] = Node(self.level + 1)
+            new += node.add(keys[start:end], counts[start:end], burst)
+        return new
 
-    ``rest`` maps second << 32 | third to a count, with 0 for no word; burst, it maps second to a
-    container of thirds.
-    """
+    def flat(self, keys: list[int], counts: list[int]) -> None:
+        keys += self.held
+        counts += self.held.values()
+        for node in (self.nodes or {}).values():
+            node.flat(keys, counts)
 
-    __slots__ = ("n", "rest", "burst", "entries")
 
-    def __init__(self) -> None:
-        self.n, self.rest, self.burst, self.entries = 0, {}, False, 0
+class HatTrie:
+    """Counts of phrases of up to three words, of several languages, within a bound of entries."""
 
-    def split(self) -> None:
-        parts: dict[int, dict[int, int]] = {}
-        for key, n in self.rest.items():
-            parts.setdefault(key >> 32, {})[key & 0xFFFFFFFF] = n
-        self.rest, self.burst = parts, True
+    def __init__(self, burst: int = BURST, entries: int = ENTRIES) -> None:
+        self.burst, self.most = burst, entries
+        self.roots: dict[str, Node] = {}
+        self.entries = 0
+
+    def add(self, lang: str, keys: np.ndarray, counts: np.ndarray) -> None:
+        root = self.roots.get(lang)
+        if root is None:
+            root = self.roots[lang] = Node(0)
+            root.nodes = {}
+        self.entries += root.add(keys, counts, self.burst)
 
-    def flat(self) -> Iterator[tuple[int, int]]:
-        if not self.burst:
-            return iter(self.rest.items())
-        return ((second << 32 | third, n) for second, thirds in self.rest.items() for third, n in thirds.items())
+    def full(self) -> bool:
+        return self.entries >= self.most
+
+    def spilled(self, words: list[bytes], left: int | None = None) -> Iterator[pa.RecordBatch]:
+        """Subtrees as sorted runs, those of the fewest occurrences an entry first, until so many (half) entries are left."""
+        left = self.most // 2 if left is None else left
+        below = [(n.n / n.entries, lang, digit) for lang, root in self.roots.items() for digit, n in root.nodes.items()]
+        leaving: dict[str, list[Node]] = {}
+        for _, lang, digit in sorted(below):
+            if self.entries <= left:
+                break
+            root = self.roots[lang]
+            node = root.nodes.pop(digit)
+            leaving.setdefault(lang, []).append(node)
+            root.entries -= node.entries
+            self.entries -= node.entries
+        yield from _runs(leaving, words)
+
+
+def _runs(leaving: dict[str, list[Node]], words: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """Rows by language and words; ``words`` by id, from 1."""
+    texts = pa.array(words, type=pa.binary())
+    order = pc.sort_indices(texts)
+    rank = np.zeros(len(words) + 1, dtype=np.int64)
+    rank[order.to_numpy().astype(np.int64) + 1] = np.arange(1, len(words) + 1)
+    names = pa.concat_arrays([pa.array([None], type=pa.string()), texts.take(order).cast(pa.string())])
+    for lang in sorted(leaving):
+        keys, counts = [], []
+        for node in leaving[lang]:
+            node.flat(keys, counts)
+        ids = np.array(keys, dtype=np.int64)
+        ranked = packed(rank[ids >> 2 * WIDTH], rank[ids >> WIDTH & MASK], rank[ids & MASK])
+        order = np.argsort(ranked)
+        ranked, n = ranked[order], np.array(counts, dtype=np.int64)[order]
+        for cut in range(0, len(n), ROWS):
+            part = ranked[cut : cut + ROWS]
+            three = [names.take(pa.array(c)) for c in (part >> 2 * WIDTH, part >> WIDTH & MASK, part & MASK)]
+            langs = pa.repeat(pa.scalar(lang, type=pa.string()), len(part))
+            yield pa.RecordBatch.from_arrays([langs, *three, pa.array(n[cut : cut + ROWS])], schema=RUN)
+
+
+def packed(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """A phrase's ids as one number; 0 is no word."""
+    return first << 2 * WIDTH | second << WIDTH | third
+
+
+def tokens(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in lower case, with ``END`` between pieces, some at a time."""
+    plain, start = text.translate(PLAIN), 0
+    while start < len(plain):
+        edge = EDGE.search(plain, min(start + CHUNK, len(plain)))
+        end = edge.start() if edge else len(plain)
+        yield plain[start:end].replace(END, b" " + END + b" ").split()
+        start = end
+    yield [END]
+
+
+def pair_places(left: np.ndarray, right: np.ndarray, lang: str, bits: int) -> np.ndarray:
+    """The bit of pairs of words, given as 64-bit hashes, in a table of so many."""
+    mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed ^ (mixed >> np.uint64(32))) % np.uint64(bits)
+
+
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 42)
+
+
+class Ids(dict):
+    """Words to numbers from 1 in the order in which they come, ``END`` to 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class Words:
+    """The words of a task by number, and their hashes, both as far as they are asked for."""
 
+    def __init__(self) -> None:
+        self.ids = Ids({END: 0})
+        self.known: list[bytes] = []
+        self.hashed = np.zeros(1, dtype=np.uint64)
 
-class HatTrie:
-    """Counts of three words in a row within a bound of entries."""
+    def all(self) -> list[bytes]:
+        self.known += islice(self.ids, len(self.known) + 1, None)
+        return self.known
 
-    def __init__(self, burst: int = BURST, entries: int = ENTRIES, vocabulary: int = VOCABULARY) -> None:
-        self.burst, self.most, self.vocabulary = burst, entries, vocabulary
-        self._empty()
+    def hashes(self) -> np.ndarray:
+        new = [word_hash(w) for w in self.all()[len(self.hashed) - 1 :]]
+        self.hashed = np.concatenate((self.hashed, np.array(new, dtype=np.uint64)))
+        return self.hashed
 
-    def _empty(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.roots: dict[str, dict[int, Node]] = {}
-        self.entries = 0
 
-    def add(self, lang: str, words: list[bytes]) -> None:
-        """Count the entries of one piece."""
-        ids, root, burst = self.ids, self.roots.setdefault(lang, {}), self.burst
-        line = [ids.setdefault(w, len(ids) + 1) for w in words]
-        line += (0, 0)
-        for i in range(len(words)):
-            node = root.get(line[i])
-            if node is None:
-                node = root[line[i]] = Node()
-                self.entries += 1
-            node.n += 1
-            second, third = line[i + 1], line[i + 2]
-            if node.burst:
-                held, key = node.rest.setdefault(second, {}), third
-            else:
-                held, key = node.rest, second << 32 | third
-            if key in held:
-                held[key] += 1
-            else:
-                held[key] = 1
-                node.entries += 1
-                self.entries += 1
-                if node.entries > burst and not node.burst:
-                    node.split()
+def counted(
+    batches: Iterator[pa.RecordBatch], entries_of: Callable, burst: int, entries: int, vocabulary: int
+) -> Iterator[pa.RecordBatch]:
+    """The sorted runs of batches of (language, text).
 
-    def full(self) -> bool:
-        return self.entries >= self.most or len(self.ids) >= self.vocabulary
-
-    def spilled(self) -> Iterator[pa.RecordBatch]:
-        """Subtrees that leave a full trie, as sorted runs: those of few occurrences an entry, until half the entries are gone.
-
-        All of them leave when it is the words that are too many, as ids end with the words.
-        """
-        if len(self.ids) >= self.vocabulary:
-            yield from self.drained()
-            return
-        nodes = sorted((node.n / (node.entries + 1), lang, first) for lang, root in self.roots.items() for first, node in root.items())
-        leaving: dict[str, dict[int, Node]] = {}
-        for _, lang, first in nodes:
-            if self.entries <= self.most // 2:
-                break
-            node = leaving.setdefault(lang, {})[first] = self.roots[lang].pop(first)
-            self.entries -= node.entries + 1
-        yield from self._runs(leaving)
-
-    def drained(self) -> Iterator[pa.RecordBatch]:
-        """All subtrees; the trie is empty then."""
-        yield from self._runs(self.roots)
-        self._empty()
-
-    def _runs(self, roots: dict[str, dict[int, Node]]) -> Iterator[pa.RecordBatch]:
-        """Rows by language and words. second is null for the count of the first word, third for a piece's end behind two."""
-        words = sorted(self.ids)
-        rank = np.zeros(len(words) + 1, dtype=np.int64)
-        rank[[self.ids[w] for w in words]] = np.arange(1, len(words) + 1)
-        names = pa.array([None, *(w.decode() for w in words)], type=pa.string())
-        for lang in sorted(roots):
-            firsts = sorted(roots[lang], key=rank.__getitem__)
-            at = 0
-            while at < len(firsts):
-                keys, counts, sizes = [], [], []
-                start = at
-                while at < len(firsts) and len(keys) < ROWS:
-                    node = roots[lang][firsts[at]]
-                    # the word itself, then what follows it; of pieces that end behind it the word's own count knows
-                    pairs = [(0, node.n), *((k, n) for k, n in node.flat() if k)]
-                    keys += (k for k, _ in pairs)
-                    counts += (n for _, n in pairs)
-                    sizes.append(len(pairs))
-                    at += 1
-                both = np.array(keys, dtype=np.int64)
-                columns = (np.repeat(rank[firsts[start:at]], sizes), rank[both >> 32], rank[both & 0xFFFFFFFF])
-                order = np.lexsort(columns[::-1])
-                n = np.array(counts, dtype=np.int64)[order]
-                for cut in range(0, len(order), ROWS):
-                    part = order[cut : cut + ROWS]
-                    texts = [names.take(pa.array(c[part])) for c in columns]
-                    langs = pa.array([lang], type=pa.string()).take(pa.array(np.zeros(len(part), dtype=np.int64)))
-                    yield pa.RecordBatch.from_arrays([langs, *texts, pa.array(n[cut : cut + ROWS])], schema=RUN)
-
-
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece of a text, in lower case."""
-    for match in re.finditer(rb"[^\n]+", text.translate(PLAIN)):
-        if words := match[0].split():
-            yield words
-
-
-def counted_runs(docs: DataFrame, burst: int = BURST, entries: int = ENTRIES, vocabulary: int = VOCABULARY) -> DataFrame:
-    """lang, first, second, third, n: the sorted runs of all tasks."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text").where("text is not null")
+    ``entries_of`` gives packed phrases, each once, and their counts, of the ids of a language's words,
+    with 0 between pieces; those that begin among the first so many are asked for.
+    """
+    trie, words = HatTrie(burst, entries), Words()
+    lines: dict[str, list[int]] = {}
+    waiting = 0
+
+    def taken(end: bool) -> Iterator[pa.RecordBatch]:
+        """Count what begins in the lines; the last two words wait for those behind them, but at the end."""
+        nonlocal words
+        for lang, line in lines.items():
+            ids = np.array([*line, 0, 0] if end else line, dtype=np.int64)
+            if len(ids) > 2:
+                trie.add(lang, *entries_of(lang, ids, words))
+                lines[lang] = line[-2:]
+        if trie.full():
+            yield from trie.spilled(words.all())
+        if end or len(words.ids) > vocabulary:
+            yield from trie.spilled(words.all(), 0)
+            old, words = words.all(), Words()
+            for lang, line in lines.items():
+                lines[lang] = [words.ids[old[i - 1]] if i else 0 for i in line]
+
+    for batch in batches:
+        texts = batch.column(1)
+        texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
+        for lang, text in zip(batch.column(0).to_pylist(), texts):
+            for part in tokens(text.as_py()):
+                line = lines.setdefault(lang, [])
+                line += map(words.ids.__getitem__, part)
+                waiting += len(part)
+                if waiting >= BLOCK:
+                    yield from taken(False)
+                    waiting = 0
+    yield from taken(True)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
+    return docs.select(lang.alias("lang"), "text").where("text is not null")
+
+
+def pairs_of(lang: str, ids: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Words by themselves, and pairs."""
+    left, right = ids[:-2], ids[1:-1]
+    none = np.zeros(1, dtype=np.int64)
+    alone, pairs = packed(left, none, none)[left > 0], packed(left, right, none)[(left > 0) & (right > 0)]
+    return np.unique(np.concatenate((alone, pairs)), return_counts=True)
+
+
+def triples_of(bits: int, table: Callable[[], np.ndarray]) -> Callable:
+    """Entries of three words whose pairs are both in a table of bits."""
+
+    def entries_of(lang: str, ids: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        held, frequent = words.hashes()[ids], table()
+        place = pair_places(held[:-1], held[1:], lang, bits)
+        known = (frequent[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        known &= (ids[:-1] > 0) & (ids[1:] > 0)
+        at = np.flatnonzero(known[:-1] & known[1:])
+        return np.unique(packed(ids[at], ids[at + 1], ids[at + 2]), return_counts=True)
+
+    return entries_of
+
+
+def pair_runs(docs: DataFrame, burst: int = BURST, entries: int = ENTRIES, vocabulary: int = VOCABULARY) -> DataFrame:
+    """lang, first, second, third (null), n: runs of pairs, and of words, with a null second."""
+    return _texts(docs).mapInArrow(lambda batches: counted(batches, pairs_of, burst, entries, vocabulary), RUN_DDL)
+
+
+def triple_runs(
+    docs: DataFrame, frequent: np.ndarray, burst: int = BURST, entries: int = ENTRIES, vocabulary: int = VOCABULARY
+) -> DataFrame:
+    """Runs of three words in a row whose pairs are both in the table of bits."""
+    table = docs.sparkSession.sparkContext.broadcast(frequent)
+    entries_of = triples_of(len(frequent) * 64, lambda: table.value)
+    return _texts(docs).mapInArrow(lambda batches: counted(batches, entries_of, burst, entries, vocabulary), RUN_DDL)
+
+
+def bits_of(pairs: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The table of bits with those of all pairs (lang, first, second) set. Of fixed size, so it may come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(burst, entries, vocabulary)
         for batch in batches:
-            texts = batch.column(1)
-            texts = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
-            for lang, text in zip(batch.column(0), texts):
-                lang = lang.as_py()
-                for words in pieces(text.as_py()):
-                    trie.add(lang, words)
-                    if trie.full():
-                        yield from trie.spilled()
-        yield from trie.drained()
-
-    return rows.mapInArrow(run, "lang string, first string, second string, third string, n long")
+            langs, firsts, seconds = (np.array(c.to_pylist(), dtype=object) for c in batch.columns)
+            for lang in set(langs):
+                of = langs == lang
+                left, right = (np.array([word_hash(w.encode()) for w in c[of]], dtype=np.uint64) for c in (firsts, seconds))
+                place = np.unique(pair_places(left, right, lang, bits))
+                words, starts = np.unique(place >> np.uint64(6), return_index=True)
+                held = np.bitwise_or.reduceat(np.uint64(1) << (place & np.uint64(63)), starts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.astype(np.int64)), pa.array(held.view(np.int64))], names=["at", "held"]
+                )
+
+    parts = pairs.select("lang", "first", "second").mapInArrow(run, "at long, held long")
+    found = parts.groupBy("at").agg(F.bit_or("held").alias("held")).toArrow()
+    table = np.zeros(max(1, bits // 64), dtype=np.uint64)
+    table[found["at"].to_numpy()] = found["held"].to_numpy().view(np.uint64)
+    return table
 
 
 def merged(runs: DataFrame, least: int = LEAST) -> DataFrame:
-    """lang, first, second, third, f: the words and phrases that occur ``least`` times or more.
+    """lang, first, second, third, f: what occurs ``least`` times or more.
 
-    Prefix partitions are by language and two words. Within one, the rows of a phrase are summed, and
-    those of a pair of words; the counts of words come as rows of their own.
+    Prefix partitions are by language and two words; within one the rows of a phrase are summed.
     """
     dealt = runs.repartition("lang", "first", "second")
-    phrases = dealt.groupBy("lang", "first", "second", "third").agg(F.sum("n").alias("f"))
-    long = phrases.where((F.col("third").isNotNull() | F.col("second").isNull()) & (F.col("f") >= least))
-    pairs = phrases.where("second is not null").groupBy("lang", "first", "second").agg(F.sum("f").alias("f"))
-    two = pairs.where(F.col("f") >= least).select("lang", "first", "second", F.lit(None).cast("string").alias("third"), "f")
-    return long.unionByName(two)
+    sums = dealt.groupBy("lang", "first", "second", "third").agg(F.sum("n").alias("f"))
+    return sums.where(F.col("f") >= least)
 
 
 def _salted(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -212,8 +345,12 @@ def score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", above, wide[1] * wide[2]).cast("long")
 
 
-def scored(counts: DataFrame) -> DataFrame:
-    """lang, first, second, third, a, l, r, score of all candidates, at the cut with the lowest score."""
+def scored(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """lang, first, second, third, a, l, r, score of the candidates of two and of three words, at the cut with the lowest score.
+
+    The counts of words are joined to the pairs once; three words get all their parts' counts from the
+    pairs in them, which are candidates themselves.
+    """
     words = counts.where("second is null").select("lang", F.col("first").alias("word"), F.col("f").alias("of_word"))
     pairs = counts.where("second is not null and third is null").select("lang", "first", "second", F.col("f").alias("a"))
     triples = counts.where("third is not null").select("lang", "first", "second", "third", F.col("f").alias("a"))
@@ -221,37 +358,33 @@ def scored(counts: DataFrame) -> DataFrame:
     def of(column: str, name: str) -> DataFrame:
         return words.select("lang", F.col("word").alias(column), F.col("of_word").alias(name))
 
-    def pair(first: str, second: str, name: str) -> DataFrame:
-        return pairs.select("lang", F.col("first").alias(first), F.col("second").alias(second), F.col("a").alias(name))
-
     two = pairs.withColumn("third", F.lit(None).cast("string"))
     two = _salted(_salted(two, of("first", "l"), ["lang", "first"]), of("second", "r"), ["lang", "second"])
-    three = _salted(_salted(triples, of("first", "l1"), ["lang", "first"]), of("third", "r2"), ["lang", "third"])
-    three = three.join(pair("second", "third", "r1"), ["lang", "second", "third"])
-    three = three.join(pair("first", "second", "l2"), ["lang", "first", "second"])
+    columns = ("lang", "first", "second", "third", "a", "l", "r")
+    two = materialised(two.select(*columns, score(F.col("a"), F.col("l"), F.col("r")).alias("score")), "phrases-two")
+
+    before = two.select("lang", "first", "second", F.col("a").alias("l2"), F.col("l").alias("l1"))
+    behind = two.select(
+        "lang", F.col("first").alias("second"), F.col("second").alias("third"), F.col("a").alias("r1"), F.col("r").alias("r2")
+    )
+    three = triples.join(before, ["lang", "first", "second"]).join(behind, ["lang", "second", "third"])
 
     def cut(k: int) -> Column:
         left, right = F.col(f"l{k}"), F.col(f"r{k}")
         return F.struct(score(F.col("a"), left, right).alias("score"), F.lit(k).alias("k"), left.alias("l"), right.alias("r"))
 
     lowest = three.withColumn("cut", F.least(cut(1), cut(2)))
-    columns = ("lang", "first", "second", "third", "a", "l", "r")
-    return two.select(*columns, score(F.col("a"), F.col("l"), F.col("r")).alias("score")).unionByName(
-        lowest.select(*columns[:5], "cut.l", "cut.r", "cut.score")
-    )
+    return two, materialised(lowest.select(*columns[:5], "cut.l", "cut.r", "cut.score"), "phrases-three")
 
 
-def unnested(candidates: DataFrame, within: int = WITHIN) -> DataFrame:
+def unnested(pairs: DataFrame, triples: DataFrame, within: int = WITHIN) -> DataFrame:
     """Candidates but those with ``within`` percent or more of their occurrences inside one longer candidate."""
-    triples = candidates.where("third is not null")
-    held = triples.select("lang", F.col("first").alias("u"), F.col("second").alias("v"), "a").unionByName(
-        triples.select("lang", F.col("second").alias("u"), F.col("third").alias("v"), "a")
-    )
-    most = held.groupBy("lang", "u", "v").agg(F.max("a").alias("inside"))
-    pairs = candidates.where("third is null").join(
-        most.withColumnRenamed("u", "first").withColumnRenamed("v", "second"), ["lang", "first", "second"], "left"
+    held = triples.select("lang", "first", "second", "a").unionByName(
+        triples.select("lang", F.col("second").alias("first"), F.col("third").alias("second"), "a")
     )
-    alone = pairs.where("inside is null or 100 * inside < a * {}".format(within)).drop("inside")
+    most = held.groupBy("lang", "first", "second").agg(F.max("a").alias("inside"))
+    joined = pairs.join(most, ["lang", "first", "second"], "left")
+    alone = joined.where(F.col("inside").isNull() | (100 * F.col("inside") < within * F.col("a"))).drop("inside")
     return triples.unionByName(alone)
 
 
@@ -263,15 +396,18 @@ def collocations(
     burst: int = BURST,
     entries: int = ENTRIES,
     vocabulary: int = VOCABULARY,
+    bits: int = BITS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases of two and three words.
 
     A null language is ``und``, a null or empty text has no words. Repeated rows count as often as they occur. Other columns
     are not read. A language whose phrases are all rarer than ``least`` gives no row, an empty table none.
     """
-    runs = materialised(counted_runs(docs, burst, entries, vocabulary), "phrases-runs")
-    counts = materialised(merged(runs, least), "phrases-counts")
-    found = unnested(scored(counts), within).withColumn("phrase", F.concat_ws(" ", "first", "second", "third"))
+    runs = materialised(pair_runs(docs, burst, entries, vocabulary), "phrases-runs")
+    short = materialised(merged(runs, least), "phrases-pairs")
+    frequent = bits_of(short.where("second is not null"), bits)
+    long = materialised(merged(triple_runs(docs, frequent, burst, entries, vocabulary), least), "phrases-triples")
+    found = unnested(*scored(short.unionByName(long)), within).withColumn("phrase", F.concat_ws(" ", "first", "second", "third"))
     # first within parts of a language, so that its last ranking sees few rows, however many candidates it has
     order = (F.desc("score"), F.desc("a"), F.col("phrase"))
     salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
