@@ -281,6 +281,9 @@ def oracle_sql() -> dict[str, str]:
         "silver_partition_roundtrip": f"""{FIXTURE} SELECT CAST(length(meta_city) AS VARCHAR) AS meta_city,
             meta_scraped_at, line, delay, direction, planned_time FROM transit""",
         "silver_replay_idempotent": departures,
+        "silver_compacted": departures,
+        "silver_span": f"""SELECT * FROM ({departures}) WHERE CAST(meta_scraped_at AS TIMESTAMP) >= TIMESTAMP '2024-01-10'
+            AND CAST(meta_scraped_at AS TIMESTAMP) < TIMESTAMP '2024-01-20'""",
         "silver_quarantine": f"""{FIXTURE} SELECT CASE event_id % 10 WHEN 0 THEN 'no_time' WHEN 1 THEN 'no_time'
             WHEN 2 THEN 'ahead' WHEN 3 THEN 'no_city' WHEN 4 THEN 'malformed' ELSE 'none' END AS reason,
             count(*) AS values FROM transit GROUP BY 1""",
@@ -303,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_wide": gold_all,
         "gold_closed_buckets": closed,
         "gold_incremental_two_runs": closed,
+        "gold_compacted": closed,
         "gold_late_data": f"""{FIXTURE}{LATE_CTES}
             {gold_ctes('_early', EARLY, 'FALSE')}{gold_ctes('_all')}
             SELECT {WIDE_OUT} FROM gold_early WHERE time_bucket < {late_floor}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +27,13 @@ from citypulse.operators.parsing import explode_samples, parse_values, stamp
 from citypulse.operators.spatial import grid_points
 from citypulse.plans import analytics
 from citypulse.plans.gold import gold_wide, gold_wide_join
-from citypulse.plans.incremental import append_increment, closed_buckets, read_gold
+from citypulse.plans.incremental import append_increment, closed_buckets, compact_gold, read_gold
 from citypulse.plans.publish import publish
 from citypulse.session import fresh_path
+from citypulse.sources import commits
 from citypulse.sources.landing import read_landing, read_lines, route, write_landing
 from citypulse.sources.serving import ParquetServing
-from citypulse.sources.tables import read_table, write_by_city
+from citypulse.sources.tables import read_table, run_after, write_by_city, write_run
 from citypulse.streaming import bronze, gold as gold_streaming, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,7 +243,8 @@ def silver_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same micro-batch written twice leaves its rows once; another checkpoint's batches add to them.
 
     Half of the departures come in a batch that is replayed, the others from two streams with a
-    checkpoint each, both of which begin with batch 0.
+    checkpoint each, both of which begin with batch 0. All of them lie there once more from an attempt that was
+    never committed.
     """
     records = X.transit(spark, sf_dir)
     path, quarantine = fresh_path(spark, "replay"), fresh_path(spark, "quarantine")
@@ -252,9 +255,32 @@ def silver_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = records.filter(f"event_id % 4 = {rest}").select(*TRANSIT_COLS)
         topic = X.write_topic(to_lines(part), fresh_path(spark, "topic"), files=1)
         silver.drain_all([(spark.readStream.text(topic), write, fresh_path(spark, "checkpoint"))])
+    stray = f"{path}/batch={commits.attempt_of('batch-direct-1')}"
+    write_by_city(stamp(records.select(*TRANSIT_COLS)), stray, partition_by=silver.LAYOUT)
     return silver.read_silver(spark, path, silver.TRANSIT).select(*TRANSIT_COLS)
 
 
+def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, a compaction of all days they share, a fourth batch, what no longer counts cleared away."""
+    records = X.transit(spark, sf_dir)
+    path, quarantine = fresh_path(spark, "compacted"), fresh_path(spark, "quarantine")
+    write = silver.BatchWriter(silver.TRANSIT, path, quarantine)
+    for part in range(4):
+        if part == 3:
+            silver.compact(spark, path, silver.TRANSIT)
+            commits.clear(spark, path, "batch", timedelta(0))
+        write(to_lines(records.filter(f"event_id % 4 = {part}").select(*TRANSIT_COLS)), part)
+    return silver.read_silver(spark, path, silver.TRANSIT).select(*TRANSIT_COLS)
+
+
+def silver_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days of a flat table, read by the log's index of days."""
+    path, quarantine = fresh_path(spark, "span"), fresh_path(spark, "quarantine")
+    silver.BatchWriter(silver.TRANSIT, path, quarantine)(to_lines(departure_records(spark, sf_dir)), 0)
+    days = date(2024, 1, 10), date(2024, 1, 19)
+    return silver.read_silver(spark, path, silver.TRANSIT, *days).select(*TRANSIT_COLS)
+
+
 def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departures without a time, with a time far ahead, without a city, and broken: by reason, and the good ones."""
     path, quarantine = fresh_path(spark, "silver"), fresh_path(spark, "quarantine")
@@ -338,15 +364,28 @@ def _before_cut(df: DataFrame) -> DataFrame:
 
 
 def gold_incremental_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run up to the cut, a run over everything, and one that finds nothing new."""
+    """A run up to the cut, one over all buckets that fails before its commit, a run over everything, and one that finds nothing new."""
     path = fresh_path(spark, "gold")
     all_rows = X.sources(spark, sf_dir)
-    append_increment(spark, *[_before_cut(df) for df in all_rows], gold_path=path)
+    floor = append_increment(spark, *[_before_cut(df) for df in all_rows], gold_path=path).floor
+    _, stray = closed_buckets(*all_rows, floor, flush=True)
+    write_run(stray, path, commits.attempt_of(run_after(floor)))
     append_increment(spark, *all_rows, gold_path=path)
     append_increment(spark, *all_rows, gold_path=path)
     return read_gold(spark, path).select(*S.wide_columns())
 
 
+def gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run up to the cut and one over everything, brought into one folder a day."""
+    path = fresh_path(spark, "gold")
+    all_rows = X.sources(spark, sf_dir)
+    append_increment(spark, *[_before_cut(df) for df in all_rows], gold_path=path)
+    append_increment(spark, *all_rows, gold_path=path)
+    compact_gold(spark, path)
+    commits.clear(spark, path, "run", timedelta(0))
+    return read_gold(spark, path).select(*S.wide_columns())
+
+
 def gold_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departures before the cut arrive after their buckets were written, and stay out."""
     path = fresh_path(spark, "gold-late")
@@ -422,6 +461,8 @@ QUERIES: dict[str, Query] = {
     "silver_partition_roundtrip": silver_partition_roundtrip,
     "silver_replay_idempotent": silver_replay_idempotent,
     "silver_quarantine": silver_quarantine,
+    "silver_compacted": silver_compacted,
+    "silver_span": silver_span,
     "bucket_30min": bucket_30min,
     "bucket_bounds": bounds,
     "calendar_features": calendar_features,
@@ -434,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "gold_wide": wide,
     "gold_closed_buckets": gold_closed_buckets,
     "gold_incremental_two_runs": gold_incremental_two_runs,
+    "gold_compacted": gold_compacted,
     "gold_late_data": gold_late_data,
     "gold_stream": stream_gold,
     "publish_incremental": publish_incremental,

@@ -4,6 +4,7 @@
     spark-submit ... citypulse/jobs.py silver  --servers HOST:PORT --lake URI
     spark-submit ... citypulse/jobs.py gold    --lake URI
     spark-submit ... citypulse/jobs.py publish --lake URI --url JDBC_URL --table NAME
+    spark-submit ... citypulse/jobs.py compact --lake URI --last DATE
 
 Every job processes what is there, then ends; run again, it goes on where it stopped. Database
 credentials are read from the file named by ``--properties`` (``key=value`` lines), never from
@@ -13,16 +14,18 @@ the command line.
 from __future__ import annotations
 
 import argparse
+from datetime import date, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from citypulse import schemas as S
-from citypulse.plans.incremental import Bounds, append_increment, read_gold
+from citypulse.plans.incremental import Bounds, append_increment, compact_gold, read_gold
 from citypulse.plans.publish import publish
-from citypulse.sources import kafka
+from citypulse.sources import commits, kafka
 from citypulse.sources.landing import LANDING_FILES
 from citypulse.sources.serving import JdbcTable
+from citypulse.sources.tables import watermark_of
 from citypulse.streaming import bronze, silver
 
 SOURCES = {"traffic": silver.TRAFFIC, "weather": silver.WEATHER, "transit": silver.TRANSIT}
@@ -51,11 +54,23 @@ def silver_job(
 
 
 def gold_job(spark: SparkSession, lake: str, **options) -> Bounds:
-    """Flat tables -> wide rows of the buckets that closed since the last run."""
-    flat = [silver.read_silver(spark, f"{lake}/silver/{name}", source) for name, source in SOURCES.items()]
+    """Flat tables -> wide rows of the buckets that closed since the last run; only the days from there on are read."""
+    floor = watermark_of(spark, f"{lake}/gold")
+    first = floor.date() if floor else None
+    flat = [silver.read_silver(spark, f"{lake}/silver/{name}", source, first) for name, source in SOURCES.items()]
     return append_increment(spark, *flat, gold_path=f"{lake}/gold", **options)
 
 
+def compact_job(spark: SparkSession, lake: str, last: date, keep: timedelta = commits.KEEP) -> dict[str, int]:
+    """Days up to ``last`` into few files, then folders that count no more removed. Days written anew, by table."""
+    done = {name: silver.compact(spark, f"{lake}/silver/{name}", source, last=last) for name, source in SOURCES.items()}
+    done["gold"] = compact_gold(spark, f"{lake}/gold", last=last)
+    for name in SOURCES:
+        commits.clear(spark, f"{lake}/silver/{name}", "batch", keep)
+    commits.clear(spark, f"{lake}/gold", "run", keep)
+    return done
+
+
 def publish_job(spark: SparkSession, lake: str, target) -> bool:
     """Wide rows -> serving table. False if there is nothing new."""
     gold = read_gold(spark, f"{lake}/gold")
@@ -69,7 +84,7 @@ def _properties(path: str | None) -> dict[str, str]:
 
 def main() -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("job", choices=("route", "silver", "gold", "publish"))
+    parser.add_argument("job", choices=("route", "silver", "gold", "publish", "compact"))
     parser.add_argument("--lake", required=True)
     parser.add_argument("--landing")
     parser.add_argument("--servers")
@@ -78,6 +93,7 @@ def main() -> None:
     parser.add_argument("--adopt", action="store_true", help="a new checkpoint takes the flat tables over")
     parser.add_argument("--hold-back")
     parser.add_argument("--flush", action="store_true")
+    parser.add_argument("--last", type=date.fromisoformat, help="the newest day to compact")
     parser.add_argument("--url")
     parser.add_argument("--table")
     parser.add_argument("--properties")
@@ -96,6 +112,8 @@ def main() -> None:
     elif args.job == "gold":
         bounds = gold_job(spark, args.lake, hold_back=args.hold_back, flush=args.flush)
         print(f"buckets after {bounds.floor} and before {bounds.ceiling}" if bounds.ceiling else "nothing closed")
+    elif args.job == "compact":
+        print("days written anew:", compact_job(spark, args.lake, args.last))
     else:
         target = JdbcTable(spark, args.url, args.table, _properties(args.properties))
         print("published" if publish_job(spark, args.lake, target) else "up to date")

@@ -42,12 +42,12 @@ def explode_samples(documents: DataFrame) -> DataFrame:
     return explode_present(documents, meta, F.col("samples"), "sample").select(*meta, "sample.*")
 
 
-def stamp(rows: DataFrame) -> DataFrame:
-    """Add the parsed scrape time, its date, and the processing time."""
+def stamp(rows: DataFrame, now: Column | None = None) -> DataFrame:
+    """Add the parsed scrape time, its date, and the processing time (``now``, else the query's own)."""
     return (
         rows.withColumn("ts", naive_timestamp(F.col("meta_scraped_at")))
         .withColumn("scraped_date", F.to_date("ts"))
-        .withColumn("ingestion_time", F.current_timestamp())
+        .withColumn("ingestion_time", F.current_timestamp() if now is None else now)
     )
 
 
@@ -67,17 +67,19 @@ def flatten_transit(raw: DataFrame) -> DataFrame:
 FAULTS = ("no_city", "no_time", "ahead")
 
 
-def value_fault(city: Column, scraped_at: Column, tolerance: str) -> Column:
+def value_fault(city: Column, scraped_at: Column, tolerance: str, now: Column | None = None) -> Column:
     """One of ``FAULTS``, or null for a value that can be used.
 
-    ``ahead`` is a time later than now by more than ``tolerance`` (such as "1 day").
+    ``ahead`` is a time later than ``now`` by more than ``tolerance`` (such as "1 day"). Jobs that are to agree must
+    be given the same ``now``; without, each query takes its own.
     """
     ts = naive_timestamp(scraped_at)
-    limit = F.current_timestamp().cast("timestamp_ntz") + F.expr(f"INTERVAL {tolerance}")
+    now = F.current_timestamp() if now is None else now
+    limit = now.cast("timestamp_ntz") + F.expr(f"INTERVAL {tolerance}")
     return F.when(city.isNull(), "no_city").when(ts.isNull(), "no_time").when(ts > limit, "ahead")
 
 
-def unusable_values(raw: DataFrame, tolerance: str) -> DataFrame:
+def unusable_values(raw: DataFrame, tolerance: str, now: Column | None = None) -> DataFrame:
     """Values with a fault, and the reason: one of ``FAULTS``, or malformed for no whole JSON object.
 
     The complement of the values that the tables take.
@@ -85,7 +87,7 @@ def unusable_values(raw: DataFrame, tolerance: str) -> DataFrame:
     value = F.col("value").cast("string")
     read = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"ARRAY<STRUCT<{S.META}>>")
     meta = F.when(F.size(read) == 1, F.get(read, F.lit(0)))
-    fault = value_fault(meta["meta_city"], meta["meta_scraped_at"], tolerance)
+    fault = value_fault(meta["meta_city"], meta["meta_scraped_at"], tolerance, now)
     broken = ~F.coalesce(is_json_object(value), F.lit(False))
     return (
         raw.select(value.alias("value"), fault.alias("fault"))

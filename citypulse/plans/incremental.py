@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
 from citypulse.functions.buckets import bucket_start, with_ts
+from citypulse.operators.features import KEYS
 from citypulse.plans.gold import gold_wide
-from citypulse.sources.tables import commit_run, newest_of, on_dates, read_runs, run_after, watermark_of, write_run
+from citypulse.sources.commits import attempt_of, compact
+from citypulse.sources.tables import commit_run, read_runs, run_after, watermark_of, write_run
 
 
 @dataclass(frozen=True)
@@ -109,25 +111,40 @@ def append_increment(
     cells: list[str] | None = None,
     **options,
 ) -> Bounds:
-    """One scheduled run: read the watermark, build what closed since, write it, mark it complete.
+    """One scheduled run: read the watermark, build what closed since, write it, commit it.
 
-    The watermark comes from the markers of complete runs. A run that fails before its marker leaves
-    rows that no reader sees and that the next run replaces.
+    The watermark comes from the commits of complete runs. A run that fails before its own leaves rows that no
+    reader sees, whatever they cover. Of two runs from the same watermark one is committed; the other one
+    ends with ``Conflict``, and what it wrote does not count.
     """
     floor = watermark_of(spark, gold_path)
     bounds, increment = closed_buckets(traffic, weather, transit, floor, cells=cells, **options)
     if increment is not None:
-        run = run_after(floor)
-        write_run(increment, gold_path, run)
-        written = spark.read.schema(f"{S.wide_schema(cells)}, bucket_date DATE, run STRING").parquet(gold_path)
-        # the closed rows lie between the bounds, so only their days are read
-        span = on_dates(written.filter(F.col("run") == run), F.lit(floor) if floor else None, F.lit(bounds.ceiling))
-        newest = newest_of(span)
+        run = attempt_of(run_after(floor))
+        newest = write_run(increment, gold_path, run)
         if newest is not None:
             commit_run(spark, gold_path, run, newest)
     return bounds
 
 
-def read_gold(spark: SparkSession, path: str, cells: list[str] | None = None) -> DataFrame | None:
-    """The wide table with its ``bucket_date``, or None before the first complete run."""
-    return read_runs(spark, path, S.wide_schema(cells))
+def read_gold(
+    spark: SparkSession,
+    path: str,
+    cells: list[str] | None = None,
+    first: date | None = None,
+    last: date | None = None,
+) -> DataFrame | None:
+    """The wide table with its ``bucket_date``, of a span of days, or None before the first complete run."""
+    return read_runs(spark, path, S.wide_schema(cells), first, last)
+
+
+def compact_gold(
+    spark: SparkSession,
+    path: str,
+    cells: list[str] | None = None,
+    first: date | None = None,
+    last: date | None = None,
+) -> int:
+    """Bring the days of the wide table that several runs have written into few files, by city and time. Their number."""
+    schema = f"{S.wide_schema(cells)}, bucket_date DATE"
+    return compact(spark, path, schema, "run", "bucket_date", ("bucket_date",), KEYS, first, last)

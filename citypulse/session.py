@@ -27,17 +27,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/citypulse-{label}-{uuid.uuid4().hex}"
 
 
-def _folder(spark: SparkSession, path: str):
+def folder_of(spark: SparkSession, path: str):
+    """A path and the store it is in."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    folder, store = _folder(spark, path)
+    folder, store = folder_of(spark, path)
     return store.exists(folder)
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that a job has made for itself."""
-    folder, store = _folder(spark, path)
+    folder, store = folder_of(spark, path)
     store.delete(folder, True)

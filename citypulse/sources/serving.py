@@ -6,9 +6,8 @@ runs do not count, and the watermark is the newest bucket of the complete ones.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from citypulse import schemas as S
 from citypulse.sources import tables
+from citypulse.sources.commits import attempt_of
 
 # SQL states by which databases say that there is no such table.
 NO_SUCH_TABLE = {"42P01", "42S02", "42S04", "42X05"}
@@ -87,7 +87,7 @@ class JdbcTable:
 
     def run_after(self, watermark: datetime | None) -> str:
         """A name of its own for every attempt: rows of a failed one cannot be replaced here."""
-        return f"{tables.run_after(watermark)}-{uuid.uuid4().hex}"
+        return attempt_of(tables.run_after(watermark))
 
     def append(self, rows: DataFrame, run: str) -> None:
         """Append in parallel; the number of connections is the number of staged files."""
@@ -111,7 +111,7 @@ class ParquetServing:
         return tables.watermark_of(self.spark, self.path)
 
     def run_after(self, watermark: datetime | None) -> str:
-        return tables.run_after(watermark)
+        return attempt_of(tables.run_after(watermark))
 
     def append(self, rows: DataFrame, run: str) -> None:
         tables.write_run(rows, self.path, run)
@@ -119,6 +119,6 @@ class ParquetServing:
     def commit(self, run: str, newest: datetime) -> None:
         tables.commit_run(self.spark, self.path, run, newest)
 
-    def read(self) -> DataFrame | None:
-        """The rows of complete runs, or None before the first."""
-        return tables.read_runs(self.spark, self.path, S.wide_schema(self.cells))
+    def read(self, first: date | None = None, last: date | None = None) -> DataFrame | None:
+        """The rows of complete runs, of a span of days, or None before the first."""
+        return tables.read_runs(self.spark, self.path, S.wide_schema(self.cells), first, last)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.session import exists
+from citypulse.sources import commits
 
 CITY = ("meta_city",)
+#: Layout of the markers that a serving database has.
 RUNS = "run STRING, newest TIMESTAMP_NTZ"
 
 
@@ -34,6 +37,16 @@ def write_by_city(
     writer.option("partitionOverwriteMode", replace).partitionBy(*partition_by).parquet(path)
 
 
+def observed(seen: Observation) -> dict[str, object]:
+    """What an observation has counted; empty where not one row came by, for which Spark has no values."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in error.java_exception.getClass().getName():
+            raise
+        return {}
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """A table with its declared schema, or None where the path does not exist.
 
@@ -44,22 +57,18 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
-# --- tables of runs: rows by date, and a marker for every run that is complete ----
+# --- tables of runs: rows by run and date, and a commit for every run that is complete ----
 def run_after(watermark: datetime | None) -> str:
-    """Name of the run that goes on from a watermark."""
+    """What the run that goes on from a watermark is committed as; there is one such run."""
     return "first" if watermark is None else f"after-{watermark:%Y%m%dT%H%M%S}"
 
 
-def write_run(rows: DataFrame, path: str, run: str) -> None:
-    """Write the rows of a run below ``bucket_date=D/run=R``.
-
-    A run that failed has left no marker, so the next one has the same name, covers at least the
-    same dates, and replaces what was left.
-    """
-    dated = rows.withColumns({"bucket_date": F.to_date("time_bucket"), "run": F.lit(run)})
-    write_by_city(
-        dated, path, mode="overwrite", partition_by=("bucket_date", "run"), spread_by=("bucket_date",), replace="dynamic"
-    )
+def write_run(rows: DataFrame, path: str, run: str) -> datetime | None:
+    """Write the rows of an attempt at a run below ``run=R/bucket_date=D``. Their newest bucket, None without rows."""
+    seen = Observation()
+    dated = rows.withColumn("bucket_date", F.to_date("time_bucket")).observe(seen, F.max("time_bucket").alias("newest"))
+    write_by_city(dated, f"{path}/run={run}", partition_by=("bucket_date",))
+    return observed(seen).get("newest")
 
 
 def newest_of(table: DataFrame) -> datetime | None:
@@ -68,28 +77,26 @@ def newest_of(table: DataFrame) -> datetime | None:
 
 
 def commit_run(spark: SparkSession, path: str, run: str, newest: datetime) -> None:
-    """Mark a run as complete: from now on its rows count."""
-    marker = spark.createDataFrame([(run, newest)], RUNS)
-    marker.coalesce(1).write.mode("append").parquet(f"{path}-runs")
-
-
-def committed(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_table(spark, f"{path}-runs", RUNS)
+    """Make an attempt's rows count. ``Conflict`` if another run has gone on from the same watermark."""
+    days = commits.days_of(spark, f"{path}/run={run}", "bucket_date")
+    name = commits.purpose_of(run)
+    if not commits.put(spark, path, name, attempt=run, days=days, newest=commits.written(newest)):
+        raise commits.Conflict(f"another run has committed {name} to {path}")
 
 
 def watermark_of(spark: SparkSession, path: str) -> datetime | None:
-    """Newest bucket of the complete runs, from their markers; None before the first."""
-    runs = committed(spark, path)
-    return None if runs is None else runs.agg(F.max("newest")).first()[0]
-
-
-def read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """The rows of complete runs with their ``bucket_date``, by which conditions prune folders."""
-    runs = committed(spark, path)
-    table = read_table(spark, path, f"{schema}, bucket_date DATE, run STRING")
-    if runs is None or table is None:
-        return None
-    return table.join(runs.select("run").distinct(), "run", "left_semi").drop("run")
+    """Newest bucket of the complete runs, from their commits; None before the first."""
+    runs = commits.entries(spark, path)
+    newest = None if runs is None else runs.agg(F.max("newest")).first()[0]
+    return None if newest is None else datetime.fromisoformat(newest)
+
+
+def read_runs(
+    spark: SparkSession, path: str, schema: str, first: date | None = None, last: date | None = None
+) -> DataFrame | None:
+    """The rows of complete runs with their ``bucket_date``, of a span of days. None before the first run."""
+    rows = commits.read_live(spark, path, f"{schema}, bucket_date DATE", "run", "bucket_date", first, last)
+    return None if rows is None else rows.drop("run")
 
 
 def on_dates(df: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:

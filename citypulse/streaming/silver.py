@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from citypulse.operators.parsing import (
     unusable_values,
     value_fault,
 )
-from citypulse.sources.tables import read_table, write_by_city
+from citypulse.sources import commits
+from citypulse.sources.tables import observed, read_table, write_by_city
 
 
 @dataclass(frozen=True)
@@ -37,8 +39,8 @@ WEATHER = Source(S.WEATHER_DOCUMENT, True, S.SILVER_WEATHER)
 TRANSIT = Source(S.DEPARTURE_RECORD, False, S.SILVER_TRANSIT)
 
 
-# Date first, so that a run reads the days it needs; the batch last, so that a replay finds its own.
-LAYOUT = ("scraped_date", "meta_city", "batch")
+# Below an attempt's folder: by date, so that a run reads the days it needs, then by city.
+LAYOUT = ("scraped_date", "meta_city")
 # Times further ahead than this are taken for a wrong clock. One of them would close every open bucket.
 TOLERANCE = "1 day"
 
@@ -60,14 +62,16 @@ def _claim(spark: SparkSession, path: str, owner: str, adopt: bool) -> None:
 class BatchWriter:
     """Function for ``foreachBatch`` that writes a micro-batch as flat rows.
 
-    Rows go to folders by date, city and batch. A batch is named after the stream's checkpoint and its
-    number there, and replaces its own folders: replayed after a failure it leaves its rows once,
-    and another checkpoint's batches are never touched. Such a one is refused anyway, unless
-    ``adopt`` says that it takes the table over.
+    A batch is named after the stream's checkpoint and its number there. Each attempt at it writes folders of
+    its own, and one commit of the batch's name makes an attempt's rows count. A replay of a committed batch
+    does nothing; one after a crash writes anew, and what the crash left is never seen, nor is
+    an attempt that another one has overtaken. Another checkpoint is refused, unless ``adopt``
+    says that it takes the table over.
 
     Values without a city or a readable time, and those whose time is more than ``tolerance``
-    ahead, are counted while the batch is written; only if there are any, they are written to
-    ``quarantine`` with the reason. ``quarantined`` adds up the counts of this run by reason.
+    ahead of the attempt's clock, are counted while the batch is written; only if there are any, they are written to
+    ``quarantine`` with the reason, by the same clock, which the commit keeps. ``quarantined`` adds up the
+    counts of this run by reason.
     """
 
     def __init__(
@@ -81,22 +85,32 @@ class BatchWriter:
         spark = batch.sparkSession
         owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
         _claim(spark, self.path, owner, self.adopt)
-        key = f"{owner}-{batch_id}"
-        seen = Observation()
-        fault = value_fault(F.col("meta_city"), F.col("meta_scraped_at"), self.tolerance)
+        name = f"batch-{owner}-{batch_id}"
+        if commits.holds(spark, self.path, name):
+            return
+        attempt, clock = commits.attempt_of(name), datetime.now(timezone.utc)
+        now = F.lit(clock)
+        counts, times = Observation(), Observation()
+        fault = value_fault(F.col("meta_city"), F.col("meta_scraped_at"), self.tolerance, now)
         parsed = parse_values(batch, self.source.document).withColumn("_fault", fault)
-        counted = parsed.observe(seen, *[F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS])
+        counted = parsed.observe(counts, *[F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS])
         usable = counted.filter("_fault IS NULL").drop("_fault")
-        rows = stamp(explode_samples(usable) if self.source.nested else usable)
-        write_by_city(
-            rows.withColumn("batch", F.lit(key)), self.path, mode="overwrite", partition_by=LAYOUT,
-            spread_by=LAYOUT[:2], replace="dynamic",
-        )
-        faults = {f: seen.get[f] for f in FAULTS if seen.get[f]}
-        self.quarantined.update(faults)
+        rows = stamp(explode_samples(usable) if self.source.nested else usable, now)
+        timed = rows.observe(times, F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
+        folder = f"{self.path}/batch={attempt}"
+        write_by_city(timed, folder, partition_by=LAYOUT)
+        faults = {f: n for f, n in observed(counts).items() if n}
+        span = observed(times)
         if faults:
-            bad = unusable_values(batch, self.tolerance)
-            bad.write.mode("overwrite").parquet(f"{self.quarantine}/batch={key}")
+            bad = unusable_values(batch, self.tolerance, now)
+            bad.write.parquet(f"{self.quarantine}/batch={attempt}")
+        done = commits.put(
+            spark, self.path, name, attempt=attempt, days=commits.days_of(spark, folder, LAYOUT[0]), faults=faults,
+            oldest=commits.written(span.get("oldest")), newest=commits.written(span.get("newest")),
+            clock=commits.written(clock),
+        )
+        if done:
+            self.quarantined.update(faults)
 
 
 def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -116,18 +130,31 @@ def drain_all(jobs: Sequence[tuple[DataFrame, Callable[[DataFrame, int], None],
         query.awaitTermination()
 
 
-def read_silver(spark: SparkSession, path: str, source: Source) -> DataFrame:
-    """Rows of all batches. Empty, with its columns, before the first batch."""
-    table = read_table(spark, path, f"{source.table}, batch STRING")
-    if table is None:
-        return spark.createDataFrame([], source.table)
-    return table.drop("batch")
+def read_silver(
+    spark: SparkSession, path: str, source: Source, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """Rows of all committed batches, of a span of days; no folders of other days are listed.
+
+    Empty, with its columns, before the first batch.
+    """
+    rows = commits.read_live(spark, path, source.table, "batch", LAYOUT[0], first, last)
+    return spark.createDataFrame([], source.table) if rows is None else rows.drop("batch")
+
+
+def read_quarantine(spark: SparkSession, path: str, quarantine: str) -> DataFrame:
+    """value, reason: what the committed batches of a table could not use."""
+    log = commits.entries(spark, path)
+    attempts = [] if log is None else [r.attempt for r in log.where("size(faults) > 0").select("attempt").collect()]
+    found = [f"{quarantine}/batch={a}" for a in attempts]
+    reader = spark.read.schema("value STRING, reason STRING")
+    return reader.parquet(*found) if found else spark.createDataFrame([], "value STRING, reason STRING")
 
 
-def compact(spark: SparkSession, path: str, source: Source, target: str) -> None:
-    """Write the rows of all batches to a new table with few files a day.
+def compact(
+    spark: SparkSession, path: str, source: Source, first: date | None = None, last: date | None = None
+) -> int:
+    """Bring the days that several batches have written into few files each, by city and time. The number of days.
 
-    For days that are over; the new table then takes the old one's place for readers.
+    For days that get few rows any more. Readers and streams go on meanwhile.
     """
-    rows = read_silver(spark, path, source).withColumn("batch", F.lit("compacted"))
-    write_by_city(rows, target, mode="overwrite", partition_by=LAYOUT, spread_by=LAYOUT[:2])
+    return commits.compact(spark, path, source.table, "batch", LAYOUT[0], LAYOUT, ("ts",), first, last)

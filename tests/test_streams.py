@@ -93,10 +93,7 @@ def test_days_are_read_by_folder_and_can_be_compacted(spark, fresh):
     table = silver.read_silver(spark, write.path, silver.TRANSIT)
     late = rows_after(table, at("2024-01-02T10:00:00"))
     assert "PartitionFilters: [isnotnull(scraped_date" in plan_of(late) and late.count() == 1
-    target = fresh("compact")
-    silver.compact(spark, write.path, silver.TRANSIT, target)
-    assert silver.read_silver(spark, target, silver.TRANSIT).exceptAll(table).count() == 0
-    assert silver.read_silver(spark, target, silver.TRANSIT).count() == 3
+    assert silver.compact(spark, write.path, silver.TRANSIT) == 0  # each day lies in one folder
 
 
 def test_no_batch_yet(spark, fresh):
