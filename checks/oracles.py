@@ -212,6 +212,11 @@ def oracle_sql() -> dict[str, str]:
     departures = f"{FIXTURE} SELECT {D_COLS} FROM transit"
     traffic_rows = f"{FIXTURE} SELECT {T_COLS} FROM traffic"
     late_floor = f"(SELECT {bucket('edge')} FROM arrived)"
+    hourly = f"""{GOLD} SELECT hour_of_day, meta_city, {r9('avg(grid_0_0_congestion)')} AS avg_congestion,
+        {r9('avg(rail_stress_index)')} AS avg_rail_stress FROM gold WHERE {_since('30 days')}
+        GROUP BY 1, 2 ORDER BY 1, 2"""
+    heatmap = f"""{GOLD} SELECT hour_of_day, day_of_week, {r9(f"avg({_known('congestion')})")} AS avg_congestion
+        FROM gold GROUP BY 1, 2 ORDER BY 1, 2"""
     bounds = " UNION ALL ".join(
         f"SELECT '{s}' AS source, count(*) AS rows, CAST(0 AS BIGINT) AS rows_without_time, max(ts) AS newest, "
         f"{bucket('max(ts)')} AS newest_bucket FROM {s}"
@@ -307,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_closed_buckets": closed,
         "gold_incremental_two_runs": closed,
         "gold_compacted": closed,
+        "gold_amended": closed,
         "gold_late_data": f"""{FIXTURE}{LATE_CTES}
             {gold_ctes('_early', EARLY, 'FALSE')}{gold_ctes('_all')}
             SELECT {WIDE_OUT} FROM gold_early WHERE time_bucket < {late_floor}
@@ -343,15 +349,14 @@ def oracle_sql() -> dict[str, str]:
         "q_bus_vs_rail": f"""{GOLD} SELECT {per_bucket}, {r9('bus_avg_delay / 60.0')} AS bus_delay_minutes,
             {r9('rail_avg_delay / 60.0')} AS rail_delay_minutes FROM gold WHERE {_since('24 hours')}
             AND bus_avg_delay IS NOT NULL AND rail_avg_delay IS NOT NULL ORDER BY 1, 2""",
-        "q_hourly_patterns": f"""{GOLD} SELECT hour_of_day, meta_city, {r9('avg(grid_0_0_congestion)')} AS avg_congestion,
-            {r9('avg(rail_stress_index)')} AS avg_rail_stress FROM gold WHERE {_since('30 days')}
-            GROUP BY 1, 2 ORDER BY 1, 2""",
+        "q_hourly_patterns": hourly,
         "q_first_rows": f"{gold_all} ORDER BY time_bucket, meta_city LIMIT 5",
         "q_row_count": f"{GOLD} SELECT count(*) AS rows FROM gold",
         "q_city_rows": f"""{GOLD} SELECT meta_city, time_bucket, {r9('grid_0_0_speed')} AS grid_0_0_speed,
             {r9('rail_stress_index')} AS rail_stress_index FROM gold WHERE meta_city = 'Hamburg' ORDER BY 2""",
-        "q_heatmap": f"""{GOLD} SELECT hour_of_day, day_of_week, {r9(f"avg({_known('congestion')})")} AS avg_congestion
-            FROM gold GROUP BY 1, 2 ORDER BY 1, 2""",
+        "q_heatmap": heatmap,
+        "rollup_hourly_patterns": hourly,
+        "rollup_heatmap": heatmap,
         "q_city_comparison": f"{GOLD} SELECT meta_city, count(*) AS buckets, "
         + ", ".join(f"{r9(f'avg({_known(m)})')} AS avg_{m}" for m in ("congestion", "speed", "rain", "temp"))
         + ", " + ", ".join(f"{r9(f'avg({c})')} AS mean_{c}" for c in TRANSIT)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from citypulse.operators.features import (
 from citypulse.operators.nesting import nest_traffic, nest_weather, to_lines
 from citypulse.operators.parsing import explode_samples, parse_values, stamp
 from citypulse.operators.spatial import grid_points
-from citypulse.plans import analytics
+from citypulse.plans import amend, analytics
 from citypulse.plans.gold import gold_wide, gold_wide_join
 from citypulse.plans.incremental import append_increment, closed_buckets, compact_gold, read_gold
 from citypulse.plans.publish import publish
@@ -363,6 +363,10 @@ def _before_cut(df: DataFrame) -> DataFrame:
     return df.filter(F.col("ts") < F.lit(X.CUT).cast("timestamp_ntz"))
 
 
+def _after_cut(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("ts") >= F.lit(X.CUT).cast("timestamp_ntz"))
+
+
 def gold_incremental_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run up to the cut, one over all buckets that fails before its commit, a run over everything, and one that finds nothing new."""
     path = fresh_path(spark, "gold")
@@ -396,6 +400,38 @@ def gold_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold(spark, path).select(*S.wide_columns())
 
 
+def gold_amended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures come after their buckets were written, and change them; the first two runs' sums are compacted."""
+    path = fresh_path(spark, "sums")
+    traffic, weather, transit = X.sources(spark, sf_dir)
+    none = transit.filter(F.lit(False))
+    amend.add_sums(spark, path, _before_cut(traffic), _before_cut(weather), none)
+    amend.add_sums(spark, path, _after_cut(traffic), _after_cut(weather), transit.filter("event_id % 2 = 0"))
+    amend.compact_sums(spark, path)
+    amend.add_sums(spark, path, none, none, transit.filter("event_id % 2 = 1"))
+    return amend.read_amended(spark, path).select(*S.wide_columns())
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Paths of sums and their roll-up, brought up to date after the first rows and after all."""
+    path, rollup = fresh_path(spark, "sums"), fresh_path(spark, "rollup")
+    traffic, weather, transit = _with_strays(spark, sf_dir)
+    none = transit.filter(F.lit(False))
+    amend.add_sums(spark, path, _before_cut(traffic), none, transit)
+    amend.maintain(spark, path, rollup)
+    amend.add_sums(spark, path, _after_cut(traffic), weather, none)
+    amend.maintain(spark, path, rollup)
+    return path, rollup
+
+
+def rollup_hourly_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amend.hourly_patterns(spark, *_rolled_up(spark, sf_dir), datetime.fromisoformat(X.AS_OF))
+
+
+def rollup_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amend.heatmap(spark, _rolled_up(spark, sf_dir)[1])
+
+
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide table from three streams of flat rows."""
     streams = []
@@ -476,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "gold_closed_buckets": gold_closed_buckets,
     "gold_incremental_two_runs": gold_incremental_two_runs,
     "gold_compacted": gold_compacted,
+    "gold_amended": gold_amended,
     "gold_late_data": gold_late_data,
     "gold_stream": stream_gold,
     "publish_incremental": publish_incremental,
@@ -491,6 +528,8 @@ QUERIES: dict[str, Query] = {
     "q_rain_correlation": stored_report(analytics.rain_congestion_correlation, X.AS_OF, "30 days"),
     "q_bus_vs_rail": stored_report(analytics.bus_vs_rail, X.AS_OF),
     "q_hourly_patterns": stored_report(analytics.hourly_patterns, X.AS_OF),
+    "rollup_hourly_patterns": rollup_hourly_patterns,
+    "rollup_heatmap": rollup_heatmap,
     "q_first_rows": report(analytics.first_rows),
     "q_row_count": report(analytics.row_count),
     "q_city_rows": report(analytics.city_rows, "Hamburg"),

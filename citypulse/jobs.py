@@ -4,6 +4,7 @@
     spark-submit ... citypulse/jobs.py silver  --servers HOST:PORT --lake URI
     spark-submit ... citypulse/jobs.py gold    --lake URI
     spark-submit ... citypulse/jobs.py publish --lake URI --url JDBC_URL --table NAME
+    spark-submit ... citypulse/jobs.py amend   --lake URI
     spark-submit ... citypulse/jobs.py compact --lake URI --last DATE
 
 Every job processes what is there, then ends; run again, it goes on where it stopped. Database
@@ -20,6 +21,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from citypulse import schemas as S
+from citypulse.plans import amend
 from citypulse.plans.incremental import Bounds, append_increment, compact_gold, read_gold
 from citypulse.plans.publish import publish
 from citypulse.sources import commits, kafka
@@ -61,13 +63,22 @@ def gold_job(spark: SparkSession, lake: str, **options) -> Bounds:
     return append_increment(spark, *flat, gold_path=f"{lake}/gold", **options)
 
 
+def amend_job(spark: SparkSession, lake: str) -> list[str]:
+    """New batches of the flat tables -> sums by slot, then the roll-up of the days they touch. Those days."""
+    amend.take_batches(spark, f"{lake}/sums", {name: (f"{lake}/silver/{name}", source) for name, source in SOURCES.items()})
+    return amend.maintain(spark, f"{lake}/sums", f"{lake}/rollup")
+
+
 def compact_job(spark: SparkSession, lake: str, last: date, keep: timedelta = commits.KEEP) -> dict[str, int]:
     """Days up to ``last`` into few files, then folders that count no more removed. Days written anew, by table."""
     done = {name: silver.compact(spark, f"{lake}/silver/{name}", source, last=last) for name, source in SOURCES.items()}
     done["gold"] = compact_gold(spark, f"{lake}/gold", last=last)
+    done["sums"] = amend.compact_sums(spark, f"{lake}/sums", last=last)
     for name in SOURCES:
         commits.clear(spark, f"{lake}/silver/{name}", "batch", keep)
     commits.clear(spark, f"{lake}/gold", "run", keep)
+    for name in ("sums", "rollup"):
+        commits.clear(spark, f"{lake}/{name}", "part", keep)
     return done
 
 
@@ -84,7 +95,7 @@ def _properties(path: str | None) -> dict[str, str]:
 
 def main() -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("job", choices=("route", "silver", "gold", "publish", "compact"))
+    parser.add_argument("job", choices=("route", "silver", "gold", "publish", "amend", "compact"))
     parser.add_argument("--lake", required=True)
     parser.add_argument("--landing")
     parser.add_argument("--servers")
@@ -112,6 +123,8 @@ def main() -> None:
     elif args.job == "gold":
         bounds = gold_job(spark, args.lake, hold_back=args.hold_back, flush=args.flush)
         print(f"buckets after {bounds.floor} and before {bounds.ceiling}" if bounds.ceiling else "nothing closed")
+    elif args.job == "amend":
+        print("days amended:", amend_job(spark, args.lake))
     elif args.job == "compact":
         print("days written anew:", compact_job(spark, args.lake, args.last))
     else:

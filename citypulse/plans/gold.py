@@ -70,7 +70,11 @@ def widen(narrow: DataFrame, cells: list[str] | None = None) -> DataFrame:
     one value to pick. No shuffle carries raw rows, so neither a busy city nor a busy bucket
     makes a heavy task, and a report that needs few columns computes only those.
     """
-    means = narrow.groupBy(*KEYS, "slot").agg(*[F.avg(m).alias(m) for m in MEASURES])
+    return spread(narrow.groupBy(*KEYS, "slot").agg(*[F.avg(m).alias(m) for m in MEASURES]), cells)
+
+
+def spread(means: DataFrame, cells: list[str] | None = None) -> DataFrame:
+    """Means by city, bucket and slot -> wide rows."""
     columns = [
         F.expr(f"max({m}) FILTER (WHERE slot = '{slot}') AS {name}") for slot, m, name in features(cells or S.grid_ids())
     ]

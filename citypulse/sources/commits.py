@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime, timedelta, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -24,7 +24,7 @@ from citypulse.session import exists, folder_of, remove
 
 ENTRY = (
     "name STRING, attempt STRING, days ARRAY<STRING>, replaces ARRAY<STRUCT<attempt: STRING, day: STRING>>, "
-    "oldest STRING, newest STRING, clock STRING, faults MAP<STRING, BIGINT>"
+    "oldest STRING, newest STRING, clock STRING, faults MAP<STRING, BIGINT>, inputs ARRAY<STRING>"
 )
 KEEP = timedelta(days=7)
 
@@ -120,6 +120,36 @@ def live(spark: SparkSession, path: str, first: date | None = None, last: date |
     return sorted(map(tuple, held.join(gone, ["attempt", "day"], "left_anti").collect()))
 
 
+def next_name(spark: SparkSession, path: str, prefix: str) -> str:
+    """The name after the commits of a prefix there are; whoever else has seen the same ones has the same name."""
+    log = entries(spark, path)
+    return f"{prefix}-{0 if log is None else log.where(F.col('name').startswith(f'{prefix}-')).count():010d}"
+
+
+def untaken(spark: SparkSession, path: str, prefix: str, by: str, label: str = "") -> list[str]:
+    """Attempts committed to ``path`` under names of a prefix that no commit of the table ``by`` has among its inputs.
+
+    ``label`` tells apart tables that one table takes from: its inputs are named label/attempt.
+    """
+    log, taken = entries(spark, path), entries(spark, by)
+    if log is None:
+        return []
+    found = log.where(F.col("name").startswith(f"{prefix}-")).select("attempt")
+    if taken is not None:
+        done = taken.select(F.explode("inputs").alias("input"))
+        found = found.join(done, F.concat(F.lit(f"{label}/" if label else ""), "attempt") == F.col("input"), "left_anti")
+    return sorted(r.attempt for r in found.collect())
+
+
+def pairs_of(spark: SparkSession, path: str, attempts: Iterable[str]) -> list[tuple[str, str]]:
+    """(attempt, day) of attempts as they were committed, compacted or not."""
+    log, wanted = entries(spark, path), list(attempts)
+    if log is None or not wanted:
+        return []
+    held = log.where(F.col("attempt").isin(wanted)).select("attempt", F.explode("days").alias("day"))
+    return sorted(map(tuple, held.collect()))
+
+
 def days_of(spark: SparkSession, folder: str, column: str) -> list[str]:
     """The days an attempt has written."""
     path, store = folder_of(spark, folder)
@@ -139,14 +169,31 @@ def read_live(
     column: str,
     first: date | None = None,
     last: date | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame | None:
-    """Rows that count, of a span of days, by the folders the log names. None where there has never been a commit.
+    """Rows that count, of a span of days or of ``days``, by the folders the log names. None where there has never been a commit.
 
     What is committed later is not seen, and what is compacted later stays until it is cleared away.
     """
     pairs = live(spark, path, first, last)
     if pairs is None:
         return None
+    if days is not None:
+        wanted = set(days)
+        pairs = [(attempt, day) for attempt, day in pairs if day in wanted]
+    return _read(spark, path, schema, kind, column, pairs)
+
+
+def read_attempts(
+    spark: SparkSession, path: str, schema: str, kind: str, column: str, attempts: Iterable[str]
+) -> DataFrame:
+    """Rows of certain committed attempts, compacted or not."""
+    return _read(spark, path, schema, kind, column, pairs_of(spark, path, attempts))
+
+
+def _read(
+    spark: SparkSession, path: str, schema: str, kind: str, column: str, pairs: list[tuple[str, str]]
+) -> DataFrame:
     declared = f"{schema}, {kind} STRING"
     if not pairs:
         return spark.createDataFrame([], declared)
@@ -164,23 +211,23 @@ def compact(
     first: date | None = None,
     last: date | None = None,
     least_folders: int = 2,
+    merge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Write the days that lie in ``least_folders`` or more anew, ordered by ``cluster_by``, and swap them in. The number of days.
 
     The swap is one commit that names the folders it replaces; rows that come to a day meanwhile are not among them
     and stay. Of two compactions at once the second one fails with ``Conflict``. Files follow the size
-    of the data: a day is split over tasks where it is large.
+    of the data: a day is split over tasks where it is large. ``merge`` may bring rows together that say the same.
     """
-    swaps = 0 if (log := entries(spark, path)) is None else log.where("name LIKE 'swap-%'").count()
+    name = next_name(spark, path, "swap")
     held: dict[str, list[str]] = {}
     for attempt, day in live(spark, path, first, last) or []:
         held.setdefault(day, []).append(attempt)
     pairs = [(a, day) for day, attempts in held.items() if len(attempts) >= least_folders for a in attempts]
     if not pairs:
         return 0
-    found = spark.read.schema(f"{schema}, {kind} STRING").option("basePath", path)
-    rows = found.parquet(*folders(path, kind, column, pairs)).drop(kind)
-    name = f"swap-{swaps:010d}"
+    rows = _read(spark, path, schema, kind, column, pairs).drop(kind)
+    rows = rows if merge is None else merge(rows)
     attempt = attempt_of(name)
     folder = f"{path}/{kind}={attempt}"
     spread = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
