@@ -404,11 +404,10 @@ def gold_amended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departures come after their buckets were written, and change them; the first two runs' sums are compacted."""
     path = fresh_path(spark, "sums")
     traffic, weather, transit = X.sources(spark, sf_dir)
-    none = transit.filter(F.lit(False))
-    amend.add_sums(spark, path, _before_cut(traffic), _before_cut(weather), none)
+    amend.add_sums(spark, path, _before_cut(traffic), _before_cut(weather), transit.limit(0))
     amend.add_sums(spark, path, _after_cut(traffic), _after_cut(weather), transit.filter("event_id % 2 = 0"))
     amend.compact_sums(spark, path)
-    amend.add_sums(spark, path, none, none, transit.filter("event_id % 2 = 1"))
+    amend.add_sums(spark, path, traffic.limit(0), weather.limit(0), transit.filter("event_id % 2 = 1"))
     return amend.read_amended(spark, path).select(*S.wide_columns())
 
 
@@ -416,10 +415,9 @@ def _rolled_up(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Paths of sums and their roll-up, brought up to date after the first rows and after all."""
     path, rollup = fresh_path(spark, "sums"), fresh_path(spark, "rollup")
     traffic, weather, transit = _with_strays(spark, sf_dir)
-    none = transit.filter(F.lit(False))
-    amend.add_sums(spark, path, _before_cut(traffic), none, transit)
+    amend.add_sums(spark, path, _before_cut(traffic), weather.limit(0), transit)
     amend.maintain(spark, path, rollup)
-    amend.add_sums(spark, path, _after_cut(traffic), weather, none)
+    amend.add_sums(spark, path, _after_cut(traffic), weather, transit.limit(0))
     amend.maintain(spark, path, rollup)
     return path, rollup
 
