@@ -15,8 +15,9 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from citypulse.llm.common import Rounds, is_empty, map_rows, materialised, salted, word_blocks
+from citypulse.llm.common import Rounds, map_rows, materialised, salted, word_blocks
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -24,8 +25,6 @@ LIMIT = 2.0
 SALTS = 64
 STEPS = 60
 CLOSE = 1e-9
-#: Rows that agree in doc_id and text are numbered in one task up to this many, then by partition.
-CROWD = 10_000
 #: So many rows at a time are made from the number of rows that agree.
 BLOCK = 1_000
 
@@ -94,6 +93,9 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
         if not rounds.state.where("not done").take(1):
             break
         rounds.replace(_step(counts, rounds.state))
+    else:
+        if rounds.state.where("not done").take(1):
+            raise ArithmeticError(f"multipliers are not found within {STEPS} steps")
     return rounds.state.select("source", "multiplier", "mean")
 
 
@@ -149,7 +151,7 @@ def _rounded(sizes: pd.DataFrame) -> pd.DataFrame:
 
 
 def _decided(docs: DataFrame, weights: tuple[float, ...], share: float) -> DataFrame:
-    """doc_id, tie, size, source_size, target, whole, rows, more: a row for those that agree in doc_id, text and source.
+    """doc_id, tie, source, size, source_size, target, whole, rows, more: a row for those that agree in doc_id, text and source.
 
     ``rows`` is how many they are; ``more`` of them get one copy more than ``whole``. Tables that grow
     with the documents are merged by sorting: their files are small for their rows, and Spark would
@@ -202,7 +204,7 @@ def _decided(docs: DataFrame, weights: tuple[float, ...], share: float) -> DataF
             _same(F.col("source"), F.col("of")) & (F.col("size") == F.col("z")) & (F.col("salt") == F.col("cell")),
         )
         .select(
-            "doc_id", "tie", "size", "source_size", "target", "whole", "rows",
+            "doc_id", "tie", "source", "size", "source_size", "target", "whole", "rows",
             F.least("rows", F.greatest(F.col("extra") - F.col("before"), F.lit(0))).alias("more"),
         )
     )
@@ -223,47 +225,50 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     )
 
 
+def _hashed(field: T.StructField) -> Column:
+    """A column as it can be hashed: a type with maps as text."""
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as its copies, with all columns.
 
-    Rows that agree in doc_id and text are numbered; the first have no copy, the next one, the last
-    two. Crowds of them are stored with the partition they came in and numbered by partition.
+    Rows that agree in doc_id, text and source are ordered by a hash of all their columns; the first have no copy,
+    the next one, the last two. Rows that agree in everything are one row with a number, summed before
+    the shuffle, so that a crowd of them is nowhere gathered or numbered. Reruns give the same rows.
     """
-    same = ["row key", "row tie"]
+    same = ["row key", "row tie", "row source"]
+    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     usual, once_more = F.col("rows") - F.col("more"), F.col("more")
     bounds = materialised(
-        _decided(docs, WEIGHTS, SHARE)
-        .groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(same[0]), F.col("tie").alias(same[1]))
-        .agg(
-            F.sum(F.when(F.col("whole") == 0, usual).otherwise(0)).alias("row none"),
-            F.sum(F.when(F.col("whole") == 0, usual + once_more).when(F.col("whole") == 1, usual).otherwise(0)).alias("row once"),
-            F.sum("rows").alias("row number"),
+        _decided(docs, WEIGHTS, SHARE).select(
+            key.alias(same[0]), F.col("tie").alias(same[1]), source.alias(same[2]),
+            F.when(F.col("whole") == 0, usual).otherwise(0).alias("row none"),
+            F.when(F.col("whole") == 0, usual + once_more).when(F.col("whole") == 1, usual).otherwise(0).alias("row once"),
         ),
         "mixing-bounds",
-    )
-    rows = docs.withColumns(
-        {same[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), same[1]: F.xxhash64("text")}
-    )
-    crowds = bounds.where(F.col("row number") > CROWD).select(*same)
-    if is_empty(crowds):
-        return _copied(rows, bounds, same, docs.columns)
-    # broadcast: one row for every CROWD rows at most
-    few = rows.join(F.broadcast(crowds), same, "left_anti")
-    many = rows.join(F.broadcast(crowds), same, "left_semi").withColumn("row part", F.spark_partition_id())
-    many = materialised(many, "mixing-crowds")
-    parts = many.groupBy(*same, "row part").agg(F.count("*").alias("row held"))
-    earlier = Window.partitionBy(*same).orderBy("row part").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("row held").over(earlier), F.lit(0))
-    parts = parts.withColumn("row start", start).join(bounds, same).withColumns(
-        {n: F.col(n) - F.col("row start") for n in ("row none", "row once")}
-    )
-    return _copied(few, bounds, same, docs.columns).unionByName(_copied(many, parts, [*same, "row part"], docs.columns))
-
-
-def _copied(rows: DataFrame, bounds: DataFrame, same: list[str], columns: list[str]) -> DataFrame:
-    """The rows as often as their number among those that agree in ``same`` says."""
-    turn = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
-    copies = F.when(F.col("row turn") <= F.col("row none"), 0).when(F.col("row turn") <= F.col("row once"), 1).otherwise(2)
-    each = F.explode(F.array_repeat(F.lit(1), copies))
-    bounds = bounds.select(*same, "row none", "row once").hint("merge")
-    return rows.withColumn("row turn", turn).join(bounds, same).select(*columns, each.alias("row copy")).drop("row copy")
+    )
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        key.alias(same[0]), F.xxhash64("text").alias(same[1]), source.alias(same[2]),
+        F.xxhash64(*map(_hashed, docs.schema.fields)).alias("row hash"),
+    )
+    counts = keyed.groupBy(*same, "row hash").agg(F.count("*").alias("row held"))
+    earlier = Window.partitionBy(*same).orderBy("row hash").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("row held").over(earlier), F.lit(0))
+    placed = counts.withColumn("row first", first).join(bounds.hint("merge"), same)
+
+    def behind(bound: str) -> Column:
+        """How many of the rows come behind so many."""
+        last = F.col("row first") + F.col("row held")
+        return F.greatest(F.lit(0), last - F.greatest(F.col("row first"), F.col(bound)))
+
+    # behind the rows without a copy each has one, behind those with one a second
+    placed = placed.select(*same, "row hash", (behind("row none") + behind("row once")).alias("row copies"))
+    whole = keyed.groupBy(*same, "row hash").agg(F.first("row").alias("row"))
+    taken = whole.join(placed.where("`row copies` > 0").hint("merge"), [*same, "row hash"])
+    blocks = taken.withColumn("row block", F.explode(F.expr(f"sequence(0L, `row copies` - 1, {BLOCK}L)")))
+    turns = F.sequence(F.col("row block") + 1, F.least("row copies", F.col("row block") + BLOCK))
+    return blocks.select("row", F.explode(turns)).select(*[F.col("row")[c].alias(c) for c in docs.columns])

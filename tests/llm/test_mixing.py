@@ -107,27 +107,45 @@ def test_one_size_and_one_source(spark):
     held(rows, M.mix(spark.createDataFrame(rows, DOCUMENTS)).collect())
 
 
-def test_crowds_of_equal_rows_are_numbered_in_parts(spark, monkeypatch):
+def test_crowds_of_equal_rows(spark):
     """1,200 rows without doc_id and text, 900 that agree with a text, among others."""
     rows = [(None, None, "en", "a", 1)] * 1_200 + [(7, sentence(7, 30), "en", "a", 1)] * 900
     rows += [(100 + i, sentence(i, 10 + i % 40), "en", "ab"[i % 2], 1) for i in range(300)]
-    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(6).localCheckpoint()
+    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(6)
     wanted = defaultdict(int)
     for r in M.mix(frame).collect():
         wanted[r.doc_id] += r.copies
     assert 900 < wanted[7] < 1_800 or 0 < wanted[7] < 900  # some of the crowd have another number of copies
-    numbered = []
-    copied = M._copied
-    monkeypatch.setattr(M, "_copied", lambda rows, bounds, same, columns: numbered.append((rows, same)) or copied(rows, bounds, same, columns))
-    monkeypatch.setattr(M, "CROWD", 20)
-    out = M.mixed(frame)
     got = defaultdict(int)
-    for r in out.collect():
+    for r in M.mixed(frame).collect():
         got[r.doc_id] += 1
     assert {k: v for k, v in wanted.items() if v} == got
-    assert len(numbered) == 2
-    for some, same in numbered:
-        assert some.groupBy(*same).count().agg({"count": "max"}).first()[0] <= 400
+
+
+def test_rows_of_one_doc_id_and_text_are_copied_by_source(spark):
+    """One doc_id and text in three sources, and in none: each source has the copies that its target wants."""
+    rows = [(i, sentence(i, 20), "en", s, 1) for i in range(200) for s in ("a", "b", "c", None)]
+    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    mix = M.mix(frame)
+    size = {r.doc_id: r["size"] for r in mix.collect()}
+    goals = {r.target for r in mix.collect()}
+    taken = defaultdict(int)
+    for r in M.mixed(frame).collect():
+        taken[r.source] += size[r.doc_id]
+    wanted = slow_targets({s: 200 * 20 for s in ("a", "b", "c", None)})
+    assert sorted(wanted.values()) == pytest.approx(sorted([*goals, *[g for g in goals if list(wanted.values()).count(g) > 1]]))
+    assert all(abs(taken[s] - target) <= 20 for s, target in wanted.items())
+
+
+def test_reruns_copy_the_same_of_rows_that_differ_elsewhere(spark):
+    """Rows that agree in doc_id, text and source, but not in lang, however they come."""
+    rows = [(i % 7, sentence(i % 7, 12), f"l{i % 5}", "a", i % 3) for i in range(400)]
+    rows += [(1_000 + i, sentence(i, 15), "en", "b", 1) for i in range(100)]
+    outs = [
+        sorted(map(repr, M.mixed(spark.createDataFrame(rows[::step], DOCUMENTS).repartition(n)).collect()))
+        for step, n in ((1, 3), (-1, 5))
+    ]
+    assert outs[0] == outs[1] and len(set(outs[0])) > 20
 
 
 def test_copies_are_not_gathered_in_arrays(spark):
