@@ -1,16 +1,18 @@
-"""Exact top-k search by inner product over a vector-approximation file.
+"""Exact top-k search by inner product over a vector-approximation file, in two passes.
 
-Every vector is held twice: as cells of 1 byte a component, and exactly. Queries come in blocks,
-vectors in chunks; a task meets a block with a chunk. It scans the cells for bounds on every score,
-then reads exact vectors in the order of their bounds until the k-th best exact score is no less
-than the next bound. The best of all chunks are merged. Equal vectors are kept once with their
-k + 1 smallest ids: more of them can never be among the k results of a query.
+The file holds one byte a component. In the first pass blocks of queries meet chunks of cells, and no
+exact vector: tables of a query's weight by component give bounds on every score, and the k-th lower
+bound goes on from chunk to chunk of a task, so that a task hands on few vectors of each query, however
+many chunks it sees. The second pass reads exact vectors for these candidates only, in the order
+of their upper bounds, until the k-th best exact score is above the next bound. Equal vectors are
+kept once with their k + 1 smallest ids: more of them can never be among the k results of a query.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Iterator
+from bisect import insort
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -23,15 +25,17 @@ SCALE = 1024
 CELLS = 256
 VECTORS_A_CHUNK = 8_192
 QUERIES_A_BLOCK = 512
-#: Sums of products below this are exact in a double.
-EXACT = float(1 << 53)
+#: Candidates that a task holds back before it hands them on; then later bounds cannot drop them here any more.
+HELD = 500_000
+#: Scores are longs.
+LARGEST = (1 << 63) - 1
 
 
 def whole_numbers(embeddings: DataFrame) -> DataFrame:
     """vec_id, vector (binary: floor(1024 x) of each component as an 8-byte number), each pair once.
 
     Rows without a vec_id, and vectors that are null, empty or hold null or non-finite components,
-    are left out.
+    are left out. A component that is no 8-byte number then is an error.
     """
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -40,6 +44,8 @@ def whole_numbers(embeddings: DataFrame) -> DataFrame:
                 continue
             exact = np.asarray(vector, dtype=np.float64)
             if np.isfinite(exact).all():
+                if np.abs(SCALE * exact).max() >= LARGEST:
+                    raise OverflowError(f"vec_id {vec_id}: a component does not fit into 8 bytes")
                 yield vec_id, np.floor(SCALE * exact).astype("<i8").tobytes()
 
     return map_rows(embeddings.select("vec_id", "embedding"), run, "vec_id long, vector binary").distinct()
@@ -77,60 +83,153 @@ def _ranges(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
-def _packed(rows: DataFrame, most: int, low: np.ndarray, high: np.ndarray, name: str) -> DataFrame:
-    """Rows (vector, ids) in groups of up to ``most``: name, n, ids, cells, exact."""
-    width = len(low)
-    step = np.maximum((high - low) / CELLS, 1e-9)
+def _packed(rows: DataFrame, most: int, schema: str, pack: Callable[[np.ndarray], np.ndarray], width: int) -> DataFrame:
+    """Rows (vector, key) in groups of up to ``most``: keys, and what ``pack`` makes of their vectors."""
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        group: list[tuple] = []
-        for row in rows:
-            group.append(row)
-            if len(group) == most:
-                yield packed(group)
-                group = []
-        if group:
-            yield packed(group)
-
-    def packed(group: list[tuple]) -> tuple:
-        exact = _numbers([v for v, _ in group], width)
-        cells = np.clip(np.floor((exact - low) / step), 0, CELLS - 1).astype(np.uint8)
-        return uuid.uuid4().hex, len(group), [i for _, i in group], cells.tobytes(), exact.tobytes()
-
-    return map_rows(
-        rows.select("vector", "ids"), run, f"{name} string, n int, ids array<array<long>>, cells binary, exact binary"
-    )
-
-
-def _search(cells: np.ndarray, exact: np.ndarray, queries: np.ndarray, low, step, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query the places and exact scores of its k best vectors, and of all that tie with the last."""
-    middle = low + (cells.astype(np.float64) + 0.5) * step
-    wanted = queries.astype(np.float64)
-    # values are whole numbers, so a cell's are at most half a step from its middle; 1e-6 is for rounding
-    slack = np.abs(wanted) @ (step / 2) * (1 + 1e-6) + np.abs(wanted) @ np.abs(middle).max(axis=0) * 1e-12 + 1e-3
-    about = wanted @ middle.T
-    limit = np.abs(wanted).max(initial=0) * np.abs(exact).max(initial=0) * exact.shape[1]
-    for place, query in enumerate(queries):
-        upper = about[place] + slack[place]
-        kth = np.partition(upper, -k)[-k] if k < len(upper) else -np.inf
-        # the k best by bound are at least this good
-        order = np.flatnonzero(upper >= kth - 2 * slack[place])
-        order = order[np.argsort(-upper[order], kind="stable")]
-        read = np.zeros(0, dtype=np.int64)
-        at = 0
-        while at < len(order):
-            enough = np.partition(read, -k)[-k] if len(read) >= k else None
-            if enough is not None and upper[order[at]] < enough:
-                break
-            part = exact[order[at : at + 4 * k]]
-            scores = (part.astype(np.float64) @ wanted[place]).astype(np.int64) if limit < EXACT else part @ query
-            read = np.concatenate((read, scores))
-            at += 4 * k
-        if len(read) > k:
-            best = np.flatnonzero(read >= np.partition(read, -k)[-k])
+        rows = iter(rows)
+        while group := list(islice(rows, most)):
+            yield [key for _, key in group], pack(_numbers([v for v, _ in group], width)).tobytes()
+
+    return map_rows(rows.select("vector", "key"), run, schema)
+
+
+class _Block:
+    """Bounds on the scores of a block of queries, over all chunks of cells that it meets.
+
+    A score lies within ``slack`` of base + table . cells; all three are divided by the query's
+    largest weight, so that single precision holds any of them. ``best`` has the k largest
+    estimates so far: no vector counts whose estimate is more than twice the slack below the k-th.
+    """
+
+    def __init__(self, keys: list[int], queries: np.ndarray, low: np.ndarray, step: np.ndarray, k: int) -> None:
+        wanted = queries.astype(np.float64)
+        weights, sizes = wanted * step, np.abs(wanted)
+        width = wanted.shape[1]
+        self.keys, self.k = np.array(keys, dtype=np.int64), k
+        self.unit = np.maximum(np.abs(weights).max(axis=1, initial=0), 1e-30)
+        self.table = (weights / self.unit[:, None]).astype(np.float32)
+        self.base = wanted @ (low + step / 2)
+        # half a cell, what single precision may lose in the sum, and what double precision may lose in the rest
+        loss = 0.5 * (1 + 1e-6) + CELLS * (width + 2) * 2.0**-23
+        rest = sizes @ (np.abs(low) + CELLS * step) * 1e-12 + 1e-3
+        self.slack = (np.abs(weights).sum(axis=1) * loss + rest) / self.unit
+        self.best = np.full((len(keys), k), -np.inf, dtype=np.float32)
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def _limit(self) -> np.ndarray:
+        return np.nextafter((self.best.min(axis=1) - 2 * self.slack).astype(np.float32), np.float32(-np.inf))
+
+    def meet(self, cells: np.ndarray, keys: np.ndarray) -> None:
+        about = self.table @ cells.astype(np.float32).T
+        if len(keys) >= self.k and not np.isfinite(self.best).all():
+            self.best = np.maximum(self.best, np.partition(about, len(keys) - self.k, axis=1)[:, -self.k :])
+            merged = True
         else:
-            best = np.arange(len(read))
-        yield order[best], read[best]
+            merged = False
+        query, place = np.nonzero(about >= self._limit()[:, None])
+        estimates = about[query, place]
+        if not merged:
+            starts = np.searchsorted(query, np.arange(len(self.keys) + 1))
+            for q in np.flatnonzero(np.diff(starts)).tolist():
+                every = np.concatenate((self.best[q], estimates[starts[q] : starts[q + 1]]))
+                self.best[q] = np.partition(every, len(every) - self.k)[-self.k :]
+        self.found.append((query, keys[place], estimates))
+        self.held += len(query)
+
+    def candidates(self) -> Iterator[tuple[int, int, float, float]]:
+        """(query, class, upper, lower bound) of the vectors that the bounds of all chunks so far leave."""
+        limit = self._limit()
+        for query, keys, estimates in self.found:
+            kept = np.flatnonzero(estimates >= limit[query])
+            query, about = query[kept], estimates[kept].astype(np.float64)
+            upper = self.base[query] + self.unit[query] * (about + self.slack[query])
+            lower = self.base[query] + self.unit[query] * (about - self.slack[query])
+            yield from zip(self.keys[query].tolist(), keys[kept].tolist(), upper.tolist(), lower.tolist())
+        self.found, self.held = [], 0
+
+
+def candidates(classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """query, class, upper, lower: for each query the classes that may be among its ``k`` best, by cells alone.
+
+    Both tables have key and vector. What is left out lies below k others of the query for certain.
+    """
+    spark = classes.sparkSession
+    low, high = _ranges(classes.select("vector").unionByName(wanted.select("vector")))
+    width, step = len(low), np.maximum((high - low) / CELLS, 1e-9)
+
+    def cells(exact: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor((exact - low) / step), 0, CELLS - 1).astype(np.uint8)
+
+    chunks = _packed(classes, VECTORS_A_CHUNK, "classes array<long>, cells binary", cells, width)
+    chunks = materialised(chunks, "vafile-chunks")
+    blocks = _packed(wanted, QUERIES_A_BLOCK, "queries array<long>, exact binary", lambda exact: exact, width)
+    blocks = materialised(blocks, "vafile-blocks")
+
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        block, asked = None, None
+        for queries, exact, keys, packed in rows:
+            if asked != queries:
+                if block:
+                    yield from block.candidates()
+                asked = queries
+                block = _Block(queries, np.frombuffer(exact, dtype="<i8").reshape(-1, width), low, step, k)
+            block.meet(np.frombuffer(packed, dtype=np.uint8).reshape(-1, width), np.array(keys, dtype=np.int64))
+            if block.held > HELD:
+                yield from block.candidates()
+        if block:
+            yield from block.candidates()
+
+    # every block meets every chunk: blocks go to all groups, a chunk to one of them. Blocks grow with
+    # the table, so they are merged, which can spill, and not broadcast. The merge goes through a
+    # group's chunks for one block after the other; in another order there would only be more candidates
+    groups = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), chunks.count()))
+    spread = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).hint("merge")
+    dealt = chunks.withColumn("to", F.pmod(F.xxhash64(F.col("classes")[0]), F.lit(groups)).cast("int"))
+    pairs = spread.join(dealt, "to").select("queries", "exact", "classes", "cells")
+    found = materialised(map_rows(pairs, run, "query long, class long, upper double, lower double"), "vafile-candidates")
+    order = Window.partitionBy("query").orderBy(F.col("lower").desc())
+    kth = found.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select("query", F.col("lower").alias("kth"))
+    return found.join(kth, "query", "left").where("kth is null or upper >= kth").drop("kth")
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> int:
+    """The whole product, the shorter vector going on with zeros."""
+    size = min(len(a), len(b))
+    a, b = a[:size], b[:size]
+    if float(np.abs(a.astype(np.float64)).max()) * float(np.abs(b.astype(np.float64)).max()) * size < LARGEST / 2:
+        return int(a @ b)
+    return sum(x * y for x, y in zip(a.tolist(), b.tolist()))
+
+
+def _in_order(rows: Iterable[tuple], k: int) -> Iterator[tuple[int, int, int]]:
+    """(query_id, vec_id, score) of the k best of each query.
+
+    Rows are (query, upper, vector, ids): first the query itself, its bound null, then its
+    candidates by falling bounds. Those behind the one that makes the k-th result certain are passed over.
+    """
+    best: list[tuple[int, int]] = []
+    query_id, asked = None, None
+
+    def results() -> Iterator[tuple[int, int, int]]:
+        for score, vec_id in best:
+            if not -LARGEST <= score <= LARGEST:
+                raise OverflowError(f"vec_id {query_id}, {vec_id}: the score does not fit into 8 bytes")
+            yield query_id, vec_id, -score
+
+    for _, upper, vector, ids in rows:
+        exact = np.frombuffer(vector, dtype="<i8")
+        if upper is None:
+            yield from results()
+            (query_id,), asked, best = ids, exact, []
+        elif len(best) < k or upper >= -best[-1][0]:
+            score = _product(asked, exact)
+            for vec_id in ids:
+                if vec_id != query_id:
+                    insort(best, (-score, vec_id))
+            del best[k:]
+    yield from results()
 
 
 def top_k(embeddings: DataFrame, queries: DataFrame | None = None, k: int = K) -> DataFrame:
@@ -138,43 +237,23 @@ def top_k(embeddings: DataFrame, queries: DataFrame | None = None, k: int = K) -
 
     ``embeddings`` has vec_id and embedding; ``queries`` the same (default: the rows whose vec_id is
     divisible by 100). A vector with the query's own id is no result. Vectors of different lengths
-    are compared as if the shorter one went on with zeros. Repeated rows count once.
+    are compared as if the shorter one went on with zeros. Repeated rows count once. A component or
+    a result's score that does not fit into 8 bytes is an error.
     """
-    spark = embeddings.sparkSession
     vectors = materialised(whole_numbers(embeddings), "vafile-vectors")
     wanted = vectors.where("vec_id % 100 = 0") if queries is None else whole_numbers(queries)
     first = Window.partitionBy("vector").orderBy("vec_id")
     members = vectors.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
     classes = members.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    wanted = materialised(wanted.select("vector", F.array("vec_id").alias("ids")), "vafile-queries")
-    low, high = _ranges(vectors.select("vector").unionByName(wanted.select("vector")))
-    width, step = len(low), np.maximum((high - low) / CELLS, 1e-9)
-    chunks = materialised(_packed(classes, VECTORS_A_CHUNK, low, high, "chunk"), "vafile-chunks")
-    blocks = materialised(_packed(wanted, QUERIES_A_BLOCK, low, high, "block"), "vafile-blocks")
-
-    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for ids, cells, exact, query_ids, query_exact in rows:
-            shape = (-1, width)
-            found = _search(
-                np.frombuffer(cells, dtype=np.uint8).reshape(shape), np.frombuffer(exact, dtype="<i8").reshape(shape),
-                np.frombuffer(query_exact, dtype="<i8").reshape(shape), low, step, k + 1,
-            )
-            for (query_id,), (places, scores) in zip(query_ids, found):
-                near = [
-                    (-s, vec_id) for p, s in zip(places.tolist(), scores.tolist()) for vec_id in ids[p] if vec_id != query_id
-                ]
-                for s, vec_id in sorted(near)[:k]:
-                    yield query_id, vec_id, -s
-
-    # every block meets every chunk: blocks go to all groups, a chunk to one of them. Blocks grow with
-    # the table, so they are merged, which can spill, and not broadcast
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).hint("merge")
-    dealt = chunks.withColumn("to", F.pmod(F.xxhash64("chunk"), F.lit(groups)).cast("int"))
-    pairs = dealt.select("to", "ids", "cells", "exact").join(
-        spread.select("to", F.col("ids").alias("query_ids"), F.col("exact").alias("query_exact")), "to"
-    )
-    found = map_rows(pairs.drop("to"), run, "query_id long, vec_id long, score long")
+    classes = materialised(classes.withColumn("key", F.monotonically_increasing_id()), "vafile-classes")
+    wanted = wanted.select("vector", F.array("vec_id").alias("ids"), F.monotonically_increasing_id().alias("key"))
+    wanted = materialised(wanted, "vafile-queries")
+    # one more than k: the query's own id may be one of them
+    near = candidates(classes, wanted, k + 1).select("query", "upper", F.col("class").alias("key"))
+    read = near.join(classes.hint("merge"), "key").select("query", "upper", "vector", "ids")
+    asked = wanted.select(F.col("key").alias("query"), F.lit(None).cast("double").alias("upper"), "vector", "ids")
+    ordered = asked.unionByName(read).repartition("query").sortWithinPartitions("query", F.col("upper").desc_nulls_first())
+    found = map_rows(ordered, lambda rows: _in_order(rows, k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

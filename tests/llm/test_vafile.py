@@ -82,21 +82,77 @@ def test_scales(spark, scale):
     assert found(spark.createDataFrame(rows, EMBEDDINGS)) == slow(rows)
 
 
-def test_most_vectors_are_not_read():
+def keyed(spark, rows: list[tuple]):
+    numbers = V.whole_numbers(spark.createDataFrame(rows, EMBEDDINGS))
+    return numbers.withColumnRenamed("vec_id", "key")
+
+
+def test_few_exact_vectors_are_read(spark, monkeypatch):
+    rows = vectors(8_000, width=32)
+    monkeypatch.setattr(V, "QUERIES_A_BLOCK", 32)
+    counts = []
+    for size in (2_000, 125):
+        monkeypatch.setattr(V, "VECTORS_A_CHUNK", size)
+        near = V.candidates(keyed(spark, rows), keyed(spark, rows).where("key % 100 = 0"), 11)
+        counts.append(near.count())
+        assert near.groupBy("query").count().where("count < 11").count() == 0
+    # of 80 x 8,000 pairs; what is left by all bounds does not depend on the chunks
+    assert counts[0] == counts[1] < 0.05 * 80 * 8_000
+
+
+def test_bounds_go_on_from_chunk_to_chunk():
     dice = np.random.default_rng(0)
-    exact = np.floor(1024 * dice.normal(0, 0.2, (5_000, 32))).astype(np.int64)
+    exact = np.floor(1024 * dice.normal(0, 0.2, (20_000, 32))).astype(np.int64)
     low, high = exact.min(0).astype(float), exact.max(0).astype(float)
     step = (high - low) / V.CELLS
     cells = np.clip(np.floor((exact - low) / step), 0, 255).astype(np.uint8)
+    sizes = []
+    for chunk in (20_000, 1_000, 7):
+        block = V._Block([1, 2], exact[:2], low, step, 11)
+        for start in range(0, len(exact) if chunk > 7 else 700, chunk):
+            block.meet(cells[start : start + chunk], np.arange(start, min(start + chunk, len(exact))))
+        found = list(block.candidates())
+        for query, place, upper, lower in found:
+            assert lower <= int(exact[query - 1] @ exact[place]) <= upper
+        if chunk > 7:
+            sizes.append(len(found))
+            for query in (1, 2):
+                best = np.argsort(-(exact @ exact[query - 1]), kind="stable")[:11]
+                assert set(best.tolist()) <= {p for q, p, *_ in found if q == query}
+    assert sizes[0] == sizes[1] < 400
+
+
+def test_reading_stops_when_the_kth_is_certain():
+    query = np.array([1], dtype="<i8").tobytes()
+    read = []
+
+    class Ids(list):
+        def __iter__(self):
+            read.append(self[0])
+            return super().__iter__()
+
+    rows = [(0, None, query, [100])]
+    rows += [(0, float(v + 1), np.array([v], dtype="<i8").tobytes(), Ids([v])) for v in range(50, 0, -1)]
+    assert list(V._in_order(rows, 3)) == [(100, 50, 50), (100, 49, 49), (100, 48, 48)]
+    assert read == [50, 49, 48, 47]  # 47 may still reach 48 by its bound
+
+
+def test_numbers_that_are_too_large(spark):
+    large = [(100, [1e6, 1e6], 0), (1, [1e6, 7e5], 0), (2, [-1e6, 1e6], 0), (3, [1.0, 2.0], 0)]
+    assert found(spark.createDataFrame(large, EMBEDDINGS)) == slow(large)  # past the exact range of a double
+    with pytest.raises(Exception, match="score does not fit"):
+        found(spark.createDataFrame([(100, [3e9, 3e9], 0), (1, [3e9, 3e9], 0)], EMBEDDINGS))
+    with pytest.raises(Exception, match="component does not fit"):
+        found(spark.createDataFrame([(100, [1e16], 0), (1, [1.0], 0)], EMBEDDINGS))
+
+
+def test_narrow_ranges_far_from_zero(spark):
+    dice = np.random.default_rng(2)
+    rows = [(i, [float(np.float32(3e5 + x)) for x in v], 0) for i, v in enumerate(dice.normal(0, 0.5, (400, 4)))]
+    assert found(spark.createDataFrame(rows, EMBEDDINGS)) == slow(rows)
 
-    class Counted(np.ndarray):
-        read = 0
-
-        def __getitem__(self, key):
-            Counted.read += len(key)
-            return np.asarray(self)[key]
 
-    ((places, scores),) = V._search(cells, exact.view(Counted), exact[:1], low, step, 11)
-    assert Counted.read < 200
-    every = exact @ exact[0]
-    assert sorted(scores.tolist())[-11:] == sorted(every.tolist())[-11:]
+def test_an_id_with_two_vectors(spark):
+    rows = vectors(200, width=4)
+    rows += [(7, [0.5, -0.5, 0.25, 1.0], 0), (8, rows[9][1], 0)]
+    assert found(spark.createDataFrame(rows, EMBEDDINGS)) == slow(rows)
