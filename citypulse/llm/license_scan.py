@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect, bisect_left, insort
+from bisect import bisect, insort
 from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -306,24 +306,50 @@ def alignments(index: Index, numbers: np.ndarray, words: _Words) -> Iterator[tup
     """(template, matched words, first, last place in the text) of every alignment with enough matches and its names."""
     prints = np.zeros(len(index.vocabulary) + 1, dtype=bool)  # the last one is for words in no template
     prints[list(index.postings)] = True
-    hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for at in np.flatnonzero(prints[numbers]).tolist():
-        for template, place in index.postings[int(numbers[at])]:
-            hits[template].append((at, at - place))
-    for template, here in hits.items():
+    at = np.flatnonzero(prints[numbers])
+    hits: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+    found = numbers[at]
+    for word in np.unique(found).tolist():
+        here = at[found == word]
+        for template, place in index.postings[word]:
+            hits[template].append((here, here - place))
+    for template, parts in hits.items():
         row = index.words[template]
+        places, diagonals = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(places, kind="stable")
+        places, diagonals = places[order], diagonals[order]
+        # a window with fewer words of the template than are needed holds no alignment
+        member = np.zeros(len(prints), dtype=bool)
+        member[list(row)] = True
+        upto = np.concatenate(([0], np.cumsum(member[numbers])))
+        margin = _reach(row)[1]
+        ends = np.clip(diagonals + (len(row) + margin), 0, len(numbers)), np.clip(diagonals - margin, 0, len(numbers))
+        worth = np.flatnonzero(upto[ends[0]] - upto[ends[1]] >= index.needed[template])
+        if not len(worth):
+            continue
         if template not in words.places:
             words.places[template] = defaultdict(int)
             for i, word in enumerate(row):
                 words.places[template][word] |= 1 << i
-        for found in _of_template(row, index.needed[template], index.naming[template], here, numbers, words.places[template]):
-            yield template, *found
+        for one in _of_template(
+            row, index.needed[template], index.naming[template], places, diagonals, worth, numbers, words.places[template]
+        ):
+            yield template, *one
+
+
+def _reach(row: tuple[int, ...]) -> tuple[int, int]:
+    """(how far apart joined diagonals may be, how many words before and behind a diagonal any band takes)."""
+    reach = len(row) // GAP if len(row) // GAP > 2 * BAND else 0
+    return reach, max(2 * BAND, reach + BAND)
 
 
 def _of_template(
-    row: tuple[int, ...], needed: int, naming: tuple, hits: list[tuple[int, int]], numbers: np.ndarray, places: dict[int, int]
+    row: tuple[int, ...], needed: int, naming: tuple, ats: np.ndarray, diagonals: np.ndarray, worth: np.ndarray,
+    numbers: np.ndarray, places: dict[int, int],
 ) -> Iterator[tuple[int, int, int]]:
-    """(matched words, first, last place in the text) from the selected words of one template: (place in the text, diagonal).
+    """(matched words, first, last place in the text) from the selected words of one template.
+
+    ``ats`` has their places in the text, in order, ``diagonals`` their diagonals, ``worth`` which of them to try.
 
     One on the diagonal d is tried in the bands around d - BAND ... d + BAND, which are all that hold
     d. Around an exact copy they all give that copy. If more words would match farther off, the band
@@ -331,8 +357,7 @@ def _of_template(
     is a part of the template's length, and none where a single band reaches as far.
     """
     size = len(row)
-    reach = size // GAP if size // GAP > 2 * BAND else 0
-    margin = max(2 * BAND, reach + BAND)
+    reach, margin = _reach(row)
     tried: dict[tuple[int, int], tuple[int, int, int]] = {}
 
     def attempt(low: int, high: int) -> tuple[int, int, int]:
@@ -344,10 +369,9 @@ def _of_template(
             tried[low, high] = (matched if named else 0), base + first, base + last
         return tried[low, high]
 
-    ats = [at for at, _ in hits]
     # where any two alignments in reach overlap, one with the most matches makes others needless
     alone = 2 * needed > size + 4 * BAND
-    for at, middle in hits:
+    for middle in diagonals[worth].tolist():
         near = numbers[max(0, middle - margin) : max(0, middle + size + margin)].tolist()
         if not _holds(near, naming) or (most := _most(row, places, near)) < needed:
             continue
@@ -365,10 +389,10 @@ def _of_template(
                 if alone and found[0] == close:
                     break
         if reach and best < most:
-            around = hits[bisect_left(ats, middle - margin) : bisect(ats, middle + size + margin)]
-            diagonals = [d for _, d in around if abs(d - middle) <= reach]
-            if max(diagonals) - min(diagonals) > 2 * BAND:
-                found = attempt(min(diagonals), max(diagonals))
+            around = diagonals[np.searchsorted(ats, middle - margin) : np.searchsorted(ats, middle + size + margin, "right")]
+            around = around[np.abs(around - middle) <= reach]
+            if around.max() - around.min() > 2 * BAND:
+                found = attempt(int(around.min()), int(around.max()))
                 if found[0] >= needed:
                     yield found
 
