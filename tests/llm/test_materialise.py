@@ -27,6 +27,34 @@ def test_permutation_is_one_and_turns_back(n):
         assert abs(np.corrcoef(np.arange(n), slots)[0, 1]) < 0.15
 
 
+def slow_slot(x: int, n: int, key: int = M.KEY) -> int:
+    """One slot by whole numbers alone: six rounds over two equal halves, again until the result is below n."""
+    whole = (1 << 64) - 1
+
+    def mix(v: int) -> int:
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 & whole
+        v = (v ^ v >> 27) * 0x94D049BB133111EB & whole
+        return v ^ v >> 31
+
+    bits = 1
+    while n > 1 << 2 * bits:
+        bits += 1
+    while True:
+        left, right = divmod(x, 1 << bits)
+        for i in range(1, 7):
+            step = mix(key + i * 0x9E3779B97F4A7C15 & whole)
+            left, right = right, left ^ mix(right + step & whole) % (1 << bits)
+        x = (left << bits) + right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 16, 17, 1_000, 4_096, 4_097])
+@pytest.mark.parametrize("key", [M.KEY, 0, (1 << 64) - 1])
+def test_permutation_equals_the_one_by_whole_numbers(n, key):
+    assert M.permuted(np.arange(n), n, key=key).tolist() == [slow_slot(i, n, key) for i in range(n)]
+
+
 @pytest.mark.parametrize("text", [None, "", "x", "a  b", "a \n\n b ", " lead", "it's <|endoftext|> 12é漢", "a  b"])
 def test_tokens(text):
     assert M.tokens(text).tolist() == [*plain(text), M.END]
@@ -48,7 +76,7 @@ def stream(table, length: int) -> list[int]:
         assert r.sha256 == hashlib.sha256(r.payload).hexdigest()
     n = len(data) // (2 * length)
     slots = np.frombuffer(data, dtype="<u2").reshape(n, length)
-    return slots[M.permuted(np.arange(n), n)].reshape(-1).tolist()
+    return slots[[slow_slot(i, n) for i in range(n)]].reshape(-1).tolist()
 
 
 def split(tokens: list[int], texts: int) -> list[list[int]]:

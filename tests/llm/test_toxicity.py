@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 
@@ -124,3 +127,37 @@ def test_the_sample_is_bounded(spark):
     labels = spark.createDataFrame([(r[0], g) for r, g in zip(rows, grades)], "doc_id long, grade int")
     a, b = X.fit(docs, labels, sample_rows=30), X.fit(docs.repartition(5), labels, sample_rows=30)
     assert a == b
+
+
+def slow_severity(text: str | None, model: X.Model) -> tuple[float, int]:
+    """Expected severity and grade of a text, from its different words one by one."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\v\f\r":
+        lowered = lowered.replace(space, " ")
+    words = {w.strip(X.MARKS.decode()) for w in lowered.split(" ")} - {""}
+    places = {zlib.crc32(w.encode()) % X.BINS for w in words}
+    score = math.fsum(model.weights.get(b, 0.0) for b in places)
+    chances = [1 / (1 + math.exp(min(max(t - score, -50), 50))) for t in model.thresholds]
+    return sum(chances), sum(p >= 0.5 for p in chances)
+
+
+def test_scores_equal_those_by_single_words(spark, model, odd_docs):
+    rows, _ = made(9_000, 200)
+    rows += [(1, " ".join(SIGNS) * 5_000, "en", "s", 1), (2, "VILE!, (Rotten) 'hateful'\x0b...", "en", "s", 1), (2, "é vile", "en", "s", 1)]
+    for docs in (odd_docs, spark.createDataFrame(rows, DOCUMENTS)):
+        for r in X.severity(docs, model).collect():
+            expected, grade = slow_severity(r.text, model)
+            assert r.expected_severity == pytest.approx(expected, abs=2e-6) and r.grade == grade
+
+
+def test_the_query_equals_scores_by_single_words(spark):
+    """All documents of the small tables, with the model that the query itself fits."""
+    from citypulse.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = X.fit(docs, X.graded(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    want = sorted((r.doc_id, *slow_severity(r.text, model)) for r in docs.collect())
+    got = sorted((r.doc_id, r.expected_severity, r.grade) for r in queries.queries()["op8_toxicity"](spark, sf_dir).collect())
+    assert [(g[0], g[2]) for g in got] == [(w[0], w[2]) for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=2e-6)
