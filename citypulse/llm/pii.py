@@ -36,7 +36,11 @@ SECRET = {"": re.compile(r"[^\s\"']*"), '"': re.compile(r'(?:\\\S|[^\s"])*'), "'
 LEAST_SECRET = 6
 DIGIT = re.compile(r"[0-9]")
 ACCOUNT_CUES = ("iban", "account", "acct", "passport", "customer", "member")
-SECRET_CUES = ("token", "password", "passwd", "secret", "api_key", "apikey")
+SECRET_CUES = ("token", "password", "passwd", "pwd", "secret", "api_key", "api-key", "apikey")
+#: Further forms of cues, beside lower case, a capital at the start, and capitals.
+CAMEL_CUES = ("apiKey", "ApiKey", "Api-Key", "Api_Key")
+#: The word before a credential of a request; with no sign between them, only a long value counts.
+BEARER, LEAST_BEARER = "bearer", 16
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -50,6 +54,10 @@ def automaton() -> ahocorasick.Automaton:
         for cue in cues:
             for form in (cue, cue.capitalize(), cue.upper()):
                 found.add_word(form, (kind, len(form)))
+    for form in CAMEL_CUES:
+        found.add_word(form, ("secret", len(form)))
+    for form in (BEARER, BEARER.capitalize(), BEARER.upper()):
+        found.add_word(form, ("secret", len(form)))
     found.make_automaton()
     return found
 
@@ -150,14 +158,24 @@ def _secret(text: str, start: int, at: int, values: _Values) -> tuple[int, int]
 
 
 def _announced(text: str, start: int, end: int, kind: str, values: _Values) -> tuple[int, int] | None:
-    """The value that a cue at start:end announces. The cue must be a word, or part of one behind ``_`` or ``-``."""
-    if start and text[start - 1].isalnum() or text[end : end + 1].isalnum():
+    """The value that a cue at start:end announces.
+
+    The cue must be a word, or the end of one behind ``_`` or ``-``, or behind a small letter or digit if it
+    begins with a capital and goes on in small letters, as in ``accessToken``.
+    """
+    if text[end : end + 1].isalnum():
         return None
+    if start and text[start - 1].isalnum():
+        camel = text[start].isupper() and text[start + 1].islower()
+        if not camel or text[start - 1].isupper():
+            return None
     at = BETWEEN.match(text, end).end()
     if at == end:
         return None
     if kind == "secret":
-        return _secret(text, end, at, values)
+        found = _secret(text, end, at, values)
+        bearer = found and text[start:end].lower() == BEARER
+        return None if bearer and found[1] - found[0] < LEAST_BEARER else found
     if iban := IBAN.match(text, at):
         while (size := len(iban[0])) and not iban_holds(iban[0].replace(" ", "")):
             # words in capitals may follow
@@ -212,7 +230,7 @@ def written(found: list[tuple[int, int, str]]) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, the numbers of base spans by kind, their digest, and all spans: a row for each row.
+    """doc_id, the numbers of base spans by kind, their digest, all spans and their number: a row for each row.
 
     Null and empty texts have no spans. Positions count code points, the end is exclusive.
     """
@@ -224,9 +242,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
             base = [s for s in found if s[2] in BASE]
             kinds = [s[2] for s in base]
             digest = hashlib.sha256(written(base).encode()).hexdigest()
-            yield doc_id, *(kinds.count(k) for k in BASE), digest, written(found)
+            yield doc_id, *(kinds.count(k) for k in BASE), digest, written(found), len(found)
 
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     return map_rows(docs.select("doc_id", "text"), run, schema)
 
 

@@ -87,6 +87,7 @@ def test_every_row_comes_back(spark, odd_docs, odd_rows, no_docs):
     for r in got:
         if r.doc_id is not None:
             want = pii.written(slow(texts[r.doc_id] or ""))
+            assert r.n_spans == (r.spans.count(",") + 1 if r.spans else 0)
             assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert pii.personal_data(no_docs).collect() == []
 
@@ -111,13 +112,27 @@ def test_secrets_of_any_marks_behind_cues_of_any_prefix(value, cue, form):
     assert [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"] == [value]
 
 
+@pytest.mark.parametrize("cue", ["accessToken", "apiKey", "ApiKey", "api-key", "X-Api-Key", "API-KEY", "dbPassword", "client2Secret", "pwd", "DB_PWD", "userPwd"])
+@pytest.mark.parametrize("form", ["{}={}", "{}: {}", '"{}": "{}"', "see ({}={})."])
+def test_secrets_behind_cues_in_camel_case_and_other_forms(cue, form):
+    text = "a " + form.format(cue, JWT) + " b"
+    assert [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"] == [JWT]
+
+
+def test_bearer():
+    for text in (f"Authorization: Bearer {JWT}", f"-H 'authorization: bearer {JWT}'", f"token: Bearer {JWT}"):
+        assert [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"] == [JWT]
+    for text in ("the bearer 1234567 of this", "bearer of news", "Bearer token", "forbearer abcdef1234567890abcdef"):
+        assert pii.spans(text, ANCHORS) == []
+
+
 def test_a_quoted_value_ends_at_its_own_quote():
     text = """password = "it's(1,2);" and secret='a\\'b"123,' token "abc123", token=abc123"x"""
     got = [text[a:b] for a, b, k in pii.spans(text, ANCHORS) if k == "secret"]
     assert got == ["it's(1,2);", "a\\'b\"123,", "abc123", "abc123"]
 
 
-@pytest.mark.parametrize("text", ["_token", "mytoken: 123456", "token (see 12345678)", "token: nothing here", "token=1.", "tokens=123456"])
+@pytest.mark.parametrize("text", ["_token", "mytoken: 123456", "MYTOKEN: 123456", "myTOKEN: 123456", "HToken: 123456", "tokenX=123456", "token (see 12345678)", "token: nothing here", "token=1.", "tokens=123456"])
 def test_no_secret(text):
     assert pii.spans(text, ANCHORS) == []
 
