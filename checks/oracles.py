@@ -292,9 +292,13 @@ def oracle_sql() -> dict[str, str]:
         "silver_quarantine": f"""{FIXTURE} SELECT CASE event_id % 10 WHEN 0 THEN 'no_time' WHEN 1 THEN 'no_time'
             WHEN 2 THEN 'ahead' WHEN 3 THEN 'no_city' WHEN 4 THEN 'malformed' ELSE 'none' END AS reason,
             count(*) AS values FROM transit GROUP BY 1""",
+        "silver_retried": f"""{FIXTURE} SELECT CASE event_id % 10 WHEN 0 THEN 'no_time' WHEN 1 THEN 'no_time'
+            WHEN 2 THEN 'ahead' WHEN 3 THEN 'no_city' ELSE 'none' END AS reason,
+            count(*) AS values FROM transit GROUP BY 1""",
         "bucket_30min": f"""{FIXTURE} SELECT event_id, meta_city, grid_id, ts, {bucket('ts')} AS time_bucket
             FROM traffic""",
         "bucket_bounds": f"{FIXTURE} {bounds}",
+        "bucket_bounds_committed": f"{FIXTURE} {bounds}",
         "calendar_features": f"""{FIXTURE} SELECT event_id, {bucket('ts')} AS time_bucket,
             CAST(hour({bucket('ts')}) AS INTEGER) AS hour_of_day,
             CAST(dayofweek({bucket('ts')}) + 1 AS INTEGER) AS day_of_week FROM transit""",
@@ -311,6 +315,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_wide": gold_all,
         "gold_closed_buckets": closed,
         "gold_incremental_two_runs": closed,
+        "gold_scheduled": closed,
         "gold_compacted": closed,
         "gold_amended": closed,
         "gold_late_data": f"""{FIXTURE}{LATE_CTES}

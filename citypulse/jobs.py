@@ -2,6 +2,7 @@
 
     spark-submit ... citypulse/jobs.py route   --landing URI --servers HOST:PORT --lake URI
     spark-submit ... citypulse/jobs.py silver  --servers HOST:PORT --lake URI
+    spark-submit ... citypulse/jobs.py retry   --lake URI
     spark-submit ... citypulse/jobs.py gold    --lake URI
     spark-submit ... citypulse/jobs.py publish --lake URI --url JDBC_URL --table NAME
     spark-submit ... citypulse/jobs.py amend   --lake URI
@@ -15,6 +16,7 @@ the command line.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citypulse import schemas as S
 from citypulse.plans import amend
-from citypulse.plans.incremental import Bounds, append_increment, compact_gold, read_gold
+from citypulse.plans.incremental import Bounds, append_increment, committed_bounds, compact_gold, read_gold
 from citypulse.plans.publish import publish
 from citypulse.sources import commits, kafka
 from citypulse.sources.landing import LANDING_FILES
@@ -40,6 +42,10 @@ def route_job(spark: SparkSession, landing: str, servers: str, lake: str, glob:
     kafka.write_topics(lines, servers, f"{lake}/checkpoints/route").awaitTermination()
 
 
+def _writer(name: str, lake: str, adopt: bool = False) -> silver.BatchWriter:
+    return silver.BatchWriter(SOURCES[name], f"{lake}/silver/{name}", f"{lake}/quarantine/{name}", adopt=adopt)
+
+
 def silver_job(
     spark: SparkSession, streams: dict[str, DataFrame], lake: str, adopt: bool = False
 ) -> dict[str, dict[str, int]]:
@@ -47,20 +53,39 @@ def silver_job(
 
     Returns how many values did, by source and reason.
     """
-    writers = {
-        name: silver.BatchWriter(SOURCES[name], f"{lake}/silver/{name}", f"{lake}/quarantine/{name}", adopt=adopt)
-        for name in streams
-    }
+    writers = {name: _writer(name, lake, adopt) for name in streams}
     silver.drain_all([(stream, writers[name], f"{lake}/checkpoints/{name}") for name, stream in streams.items()])
     return {name: dict(writer.quarantined) for name, writer in writers.items()}
 
 
-def gold_job(spark: SparkSession, lake: str, **options) -> Bounds:
-    """Flat tables -> wide rows of the buckets that closed since the last run; only the days from there on are read."""
+def retry_job(
+    spark: SparkSession, lake: str, repair: Callable[[DataFrame], DataFrame] | None = None
+) -> dict[str, tuple[int, int]]:
+    """Quarantine -> flat tables, for values that can be used by now or once ``repair`` has seen to them.
+
+    By source, how many were taken out of quarantine and how many of these went back.
+    """
+    writers = {name: _writer(name, lake) for name in SOURCES}
+    taken = {name: writer.retry(spark, repair) for name, writer in writers.items()}
+    return {name: (n, writers[name].quarantined.total()) for name, n in taken.items()}
+
+
+def gold_job(
+    spark: SparkSession, lake: str, hold_back: str | None = None, flush: bool = False, **options
+) -> Bounds:
+    """Flat tables -> wide rows of the buckets that closed since the last run.
+
+    What closed is known from the commits; where nothing did, no data file is read, and else only the days
+    from the last run's to the one of the bucket that stays open.
+    """
     floor = watermark_of(spark, f"{lake}/gold")
-    first = floor.date() if floor else None
-    flat = [silver.read_silver(spark, f"{lake}/silver/{name}", source, first) for name, source in SOURCES.items()]
-    return append_increment(spark, *flat, gold_path=f"{lake}/gold", **options)
+    tables = {f"{lake}/silver/{name}": source for name, source in SOURCES.items()}
+    bounds = committed_bounds(spark, list(tables), floor, hold_back=hold_back, flush=flush)
+    if bounds.ceiling is None:
+        return bounds
+    days = floor.date() if floor else None, bounds.ceiling.date()
+    flat = [silver.read_silver(spark, path, source, *days) for path, source in tables.items()]
+    return append_increment(spark, *flat, gold_path=f"{lake}/gold", bounds=bounds, **options)
 
 
 def amend_job(spark: SparkSession, lake: str) -> list[str]:
@@ -95,7 +120,7 @@ def _properties(path: str | None) -> dict[str, str]:
 
 def main() -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("job", choices=("route", "silver", "gold", "publish", "amend", "compact"))
+    parser.add_argument("job", choices=("route", "silver", "retry", "gold", "publish", "amend", "compact"))
     parser.add_argument("--lake", required=True)
     parser.add_argument("--landing")
     parser.add_argument("--servers")
@@ -120,6 +145,8 @@ def main() -> None:
             for name, topic in TOPICS.items()
         }
         print("quarantined:", silver_job(spark, streams, args.lake, args.adopt))
+    elif args.job == "retry":
+        print("taken, and put back:", retry_job(spark, args.lake))
     elif args.job == "gold":
         bounds = gold_job(spark, args.lake, hold_back=args.hold_back, flush=args.flush)
         print(f"buckets after {bounds.floor} and before {bounds.ceiling}" if bounds.ceiling else "nothing closed")

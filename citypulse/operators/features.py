@@ -85,6 +85,11 @@ def bucket_bounds(
             F.max("ts").alias("newest"),
         )
     )
+    return with_newest_bucket(bounds, width)
+
+
+def with_newest_bucket(bounds: DataFrame, width: str = S.BUCKET_WIDTH) -> DataFrame:
+    """Add the bucket of ``newest``, null where that is null."""
     # Bucketing drops rows without a time, so those get a stand-in first.
     some_time = F.coalesce("newest", F.lit("1970-01-01").cast("timestamp_ntz"))
     bucket = F.when(F.col("newest").isNotNull(), bucket_start(some_time, width))

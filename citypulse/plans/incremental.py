@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from citypulse import schemas as S
 from citypulse.functions.buckets import bucket_start, with_ts
-from citypulse.operators.features import KEYS
+from citypulse.operators.features import KEYS, with_newest_bucket
 from citypulse.plans.gold import gold_wide
-from citypulse.sources.commits import attempt_of, compact
+from citypulse.sources.commits import attempt_of, compact, entries, span_of
 from citypulse.sources.tables import commit_run, read_runs, run_after, watermark_of, write_run
 
 
@@ -66,14 +67,62 @@ def run_bounds(
     times = sources[0].select("ts")
     for other in sources[1:]:
         times = times.unionByName(other.select("ts"))
-    edge = F.max("ts")
+    extremes = times.agg(F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
+    return _bounds(extremes, floor, width, hold_back, flush)
+
+
+def committed_bounds(
+    spark: SparkSession,
+    paths: Sequence[str],
+    floor: datetime | None,
+    width: str = S.BUCKET_WIDTH,
+    hold_back: str | None = None,
+    flush: bool = False,
+) -> Bounds:
+    """:func:`run_bounds` of flat tables, from the spans of time in their commits: no data file is read.
+
+    To be taken before the tables are read, so that they hold whatever the commits spoke of. The commits do
+    not tell whether there is a row right after ``floor``, only that there may be one: where time has a gap
+    there, a ceiling is found and no bucket before it.
+    """
+    extremes = span_of(spark, paths)
+    if floor is not None:
+        first = F.lit(floor).cast("timestamp_ntz") + _interval(width)
+        extremes = extremes.select(F.greatest("oldest", first).alias("oldest"), "newest")
+    return _bounds(extremes, floor, width, hold_back, flush)
+
+
+def committed_totals(spark: SparkSession, paths: dict[str, str], width: str = S.BUCKET_WIDTH) -> DataFrame:
+    """What ``bucket_bounds`` says of the sources, by the commits of their flat tables (name: path); no data file is read.
+
+    ``rows_without_time`` are the values that went to quarantine for want of a readable time, as the tables hold no
+    such rows. A source without a commit has no row.
+    """
+    noted = spark.createDataFrame([], "source STRING, count BIGINT, untimed BIGINT, newest STRING")
+    for name, path in paths.items():
+        log = entries(spark, path)
+        if log is not None:
+            faults = F.element_at("faults", "no_time").alias("untimed")
+            noted = noted.unionByName(log.select(F.lit(name).alias("source"), "count", faults, "newest"))
+    totals = noted.groupBy("source").agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("untimed"), F.lit(0)).alias("rows_without_time"),
+        F.max(F.col("newest").cast("timestamp_ntz")).alias("newest"),
+    )
+    return with_newest_bucket(totals, width)
+
+
+def _bounds(
+    extremes: DataFrame, floor: datetime | None, width: str, hold_back: str | None, flush: bool
+) -> Bounds:
+    """Bounds from one row with the ``oldest`` and the ``newest`` time there is, both null without any."""
+    edge = F.col("newest")
     if flush:
         edge = edge + _interval(width)
     elif hold_back:
         edge = edge - _interval(hold_back)
-    extremes = times.agg(F.min("ts").alias("oldest"), edge.alias("edge"))
     # Bucketing drops the row when no source has a single readable time.
-    row = extremes.select("oldest", bucket_start(F.col("edge"), width).alias("ceiling")).first()
+    row = extremes.select("oldest", bucket_start(edge, width).alias("ceiling")).first()
     if row is None or row["oldest"] >= row["ceiling"]:
         return Bounds(floor, None)
     return Bounds(floor, row["ceiling"])
@@ -87,16 +136,19 @@ def closed_buckets(
     width: str = S.BUCKET_WIDTH,
     hold_back: str | None = None,
     flush: bool = False,
+    bounds: Bounds | None = None,
     **options,
 ) -> tuple[Bounds, DataFrame | None]:
     """Wide rows of the buckets after ``floor`` that can no longer grow; None without any.
 
     The newest bucket any source has reached stays open. ``hold_back`` (such as "1 hour") keeps
     more buckets open, for sources that lag; ``flush`` closes all of them, for when collection
-    has ended. Rows of buckets up to ``floor`` are late and do not count any more.
+    has ended. Rows of buckets up to ``floor`` are late and do not count any more. ``bounds`` that are known
+    already take the place of all three.
     """
+    floor = floor if bounds is None else bounds.floor
     sources = [rows_after(with_ts(df), floor, width) for df in (traffic, weather, transit)]
-    bounds = run_bounds(sources, floor, width, hold_back, flush)
+    bounds = run_bounds(sources, floor, width, hold_back, flush) if bounds is None else bounds
     if bounds.ceiling is None:
         return bounds, None
     return bounds, gold_wide(*[rows_before(df, bounds.ceiling) for df in sources], width=width, **options)
@@ -109,21 +161,25 @@ def append_increment(
     transit: DataFrame,
     gold_path: str,
     cells: list[str] | None = None,
+    bounds: Bounds | None = None,
     **options,
 ) -> Bounds:
     """One scheduled run: read the watermark, build what closed since, write it, commit it.
 
     The watermark comes from the commits of complete runs. A run that fails before its own leaves rows that no
     reader sees, whatever they cover. Of two runs from the same watermark one is committed; the other one
-    ends with ``Conflict``, and what it wrote does not count.
+    ends with ``Conflict``, and what it wrote does not count. ``bounds`` are those of :func:`committed_bounds`, if
+    the caller has them; their floor is the watermark the run goes on from. Without a closed bucket the result has no ceiling.
     """
-    floor = watermark_of(spark, gold_path)
-    bounds, increment = closed_buckets(traffic, weather, transit, floor, cells=cells, **options)
-    if increment is not None:
-        run = attempt_of(run_after(floor))
-        newest = write_run(increment, gold_path, run)
-        if newest is not None:
-            commit_run(spark, gold_path, run, newest)
+    floor = watermark_of(spark, gold_path) if bounds is None else bounds.floor
+    bounds, increment = closed_buckets(traffic, weather, transit, floor, cells=cells, bounds=bounds, **options)
+    if increment is None:
+        return bounds
+    run = attempt_of(run_after(floor))
+    newest = write_run(increment, gold_path, run)
+    if newest is None:
+        return Bounds(floor, None)
+    commit_run(spark, gold_path, run, newest)
     return bounds
 
 

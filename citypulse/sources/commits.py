@@ -24,7 +24,7 @@ from citypulse.session import exists, folder_of, remove
 
 ENTRY = (
     "name STRING, attempt STRING, days ARRAY<STRING>, replaces ARRAY<STRUCT<attempt: STRING, day: STRING>>, "
-    "oldest STRING, newest STRING, clock STRING, faults MAP<STRING, BIGINT>, inputs ARRAY<STRING>"
+    "oldest STRING, newest STRING, count BIGINT, clock STRING, faults MAP<STRING, BIGINT>, inputs ARRAY<STRING>"
 )
 KEEP = timedelta(days=7)
 
@@ -120,6 +120,18 @@ def live(spark: SparkSession, path: str, first: date | None = None, last: date |
     return sorted(map(tuple, held.join(gone, ["attempt", "day"], "left_anti").collect()))
 
 
+def span_of(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """oldest, newest: one row with the first and the last time that any commit of the tables has noted, nulls without one.
+
+    Compactions note none and change none.
+    """
+    logs = [log for log in (entries(spark, path) for path in paths) if log is not None]
+    noted = spark.createDataFrame([], "oldest STRING, newest STRING")
+    for log in logs:
+        noted = noted.unionByName(log.select("oldest", "newest"))
+    return noted.agg(*[f(F.col(c).cast("timestamp_ntz")).alias(c) for f, c in ((F.min, "oldest"), (F.max, "newest"))])
+
+
 def next_name(spark: SparkSession, path: str, prefix: str) -> str:
     """The name after the commits of a prefix there are; whoever else has seen the same ones has the same name."""
     log = entries(spark, path)

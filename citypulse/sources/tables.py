@@ -38,7 +38,7 @@ def write_by_city(
 
 
 def observed(seen: Observation) -> dict[str, object]:
-    """What an observation has counted; empty where not one row came by, for which Spark has no values."""
+    """What an observation has counted; empty where not one row was left behind it, for which Spark may have no values."""
     try:
         return seen.get
     except Py4JJavaError as error:

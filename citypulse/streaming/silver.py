@@ -86,20 +86,45 @@ class BatchWriter:
         owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
         _claim(spark, self.path, owner, self.adopt)
         name = f"batch-{owner}-{batch_id}"
-        if commits.holds(spark, self.path, name):
-            return
+        if not commits.holds(spark, self.path, name):
+            self._write(batch, name)
+
+    def retry(self, spark: SparkSession, repair: Callable[[DataFrame], DataFrame] | None = None) -> int:
+        """Take the values in quarantine once more, as a batch of its own. How many there were.
+
+        For times that are no longer ahead, or after a fix: ``repair`` gets ``value`` and ``reason`` and returns
+        what is to be read as ``value``. What still cannot be used is in quarantine again, with its reason
+        of now. One commit takes the values out of quarantine and their rows in; of two retries at once
+        the second one fails with ``Conflict`` and changes nothing.
+        """
+        name = commits.next_name(spark, self.path, "batch-retry")
+        held = _quarantined(spark, self.path)
+        if not held:
+            return 0
+        values = _read_quarantine(spark, self.quarantine, list(held))
+        if not self._write(values.select("value") if repair is None else repair(values), name, list(held)):
+            raise commits.Conflict(f"the quarantine of {self.path} has been taken by another job meanwhile")
+        return sum(held.values())
+
+    def _write(self, batch: DataFrame, name: str, inputs: Sequence[str] = ()) -> bool:
+        """An attempt at what ``name`` stands for. False if another one has been committed."""
+        spark = batch.sparkSession
         attempt, clock = commits.attempt_of(name), datetime.now(timezone.utc)
         now = F.lit(clock)
         counts, times = Observation(), Observation()
         fault = value_fault(F.col("meta_city"), F.col("meta_scraped_at"), self.tolerance, now)
         parsed = parse_values(batch, self.source.document).withColumn("_fault", fault)
-        counted = parsed.observe(counts, *[F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS])
+        counters = [F.count_if(F.col("_fault") == f).alias(f) for f in FAULTS]
+        counted = parsed.observe(counts, *counters)
         usable = counted.filter("_fault IS NULL").drop("_fault")
         rows = stamp(explode_samples(usable) if self.source.nested else usable, now)
-        timed = rows.observe(times, F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
+        extremes = F.min("ts").alias("oldest"), F.max("ts").alias("newest")
+        timed = rows.observe(times, *extremes, F.count(F.lit(1)).alias("count"))
         folder = f"{self.path}/batch={attempt}"
         write_by_city(timed, folder, partition_by=LAYOUT)
-        faults = {f: n for f, n in observed(counts).items() if n}
+        # Where no value can be used, Spark leaves the empty rows out at run time, and the counters with them.
+        found = observed(counts) or parsed.agg(*counters).first().asDict()
+        faults = {f: n for f, n in found.items() if n}
         span = observed(times)
         if faults:
             bad = unusable_values(batch, self.tolerance, now)
@@ -107,10 +132,11 @@ class BatchWriter:
         done = commits.put(
             spark, self.path, name, attempt=attempt, days=commits.days_of(spark, folder, LAYOUT[0]), faults=faults,
             oldest=commits.written(span.get("oldest")), newest=commits.written(span.get("newest")),
-            clock=commits.written(clock),
+            count=span.get("count") or 0, clock=commits.written(clock), inputs=list(inputs),
         )
         if done:
             self.quarantined.update(faults)
+        return done
 
 
 def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -141,15 +167,27 @@ def read_silver(
     return spark.createDataFrame([], source.table) if rows is None else rows.drop("batch")
 
 
-def read_quarantine(spark: SparkSession, path: str, quarantine: str) -> DataFrame:
-    """value, reason: what the committed batches of a table could not use."""
+def _quarantined(spark: SparkSession, path: str) -> dict[str, int]:
+    """Attempts that put values in quarantine which no retry has taken, and how many each."""
     log = commits.entries(spark, path)
-    attempts = [] if log is None else [r.attempt for r in log.where("size(faults) > 0").select("attempt").collect()]
+    if log is None:
+        return {}
+    taken = log.select(F.explode("inputs").alias("attempt"))
+    found = log.where("size(faults) > 0").join(taken, "attempt", "left_anti").select("attempt", "faults")
+    return {r.attempt: sum(r.faults.values()) for r in found.orderBy("attempt").collect()}
+
+
+def _read_quarantine(spark: SparkSession, quarantine: str, attempts: Sequence[str]) -> DataFrame:
     found = [f"{quarantine}/batch={a}" for a in attempts]
     reader = spark.read.schema("value STRING, reason STRING")
     return reader.parquet(*found) if found else spark.createDataFrame([], "value STRING, reason STRING")
 
 
+def read_quarantine(spark: SparkSession, path: str, quarantine: str) -> DataFrame:
+    """value, reason: what the committed batches of a table could not use and no retry has taken."""
+    return _read_quarantine(spark, quarantine, list(_quarantined(spark, path)))
+
+
 def compact(
     spark: SparkSession, path: str, source: Source, first: date | None = None, last: date | None = None
 ) -> int:

@@ -152,6 +152,93 @@ def test_commits_hold_the_bounds_of_their_batch(spark, write):
     assert found["1"] == found["2"] == (None, None, [])
 
 
+def test_a_batch_without_one_usable_value_is_quarantined_as_a_whole(spark, write):
+    for n, bad in enumerate((["{"], [LINE % ("A", "x", 1)], [LINE % ("A", "2999-01-01T00:00:00", 1), "[]", "{"], [])):
+        write(spark.createDataFrame([(b,) for b in bad], "value STRING").repartition(2), n)
+        write(values(spark, *bad, "").limit(len(bad)), 10 + n)
+    reasons = silver.read_quarantine(spark, write.path, write.quarantine).groupBy("reason").count()
+    assert rows(reasons) == [("ahead", 2), ("malformed", 6), ("no_time", 2)] and delays(spark, write) == []
+    assert write.quarantined == {"no_city": 6, "no_time": 2, "ahead": 2}
+
+
+# --- bounds without data files --------------------------------------------------------
+EDGES = ("2024-01-01T00:00:00", "2024-01-01T00:29:59", "2024-01-01T00:30:00", "2024-01-01T03:10:00")
+
+
+@pytest.mark.parametrize("floor", [None, "2023-12-31T23:30:00", "2024-01-01T00:00:00", "2024-01-01T03:00:00", "2024-01-02T00:00:00"])
+def test_bounds_from_commits_are_those_of_the_rows(spark, write, floor):
+    floor = floor and at(floor)
+    for n, when in enumerate(EDGES):
+        write(values(spark, LINE % ("A", when, n), "{"), n)
+        table = silver.read_silver(spark, write.path, silver.TRANSIT)
+        for options in ({}, {"flush": True}, {"hold_back": "1 hour"}):
+            scanned = inc.run_bounds([inc.rows_after(table, floor)], floor, **options)
+            known = inc.committed_bounds(spark, [write.path, write.path + "-none"], floor, **options)
+            if scanned != known:  # a gap after the floor: nothing to write all the same
+                assert scanned.ceiling is None and inc.rows_before(inc.rows_after(table, floor), known.ceiling).isEmpty()
+    assert inc.committed_bounds(spark, [], floor) == inc.Bounds(floor, None)
+
+
+def test_bounds_and_totals_read_commits_only(spark, write):
+    write(values(spark, LINE % ("A", EDGES[0], 1), LINE % ("A", EDGES[3], 1), LINE % ("B", "x", 1), "{"), 0)
+    write(values(spark, "{"), 1)
+    silver.compact(spark, write.path, silver.TRANSIT)
+    totals = inc.committed_totals(spark, {"transit": write.path, "weather": write.path + "-none"})
+    assert rows(totals) == [("transit", 2, 1, at(EDGES[3]), at("2024-01-01T03:00:00"))]
+    for df in (totals, commits.span_of(spark, [write.path])):
+        assert df.inputFiles() and all(f.endswith(".json") for f in df.inputFiles())
+
+
+def test_a_run_over_a_gap_writes_nothing_and_says_so(spark, fresh):
+    path, flat = fresh("gold"), small(spark, EDGES[0], EDGES[3])
+    inc.append_increment(spark, *flat, gold_path=path)
+    floor = watermark_of(spark, path)
+    known = inc.Bounds(floor, at("2024-01-01T03:00:00"))
+    assert inc.append_increment(spark, *flat, gold_path=path, bounds=known) == inc.Bounds(floor, None)
+    assert watermark_of(spark, path) == floor == at(EDGES[0])
+
+
+# --- values that come back from quarantine ------------------------------------------------
+def test_values_taken_from_quarantine_are_in_one_place(spark, write):
+    write(values(spark, LINE % ("A", EDGES[0], 1), LINE % ("A", "2999-01-01T00:00:00", 2), "{"), 0)
+    write(values(spark, LINE % ("B", "soon", 3)), 1)
+    assert write.retry(spark) == 3 and delays(spark, write) == [1]
+    reasons = silver.read_quarantine(spark, write.path, write.quarantine).select("reason")
+    assert rows(reasons) == [("ahead",), ("malformed",), ("no_time",)]
+    mended = lambda df: df.selectExpr(f"replace(replace(value, 'soon', '{EDGES[3]}'), '2999', '2023') AS value")
+    assert write.retry(spark, mended) == 3 and delays(spark, write) == [1, 2, 3]
+    assert rows(silver.read_quarantine(spark, write.path, write.quarantine)) == [("{", "malformed")]
+    assert write.retry(spark, lambda df: df.filter("reason != 'malformed'")) == 1
+    assert write.retry(spark) == 0 and delays(spark, write) == [1, 2, 3]
+    assert silver.read_quarantine(spark, write.path, write.quarantine).isEmpty()
+
+
+def test_a_retry_that_fails_or_is_overtaken_changes_nothing(spark, write, monkeypatch):
+    write(values(spark, LINE % ("A", "x", 1)), 0)
+    mended = lambda df: df.selectExpr(f"replace(value, '\"x\"', '\"{EDGES[0]}\"') AS value")
+    real, done = commits.put, []
+
+    def lost(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(commits, "put", lost)
+        with pytest.raises(OSError):
+            write.retry(spark, mended)
+    assert delays(spark, write) == [] and silver.read_quarantine(spark, write.path, write.quarantine).count() == 1
+
+    def raced(*args, **entry):
+        if not done:
+            done.append(True)
+            write.retry(spark, mended)
+        return real(*args, **entry)
+
+    monkeypatch.setattr(commits, "put", raced)
+    with pytest.raises(commits.Conflict):
+        write.retry(spark, mended)
+    assert delays(spark, write) == [1] and silver.read_quarantine(spark, write.path, write.quarantine).isEmpty()
+
+
 # --- days by index -----------------------------------------------------------------
 def test_one_day_of_a_year_lists_the_folders_of_that_day(spark, write, monkeypatch):
     year = [date(2024, 1, 1) + timedelta(days=i) for i in range(366)]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import date
 from pathlib import Path
 
 from tests.test_gold import at, buckets
@@ -61,6 +62,27 @@ def test_landing_to_serving_in_two_runs(spark, fresh):
     assert quarantined.count() == 2
 
 
+def test_a_run_with_nothing_closed_reads_no_flat_table(spark, fresh, monkeypatch):
+    landing, lake = fresh("landing"), fresh("lake")
+    collect(Path(landing), "000500", "2024-01-01T23:05:00", "2024-01-01T23:35:00", "2024-01-02T00:05:00")
+    run(spark, landing, lake, ParquetServing(spark, fresh("serving")))
+    read, real = [], jobs.silver.read_silver
+    monkeypatch.setattr(jobs.silver, "read_silver", lambda *a: read.append(a[3:]) or real(*a))
+    assert jobs.gold_job(spark, lake).ceiling is None and read == []
+    assert jobs.gold_job(spark, lake, flush=True).ceiling == at("2024-01-02T00:30:00")
+    assert set(read) == {(date(2024, 1, 1), date(2024, 1, 2))}
+
+
+def test_the_retry_job_takes_what_can_be_used_by_now(spark, fresh):
+    landing, lake = fresh("landing"), fresh("lake")
+    collect(Path(landing), "000500", "2024-01-01T00:05:00")
+    run(spark, landing, lake, ParquetServing(spark, fresh("serving")))
+    assert jobs.retry_job(spark, lake) == {"traffic": (0, 0), "weather": (0, 0), "transit": (1, 1)}
+    mended = DEPARTURE % "2024-01-01T00:06:00"
+    assert jobs.retry_job(spark, lake, lambda df: df.selectExpr(f"'{mended}' AS value"))["transit"] == (1, 0)
+    assert jobs.silver.read_silver(spark, f"{lake}/silver/transit", jobs.silver.TRANSIT).count() == 2
+
+
 def test_jobs_on_an_empty_lake(spark, fresh):
     lake = fresh("lake")
     assert jobs.gold_job(spark, lake).ceiling is None
