@@ -69,18 +69,37 @@ def trim_json(text: Column) -> Column:
     return F.btrim(text, F.lit(JSON_SPACE))
 
 
-def is_json_object(text: Column) -> Column:
-    """True for text that is one JSON object and nothing else.
+# What is put behind a text to see whether the reader gets past it; no key of a sample is called so.
+MARK = "_end_of_value"
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _marked(text: Column, mark: str) -> Column:
+    return F.when(~text.contains(MARK), F.concat(F.lit("["), text, F.lit(f",{mark}]")))
+
+
+def read_object(text: Column, schema: str, strict: bool = False) -> Column:
+    """A text decoded once, for :func:`whole_object`; to be a column of its own, as it is looked at several times.
 
-    The JSON reader stops after the first value, so text that goes on behind it passes for good.
-    Put between the brackets of an array, such text gives another number of elements or none;
-    put into an object, a second field or none. False for other text, null for null.
+    The JSON reader stops behind the first value, whatever follows it. Here the text is the first element of an
+    array whose second one is a mark: the reader gets to the mark, as the second element, only past one whole
+    value. Text that holds the mark's name itself is not read. ``strict`` allows nothing that JSON does not.
     """
-    keys = F.json_object_keys(text)
-    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
-    inside = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    good = keys.isNotNull() & (F.size(alone) == 1) & inside.eqNullSafe(F.array(F.lit("v")))
-    return F.when(text.isNotNull(), F.coalesce(good, F.lit(False)))
+    elements = f"ARRAY<STRUCT<{schema}, {MARK}: BOOLEAN>>"
+    return F.from_json(_marked(text, f'{{"{MARK}":true}}'), elements, STRICT if strict else {})
+
+
+def whole_object(read: Column) -> Column:
+    """The struct of a text that is one JSON object and nothing else, with the mark's field at its end, null for other text."""
+    return F.when((F.size(read) == 2) & F.get(read, F.lit(1))[MARK], F.get(read, F.lit(0)))
+
+
+def is_json_object(text: Column) -> Column:
+    """True for text that is one JSON object and nothing else. False for other text, null for null."""
+    read = F.from_json(_marked(text, f'"{MARK}"'), "array<string>", STRICT)
+    # an array is equal to this one only if there is nothing else in it, and the text is looked at once
+    good = F.coalesce(F.slice(read, 2, 2) == F.array(F.lit(MARK)), F.lit(False))
+    return F.when(text.isNotNull(), trim_json(text).startswith("{") & good)
 
 
 def whole_number(value: Column) -> Column:

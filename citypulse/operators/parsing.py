@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse import schemas as S
-from citypulse.functions.scalars import is_json_object, naive_timestamp
+from citypulse.functions.scalars import MARK, is_json_object, naive_timestamp, read_object, whole_object
 
 
 def parse_values(raw: DataFrame, schema: str) -> DataFrame:
@@ -17,12 +17,8 @@ def parse_values(raw: DataFrame, schema: str) -> DataFrame:
     Permissive: unknown fields are ignored, a field of the wrong type is null, text that is not
     one whole JSON object gives a row of nulls.
     """
-    # the reader stops behind the first value; between brackets, text that goes on is an error or
-    # a second element
-    between = F.concat(F.lit("["), F.col("value").cast("string"), F.lit("]"))
-    read = raw.select(F.from_json(between, f"ARRAY<STRUCT<{schema}>>").alias("read"))
-    alone = F.when(F.size("read") == 1, F.get("read", F.lit(0)))
-    return read.select(alone.alias("data")).select("data.*")
+    read = raw.select(read_object(F.col("value").cast("string"), schema).alias("read"))
+    return read.select(whole_object(F.col("read")).alias("data")).select("data.*").drop(MARK)
 
 
 def explode_present(df: DataFrame, keep: Sequence[str], array: Column, name: str) -> DataFrame:
@@ -85,12 +81,13 @@ def unusable_values(raw: DataFrame, tolerance: str, now: Column | None = None) -
     The complement of the values that the tables take.
     """
     value = F.col("value").cast("string")
-    read = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"ARRAY<STRUCT<{S.META}>>")
-    meta = F.when(F.size(read) == 1, F.get(read, F.lit(0)))
+    meta = F.col("meta")
     fault = value_fault(meta["meta_city"], meta["meta_scraped_at"], tolerance, now)
-    broken = ~F.coalesce(is_json_object(value), F.lit(False))
+    read = raw.select(value.alias("value"), read_object(value, S.META).alias("read"))
+    broken = ~F.coalesce(is_json_object(F.col("value")), F.lit(False))
     return (
-        raw.select(value.alias("value"), fault.alias("fault"))
+        read.select("value", whole_object(F.col("read")).alias("meta"))
+        .select("value", fault.alias("fault"))
         .filter("fault IS NOT NULL")
         .select("value", F.when(broken, "malformed").otherwise(F.col("fault")).alias("reason"))
     )

@@ -12,7 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.functions.scalars import congestion_ratio, is_json_object, normalise_grid_id, whole_number
+from citypulse.functions.scalars import (
+    congestion_ratio,
+    normalise_grid_id,
+    read_object,
+    whole_number,
+    whole_object,
+)
 from citypulse.operators.parsing import explode_present
 
 PROBE_KEYS = ("meta_city", "meta_scraped_at", "grid_id", "lat", "lon")
@@ -58,19 +64,18 @@ def weather_samples(responses: DataFrame, keep: Sequence[str] = PROBE_KEYS) -> D
     w = F.col("w")
     first = F.get(w["weather"], F.lit(0))
     rain = F.when(F.map_contains_key(w["rain"], "1h"), w["rain"]["1h"]).otherwise(F.lit(0.0))
-    return (
-        responses.filter(F.col("payload").rlike(NON_EMPTY_OBJECT) & is_json_object(F.col("payload")))
-        .select(*keep, F.from_json("payload", WEATHER_PAYLOAD).alias("w"))
-        .select(
-            *keep,
-            w["main"]["temp"].alias("temp"),
-            w["main"]["humidity"].alias("humidity"),
-            first["main"].alias("weather_main"),
-            first["description"].alias("description"),
-            w["wind"]["speed"].alias("wind_speed"),
-            rain.alias("rain_1h_mm"),
-            w["visibility"].alias("visibility"),
-        )
+    objects = responses.filter(F.col("payload").rlike(NON_EMPTY_OBJECT))
+    read = objects.select(*keep, read_object(F.col("payload"), WEATHER_PAYLOAD, strict=True).alias("read"))
+    whole = F.array_compact(F.array(whole_object(F.col("read"))))
+    return explode_present(read, keep, whole, "w").select(
+        *keep,
+        w["main"]["temp"].alias("temp"),
+        w["main"]["humidity"].alias("humidity"),
+        first["main"].alias("weather_main"),
+        first["description"].alias("description"),
+        w["wind"]["speed"].alias("wind_speed"),
+        rain.alias("rain_1h_mm"),
+        w["visibility"].alias("visibility"),
     )
 
 

@@ -64,6 +64,7 @@ def test_unusable_values_are_the_complement(spark):
         "not json", "5", "[1]", "null", '{"raw":"x","_source_file":"f"}', '{"meta_city":null}', DOC % "[]",
         '{"meta_city":"1"}', "", DOC % "[]" + DOC % "[]", DOC % "[]" + "," + DOC % "[]", DOC % "[]" + " x}",
         DOC % "[]" + ",", DOC % "[]" + ",}", DOC % "[]" + "\t", "[" + DOC % "[]" + "]",
+        DOC % "[]" + "] x", DOC % "[]" + "],[",
     ]
     raw = values(spark, *texts)
     got = {r.value: r.reason for r in parsing.unusable_values(raw, "1 day").collect()}
@@ -75,6 +76,18 @@ def test_unusable_values_are_the_complement(spark):
     assert parsed.filter(fault.isNull()).count() == len(good)
 
 
+def test_every_text_is_decoded_once(spark):
+    raw, asked = values(spark, DOC % "[]"), responses(spark, '{"main":{"temp":1.5}}')
+    for df in (parsing.flatten_transit(raw), parsing.flatten_weather(raw), weather_samples(asked), traffic_samples(asked)):
+        assert optimized_of(df).count("from_json(") + optimized_of(df).count("json_object_keys(") == 1
+
+
+def test_a_wrong_type_or_a_mark_within_a_value(spark):
+    texts = '{"meta_city":"A","delay":"x","line":"S1"}', '{"meta_city":"A","_end_of_value":true}', '{"delay":{"a":1},"line":7}'
+    read = parsing.parse_values(values(spark, *texts), S.DEPARTURE_RECORD)
+    assert [(r.meta_city, r.delay, r.line) for r in read.collect()] == [("A", None, "S1"), (None,) * 3, (None, None, "7")]
+
+
 def responses(spark, *payloads):
     df = spark.createDataFrame([(p,) for p in payloads], "payload STRING")
     return df.select(

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import itertools
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import rows
@@ -52,6 +55,33 @@ def test_json_object_test(spark):
     assert got == cases
 
 
+PIECES = (
+    "{", "}", "[", "]", ",", ":", '"a"', "1", "01", " ", "\n", "x", "NaN", "null", "\\", "{}", '{"a":1}', "{'a':1}",
+    '{"a":NaN}', '{"a":{"b":[1,2]}}', '{"a":"\t"}', "/*c*/", f'"{sc.MARK}"', f'{{"{sc.MARK}":true}}',
+)
+
+
+def _is_object(text: str) -> bool:
+    def refused(_):
+        raise ValueError
+
+    try:
+        return isinstance(json.loads(text, parse_constant=refused), dict) and sc.MARK not in text
+    except ValueError:
+        return False
+
+
+def test_one_decode_tells_whole_objects_from_all_other_text(spark):
+    """Everything that can be put together of three pieces, against Python's reader."""
+    texts = {"".join(p) for n in range(4) for p in itertools.product(PIECES, repeat=n)}
+    texts |= {'{"a":1}] x', '{"a":1}],["x"', '{"a":1},{"%s":true}] x' % sc.MARK, '{"a":1},"%s"] x' % sc.MARK}
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING").repartition(8)
+    read = df.select("t", sc.read_object(F.col("t"), "a STRING", strict=True).alias("read"))
+    got = read.select("t", sc.is_json_object(F.col("t")).alias("tested"), sc.whole_object(F.col("read")).alias("whole"))
+    off = [r.t for r in got.collect() if {r.tested, r.whole is not None} != {_is_object(r.t)}]
+    assert off == [] and len(texts) > 10_000
+
+
 def test_grid_id_prefix(spark):
     df = spark.createDataFrame([("0_0",), ("grid_2_1",), (None,)], "g STRING")
     assert [r[0] for r in df.select(sc.normalise_grid_id(F.col("g"))).collect()] == ["grid_0_0", "grid_2_1", None]
