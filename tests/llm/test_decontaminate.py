@@ -22,11 +22,19 @@ def leaks(text: str, index: D.Index = INDEX) -> list[int]:
 def slow_leaks(text: str, index: D.Index = INDEX) -> list[int]:
     known = D._Terms(index.vocabulary)
     terms = [t for t in (known[w] for w in text.lower().encode().split()) if t > -2]
+
+    def held(words: list[int]) -> float:
+        size = min(5, len(words))
+        wanted = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+        seen = {tuple(terms[i : i + size]) for i in range(len(terms) - size + 1)}
+        return len(wanted & seen) / len(wanted) if wanted else 1.0
+
     out = []
     for item in index.items:
-        wanted = item.shingles(0, len(item.words))
-        size = min(5, len(item.words))
-        if len(wanted & set(zip(*(terms[i:] for i in range(size))))) >= 0.8 * len(wanted):
+        question, answer = item.words[: item.question], item.words[item.question :]
+        by_question = len(question) >= 5 and held(question) >= 0.8
+        both = all(len(part) < 5 or held(part) > 0 for part in (question, answer))
+        if by_question or (held(item.words) >= 0.8 and both):
             out.append(item.item_id)
     return out
 
@@ -62,6 +70,48 @@ def test_texts_equal_brute_force():
         assert leaks(text) == slow_leaks(text), text
 
 
+LONG = [(1, "one question of seven plain words here?", sentence(70, 60)), (2, "short one?", sentence(71, 30)), (3, sentence(72, 30), "yes")]
+
+
+def test_question_and_answer_decide():
+    index = D.build_index(ITEMS + [(100 + i, q, a) for i, q, a in LONG])
+    (_, seven, told), (_, short, answer), (_, asked, yes) = LONG
+    cases = [
+        (seven, [101]),  # a question alone, a tenth of its item
+        (told, []),  # its answer alone, nine tenths of it
+        (f"{seven[:-12]} {told}", [101]),  # four of its words are no shingle, five are some of the question
+        (f"{seven.split(' ', 3)[3]} {told}", []),
+        (f"{short} {answer}", [102]),
+        (answer, [102]),  # too short a question to be missed
+        (short, []),
+        (f"{asked} no", [103]),
+        (yes, []),
+        (f"{' '.join(asked.split()[:24])} {yes}", []),
+        (f"{' '.join(asked.split()[:26])}", [103]),
+    ]
+    for text, want in cases:
+        whole = f"{sentence(5, 33)} {text} {sentence(6, 50)}"
+        assert slow_leaks(whole, index) == want and leaks(whole, index) == want, (text, want)
+
+
+def test_parts_of_items_equal_brute_force():
+    """A share of the question, a share of the answer, changed or not."""
+    index = D.build_index(ITEMS + [(100 + i, q, a) for i, q, a in LONG])
+    dice, found = random.Random(4), 0
+    for n in range(300):
+        place = dice.randrange(len(ITEMS) + len(LONG))
+        _, question, answer = (ITEMS + LONG)[place]
+        parts = [w.split() for w in (question, answer)]
+        kept = [p[: round(len(p) * dice.choice([0, 0.3, 0.8, 0.9, 1, 1]))] for p in parts]
+        words = kept[0] + kept[1]
+        if words and dice.random() < 0.5:
+            words[dice.randrange(len(words))] = "other"
+        text = f"{sentence(n, dice.randint(0, 90))} {' '.join(words)} {sentence(n + 1, dice.randint(0, 90))}"
+        assert leaks(text, index) == slow_leaks(text, index), text
+        found += bool(leaks(text, index))
+    assert 50 < found < 250
+
+
 def test_question_and_answer():
     assert D.question_and_answer("A b? C d. E f.") == ("A b? C d.", "E f.")
     assert D.question_and_answer("only one") == ("only one", "")
