@@ -1,16 +1,16 @@
 """Benchmark decontamination: BM25 over the test items with block-max WAND, then overlap of question and answer.
 
-A passage leaks an item by its question: it holds 80 % of the question's shingles of five words, the
-answer or not. Or as a whole: it holds 80 % of the item's, and some of the question's and some of the answer's.
-An answer alone, without a word of the question, is no leak, however long. A part of fewer than five words is
-too short to tell: such a question does not decide alone, and such a part need not be there.
+A passage leaks an item if it holds 80 % of the item's shingles of five words, and by these either the question to 80 %,
+or some of the question's and some of the answer's. So a question alone is a leak where it is most of its
+item; an answer alone, without a shingle of the question, is none, however long. A part of fewer than five words is too
+short to tell: it need not be there.
 
 The test items are the indexed documents, the passages of the training texts the queries. An item's
 postings are scaled so that its score in a passage is 1 when the passage just holds enough of its
-words: a part of n shingles of which at least 80 % are in a passage lacks at most
-0.2 n of its words there, so its passage has the part's whole BM25 weight but that of its 0.2 n heaviest
-words at the most. The smaller of the weights that question and item need is what counts. Retrieving every score of
-1 or more therefore loses no item that the check on shingles would accept. Passages are two neighbouring tiles, a tile holding the longest item, so
+words: an item of n shingles of five words of which at least 80 % are in a passage lacks at most
+0.2 n of its words there, so its passage has its whole BM25 weight but that of its 0.2 n heaviest
+words at the most. Retrieving every score of 1 or more therefore loses no item that the check on
+shingles would accept. Passages are two neighbouring tiles, a tile holding the longest item, so
 that an item lies within one passage wherever it starts.
 """
 
@@ -56,10 +56,9 @@ class Item:
 
     def leaked(self, whole: float, question: float, answer: float) -> bool:
         """Whether a passage leaks the item that holds these shares of it, its question and its answer."""
-        asked, told = self.question >= SHINGLE, len(self.words) - self.question >= SHINGLE
-        if asked and question >= OVERLAP:
-            return True
-        return whole >= OVERLAP and (question > 0 or not asked) and (answer > 0 or not told)
+        asked = question > 0 or self.question < SHINGLE
+        told = answer > 0 or len(self.words) - self.question < SHINGLE
+        return whole >= OVERLAP and asked and (told or question >= OVERLAP)
 
 
 @dataclass
@@ -93,13 +92,6 @@ def question_and_answer(text: str | None) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (" ".join(parts), "")
 
 
-def _needed(words: list[int], impact: dict[int, float]) -> float:
-    """The least weight of a passage that holds enough of the shingles of a part."""
-    weights = sorted((impact[t] for t in set(words)), reverse=True)
-    shingles = max(1, len(words) - SHINGLE + 1)
-    return sum(weights[math.floor((1 - OVERLAP) * shingles + 1e-9) :])
-
-
 def build_index(items: Iterable[tuple[int, str, str]]) -> Index:
     """The index of (item_id, question, answer); items without words are left out."""
     vocabulary: dict[bytes, int] = {}
@@ -121,8 +113,9 @@ def build_index(items: Iterable[tuple[int, str, str]]) -> Index:
             t: math.log(1 + (n - having[t] + 0.5) / (having[t] + 0.5)) * tf * (K1 + 1) / (tf + norm)
             for t, tf in Counter(item.words).items()
         }
-        parts = [item.words] + ([item.words[: item.question]] if item.question >= SHINGLE else [])
-        need = max(min(_needed(part, impact) for part in parts), 1e-9)
+        shingles = max(1, len(item.words) - SHINGLE + 1)
+        spare = sum(sorted(impact.values(), reverse=True)[: math.floor((1 - OVERLAP) * shingles + 1e-9)])
+        need = max(sum(impact.values()) - spare, 1e-9)
         for t, value in impact.items():
             rows[t].append((place, value / need))
     postings = [([p for p, _ in row], [v for _, v in row]) for row in rows]
