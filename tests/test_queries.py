@@ -20,7 +20,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(queries()) == set(oracle_sql())
-    assert len(queries()) == 62
+    assert len(queries()) == 65
     assert set(queries()) <= set(contract.queries())
 
 
