@@ -321,12 +321,15 @@ def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lake(spark: SparkSession, sf_dir: str, after_each: Callable[[str], object] = lambda _: None) -> str:
     """Flat tables written as two micro-batches a source, the second one with the rows behind the cut."""
     lake = fresh_path(spark, "lake")
-    documents = (X.traffic_documents, X.weather_documents, departure_records)
+    records = {
+        "traffic": X.traffic_documents(spark, sf_dir),
+        "weather": X.weather_documents(spark, sf_dir),
+        "transit": departure_records(spark, sf_dir),
+    }
     for number, half in enumerate((_before_cut, _after_cut)):
-        for (name, source), made in zip(SOURCES.items(), documents):
-            values = to_lines(made(spark, sf_dir))
-            time = F.get_json_object("value", "$.meta_scraped_at").cast("timestamp_ntz")
-            part = half(values.withColumn("ts", time)).select("value")
+        for name, source in SOURCES.items():
+            timed = records[name].withColumn("ts", F.col("meta_scraped_at").cast("timestamp_ntz"))
+            part = to_lines(half(timed).drop("ts"))
             silver.BatchWriter(source, f"{lake}/silver/{name}", f"{lake}/quarantine/{name}")(part, number)
         after_each(lake)
     return lake
