@@ -104,13 +104,18 @@ def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly. Few file splits hold many events, and each event grows into a whole document."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _documents(spark: SparkSession, sf_dir: str, types: tuple[str, ...], sample: dict[str, str]) -> DataFrame:
     """One nested document per scrape, with the nine probes ``n`` as its samples."""
     cells = ", ".join(f"'{c}'" for c in S.grid_ids())
     fields = {"grid_id": f"get(array({cells}), n)", "lat": "48D + n * 0.25D", "lon": "8D + n * 0.5D"}
     fields |= {name: f"IF((event_id + n) % 23 <> 0, {value}, NULL)" for name, value in sample.items()}
     struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
-    return _scrapes(spark, sf_dir, *types).selectExpr(
+    return spread(_scrapes(spark, sf_dir, *types)).selectExpr(
         "meta_city", "meta_scraped_at", f"transform(sequence(0, 8), n -> named_struct({struct})) AS samples"
     )
 

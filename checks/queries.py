@@ -324,7 +324,7 @@ def _lake(spark: SparkSession, sf_dir: str, after_each: Callable[[str], object]
     records = {
         "traffic": X.traffic_documents(spark, sf_dir),
         "weather": X.weather_documents(spark, sf_dir),
-        "transit": departure_records(spark, sf_dir),
+        "transit": X.spread(departure_records(spark, sf_dir)),
     }
     for number, half in enumerate((_before_cut, _after_cut)):
         for name, source in SOURCES.items():

@@ -1,4 +1,4 @@
-"""How the flat tables' input is built: by time before it becomes text."""
+"""How the flat tables' input is built: by time before it becomes text, and dealt out over all tasks."""
 
 from __future__ import annotations
 
@@ -46,6 +46,11 @@ def test_no_text_is_made_to_find_its_time(batches):
         assert filters and not any("get_json_object" in line or "StructsToJson" in line for line in filters)
 
 
+def test_one_file_split_is_built_by_many_tasks(spark, batches):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {batch.rdd.getNumPartitions() for batch in batches.values()} == {tasks}
+
+
 @pytest.mark.parametrize("name", ["traffic", "weather", "transit"])
 def test_both_batches_have_every_value_with_a_time_once(spark, sf_dir, batches, name):
     made = {"traffic": X.traffic_documents, "weather": X.weather_documents, "transit": Q.departure_records}[name](spark, sf_dir)
